@@ -1 +1,607 @@
-"""placeholder"""
+"""Load-side recipes: files, data-quality reports, reconciliation, document checks."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from touchline.operators import quality
+from touchline.operators.derive import apply_corrections, delete_cascade, delete_set_null, surrogate_key
+from touchline.operators.ranking import asc, desc, top_k
+from touchline.operators.reconcile import ambiguous, summary, unmatched
+from touchline.operators.shares import share_of_total
+from touchline.plans.model import REFERENCE_YEAR, Season, conform, season
+from touchline.plans.registry import register
+from touchline.plans.sqltext import big, dbl, ratio as sratio
+from touchline.session import scratch_path
+from touchline.sources.delimited import load_delimited, write_delimited
+from touchline.sources.layouts import ATTENDU, LOAD_ORDER, PERFORMANCE
+from touchline.sources.tables import catalog_listing, read_tables, register_views, reload_tables
+
+# ---------------------------------------------------------------------------
+# Data-quality rules, stated once and used for both the Spark job and its SQL.
+# ``table`` names a season-model table (or a driver table when ``raw``).
+
+
+@dataclass(frozen=True)
+class Rule:
+    table: str
+    columns: tuple[str, ...]
+    raw: bool = False
+    parent: str | None = None
+    parent_columns: tuple[str, ...] = field(default_factory=tuple)
+    arg: int | tuple[int, int] | None = None
+
+
+_FACTS = ("temps_de_jeu", "performance", "attendu", "progression")
+
+PRIMARY_KEYS = [
+    Rule("equipe", ("id_equipe",)),
+    Rule("position", ("code_position",)),
+    Rule("joueur", ("id_joueur",)),
+    *[Rule(f, ("id_joueur",)) for f in _FACTS],
+    Rule("salaire_source", ("id_joueur_source",)),
+    Rule("lineitem", ("l_orderkey", "l_linenumber"), raw=True),
+]
+
+UNIQUES = [Rule("equipe", ("nom_equipe",))]
+
+NOT_NULLS = [
+    Rule("equipe", ("nom_equipe",)),
+    Rule("position", ("libelle_position",)),
+    Rule("joueur", ("nom_joueur", "code_position", "id_equipe")),
+    Rule("temps_de_jeu", ("id_joueur", "matchs_joues", "matchs_titulaires", "minutes_jouees", "matchs_90")),
+    Rule("performance", ("id_joueur", "buts", "passes_decisives", "buts_hors_penalties", "penalties_marques",
+                         "penalties_tentes", "cartons_jaunes", "cartons_rouges")),
+    Rule("attendu", ("id_joueur", "xg", "npxg", "xag")),
+    Rule("progression", ("id_joueur", "progression_conduite", "progression_passe", "progression_course")),
+    Rule("salaire_source", ("nom_joueur",)),
+]
+
+NON_NEGATIVE = [
+    Rule("temps_de_jeu", ("matchs_joues", "matchs_titulaires", "minutes_jouees", "matchs_90")),
+    Rule("performance", ("buts", "passes_decisives", "buts_hors_penalties", "penalties_marques", "penalties_tentes",
+                         "cartons_jaunes", "cartons_rouges")),
+    Rule("attendu", ("xg", "npxg", "xag")),
+    Rule("progression", ("progression_conduite", "progression_passe", "progression_course")),
+    Rule("salaire_source", ("age", "salaire_annuel")),
+    Rule("customer", ("c_acctbal",), raw=True),
+]
+
+FOREIGN_KEYS = [
+    Rule("joueur", ("code_position",), parent="position", parent_columns=("code_position",)),
+    Rule("joueur", ("id_equipe",), parent="equipe", parent_columns=("id_equipe",)),
+    *[Rule(f, ("id_joueur",), parent="joueur", parent_columns=("id_joueur",)) for f in _FACTS],
+    Rule("salaire_source", ("id_joueur",), parent="joueur", parent_columns=("id_joueur",)),
+    Rule("lineitem", ("l_orderkey",), raw=True, parent="orders", parent_columns=("o_orderkey",)),
+    Rule("lineitem", ("l_partkey",), raw=True, parent="part", parent_columns=("p_partkey",)),
+    Rule("orders", ("o_custkey",), raw=True, parent="customer", parent_columns=("c_custkey",)),
+]
+
+LENGTHS = [
+    Rule("equipe", ("nom_equipe",), arg=100),
+    Rule("position", ("code_position",), arg=10),
+    Rule("position", ("libelle_position",), arg=50),
+    Rule("joueur", ("nom_joueur",), arg=100),
+    Rule("joueur", ("code_position",), arg=10),
+    Rule("salaire_source", ("nom_joueur",), arg=100),
+]
+
+NUMERIC_TYPES = [
+    Rule("temps_de_jeu", ("matchs_90",), arg=(6, 2)),
+    Rule("attendu", ("xg",), arg=(6, 2)),
+    Rule("attendu", ("npxg",), arg=(6, 2)),
+    Rule("attendu", ("xag",), arg=(6, 2)),
+    Rule("attendu", ("npxg_xag",), arg=(6, 2)),
+    Rule("salaire_source", ("salaire_annuel",), arg=(12, 2)),
+]
+
+_RAW_TABLES = {"lineitem", "orders", "part", "customer"}
+
+
+def _frame(s: Season, name: str) -> DataFrame:
+    return s.table(name) if name in _RAW_TABLES else getattr(s, name)
+
+
+def _report_sql(table: str, kind: str, columns: str, violations: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, '{kind}' AS constraint_type, '{columns}' AS columns, "
+        f"CAST(COALESCE(({violations}), 0) AS BIGINT) AS violations"
+    )
+
+
+def _union_sql(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def _pk_sql(r: Rule, nulls_violate: bool = True, kind: str = "PRIMARY KEY") -> str:
+    cols = ", ".join(r.columns)
+    not_null = " AND ".join(f"{c} IS NOT NULL" for c in r.columns)
+    any_null = " OR ".join(f"{c} IS NULL" for c in r.columns)
+    dups = f"SELECT count(*) FROM (SELECT {cols} FROM {r.table} GROUP BY {cols} HAVING count(*) > 1) d WHERE {not_null}"
+    v = f"({dups}) + (SELECT count(*) FROM {r.table} WHERE {any_null})" if nulls_violate else dups
+    return _report_sql(r.table, kind, cols, v)
+
+
+@register("dq_primary_key", _union_sql([_pk_sql(r) for r in PRIMARY_KEYS]))
+def dq_primary_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRIMARY KEY violations: duplicated key values plus rows with a NULL key part."""
+    s = season(spark, sf_dir)
+    return quality.union_reports([quality.primary_key(_frame(s, r.table), r.table, r.columns) for r in PRIMARY_KEYS])
+
+
+@register("dq_unique", _union_sql([_pk_sql(r, nulls_violate=False, kind="UNIQUE") for r in UNIQUES]))
+def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UNIQUE violations (NULLs never clash)."""
+    s = season(spark, sf_dir)
+    return quality.union_reports([quality.unique(_frame(s, r.table), r.table, r.columns) for r in UNIQUES])
+
+
+@register(
+    "dq_not_null",
+    _union_sql(
+        [_report_sql(r.table, "NOT NULL", c, f"SELECT count(*) FROM {r.table} WHERE {c} IS NULL")
+         for r in NOT_NULLS for c in r.columns]
+    ),
+)
+def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NOT NULL violations, one scan per table."""
+    s = season(spark, sf_dir)
+    return quality.union_reports([quality.not_null(_frame(s, r.table), r.table, r.columns) for r in NOT_NULLS])
+
+
+@register(
+    "dq_check",
+    _union_sql(
+        [_report_sql(r.table, "CHECK", f"{c} >= 0", f"SELECT count(*) FROM {r.table} WHERE NOT ({c} >= 0)")
+         for r in NON_NEGATIVE for c in r.columns]
+    ),
+)
+def dq_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CHECK (x >= 0) violations; a NULL value passes."""
+    s = season(spark, sf_dir)
+    return quality.union_reports(
+        [quality.check(_frame(s, r.table), r.table, {f"{c} >= 0": F.col(c) >= 0 for c in r.columns})
+         for r in NON_NEGATIVE]
+    )
+
+
+def _fk_sql(r: Rule) -> str:
+    on = " AND ".join(f"c.{a} = p.{b}" for a, b in zip(r.columns, r.parent_columns))
+    not_null = " AND ".join(f"c.{a} IS NOT NULL" for a in r.columns)
+    v = f"SELECT count(*) FROM {r.table} c WHERE {not_null} AND NOT EXISTS (SELECT 1 FROM {r.parent} p WHERE {on})"
+    return _report_sql(r.table, "FOREIGN KEY", ", ".join(r.columns), v)
+
+
+@register("dq_foreign_key", _union_sql([_fk_sql(r) for r in FOREIGN_KEYS]))
+def dq_foreign_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FOREIGN KEY violations: non-NULL child keys without a parent."""
+    s = season(spark, sf_dir)
+    return quality.union_reports(
+        [quality.foreign_key(_frame(s, r.table), r.table, r.columns, _frame(s, r.parent), r.parent_columns)
+         for r in FOREIGN_KEYS]
+    )
+
+
+@register(
+    "dq_length",
+    _union_sql(
+        [_report_sql(r.table, "LENGTH", f"length({r.columns[0]}) <= {r.arg}",
+                     f"SELECT count(*) FROM {r.table} WHERE NOT (length({r.columns[0]}) <= {r.arg})")
+         for r in LENGTHS]
+    ),
+)
+def dq_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VARCHAR(n) violations: values longer than n characters."""
+    s = season(spark, sf_dir)
+    return quality.union_reports(
+        [quality.max_length(_frame(s, r.table), r.table, {r.columns[0]: r.arg}) for r in LENGTHS]
+    )
+
+
+@register(
+    "dq_numeric_range",
+    _union_sql(
+        [_report_sql(r.table, "NUMERIC RANGE", f"{r.columns[0]} as decimal({r.arg[0]},{r.arg[1]})",
+                     f"SELECT count(*) FROM {r.table} WHERE {r.columns[0]} IS NOT NULL "
+                     f"AND TRY_CAST({r.columns[0]} AS DECIMAL({r.arg[0]},{r.arg[1]})) IS NULL")
+         for r in NUMERIC_TYPES]
+    ),
+)
+def dq_numeric_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NUMERIC(p, s) violations: values that would not fit the declared type."""
+    s = season(spark, sf_dir)
+    return quality.union_reports(
+        [quality.numeric_range(_frame(s, r.table), r.table, {r.columns[0]: r.arg}) for r in NUMERIC_TYPES]
+    )
+
+
+# ---------------------------------------------------------------------------
+# Generated columns, surrogate keys, corrections, deletes.
+
+
+@register(
+    "generated_columns",
+    f"""
+SELECT CAST(p.id_joueur AS BIGINT) AS id_joueur, p.buts, p.passes_decisives, p.buts_plus_passes,
+       {dbl('a.npxg')} AS npxg, {dbl('a.xag')} AS xag, {dbl('a.npxg_xag')} AS npxg_xag
+FROM performance p JOIN attendu a ON p.id_joueur = a.id_joueur
+""",
+)
+def generated_columns_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored generated columns: goals + assists, npxG + xAG (recomputed at load)."""
+    s = season(spark, sf_dir)
+    return conform(
+        s.stats.select("id_joueur", "buts", "passes_decisives", "buts_plus_passes", "npxg", "xag", "npxg_xag")
+    )
+
+
+@register(
+    "surrogate_key",
+    """
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY id_joueur) AS BIGINT) AS id_performance,
+       CAST(id_joueur AS BIGINT) AS id_joueur, buts
+FROM performance
+""",
+)
+def surrogate_key_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SERIAL keys 1..n for the performance rows, in player-id order."""
+    s = season(spark, sf_dir)
+    return conform(surrogate_key(s.performance.select("id_joueur", "buts"), ["id_joueur"], "id_performance"))
+
+
+def _age_corrections(s: Season) -> DataFrame:
+    """Birth years documented by the salary source for players it matched by name only."""
+    linked = s.salaire_source.filter(F.col("matched_pass") == 2)
+    return linked.select(
+        F.col("id_joueur"),
+        F.lit("annee_naissance").alias("column"),
+        (F.lit(REFERENCE_YEAR) - F.col("age")).cast("string").alias("value"),
+        F.lit("age given by the salary source").alias("reason"),
+    )
+
+
+@register(
+    "apply_corrections",
+    """
+WITH fixes AS (
+  SELECT id_joueur, max(CAST({year} - age AS VARCHAR)) AS fix
+  FROM salaire_source WHERE matched_pass = 2 GROUP BY id_joueur)
+SELECT CAST(j.id_joueur AS BIGINT) AS id_joueur, j.nom_joueur,
+       CAST(COALESCE(CAST(f.fix AS INTEGER), j.annee_naissance) AS BIGINT) AS annee_naissance,
+       j.code_position, CAST(j.id_equipe AS BIGINT) AS id_equipe
+FROM joueur j LEFT JOIN fixes f ON j.id_joueur = f.id_joueur
+""",
+)
+def apply_corrections_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hub with documented corrections applied (birth year from the external source)."""
+    s = season(spark, sf_dir)
+    fixed = apply_corrections(s.joueur, _age_corrections(s), "id_joueur", ["annee_naissance"], mode="override")
+    return conform(fixed)
+
+
+def _duplicates(s: Season) -> DataFrame:
+    """Hub rows merged into another row by consolidation (not the group's lowest id)."""
+    refs = s.consolidated.select(F.col("id_joueur_reference").alias("id_joueur"))
+    return s.joueur.select("id_joueur").join(refs, "id_joueur", "left_anti")
+
+
+_DUPLICATES_SQL = "duplicates AS (SELECT id_joueur FROM joueur WHERE id_joueur NOT IN (SELECT id_joueur_reference FROM v))"
+
+
+@register(
+    "delete_cascade",
+    f"""
+WITH {_DUPLICATES_SQL}
+SELECT CAST(id_joueur AS BIGINT) AS id_joueur, buts FROM performance
+WHERE id_joueur NOT IN (SELECT id_joueur FROM duplicates)
+""",
+)
+def delete_cascade_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Performance rows left after deleting merged duplicate players (ON DELETE CASCADE)."""
+    s = season(spark, sf_dir)
+    kept = delete_cascade(s.performance.select("id_joueur", "buts"), _duplicates(s), "id_joueur", "id_joueur")
+    return conform(kept)
+
+
+@register(
+    "delete_set_null",
+    f"""
+WITH {_DUPLICATES_SQL}
+SELECT CAST(id_joueur_source AS BIGINT) AS id_joueur_source,
+       CAST(CASE WHEN id_joueur IN (SELECT id_joueur FROM duplicates) THEN NULL ELSE id_joueur END AS BIGINT)
+         AS id_joueur
+FROM salaire_source
+""",
+)
+def delete_set_null_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Salary links cleared where the linked player was deleted (ON DELETE SET NULL)."""
+    s = season(spark, sf_dir)
+    src = s.salaire_source.select("id_joueur_source", "id_joueur")
+    return conform(delete_set_null(src, _duplicates(s), "id_joueur", "id_joueur"))
+
+
+# ---------------------------------------------------------------------------
+# Reconciliation.
+
+_SALARY_COLUMNS = (
+    "CAST(id_joueur_source AS BIGINT) AS id_joueur_source, nom_joueur, CAST(age AS BIGINT) AS age, "
+    "CAST(salaire_annuel AS DOUBLE) AS salaire_annuel, note_source, CAST(id_joueur AS BIGINT) AS id_joueur"
+)
+
+
+@register(
+    "reconcile",
+    f"""
+SELECT {_SALARY_COLUMNS}, CAST(matched_pass AS BIGINT) AS matched_pass,
+       CAST(n_candidates AS BIGINT) AS n_candidates
+FROM salaire_source
+""",
+)
+def reconcile_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """External salary rows linked to players: name + age first, then name only."""
+    return conform(season(spark, sf_dir).salaire_source)
+
+
+@register(
+    "reconcile_summary",
+    """
+SELECT count(*) AS total, count(id_joueur) AS linked, count(*) - count(id_joueur) AS unlinked FROM salaire_source
+""",
+)
+def reconcile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total, linked and unlinked salary rows."""
+    return conform(summary(season(spark, sf_dir).salaire_source, "id_joueur"))
+
+
+@register("reconcile_unmatched", f"SELECT {_SALARY_COLUMNS} FROM salaire_source WHERE id_joueur IS NULL")
+def reconcile_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Salary rows left unlinked, by name."""
+    s = season(spark, sf_dir)
+    rows = unmatched(s.salaire_source, "id_joueur", ["nom_joueur", "id_joueur_source"])
+    return conform(rows.drop("matched_pass", "n_candidates"))
+
+
+@register(
+    "reconcile_ambiguous",
+    """
+SELECT CAST(id_joueur_source AS BIGINT) AS id_joueur_source, nom_joueur, CAST(matched_pass AS BIGINT) AS matched_pass,
+       CAST(n_candidates AS BIGINT) AS n_candidates, CAST(id_joueur AS BIGINT) AS id_joueur
+FROM salaire_source WHERE n_candidates > 1
+""",
+)
+def reconcile_ambiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Salary rows whose winning pass had several candidate players (lowest id kept)."""
+    s = season(spark, sf_dir)
+    rows = ambiguous(s.salaire_source).select("id_joueur_source", "nom_joueur", "matched_pass", "n_candidates", "id_joueur")
+    return conform(rows.orderBy("id_joueur_source"))
+
+
+# ---------------------------------------------------------------------------
+# Files: export in the delivered layout and load back.
+
+
+def _performance_file(s: Season) -> DataFrame:
+    # Columns 3, 9 and 10 of the file: goals + assists, team id, team name.
+    return s.performance.join(s.joueur.select("id_joueur", "id_equipe"), "id_joueur").join(s.equipe, "id_equipe").select(
+        "*", F.col("buts_plus_passes").alias("_f3"), F.col("id_equipe").alias("_f9"), F.col("nom_equipe").alias("_f10")
+    )
+
+
+@register(
+    "load_delimited",
+    """
+SELECT CAST(id_joueur AS BIGINT) AS id_joueur, CAST(buts AS BIGINT) AS buts,
+       CAST(passes_decisives AS BIGINT) AS passes_decisives, CAST(buts_hors_penalties AS BIGINT) AS buts_hors_penalties,
+       CAST(penalties_marques AS BIGINT) AS penalties_marques, CAST(penalties_tentes AS BIGINT) AS penalties_tentes,
+       CAST(cartons_jaunes AS BIGINT) AS cartons_jaunes, CAST(cartons_rouges AS BIGINT) AS cartons_rouges
+FROM performance
+""",
+)
+def load_delimited_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Performance written as the delivered 11-column file, then loaded (8 columns kept)."""
+    s = season(spark, sf_dir)
+    path = scratch_path(spark, "performance_csv")
+    write_delimited(_performance_file(s), path, PERFORMANCE)
+    return conform(load_delimited(spark, path, PERFORMANCE))
+
+
+@register(
+    "coerce_decimal_comma",
+    f"""
+SELECT CAST(id_joueur AS BIGINT) AS id_joueur, {dbl('xg')} AS xg, {dbl('npxg')} AS npxg, {dbl('xag')} AS xag,
+       {dbl('npxg + xag')} AS npxg_xag
+FROM attendu
+""",
+)
+def coerce_decimal_comma_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected-goals file with decimal commas and a stale total: load, coerce, recompute."""
+    s = season(spark, sf_dir)
+    path = scratch_path(spark, "attendu_csv")
+    # The delivered total column is not trusted: write a different value there.
+    delivered = s.attendu.withColumn("_f4", F.col("npxg_xag") + F.lit(1))
+    write_delimited(delivered, path, ATTENDU)
+    loaded = load_delimited(spark, path, ATTENDU)
+    return conform(loaded.withColumn("npxg_xag", F.col("npxg") + F.col("xag")))
+
+
+def _model_tables(s: Season) -> dict[str, DataFrame]:
+    return {
+        "equipe": s.equipe,
+        "position": s.position,
+        "joueur": s.joueur,
+        "temps_de_jeu": s.temps_de_jeu,
+        "performance": s.performance,
+        "attendu": s.attendu,
+        "progression": s.progression,
+        "salaire_source": s.salaire_source,
+    }
+
+
+_COUNTS_SQL = _union_sql([f"SELECT '{t}' AS table_name, count(*) AS nombre_lignes FROM {t}" for t in LOAD_ORDER])
+
+
+@register("reload_idempotent", _COUNTS_SQL)
+def reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load every table twice (overwrite, dimensions first) and count what is stored."""
+    s = season(spark, sf_dir)
+    root = scratch_path(spark, "season")
+    tables = _model_tables(s)
+    reload_tables(tables, root, LOAD_ORDER)
+    paths = reload_tables(tables, root, LOAD_ORDER)
+    stored = read_tables(spark, paths)
+    counts = [
+        stored[t].agg(F.count(F.lit(1)).alias("nombre_lignes")).select(F.lit(t).alias("table_name"), "nombre_lignes")
+        for t in LOAD_ORDER
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@register(
+    "catalog_listing",
+    "SELECT table_name FROM (VALUES "
+    + ", ".join(f"('{t}')" for t in sorted(LOAD_ORDER))
+    + ") t(table_name)",
+)
+def catalog_listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of the season model registered as views, as listed by the catalogue."""
+    s = season(spark, sf_dir)
+    register_views(_model_tables(s))
+    return catalog_listing(spark, LOAD_ORDER)
+
+
+@register("export_results", f"SELECT e.nom_equipe, {big('SUM(p.buts)')} AS total_buts FROM equipe e "
+          "JOIN joueur j ON e.id_equipe = j.id_equipe JOIN performance p ON j.id_joueur = p.id_joueur "
+          "GROUP BY e.nom_equipe")
+def export_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result (team goals) exported to a delimited file and read back."""
+    from touchline.plans.raw import q01
+    from touchline.sources.delimited import Field
+
+    layout = [Field("nom_equipe", "nom_equipe"), Field("total_buts", "total_buts", "bigint")]
+    path = scratch_path(spark, "export_q01")
+    write_delimited(q01(spark, sf_dir), path, layout, bom=False)
+    return load_delimited(spark, path, layout)
+
+
+# ---------------------------------------------------------------------------
+# Smoke and document checks.
+
+
+@register("preview")
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hub rows (``SELECT * ... LIMIT 10``; which ten is unspecified)."""
+    return conform(season(spark, sf_dir).joueur.limit(10))
+
+
+@register("simple_join")
+def simple_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten players with their team name (unordered LIMIT)."""
+    s = season(spark, sf_dir)
+    return s.joueur.join(s.equipe, "id_equipe").select("nom_joueur", "nom_equipe").limit(10)
+
+
+@register(
+    "perf_join",
+    """
+SELECT j.nom_joueur, e.nom_equipe, CAST(p.buts AS BIGINT) AS buts, CAST(p.passes_decisives AS BIGINT) AS passes_decisives
+FROM joueur j JOIN equipe e ON j.id_equipe = e.id_equipe JOIN performance p ON j.id_joueur = p.id_joueur
+ORDER BY p.buts DESC, j.id_joueur LIMIT 10
+""",
+)
+def perf_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 scorers with assists."""
+    s = season(spark, sf_dir)
+    df = s.players().select("id_joueur", "nom_joueur", "nom_equipe", "buts", "passes_decisives")
+    return conform(top_k(df, [desc("buts")], 10, tie=["id_joueur"]).drop("id_joueur"))
+
+
+@register(
+    "top_k",
+    """
+SELECT j.nom_joueur, e.nom_equipe, CAST(t.minutes_jouees AS BIGINT) AS minutes_jouees
+FROM joueur j JOIN equipe e ON j.id_equipe = e.id_equipe JOIN temps_de_jeu t ON j.id_joueur = t.id_joueur
+ORDER BY t.minutes_jouees DESC, j.id_joueur LIMIT 10
+""",
+)
+def top_k_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 players by minutes played."""
+    s = season(spark, sf_dir)
+    df = s.players().select("id_joueur", "nom_joueur", "nom_equipe", "minutes_jouees")
+    return conform(top_k(df, [desc("minutes_jouees")], 10, tie=["id_joueur"]).drop("id_joueur"))
+
+
+@register(
+    "share_of_total",
+    f"""
+SELECT e.nom_equipe, count(*) AS nombre_joueurs,
+       {dbl(sratio('count(*)', 'SUM(count(*)) OVER ()', percent=True))} AS pourcentage_total
+FROM joueur j JOIN equipe e ON j.id_equipe = e.id_equipe GROUP BY e.nom_equipe
+""",
+)
+def share_of_total_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players per team and their share of all players."""
+    s = season(spark, sf_dir)
+    grouped = s.joueur.join(s.equipe, "id_equipe").groupBy("nom_equipe").agg(F.count(F.lit(1)).alias("nombre_joueurs"))
+    return conform(share_of_total(grouped, "nombre_joueurs", "pourcentage_total").orderBy(desc("nombre_joueurs"), asc("nom_equipe")))
+
+
+_HUB_SQL = ("CAST(id_joueur AS BIGINT) AS id_joueur, nom_joueur, CAST(annee_naissance AS BIGINT) AS annee_naissance, "
+            "code_position, CAST(id_equipe AS BIGINT) AS id_equipe")
+
+
+@register(
+    "missing_dim",
+    f"""
+SELECT 'equipe' AS dimension_manquante, {_HUB_SQL} FROM joueur WHERE id_equipe IS NULL
+UNION ALL
+SELECT 'position', {_HUB_SQL} FROM joueur WHERE code_position IS NULL
+""",
+)
+def missing_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players without a team / without a position."""
+    hub = season(spark, sf_dir).joueur
+    team = hub.filter(F.col("id_equipe").isNull()).select(F.lit("equipe").alias("dimension_manquante"), "*")
+    pos = hub.filter(F.col("code_position").isNull()).select(F.lit("position").alias("dimension_manquante"), "*")
+    return conform(team.unionByName(pos))
+
+
+@register(
+    "missing_facts",
+    f"""
+SELECT 'performance' AS fait_manquant, {_HUB_SQL} FROM joueur j
+WHERE NOT EXISTS (SELECT 1 FROM performance p WHERE p.id_joueur = j.id_joueur)
+UNION ALL
+SELECT 'temps_de_jeu', {_HUB_SQL} FROM joueur j
+WHERE NOT EXISTS (SELECT 1 FROM temps_de_jeu t WHERE t.id_joueur = j.id_joueur)
+""",
+)
+def missing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players without performance / without playing-time rows (anti joins)."""
+    s = season(spark, sf_dir)
+    hub = s.joueur
+    no_perf = hub.join(s.performance.select("id_joueur"), "id_joueur", "left_anti")
+    no_time = hub.join(s.temps_de_jeu.select("id_joueur"), "id_joueur", "left_anti")
+    return conform(
+        no_perf.select(F.lit("performance").alias("fait_manquant"), *hub.columns).unionByName(
+            no_time.select(F.lit("temps_de_jeu").alias("fait_manquant"), *hub.columns)
+        )
+    )
+
+
+@register(
+    "duplicate_names",
+    "SELECT nom_joueur, count(*) AS nombre_occurrences FROM joueur GROUP BY nom_joueur HAVING count(*) > 1",
+)
+def duplicate_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that occur more than once, most frequent first."""
+    hub = season(spark, sf_dir).joueur
+    out = hub.groupBy("nom_joueur").agg(F.count(F.lit(1)).alias("nombre_occurrences")).filter(
+        F.col("nombre_occurrences") > 1
+    )
+    return out.orderBy(desc("nombre_occurrences"), asc("nom_joueur"))
+
+
