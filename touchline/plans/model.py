@@ -115,9 +115,13 @@ class Season:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A driver table (read lazily once; the plan is reused, not the data)."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # -- dimensions ---------------------------------------------------------
     def _dim(self, df: DataFrame) -> DataFrame:
@@ -141,7 +145,7 @@ class Season:
         )
 
     # -- hub ----------------------------------------------------------------
-    @property
+    @cached_property
     def joueur(self) -> DataFrame:
         part = self.table("part")
         return part.select(
@@ -153,7 +157,7 @@ class Season:
         )
 
     # -- facts --------------------------------------------------------------
-    @property
+    @cached_property
     def stats(self) -> DataFrame:
         """All fact measures per player id, from one aggregation of ``lineitem``."""
         li = self.table("lineitem")
@@ -191,28 +195,32 @@ class Season:
             },
         )
 
-    @property
+    @cached_property
     def performance(self) -> DataFrame:
         return self.stats.select("id_joueur", *PERFORMANCE, "buts_plus_passes")
 
-    @property
+    @cached_property
     def temps_de_jeu(self) -> DataFrame:
         return self.stats.select("id_joueur", *TEMPS_DE_JEU)
 
-    @property
+    @cached_property
     def attendu(self) -> DataFrame:
         return self.stats.select("id_joueur", *ATTENDU, "npxg_xag")
 
-    @property
+    @cached_property
     def progression(self) -> DataFrame:
         return self.stats.select("id_joueur", *PROGRESSION)
 
+    @cached_property
+    def _players(self) -> DataFrame:
+        return self.joueur.join(self.stats, "id_joueur").join(self.equipe, "id_equipe")
+
     def players(self) -> DataFrame:
         """Hub joined to its facts (inner) and to the team name."""
-        return self.joueur.join(self.stats, "id_joueur").join(self.equipe, "id_equipe")
+        return self._players
 
     # -- external source ----------------------------------------------------
-    @property
+    @cached_property
     def salaire_source_raw(self) -> DataFrame:
         """The external salary file as delivered: own ids, names spelled its own way.
 
@@ -244,7 +252,7 @@ class Season:
             (F.lit(REFERENCE_YEAR) - F.col("annee_naissance")).alias("k_age"),
         )
 
-    @property
+    @cached_property
     def salaire_source(self) -> DataFrame:
         """The salary source with ``id_joueur`` set by name + age, then by name."""
         src = self.salaire_source_raw.withColumns({"k_name": match_key("nom_joueur"), "k_age": F.col("age")})
@@ -252,7 +260,7 @@ class Season:
         return linked.drop("k_name", "k_age")
 
     # -- consolidated view ----------------------------------------------------
-    @property
+    @cached_property
     def consolidated(self) -> DataFrame:
         """One row per (name, position, team): MIN(id) and sixteen sums."""
         return consolidate(
