@@ -86,6 +86,11 @@ CONSOLIDATED_MEASURES = [
 CONSOLIDATION_KEYS = ["nom_joueur", "code_position", "id_equipe"]
 
 MONEY = "decimal(18,2)"
+# Line-level amounts (discount, tax, extended price < 10^6) are cast to
+# DECIMAL(8,2): their sums are DECIMAL(18,2), which Spark keeps in a long
+# (an exact sum about 2.5x faster than with a DECIMAL(28,2) buffer).  A
+# per-part sum still holds up to 10^16, i.e. a third of all revenue at 100 TB.
+LINE_MONEY = "decimal(8,2)"
 
 
 def team_id(brand: Column) -> Column:
@@ -161,7 +166,7 @@ class Season:
     def stats(self) -> DataFrame:
         """All fact measures per player id, from one aggregation of ``lineitem``."""
         li = self.table("lineitem")
-        disc = F.col("l_discount").cast(MONEY)
+        disc = F.col("l_discount").cast(LINE_MONEY)
         deep = F.col("l_discount") >= 0.08
         accepted = F.col("l_returnflag") == "A"
         agg = li.groupBy(F.col("l_partkey").alias("id_joueur")).agg(
@@ -179,11 +184,11 @@ class Season:
             F.count_if(F.col("l_returnflag") == "R").alias("cartons_rouges"),
             # attendu
             F.sum(disc).cast(MONEY).alias("xg"),
-            F.sum(F.when(~accepted, disc).otherwise(F.lit(0).cast(MONEY))).cast(MONEY).alias("npxg"),
-            F.sum(F.col("l_tax").cast(MONEY)).cast(MONEY).alias("xag"),
+            F.sum(F.when(~accepted, disc).otherwise(F.lit(0).cast(LINE_MONEY))).cast(MONEY).alias("npxg"),
+            F.sum(F.col("l_tax").cast(LINE_MONEY)).cast(MONEY).alias("xag"),
             # progression
             F.count_if(F.col("l_linenumber") == 1).alias("progression_conduite"),
-            F.sum(F.col("l_extendedprice").cast(MONEY)).cast(MONEY).alias("progression_passe"),
+            F.sum(F.col("l_extendedprice").cast(LINE_MONEY)).cast(MONEY).alias("progression_passe"),
             F.count_if(F.col("l_linestatus") == "O").alias("progression_course"),
         )
         agg = agg.withColumn("matchs_90", F.round(exact_div("minutes_jouees", F.lit(90)), 2).cast("decimal(12,2)"))
