@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.operators.joins import broadcast_if_small
-
 
 def generated_columns(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
     """Derive stored columns (``GENERATED ALWAYS AS (...)``) at load time.
@@ -32,14 +30,16 @@ def apply_corrections(
     unless a reliable value was found); ``mode="override"`` replaces the
     value.  Corrections are pivoted to one row per key first, so the join
     never multiplies rows; when a key has two values for one column the
-    greatest wins.
+    greatest wins.  No broadcast is forced: a manual corrections file is
+    small by its file size and the planner broadcasts it; a derived one is
+    sized by AQE at runtime.
     """
     if mode not in ("fill", "override"):
         raise ValueError("mode must be 'fill' or 'override'")
     fixes = corrections.groupBy(F.col(key).alias("__key")).agg(
         *[F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"__fix_{c}") for c in columns]
     )
-    joined = df.join(broadcast_if_small(fixes), F.col(key) == F.col("__key"), "left")
+    joined = df.join(fixes, F.col(key) == F.col("__key"), "left")
     types = dict(df.dtypes)
     out = {}
     for c in columns:
@@ -67,6 +67,7 @@ def delete_set_null(child: DataFrame, deleted: DataFrame, child_col: str, parent
 # monotonically_increasing_id puts the partition index above bit 33 and the
 # row position inside the partition below it.
 _ROW_BITS = 33
+_MAX_BROADCAST_PARTITIONS = 1_000_000
 
 
 def surrogate_key(df: DataFrame, order: Sequence[str], out_col: str, start: int = 1) -> DataFrame:
@@ -92,8 +93,11 @@ def surrogate_key(df: DataFrame, order: Sequence[str], out_col: str, start: int
     counts = numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
-    # One row per partition of ``numbered``: the bound on this broadcast.
-    offsets = broadcast_if_small(offsets.select("__part", "__offset"), numbered.rdd.getNumPartitions())
+    offsets = offsets.select("__part", "__offset")
+    # One row per partition of ``numbered``: the partition count is the
+    # proven bound of this side, known without running a job.
+    if numbered.rdd.getNumPartitions() <= _MAX_BROADCAST_PARTITIONS:
+        offsets = F.broadcast(offsets)
     keyed = numbered.join(offsets, "__part").withColumn(
         out_col, F.col("__offset") + F.col("__pos") + F.lit(start)
     )

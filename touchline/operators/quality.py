@@ -53,36 +53,51 @@ def unique(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     return _key_report(df, table, keys, "UNIQUE", nulls_violate=False)
 
 
-def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """NULL count of every column, all in one scan."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+def _labelled(counts: DataFrame, kind: str, entries: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """One report row per (table label, constraint text, count column) from a one-row count frame."""
     return union_reports(
         [
             counts.select(
                 F.lit(table).alias("table_name"),
-                F.lit("NOT NULL").alias("constraint_type"),
-                F.lit(c).alias("columns"),
-                F.col(c).cast("long").alias("violations"),
+                F.lit(kind).alias("constraint_type"),
+                F.lit(text).alias("columns"),
+                F.col(col).cast("long").alias("violations"),
             )
-            for c in columns
+            for table, text, col in entries
         ]
     )
 
 
-def check(df: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFrame:
-    """Rows where a CHECK rule is false; a NULL outcome passes, as in SQL."""
+def not_null(
+    df: DataFrame, table: str, columns: Sequence[str], labels: Sequence[str] | None = None
+) -> DataFrame:
+    """NULL count of every column, all in one scan.
+
+    ``labels`` (one per column) reports a column under another table name:
+    tables that are projections of one relation are checked in one pass.
+    """
+    labels = list(labels) if labels is not None else [table] * len(columns)
+    distinct = list(dict.fromkeys(columns))
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"__n{i}") for i, c in enumerate(distinct)])
+    index = {c: i for i, c in enumerate(distinct)}
+    return _labelled(counts, "NOT NULL", [(t, c, f"__n{index[c]}") for t, c in zip(labels, columns)])
+
+
+def check(
+    df: DataFrame, table: str, rules: Mapping[str, Column], labels: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows where a CHECK rule is false; a NULL outcome passes, as in SQL.
+
+    ``labels`` (one per rule) reports a rule under another table name.
+    """
+    labels = list(labels) if labels is not None else [table] * len(rules)
     counts = df.agg(*[F.count_if(~cond).alias(f"__r{i}") for i, cond in enumerate(rules.values())])
-    return union_reports(
-        [
-            counts.select(
-                F.lit(table).alias("table_name"),
-                F.lit("CHECK").alias("constraint_type"),
-                F.lit(name).alias("columns"),
-                F.col(f"__r{i}").cast("long").alias("violations"),
-            )
-            for i, name in enumerate(rules)
-        ]
-    )
+    return _labelled(counts, "CHECK", [(t, name, f"__r{i}") for i, (t, name) in enumerate(zip(labels, rules))])
+
+
+def relabel(report: DataFrame, tables: Sequence[str]) -> DataFrame:
+    """Repeat a report for several table names (projections of one checked relation)."""
+    return report.withColumn("table_name", F.explode(F.array(*[F.lit(t) for t in tables])))
 
 
 def foreign_key(
@@ -101,17 +116,20 @@ def foreign_key(
     return _row(orphans, table, "FOREIGN KEY", ", ".join(child_cols), F.count(F.lit(1)))
 
 
-def max_length(df: DataFrame, table: str, limits: Mapping[str, int]) -> DataFrame:
+def max_length(
+    df: DataFrame, table: str, limits: Mapping[str, int], labels: Sequence[str] | None = None
+) -> DataFrame:
     """Values longer than the declared VARCHAR(n)."""
-    return check(df, table, {f"length({c}) <= {n}": F.length(c) <= n for c, n in limits.items()}).withColumn(
-        "constraint_type", F.lit("LENGTH")
-    )
+    rules = {f"length({c}) <= {n}": F.length(c) <= n for c, n in limits.items()}
+    return check(df, table, rules, labels).withColumn("constraint_type", F.lit("LENGTH"))
 
 
-def numeric_range(df: DataFrame, table: str, types: Mapping[str, tuple[int, int]]) -> DataFrame:
+def numeric_range(
+    df: DataFrame, table: str, types: Mapping[str, tuple[int, int]], labels: Sequence[str] | None = None
+) -> DataFrame:
     """Non-NULL values that do not fit NUMERIC(p, s) (would abort a cast)."""
     rules = {
         f"{c} as decimal({p},{s})": F.col(c).isNull() | F.col(c).try_cast(f"decimal({p},{s})").isNotNull()
         for c, (p, s) in types.items()
     }
-    return check(df, table, rules).withColumn("constraint_type", F.lit("NUMERIC RANGE"))
+    return check(df, table, rules, labels).withColumn("constraint_type", F.lit("NUMERIC RANGE"))

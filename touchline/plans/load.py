@@ -13,7 +13,9 @@ from touchline.operators.derive import apply_corrections, delete_cascade, delete
 from touchline.operators.ranking import asc, desc, top_k
 from touchline.operators.reconcile import ambiguous, summary, unmatched
 from touchline.operators.shares import share_of_total
-from touchline.plans.model import REFERENCE_YEAR, Season, conform, season
+from touchline.plans.model import ATTENDU as ATTENDU_COLUMNS
+from touchline.plans.model import PERFORMANCE as PERFORMANCE_COLUMNS
+from touchline.plans.model import PROGRESSION, REFERENCE_YEAR, TEMPS_DE_JEU, Season, conform, season
 from touchline.plans.registry import register
 from touchline.plans.sqltext import big, dbl, ratio as sratio
 from touchline.session import scratch_path
@@ -106,6 +108,30 @@ def _frame(s: Season, name: str) -> DataFrame:
     return s.table(name) if name in _RAW_TABLES else getattr(s, name)
 
 
+# The four fact tables are projections of one aggregate (``stats``): their
+# rules are evaluated together on it, in one pass, and reported per table.
+_SHARED = "stats"
+
+
+def _source(r: Rule) -> str:
+    return _SHARED if r.table in _FACTS else r.table
+
+
+def _by_source(rules: list[Rule]) -> dict[str, list[Rule]]:
+    groups: dict[str, list[Rule]] = {}
+    for r in rules:
+        groups.setdefault(_source(r), []).append(r)
+    return groups
+
+
+def _by_check(rules: list[Rule]) -> dict[tuple, list[str]]:
+    """Identical checks on one source (a key of the shared aggregate) -> the tables reporting it."""
+    groups: dict[tuple, list[str]] = {}
+    for r in rules:
+        groups.setdefault((_source(r), r.columns, r.parent, r.parent_columns), []).append(r.table)
+    return groups
+
+
 def _report_sql(table: str, kind: str, columns: str, violations: str) -> str:
     return (
         f"SELECT '{table}' AS table_name, '{kind}' AS constraint_type, '{columns}' AS columns, "
@@ -130,7 +156,12 @@ def _pk_sql(r: Rule, nulls_violate: bool = True, kind: str = "PRIMARY KEY") -> s
 def dq_primary_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRIMARY KEY violations: duplicated key values plus rows with a NULL key part."""
     s = season(spark, sf_dir)
-    return quality.union_reports([quality.primary_key(_frame(s, r.table), r.table, r.columns) for r in PRIMARY_KEYS])
+    return quality.union_reports(
+        [
+            quality.relabel(quality.primary_key(_frame(s, src), src, list(cols)), tables)
+            for (src, cols, _, _), tables in _by_check(PRIMARY_KEYS).items()
+        ]
+    )
 
 
 @register("dq_unique", _union_sql([_pk_sql(r, nulls_violate=False, kind="UNIQUE") for r in UNIQUES]))
@@ -150,7 +181,14 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NOT NULL violations, one scan per table."""
     s = season(spark, sf_dir)
-    return quality.union_reports([quality.not_null(_frame(s, r.table), r.table, r.columns) for r in NOT_NULLS])
+    return quality.union_reports(
+        [
+            quality.not_null(
+                _frame(s, src), src, [c for r in rs for c in r.columns], [r.table for r in rs for _ in r.columns]
+            )
+            for src, rs in _by_source(NOT_NULLS).items()
+        ]
+    )
 
 
 @register(
@@ -164,8 +202,15 @@ def dq_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CHECK (x >= 0) violations; a NULL value passes."""
     s = season(spark, sf_dir)
     return quality.union_reports(
-        [quality.check(_frame(s, r.table), r.table, {f"{c} >= 0": F.col(c) >= 0 for c in r.columns})
-         for r in NON_NEGATIVE]
+        [
+            quality.check(
+                _frame(s, src),
+                src,
+                {f"{c} >= 0": F.col(c) >= 0 for r in rs for c in r.columns},
+                [r.table for r in rs for _ in r.columns],
+            )
+            for src, rs in _by_source(NON_NEGATIVE).items()
+        ]
     )
 
 
@@ -181,8 +226,10 @@ def dq_foreign_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FOREIGN KEY violations: non-NULL child keys without a parent."""
     s = season(spark, sf_dir)
     return quality.union_reports(
-        [quality.foreign_key(_frame(s, r.table), r.table, r.columns, _frame(s, r.parent), r.parent_columns)
-         for r in FOREIGN_KEYS]
+        [
+            quality.relabel(quality.foreign_key(_frame(s, src), src, cols, _frame(s, parent), pcols), tables)
+            for (src, cols, parent, pcols), tables in _by_check(FOREIGN_KEYS).items()
+        ]
     )
 
 
@@ -198,7 +245,10 @@ def dq_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VARCHAR(n) violations: values longer than n characters."""
     s = season(spark, sf_dir)
     return quality.union_reports(
-        [quality.max_length(_frame(s, r.table), r.table, {r.columns[0]: r.arg}) for r in LENGTHS]
+        [
+            quality.max_length(_frame(s, src), src, {r.columns[0]: r.arg for r in rs}, [r.table for r in rs])
+            for src, rs in _by_source(LENGTHS).items()
+        ]
     )
 
 
@@ -215,7 +265,10 @@ def dq_numeric_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NUMERIC(p, s) violations: values that would not fit the declared type."""
     s = season(spark, sf_dir)
     return quality.union_reports(
-        [quality.numeric_range(_frame(s, r.table), r.table, {r.columns[0]: r.arg}) for r in NUMERIC_TYPES]
+        [
+            quality.numeric_range(_frame(s, src), src, {r.columns[0]: r.arg for r in rs}, [r.table for r in rs])
+            for src, rs in _by_source(NUMERIC_TYPES).items()
+        ]
     )
 
 
@@ -428,19 +481,32 @@ def coerce_decimal_comma_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(loaded.withColumn("npxg_xag", F.col("npxg") + F.col("xag")))
 
 
-def _model_tables(s: Season) -> dict[str, DataFrame]:
+def _model_tables(s: Season, stats: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The eight tables of the model; facts are projections of ``stats`` (staged when given)."""
+    st = s.stats if stats is None else stats
     return {
         "equipe": s.equipe,
         "position": s.position,
         "joueur": s.joueur,
-        "temps_de_jeu": s.temps_de_jeu,
-        "performance": s.performance,
-        "attendu": s.attendu,
-        "progression": s.progression,
+        "temps_de_jeu": st.select("id_joueur", *TEMPS_DE_JEU),
+        "performance": st.select("id_joueur", *PERFORMANCE_COLUMNS, "buts_plus_passes"),
+        "attendu": st.select("id_joueur", *ATTENDU_COLUMNS, "npxg_xag"),
+        "progression": st.select("id_joueur", *PROGRESSION),
         "salaire_source": s.salaire_source,
     }
 
 
+def load_season(spark: SparkSession, s: Season, root: str) -> dict[str, str]:
+    """Write the model under ``root`` (TRUNCATE + load); returns the table paths.
+
+    The fact aggregate is staged once and the four fact tables are written
+    from it, so ``lineitem`` is aggregated once per load, not once per fact.
+    """
+    staged = f"{root.rstrip('/')}/_staging_stats"
+    s.stats.write.mode("overwrite").parquet(staged)
+    return reload_tables(_model_tables(s, spark.read.parquet(staged)), root, LOAD_ORDER)
+
+
 _COUNTS_SQL = _union_sql([f"SELECT '{t}' AS table_name, count(*) AS nombre_lignes FROM {t}" for t in LOAD_ORDER])
 
 
@@ -449,9 +515,8 @@ def reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load every table twice (overwrite, dimensions first) and count what is stored."""
     s = season(spark, sf_dir)
     root = scratch_path(spark, "season")
-    tables = _model_tables(s)
-    reload_tables(tables, root, LOAD_ORDER)
-    paths = reload_tables(tables, root, LOAD_ORDER)
+    load_season(spark, s, root)
+    paths = load_season(spark, s, root)
     stored = read_tables(spark, paths)
     counts = [
         stored[t].agg(F.count(F.lit(1)).alias("nombre_lignes")).select(F.lit(t).alias("table_name"), "nombre_lignes")
