@@ -81,3 +81,14 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert set(entry.queries()) == set(QUERIES)
+
+
+def test_model_tables_have_the_declared_schemas(spark, smoke_dir):
+    from touchline.plans import season
+    from touchline.plans.load import _model_tables
+    from touchline.sources.schemas import TABLES, insert_into, shape
+
+    tables = _model_tables(season(spark, smoke_dir))
+    for name, schema in TABLES.items():
+        assert shape(tables[name].schema) == shape(schema), name
+        assert shape(insert_into(tables[name], schema).schema) == shape(schema)

@@ -94,9 +94,14 @@ def surrogate_key(df: DataFrame, order: Sequence[str], out_col: str, start: int
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
     offsets = offsets.select("__part", "__offset")
-    # One row per partition of ``numbered``: the partition count is the
-    # proven bound of this side, known without running a job.
-    if numbered.rdd.getNumPartitions() <= _MAX_BROADCAST_PARTITIONS:
+    # One row per partition of the range-partitioned sort: at most the
+    # configured shuffle partition count, a bound known without running a job.
+    conf = spark.conf
+    bound = max(
+        int(conf.get("spark.sql.shuffle.partitions", "200")),
+        int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or 0),
+    )
+    if bound <= _MAX_BROADCAST_PARTITIONS:
         offsets = F.broadcast(offsets)
     keyed = numbered.join(offsets, "__part").withColumn(
         out_col, F.col("__offset") + F.col("__pos") + F.lit(start)

@@ -510,6 +510,18 @@ def load_season(spark: SparkSession, s: Season, root: str) -> dict[str, str]:
 _COUNTS_SQL = _union_sql([f"SELECT '{t}' AS table_name, count(*) AS nombre_lignes FROM {t}" for t in LOAD_ORDER])
 
 
+@register("table_counts", _COUNTS_SQL)
+def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table of the model, the post-import check (one union of counts)."""
+    s = season(spark, sf_dir)
+    tables = _model_tables(s)
+    counts = [
+        tables[t].agg(F.count(F.lit(1)).alias("nombre_lignes")).select(F.lit(t).alias("table_name"), "nombre_lignes")
+        for t in LOAD_ORDER
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @register("reload_idempotent", _COUNTS_SQL)
 def reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load every table twice (overwrite, dimensions first) and count what is stored."""

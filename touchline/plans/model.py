@@ -284,7 +284,7 @@ _LOCK = threading.Lock()
 
 def season(spark: SparkSession, sf_dir: str) -> Season:
     """The memoised :class:`Season` of a data folder for this application."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), sf_dir.rstrip("/"))
     with _LOCK:
         if key not in _SEASONS:
             _SEASONS[key] = Season(spark, sf_dir)

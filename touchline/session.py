@@ -18,18 +18,33 @@ def checkpoint_root(spark: SparkSession) -> str:
     own chosen and recorded on the session; a cluster's setting is never
     replaced.
     """
-    root = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get(_CHECKPOINT_KEY, None) or _context_dir(spark)
     if not root:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="touchline-ckpt-"))
-        root = spark.sparkContext.getCheckpointDir()
+        root = tempfile.mkdtemp(prefix="touchline-ckpt-")
+        _set_context_dir(spark, root)
+        root = _context_dir(spark) or root
     return root
 
 
+def _context_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # a remote (Connect) session has no local context
+        return None
+
+
+def _set_context_dir(spark: SparkSession, root: str) -> None:
+    try:
+        spark.sparkContext.setCheckpointDir(root)
+    except Exception:  # Connect: the server's spark.checkpoint.dir applies
+        pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` usable and return its folder."""
     root = checkpoint_root(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if not _context_dir(spark):
+        _set_context_dir(spark, root)
     return root
 
 
