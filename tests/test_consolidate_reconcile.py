@@ -111,3 +111,32 @@ def test_reconcile_pass_one_is_never_overridden(spark):
     first = {r.src: r.id for r in one.collect() if r.id is not None}
     second = {r.src: r.id for r in two.collect()}
     assert all(second[k] == v for k, v in first.items())
+
+
+def test_lookup_join_splits_hot_keys(spark):
+    from touchline.operators.joins import lookup_join
+
+    big = spark.range(3000).select(
+        F.col("id").alias("row"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit(None))
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"),
+    )
+    lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "k string, v int")
+    plain = sorted(map(tuple, big.join(lookup, ["k"], "left").select("row", "k", "v").collect()))
+    split = lookup_join(big, lookup, ["k"], "left", min_rows=100)
+    assert sorted(map(tuple, split.select("row", "k", "v").collect())) == plain
+    inner = lookup_join(big, lookup, ["k"], "inner", min_rows=100)
+    assert inner.count() == big.join(lookup, ["k"]).count()
+    # The hot key's rows meet the lookup through a broadcast, not a shuffle.
+    assert "BroadcastHashJoin" in split._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reconcile_with_a_hot_name(spark):
+    src = spark.range(3000).select(
+        F.col("id").alias("src"),
+        F.when(F.col("id") % 3 == 0, F.lit("jean dupont")).otherwise(F.lit("lea martin")).alias("k_name"),
+        F.lit(30).alias("k_age"),
+    )
+    out = reconcile(src, _target(spark), [["k_name", "k_age"], ["k_name"]], "id", "id", hot_key_rows=100)
+    got = {(r.k_name, r.id, r.matched_pass, r.n_candidates): r.c for r in out.groupBy("k_name", "id", "matched_pass", "n_candidates").agg(F.count(F.lit(1)).alias("c")).collect()}
+    assert got == {("jean dupont", 10, 1, 2): 1000, ("lea martin", 13, 2, 1): 2000}

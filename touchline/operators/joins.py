@@ -1,7 +1,10 @@
-"""Join helpers: broadcast only a side whose size has been checked."""
+"""Join helpers: checked broadcasts and a hot-key-safe lookup join."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +13,12 @@ from pyspark.sql import functions as F
 # (sort-merge, or a runtime broadcast when the shuffled side turns out small).
 DIM_BROADCAST_MAX_ROWS = 100_000
 
+# A join key carried by at least this many rows of the probing side is
+# "hot": one task would have to stream all of them.  At most
+# HOT_KEYS_MAX_ROWS such keys are split off (their lookup rows are broadcast).
+HOT_KEY_MIN_ROWS = 1_000_000
+HOT_KEYS_MAX_ROWS = 100_000
+
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
@@ -23,3 +32,69 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast when its row count is within ``max_rows``."""
     return F.broadcast(df) if bounded_rows(df, max_rows) else df
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_MIN_ROWS) -> DataFrame:
+    """Non-NULL key values carried by at least ``min_rows`` rows (partial + final aggregation)."""
+    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return (
+        df.filter(not_null)
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .filter(F.col("__rows") >= min_rows)
+        .select(*keys)
+    )
+
+
+def lookup_join(
+    big: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    min_rows: int = HOT_KEY_MIN_ROWS,
+    max_hot_keys: int = HOT_KEYS_MAX_ROWS,
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """``big JOIN lookup USING (keys)`` where ``lookup`` has at most one row per key.
+
+    A shuffle join sends every row of a key to one task, so a key held by a
+    third of ``big`` would make one task do a third of the work.  Here:
+
+    * hot keys (at least ``min_rows`` rows in ``big``) are found first; once
+      their number is checked to be within ``max_hot_keys`` they are
+      broadcast, and the rows of ``big`` carrying them join the matching
+      lookup rows as a broadcast (those are at most one per hot key): no
+      shuffle, any number of tasks;
+    * the other rows take the ordinary shuffle join;
+    * rows with a NULL key part never match and skip the join, so they
+      cannot pile up in one task either.
+
+    ``how`` is ``"left"`` or ``"inner"``.  The hot-key check runs one
+    aggregation job when called; the hot keys are cached for the plan.
+    ``hot`` passes hot keys found beforehand (e.g. on the rows ``big`` was
+    derived from).
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+    keys = list(keys)
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    hot = (hot_keys(big, keys, min_rows) if hot is None else hot.select(*keys)).cache()
+    if not bounded_rows(hot, max_hot_keys):
+        # Too many heavy keys for one broadcast: the weight is spread over
+        # many keys, which the shuffle join already spreads over tasks.
+        hot.unpersist()
+        return big.join(lookup, keys, how)
+    hot = F.broadcast(hot)
+    keyed = big.filter(~any_null)
+    hot_rows = keyed.join(hot, keys, "left_semi")
+    cold_rows = keyed.join(hot, keys, "left_anti")
+    hot_lookup = F.broadcast(lookup.join(hot, keys, "left_semi"))
+    parts = [hot_rows.join(hot_lookup, keys, how), cold_rows.join(lookup, keys, how)]
+    if how == "left":
+        extra = [c for c in lookup.columns if c not in keys]
+        nulls = big.filter(any_null).select(
+            *big.columns, *[F.lit(None).cast(lookup.schema[c].dataType).alias(c) for c in extra]
+        )
+        parts.append(nulls)
+    columns = parts[0].columns
+    return reduce(lambda a, b: a.unionByName(b), [p.select(*columns) for p in parts])

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.operators.joins import HOT_KEY_MIN_ROWS, hot_keys, lookup_join
+
 
 def reconcile(
     source: DataFrame,
@@ -14,6 +16,7 @@ def reconcile(
     passes: Sequence[Sequence[str]],
     target_id: str,
     out_col: str,
+    hot_key_rows: int = HOT_KEY_MIN_ROWS,
 ) -> DataFrame:
     """Return ``source`` with ``out_col``, ``matched_pass`` and ``n_candidates``.
 
@@ -23,9 +26,11 @@ def reconcile(
     ``out_col`` keeps it (pass 0).  Unmatched rows keep a NULL id.
 
     The target is first reduced to one row per key (``MIN(id)``, count), so
-    each pass is a many-to-one left join: no candidate pairs are ever built,
-    and a key shared by a third of the source rows meets one target row
-    (AQE's skew-join split handles such a hot key on the source side).
+    each pass is a many-to-one left join: no candidate pairs are ever built.
+    A key value shared by at least ``hot_key_rows`` source rows (a name
+    carried by a third of the file) is split off and joined by broadcast
+    (:func:`touchline.operators.joins.lookup_join`), so no task receives
+    all of its rows.
     """
     out = source if out_col in source.columns else source.withColumn(out_col, F.lit(None).cast("long"))
     ids, counts = [], []
@@ -34,10 +39,8 @@ def reconcile(
         cand = target.groupBy(*keys).agg(
             F.min(target_id).alias(f"__id{i}"), F.count(F.lit(1)).alias(f"__n{i}")
         )
-        for k in keys:
-            cand = cand.withColumnRenamed(k, f"__k{i}_{k}")
-        cond = [out[k] == cand[f"__k{i}_{k}"] for k in keys]
-        out = out.join(cand, cond, "left").drop(*[f"__k{i}_{k}" for k in keys])
+        hot = hot_keys(source, keys, hot_key_rows)
+        out = lookup_join(out, cand, keys, "left", min_rows=hot_key_rows, hot=hot)
         ids.append(F.col(f"__id{i}"))
         counts.append(F.col(f"__n{i}"))
 
