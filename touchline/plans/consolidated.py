@@ -247,24 +247,30 @@ def c10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def consolidated_shortlist(s, by: str) -> DataFrame:
     """Candidates of the consolidated shortlist, one row per name.
 
-    ``by="id"``: salary rows linked to the view's reference id (every linked
-    salary row is joined, as in the source query).  ``by="name"``: the
-    lowest capped salary per source name, matched on the normalised full
-    name (name + club) of each consolidated row.
+    ``by="id"``: salary rows linked to the view's reference id.  Every
+    linked row counts, as in the source query, where a player with m salary
+    rows adds his goals m times; the rows are pre-aggregated per id (m and
+    the lowest salary) and the sums weighted by m, which gives the same
+    result without building the fan-out (a hot id cannot flood one task).
+    ``by="name"``: the lowest capped salary per source name, matched on the
+    normalised full name (name + club) of each consolidated row.
     """
     v = s.consolidated.filter(F.col("code_position").like(ATTACK_PATTERN)).join(s.equipe, "id_equipe")
     capped = s.salaire_source.filter(F.col("salaire_annuel") <= SALARY_CAP)
     if by == "id":
-        sal = capped.select(F.col("id_joueur").alias("id_joueur_reference"), "salaire_annuel")
+        sal = capped.groupBy(F.col("id_joueur").alias("id_joueur_reference")).agg(
+            F.count(F.lit(1)).alias("__copies"), F.min("salaire_annuel").alias("salaire_annuel")
+        )
         joined = v.join(sal, "id_joueur_reference")
     else:
         sal = capped.groupBy(match_key("nom_joueur").alias("__k")).agg(F.min("salaire_annuel").alias("salaire_annuel"))
         joined = v.withColumn("__k", match_key(F.concat_ws(" ", "nom_joueur", "nom_equipe"))).join(sal, "__k")
+        joined = joined.withColumn("__copies", F.lit(1).cast("long"))
     grouped = joined.groupBy("nom_joueur").agg(
         sorted_distinct_join("nom_equipe").alias("equipes"),
         ratio(F.min("salaire_annuel"), F.lit(SALARY_UNIT)).alias("salaire_millions_euros"),
-        F.sum("buts").alias("buts"),
-        F.sum("progression_passe").alias("prgp"),
+        F.sum(F.col("buts") * F.col("__copies")).alias("buts"),
+        F.sum(F.col("progression_passe") * F.col("__copies")).alias("prgp"),
     )
     return grouped.filter(F.col("buts") >= GOALS_MIN_SHORTLIST).withColumn(
         "ratio", floor_int(exact_div("prgp", F.nullif(F.col("buts"), F.lit(0))))
