@@ -140,3 +140,26 @@ def test_reconcile_with_a_hot_name(spark):
     out = reconcile(src, _target(spark), [["k_name", "k_age"], ["k_name"]], "id", "id", hot_key_rows=100)
     got = {(r.k_name, r.id, r.matched_pass, r.n_candidates): r.c for r in out.groupBy("k_name", "id", "matched_pass", "n_candidates").agg(F.count(F.lit(1)).alias("c")).collect()}
     assert got == {("jean dupont", 10, 1, 2): 1000, ("lea martin", 13, 2, 1): 2000}
+
+
+def test_lookup_join_without_hot_keys_is_a_plain_join(spark):
+    from touchline.operators.joins import lookup_join
+
+    big = spark.range(100).select(F.col("id").alias("row"), (F.col("id") % 10).alias("k"))
+    lookup = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    out = lookup_join(big, lookup, ["k"], "left", min_rows=1000)
+    assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, out.select("row", "v").collect())) == [(i, (i % 10) * 2) for i in range(100)]
+
+
+def test_lookup_join_null_flood_is_split(spark):
+    from touchline.operators.joins import lookup_join
+
+    big = spark.range(500).select(
+        F.col("id").alias("row"), F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.lit("a")).alias("k")
+    )
+    lookup = spark.createDataFrame([("a", 1)], "k string, v int")
+    out = lookup_join(big, lookup, ["k"], "left", min_rows=100)
+    got = {r.k: r.c for r in out.groupBy("k").agg(F.count("v").alias("c")).collect()}
+    assert got == {None: 0, "a": 250}
+    assert out.count() == 500

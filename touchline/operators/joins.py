@@ -35,11 +35,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) ->
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_MIN_ROWS) -> DataFrame:
-    """Non-NULL key values carried by at least ``min_rows`` rows (partial + final aggregation)."""
-    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    """Key values carried by at least ``min_rows`` rows (partial + final aggregation).
+
+    A NULL key counts too: a shuffle join would send all NULL-key rows to
+    one task as well.
+    """
     return (
-        df.filter(not_null)
-        .groupBy(*keys)
+        df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__rows"))
         .filter(F.col("__rows") >= min_rows)
         .select(*keys)
@@ -69,19 +71,21 @@ def lookup_join(
     * rows with a NULL key part never match and skip the join, so they
       cannot pile up in one task either.
 
-    ``how`` is ``"left"`` or ``"inner"``.  The hot-key check runs one
-    aggregation job when called; the hot keys are cached for the plan.
-    ``hot`` passes hot keys found beforehand (e.g. on the rows ``big`` was
-    derived from).
+    When no key is hot the plain shuffle join is planned.  ``how`` is
+    ``"left"`` or ``"inner"``.  The hot-key check runs one aggregation job
+    when called; the hot keys are cached for the plan.  ``hot`` passes hot
+    keys found beforehand (e.g. on the rows ``big`` was derived from).
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     keys = list(keys)
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     hot = (hot_keys(big, keys, min_rows) if hot is None else hot.select(*keys)).cache()
-    if not bounded_rows(hot, max_hot_keys):
-        # Too many heavy keys for one broadcast: the weight is spread over
-        # many keys, which the shuffle join already spreads over tasks.
+    n_hot = hot.limit(max_hot_keys + 1).count()
+    if n_hot == 0 or n_hot > max_hot_keys:
+        # No hot key: the shuffle join spreads the rows evenly.  More than
+        # max_hot_keys heavy keys: the weight is spread over many keys,
+        # which the shuffle join also spreads over tasks.
         hot.unpersist()
         return big.join(lookup, keys, how)
     hot = F.broadcast(hot)
