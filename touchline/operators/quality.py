@@ -54,10 +54,15 @@ def unique(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
 
 
 def _labelled(counts: DataFrame, kind: str, entries: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """One report row per (table label, constraint text, count column) from a one-row count frame."""
-    return union_reports(
-        [
-            counts.select(
+    """One report row per (table label, constraint text, count column) from a one-row count frame.
+
+    The rows are exploded out of the single aggregate row, so the counts
+    are computed in one pass (a union of one projection per count would be
+    pruned into one aggregation, and one scan, per constraint).
+    """
+    rows = F.array(
+        *[
+            F.struct(
                 F.lit(table).alias("table_name"),
                 F.lit(kind).alias("constraint_type"),
                 F.lit(text).alias("columns"),
@@ -66,6 +71,7 @@ def _labelled(counts: DataFrame, kind: str, entries: Sequence[tuple[str, str, st
             for table, text, col in entries
         ]
     )
+    return counts.select(F.explode(rows).alias("__r")).select("__r.*")
 
 
 def not_null(
