@@ -22,7 +22,21 @@ def sorted_distinct_join(c: Column | str, sep: str = ", ") -> Column:
     is bounded by the number of distinct values (a dimension), not by the
     number of rows in the group.
     """
-    return F.array_join(F.array_sort(F.collect_set(_col(c))), sep)
+    values = F.collect_set(_col(c))
+    # NULL, not '', when the group has no non-NULL value (as STRING_AGG).
+    return F.when(F.size(values) > 0, F.array_join(F.array_sort(values), sep))
+
+
+def full_name(*parts: Column | str) -> Column:
+    """Parts joined by a blank; NULL when any part is NULL (SQL ``a || ' ' || b``).
+
+    A missing part makes the whole name unknown, so it matches nothing.
+    """
+    cols = [_col(p) for p in parts]
+    out = [cols[0]]
+    for c in cols[1:]:
+        out += [F.lit(" "), c]
+    return F.concat(*out)
 
 
 def like_any(c: Column | str, pattern: str) -> Column:

@@ -70,9 +70,11 @@ _ROW_BITS = 33
 _MAX_BROADCAST_PARTITIONS = 1_000_000
 
 
-def surrogate_key(df: DataFrame, order: Sequence[str], out_col: str, start: int = 1) -> DataFrame:
+def surrogate_key(df: DataFrame, order: Sequence[str | Column], out_col: str, start: int = 1) -> DataFrame:
     """Dense keys ``start .. start+n-1`` following ``order`` (SERIAL / IDENTITY).
 
+    Column names sort ascending with NULLs last, as in SQL.
+
     Range-partitioned sort, then each row's position inside its partition
     plus the number of rows in all earlier partitions.  The numbered rows are
     checkpointed to reliable storage first so that both uses read the same
@@ -83,7 +85,8 @@ def surrogate_key(df: DataFrame, order: Sequence[str], out_col: str, start: int
     from touchline.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
-    numbered = df.orderBy(*order).withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    keys = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
+    numbered = df.orderBy(*keys).withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     numbered = numbered.withColumns(
         {
             "__part": F.shiftright(F.col("__mid"), _ROW_BITS),

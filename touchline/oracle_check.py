@@ -18,11 +18,16 @@ TABLES = (
 
 
 def duck(sf_dir: str):
+    """A DuckDB connection with a view per driver table present in ``sf_dir``."""
+    import os
+
     import duckdb
 
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
     return con
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.functions import exact_div, floor_int, match_key, mean, ratio, round2, sorted_distinct_join
+from touchline.functions import exact_div, floor_int, full_name, match_key, mean, ratio, round2, sorted_distinct_join
 from touchline.operators.ranking import asc, best_per_group, desc, ranked_shortlist, top_k
 from touchline.operators.shares import share_of_total
 from touchline.plans.model import (
@@ -264,7 +264,7 @@ def consolidated_shortlist(s, by: str) -> DataFrame:
         joined = v.join(sal, "id_joueur_reference")
     else:
         sal = capped.groupBy(match_key("nom_joueur").alias("__k")).agg(F.min("salaire_annuel").alias("salaire_annuel"))
-        joined = v.withColumn("__k", match_key(F.concat_ws(" ", "nom_joueur", "nom_equipe"))).join(sal, "__k")
+        joined = v.withColumn("__k", match_key(full_name("nom_joueur", "nom_equipe"))).join(sal, "__k")
         joined = joined.withColumn("__copies", F.lit(1).cast("long"))
     grouped = joined.groupBy("nom_joueur").agg(
         sorted_distinct_join("nom_equipe").alias("equipes"),

@@ -287,9 +287,10 @@ FROM performance p JOIN attendu a ON p.id_joueur = a.id_joueur
 def generated_columns_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored generated columns: goals + assists, npxG + xAG (recomputed at load)."""
     s = season(spark, sf_dir)
-    return conform(
-        s.stats.select("id_joueur", "buts", "passes_decisives", "buts_plus_passes", "npxg", "xag", "npxg_xag")
-    )
+    # performance JOIN attendu USING (id): both are one-row-per-id projections
+    # of the same aggregate, so the join keeps exactly its rows with an id.
+    both = s.stats.filter(F.col("id_joueur").isNotNull())
+    return conform(both.select("id_joueur", "buts", "passes_decisives", "buts_plus_passes", "npxg", "xag", "npxg_xag"))
 
 
 @register(
@@ -342,15 +343,18 @@ def _duplicates(s: Season) -> DataFrame:
     return s.joueur.select("id_joueur").join(refs, "id_joueur", "left_anti")
 
 
-_DUPLICATES_SQL = "duplicates AS (SELECT id_joueur FROM joueur WHERE id_joueur NOT IN (SELECT id_joueur_reference FROM v))"
+_DUPLICATES_SQL = (
+    "duplicates AS (SELECT id_joueur FROM joueur j "
+    "WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.id_joueur_reference = j.id_joueur))"
+)
 
 
 @register(
     "delete_cascade",
     f"""
 WITH {_DUPLICATES_SQL}
-SELECT CAST(id_joueur AS BIGINT) AS id_joueur, buts FROM performance
-WHERE id_joueur NOT IN (SELECT id_joueur FROM duplicates)
+SELECT CAST(id_joueur AS BIGINT) AS id_joueur, buts FROM performance p
+WHERE NOT EXISTS (SELECT 1 FROM duplicates d WHERE d.id_joueur = p.id_joueur)
 """,
 )
 def delete_cascade_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,9 +369,9 @@ def delete_cascade_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 WITH {_DUPLICATES_SQL}
 SELECT CAST(id_joueur_source AS BIGINT) AS id_joueur_source,
-       CAST(CASE WHEN id_joueur IN (SELECT id_joueur FROM duplicates) THEN NULL ELSE id_joueur END AS BIGINT)
-         AS id_joueur
-FROM salaire_source
+       CAST(CASE WHEN EXISTS (SELECT 1 FROM duplicates d WHERE d.id_joueur = s.id_joueur) THEN NULL
+                 ELSE s.id_joueur END AS BIGINT) AS id_joueur
+FROM salaire_source s
 """,
 )
 def delete_set_null_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -438,8 +442,10 @@ def reconcile_ambiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _performance_file(s: Season) -> DataFrame:
-    # Columns 3, 9 and 10 of the file: goals + assists, team id, team name.
-    return s.performance.join(s.joueur.select("id_joueur", "id_equipe"), "id_joueur").join(s.equipe, "id_equipe").select(
+    # Columns 3, 9 and 10 of the file: goals + assists, team id, team name
+    # (informational: a row whose player or team is unknown is still written).
+    teams = s.joueur.select("id_joueur", "id_equipe").join(s.equipe, "id_equipe", "left")
+    return s.performance.join(teams, "id_joueur", "left").select(
         "*", F.col("buts_plus_passes").alias("_f3"), F.col("id_equipe").alias("_f9"), F.col("nom_equipe").alias("_f10")
     )
 

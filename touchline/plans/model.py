@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.functions import exact_div, match_key
+from touchline.functions import exact_div, full_name, match_key
 from touchline.operators.consolidate import consolidate
 from touchline.operators.derive import generated_columns
 from touchline.operators.joins import DIM_BROADCAST_MAX_ROWS, bounded_rows
@@ -238,7 +238,7 @@ class Season:
         name = F.concat(
             F.lit("  "),
             F.when(key % 11 == 0, F.lit("X ")).otherwise(F.lit("")),
-            F.upper(F.concat_ws(" ", "p_name", "p_brand")),
+            F.upper(full_name("p_name", "p_brand")),
             F.lit(" "),
         )
         return part.select(
@@ -253,7 +253,7 @@ class Season:
         """Hub rows with their match keys: full name (name + club) and age."""
         return self.joueur.join(self.equipe, "id_equipe").select(
             "id_joueur",
-            match_key(F.concat_ws(" ", "nom_joueur", "nom_equipe")).alias("k_name"),
+            match_key(full_name("nom_joueur", "nom_equipe")).alias("k_name"),
             (F.lit(REFERENCE_YEAR) - F.col("annee_naissance")).alias("k_age"),
         )
 
