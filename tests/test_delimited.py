@@ -51,3 +51,10 @@ def test_write_then_load_round_trip(spark, tmp_path):
     assert "0,50" in text and text.startswith(BOM + "ID;Nom;Val")
     back = sorted(tuple(r) for r in load_delimited(spark, out, layout).collect())
     assert back == [(1, "Zoé", Decimal("0.50")), (2, None, None)]
+
+
+def test_comma_separated_variant(spark, tmp_path):
+    layout = [Field("id", "id", "int"), Field("team", "team")]
+    f = _write(tmp_path / "c.csv", "id,team\n1,Lens\n2,\n")
+    rows = sorted(tuple(r) for r in load_delimited(spark, f, layout, sep=",").collect())
+    assert rows == [(1, "Lens"), (2, None)]
