@@ -20,6 +20,7 @@ from __future__ import annotations
 import threading
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,12 +116,36 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 class Season:
-    """Lazily built DataFrames of the season model for one data folder."""
+    """Lazily built DataFrames of the season model for one data folder.
+
+    Three derived tables are the "loaded" model that every question reads:
+    the fact aggregate, the reconciled salary source and the consolidated
+    view.  They are persisted (memory, spilling to disk) the first time a
+    query computes them, as the source loads its tables once and then runs
+    its questions; the hub and the driver tables are read from the files so
+    that filters keep reaching the parquet scans.  A lost block is rebuilt
+    from its short lineage (one aggregation).  :meth:`release` frees them.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, keep: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.keep = keep
         self._tables: dict[str, DataFrame] = {}
+        self._kept: list[DataFrame] = []
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        if not self.keep:
+            return df
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self._kept.append(kept)
+        return kept
+
+    def release(self) -> None:
+        """Unpersist the loaded model tables."""
+        for df in self._kept:
+            df.unpersist()
+        self._kept.clear()
 
     def table(self, name: str) -> DataFrame:
         """A driver table (read lazily once; the plan is reused, not the data)."""
@@ -192,12 +217,14 @@ class Season:
             F.count_if(F.col("l_linestatus") == "O").alias("progression_course"),
         )
         agg = agg.withColumn("matchs_90", F.round(exact_div("minutes_jouees", F.lit(90)), 2).cast("decimal(12,2)"))
-        return generated_columns(
-            agg,
-            {
-                "buts_plus_passes": F.col("buts") + F.col("passes_decisives"),
-                "npxg_xag": (F.col("npxg") + F.col("xag")).cast(MONEY),
-            },
+        return self._keep(
+            generated_columns(
+                agg,
+                {
+                    "buts_plus_passes": F.col("buts") + F.col("passes_decisives"),
+                    "npxg_xag": (F.col("npxg") + F.col("xag")).cast(MONEY),
+                },
+            )
         )
 
     @cached_property
@@ -262,19 +289,21 @@ class Season:
         """The salary source with ``id_joueur`` set by name + age, then by name."""
         src = self.salaire_source_raw.withColumns({"k_name": match_key("nom_joueur"), "k_age": F.col("age")})
         linked = reconcile(src, self.match_target(), [["k_name", "k_age"], ["k_name"]], "id_joueur", "id_joueur")
-        return linked.drop("k_name", "k_age")
+        return self._keep(linked.drop("k_name", "k_age"))
 
     # -- consolidated view ----------------------------------------------------
     @cached_property
     def consolidated(self) -> DataFrame:
         """One row per (name, position, team): MIN(id) and sixteen sums."""
-        return consolidate(
-            self.joueur,
-            [self.stats],
-            CONSOLIDATION_KEYS,
-            CONSOLIDATED_MEASURES,
-            "id_joueur",
-            "id_joueur_reference",
+        return self._keep(
+            consolidate(
+                self.joueur,
+                [self.stats],
+                CONSOLIDATION_KEYS,
+                CONSOLIDATED_MEASURES,
+                "id_joueur",
+                "id_joueur_reference",
+            )
         )
 
 
@@ -282,10 +311,14 @@ _SEASONS: dict[tuple[str, str], Season] = {}
 _LOCK = threading.Lock()
 
 
-def season(spark: SparkSession, sf_dir: str) -> Season:
-    """The memoised :class:`Season` of a data folder for this application."""
+def season(spark: SparkSession, sf_dir: str, keep: bool = True) -> Season:
+    """The memoised :class:`Season` of a data folder for this application.
+
+    ``keep=False`` (on first use of a folder) plans every question from the
+    raw tables, without persisting the loaded model.
+    """
     key = (spark.conf.get("spark.app.id", None) or str(id(spark)), sf_dir.rstrip("/"))
     with _LOCK:
         if key not in _SEASONS:
-            _SEASONS[key] = Season(spark, sf_dir)
+            _SEASONS[key] = Season(spark, sf_dir, keep=keep)
         return _SEASONS[key]
