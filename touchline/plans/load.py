@@ -505,12 +505,16 @@ def _model_tables(s: Season, stats: DataFrame | None = None) -> dict[str, DataFr
 def load_season(spark: SparkSession, s: Season, root: str) -> dict[str, str]:
     """Write the model under ``root`` (TRUNCATE + load); returns the table paths.
 
-    The fact aggregate is staged once and the four fact tables are written
-    from it, so ``lineitem`` is aggregated once per load, not once per fact.
+    The four fact tables are written from one fact aggregate, so
+    ``lineitem`` is aggregated once per load, not once per fact: the
+    season's persisted aggregate, or a staged copy when it is not persisted.
     """
-    staged = f"{root.rstrip('/')}/_staging_stats"
-    s.stats.write.mode("overwrite").parquet(staged)
-    return reload_tables(_model_tables(s, spark.read.parquet(staged)), root, LOAD_ORDER)
+    stats = None
+    if not s.keep:
+        staged = f"{root.rstrip('/')}/_staging_stats"
+        s.stats.write.mode("overwrite").parquet(staged)
+        stats = spark.read.parquet(staged)
+    return reload_tables(_model_tables(s, stats), root, LOAD_ORDER)
 
 
 _COUNTS_SQL = _union_sql([f"SELECT '{t}' AS table_name, count(*) AS nombre_lignes FROM {t}" for t in LOAD_ORDER])
