@@ -163,3 +163,17 @@ def test_lookup_join_null_flood_is_split(spark):
     got = {r.k: r.c for r in out.groupBy("k").agg(F.count("v").alias("c")).collect()}
     assert got == {None: 0, "a": 250}
     assert out.count() == 500
+
+
+def test_hot_keys_by_level_matches_separate_aggregations(spark):
+    from touchline.operators.joins import hot_keys, hot_keys_by_level
+
+    df = spark.range(2000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("a")).otherwise(F.concat(F.lit("n"), (F.col("id") % 40).cast("string"))).alias("name"),
+        F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise((F.col("id") % 3).cast("int")).alias("age"),
+    )
+    levels = [["name", "age"], ["name"]]
+    together = hot_keys_by_level(df, levels, min_rows=40)
+    for level, got in zip(levels, together):
+        want = hot_keys(df, level, min_rows=40)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)

@@ -48,6 +48,29 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_MIN_ROW
     )
 
 
+def hot_keys_by_level(
+    df: DataFrame, levels: Sequence[Sequence[str]], min_rows: int = HOT_KEY_MIN_ROWS
+) -> list[DataFrame]:
+    """:func:`hot_keys` for several key sets in one aggregation (``GROUPING SETS``).
+
+    One scan and one shuffle of ``df`` serve every level; the result (hot
+    keys only, a bounded set) is cached so each level reads it.
+    """
+    cols = list(dict.fromkeys(k for level in levels for k in level))
+    found = (
+        df.groupingSets([list(level) for level in levels], *cols)
+        .agg(F.count(F.lit(1)).alias("__rows"), F.grouping_id().alias("__level"))
+        .filter(F.col("__rows") >= min_rows)
+        .cache()
+    )
+    out = []
+    for level in levels:
+        # grouping_id sets the bit of every column aggregated away at this level.
+        gid = sum(1 << (len(cols) - 1 - j) for j, c in enumerate(cols) if c not in level)
+        out.append(found.filter(F.col("__level") == gid).select(*level))
+    return out
+
+
 def lookup_join(
     big: DataFrame,
     lookup: DataFrame,

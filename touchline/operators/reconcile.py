@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators.joins import HOT_KEY_MIN_ROWS, hot_keys, lookup_join
+from touchline.operators.joins import HOT_KEY_MIN_ROWS, hot_keys_by_level, lookup_join
 
 
 def reconcile(
@@ -34,12 +34,13 @@ def reconcile(
     """
     out = source if out_col in source.columns else source.withColumn(out_col, F.lit(None).cast("long"))
     ids, counts = [], []
-    for i, keys in enumerate(passes, start=1):
+    # Hot keys of every pass from one aggregation of the source.
+    hot_by_pass = hot_keys_by_level(source, passes, hot_key_rows)
+    for i, (keys, hot) in enumerate(zip(passes, hot_by_pass), start=1):
         keys = list(keys)
         cand = target.groupBy(*keys).agg(
             F.min(target_id).alias(f"__id{i}"), F.count(F.lit(1)).alias(f"__n{i}")
         )
-        hot = hot_keys(source, keys, hot_key_rows)
         out = lookup_join(out, cand, keys, "left", min_rows=hot_key_rows, hot=hot)
         ids.append(F.col(f"__id{i}"))
         counts.append(F.col(f"__n{i}"))

@@ -5,7 +5,7 @@ Importing this package registers every recipe in
 :data:`touchline.plans.registry.ORACLE`.
 """
 
-from touchline.plans import compare, consolidated, load, raw  # noqa: F401  (registration)
+from touchline.plans import raw, consolidated, compare, load  # noqa: F401,I001  (registration order)
 from touchline.plans.model import Season, season
 from touchline.plans.registry import ORACLE, QUERIES
 
