@@ -11,8 +11,11 @@ from touchline.operators.shares import share_of_total
 from touchline.plans.model import (
     ATTACK_PATTERN,
     CONSOLIDATED_MEASURES,
+    CONSOLIDATED_LABEL,
     CONSOLIDATION_KEYS,
     GOALS_MIN_SHORTLIST,
+    RAW_LABEL_COMPARISONS,
+    RAW_LABEL_QUESTIONS,
     SALARY_CAP,
     SALARY_UNIT,
     conform,
@@ -39,33 +42,28 @@ def _counts(spark: SparkSession, sf_dir: str, raw_label: str) -> DataFrame:
     s = season(spark, sf_dir)
     raw = s.joueur.agg(F.count(F.lit(1)).alias("nombre_lignes")).select(F.lit(raw_label).alias("source"), "nombre_lignes")
     cons = s.consolidated.agg(F.count(F.lit(1)).alias("nombre_lignes")).select(
-        F.lit("joueurs consolidés").alias("source"), "nombre_lignes"
+        F.lit(CONSOLIDATED_LABEL).alias("source"), "nombre_lignes"
     )
     return raw.unionByName(cons)
 
 
-@register(
-    "c00",
-    """
-SELECT 'joueurs bruts' AS source, count(*) AS nombre_lignes FROM joueur
-UNION ALL SELECT 'joueurs consolidés', count(*) FROM v
-""",
-)
+def _counts_sql(raw_label: str) -> str:
+    return (
+        f"SELECT '{raw_label}' AS source, count(*) AS nombre_lignes FROM joueur\n"
+        f"UNION ALL SELECT '{CONSOLIDATED_LABEL}', count(*) FROM v"
+    )
+
+
+@register("c00", _counts_sql(RAW_LABEL_QUESTIONS))
 def c00(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count before / after consolidation."""
-    return _counts(spark, sf_dir, "joueurs bruts")
+    return _counts(spark, sf_dir, RAW_LABEL_QUESTIONS)
 
 
-@register(
-    "d00",
-    """
-SELECT 'joueur brut' AS source, count(*) AS nombre_lignes FROM joueur
-UNION ALL SELECT 'joueurs consolidés', count(*) FROM v
-""",
-)
+@register("d00", _counts_sql(RAW_LABEL_COMPARISONS))
 def d00(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count control of the comparison script."""
-    return _counts(spark, sf_dir, "joueur brut")
+    return _counts(spark, sf_dir, RAW_LABEL_COMPARISONS)
 
 
 @register(

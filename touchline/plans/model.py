@@ -51,6 +51,14 @@ NINETIES_RANGE = (5, 10)
 GOALS_MIN_LIMITED = 3
 MINUTES_MIN = 700
 # ---------------------------------------------------------------------------
+# Labels printed by the row-count controls, in their order.
+#   per table:      Joueurs, Équipes, Performances, Temps de jeu, Attendu, Progression
+#   before/after:   joueurs bruts (questions), joueur brut (comparisons), joueurs consolidés
+ROW_COUNT_LABELS = ("Joueurs", "Équipes", "Performances", "Temps de jeu", "Attendu", "Progression")
+RAW_LABEL_QUESTIONS = "joueurs bruts"
+RAW_LABEL_COMPARISONS = "joueur brut"
+CONSOLIDATED_LABEL = "joueurs consolidés"
+# ---------------------------------------------------------------------------
 
 PERFORMANCE = [
     "buts",
