@@ -51,3 +51,13 @@ def test_sorted_distinct_join(spark):
     df = spark.createDataFrame([("a", "Nice"), ("a", "Brest"), ("a", "Nice"), ("b", "Lens")], "k string, t string")
     out = {r.k: r.t for r in df.groupBy("k").agg(sorted_distinct_join("t").alias("t")).collect()}
     assert out == {"a": "Brest, Nice", "b": "Lens"}
+
+
+def test_scale_conf_sizes_partitions():
+    from touchline.session import scale_conf
+
+    big = scale_conf(100 * 1024**4, total_cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600  # 100 TiB / 256 MiB
+    small = scale_conf(10 * 1024**2, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16  # at least two waves of task slots
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -71,3 +71,32 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
+
+
+def scale_conf(
+    input_bytes: int,
+    total_cores: int,
+    shuffle_ratio: float = 1.0,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+) -> dict[str, str]:
+    """Session settings sized for an input of ``input_bytes`` on ``total_cores`` task slots.
+
+    ``shuffle_ratio`` is the shuffled bytes per input byte of the largest
+    stage (the per-part aggregation of ``lineitem`` shuffles about its own
+    size, since part keys are spread over all files).  Shuffle partitions
+    are sized so each holds about ``target_partition_bytes`` before AQE
+    coalesces small ones, never fewer than twice the task slots; file
+    splits of the same size keep scan tasks within memory; skew-join and
+    partition coalescing stay on.
+    """
+    shuffle_bytes = int(input_bytes * shuffle_ratio)
+    partitions = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
