@@ -114,13 +114,15 @@ def conform(df: DataFrame) -> DataFrame:
     """
     out = []
     for f in df.schema.fields:
+        name = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, T.DecimalType):
-            out.append(F.col(f.name).cast("double").alias(f.name))
+            out.append(f"CAST({name} AS DOUBLE) AS {name}")
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            out.append(F.col(f.name).cast("long").alias(f.name))
+            out.append(f"CAST({name} AS BIGINT) AS {name}")
         else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+            out.append(name)
+    # One expression list, one call into the JVM.
+    return df.selectExpr(*out)
 
 
 class Season:
