@@ -58,3 +58,12 @@ def test_comma_separated_variant(spark, tmp_path):
     f = _write(tmp_path / "c.csv", "id,team\n1,Lens\n2,\n")
     rows = sorted(tuple(r) for r in load_delimited(spark, f, layout, sep=",").collect())
     assert rows == [(1, "Lens"), (2, None)]
+
+
+def test_export_all_writes_each_result(spark, smoke_dir, tmp_path):
+    from touchline.export import export_all
+
+    paths = export_all(spark, smoke_dir, str(tmp_path / "out"), ["q01", "c00"])
+    back = spark.read.option("sep", ";").option("header", True).csv(paths["q01"])
+    assert back.count() == 25 and set(back.columns) == {"nom_equipe", "total_buts"}
+    assert spark.read.option("sep", ";").option("header", True).csv(paths["c00"]).count() == 2
