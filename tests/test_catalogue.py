@@ -92,3 +92,16 @@ def test_model_tables_have_the_declared_schemas(spark, smoke_dir):
     for name, schema in TABLES.items():
         assert shape(tables[name].schema) == shape(schema), name
         assert shape(insert_into(tables[name], schema).schema) == shape(schema)
+
+
+def test_persisted_model_gives_the_cold_results(spark, smoke_dir):
+    from touchline.plans import season
+
+    cold_dir = smoke_dir.replace("/sf0.001", "/./sf0.001")  # same files, separate model
+    season(spark, cold_dir, keep=False)
+    keys = ["q01", "q08", "q11", "q14", "consolidate", "c06", "c11", "d03", "d10", "d11",
+            "dq_check", "dq_foreign_key", "reconcile", "delete_set_null", "apply_corrections"]
+    for key in keys:
+        warm = sorted(map(tuple, QUERIES[key](spark, smoke_dir).collect()), key=str)
+        cold = sorted(map(tuple, QUERIES[key](spark, cold_dir).collect()), key=str)
+        assert warm == cold, key
