@@ -65,6 +65,9 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
+        # Python call-site capture for error messages: one JVM round trip per
+        # column expression while a plan is built; off for batch runs.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TOUCHLINE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
@@ -99,4 +102,5 @@ def scale_conf(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
