@@ -164,24 +164,37 @@ class Season:
         return self._tables[name]
 
     # -- dimensions ---------------------------------------------------------
+    @cached_property
+    def _dim_values(self) -> DataFrame:
+        """Distinct brands and distinct types of ``part`` in one aggregation (GROUPING SETS).
+
+        Both dimensions come from one scan and one shuffle; the result (a row
+        per brand and per type) is cached.
+        """
+        part = self.table("part")
+        return (
+            part.groupingSets([["p_brand"], ["p_type"]], "p_brand", "p_type")
+            .agg(F.grouping_id().alias("__level"))
+            .cache()
+        )
+
     def _dim(self, df: DataFrame) -> DataFrame:
-        # A dimension is distinct values of a low-cardinality column; it is
-        # cached, and broadcast only after its row count is checked.
-        df = df.cache()
+        # A dimension is the distinct values of a low-cardinality column;
+        # it is broadcast only after its row count is checked.
         return F.broadcast(df) if bounded_rows(df, DIM_BROADCAST_MAX_ROWS) else df
 
     @cached_property
     def equipe(self) -> DataFrame:
-        part = self.table("part")
+        brands = self._dim_values.filter(F.col("__level") == 1)  # p_type aggregated away
         return self._dim(
-            part.select(team_id(F.col("p_brand")).alias("id_equipe"), F.col("p_brand").alias("nom_equipe")).distinct()
+            brands.select(team_id(F.col("p_brand")).alias("id_equipe"), F.col("p_brand").alias("nom_equipe"))
         )
 
     @cached_property
     def position(self) -> DataFrame:
-        part = self.table("part")
+        types = self._dim_values.filter(F.col("__level") == 2)  # p_brand aggregated away
         return self._dim(
-            part.select(F.col("p_type").alias("code_position"), F.lower("p_type").alias("libelle_position")).distinct()
+            types.select(F.col("p_type").alias("code_position"), F.lower("p_type").alias("libelle_position"))
         )
 
     # -- hub ----------------------------------------------------------------
