@@ -18,12 +18,26 @@ BRANDS = ["Brand#1", "Brand#2", "Brand#3", "Brand#4"]
 TYPES = ["PROMO", "SMALL", "LARGE", "ECONOMY PROMO"]
 
 
+_REVERSE = {"on": False}
+
+
 def _write(path: str, name: str, columns: dict, types: dict) -> None:
+    if _REVERSE["on"]:
+        columns = {k: list(reversed(v)) for k, v in columns.items()}
     table = pa.table({k: pa.array(v, type=types[k]) for k, v in columns.items()})
     pq.write_table(table, f"{path}/{name}.parquet")
 
 
-def write_edge_tables(path: str, seed: int = 7) -> None:
+def write_edge_tables(path: str, seed: int = 7, reverse_rows: bool = False) -> None:
+    """Write the tables; ``reverse_rows`` stores the same rows in the opposite order."""
+    _REVERSE["on"] = reverse_rows
+    try:
+        _write_all(path, seed)
+    finally:
+        _REVERSE["on"] = False
+
+
+def _write_all(path: str, seed: int) -> None:
     rnd = random.Random(seed)
     # -- part: duplicates by (name, brand, type), NULLs in every descriptive column
     part = {k: [] for k in ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")}
