@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from touchline.functions import exact_div, full_name, match_key
 from touchline.operators.consolidate import consolidate
 from touchline.operators.derive import generated_columns
-from touchline.operators.joins import DIM_BROADCAST_MAX_ROWS, bounded_rows
+from touchline.operators.joins import DIM_BROADCAST_MAX_ROWS, HOT_KEY_MIN_ROWS, bounded_rows
 from touchline.operators.reconcile import reconcile
 
 # ---------------------------------------------------------------------------
@@ -137,10 +137,13 @@ class Season:
     from its short lineage (one aggregation).  :meth:`release` frees them.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, keep: bool = True):
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, keep: bool = True, hot_key_rows: int = HOT_KEY_MIN_ROWS
+    ):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.keep = keep
+        self.hot_key_rows = hot_key_rows
         self._tables: dict[str, DataFrame] = {}
         self._kept: list[DataFrame] = []
 
@@ -311,7 +314,10 @@ class Season:
     def salaire_source(self) -> DataFrame:
         """The salary source with ``id_joueur`` set by name + age, then by name."""
         src = self.salaire_source_raw.withColumns({"k_name": match_key("nom_joueur"), "k_age": F.col("age")})
-        linked = reconcile(src, self.match_target(), [["k_name", "k_age"], ["k_name"]], "id_joueur", "id_joueur")
+        linked = reconcile(
+            src, self.match_target(), [["k_name", "k_age"], ["k_name"]], "id_joueur", "id_joueur",
+            hot_key_rows=self.hot_key_rows,
+        )
         return self._keep(linked.drop("k_name", "k_age"))
 
     # -- consolidated view ----------------------------------------------------
@@ -334,14 +340,17 @@ _SEASONS: dict[tuple[str, str], Season] = {}
 _LOCK = threading.Lock()
 
 
-def season(spark: SparkSession, sf_dir: str, keep: bool = True) -> Season:
+def season(
+    spark: SparkSession, sf_dir: str, keep: bool = True, hot_key_rows: int = HOT_KEY_MIN_ROWS
+) -> Season:
     """The memoised :class:`Season` of a data folder for this application.
 
-    ``keep=False`` (on first use of a folder) plans every question from the
-    raw tables, without persisting the loaded model.
+    On first use of a folder, ``keep=False`` plans every question from the
+    raw tables without persisting the loaded model, and ``hot_key_rows``
+    sets the row count from which a matching key is split off as hot.
     """
     key = (spark.conf.get("spark.app.id", None) or str(id(spark)), sf_dir.rstrip("/"))
     with _LOCK:
         if key not in _SEASONS:
-            _SEASONS[key] = Season(spark, sf_dir, keep=keep)
+            _SEASONS[key] = Season(spark, sf_dir, keep=keep, hot_key_rows=hot_key_rows)
         return _SEASONS[key]
