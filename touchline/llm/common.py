@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 import numpy as np
@@ -32,6 +34,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def worker_store() -> dict:
+    """A dict that lives as long as the Python worker (functions are unpickled anew for each task)."""
+    holder = sys.modules.setdefault("_touchline_worker_store", types.ModuleType("_touchline_worker_store"))
+    return holder.__dict__.setdefault("kept", {})
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

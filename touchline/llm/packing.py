@@ -23,6 +23,7 @@ empty result.  Other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from touchline.llm.common import saved, shuffle_parts
+from touchline.llm.common import saved, shuffle_parts, worker_store
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, slot int"
 PIECES_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("slot", pa.int32())])
@@ -40,39 +41,65 @@ PLACED_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start
 
 
 class ChunkEncoder:
-    """Token ids of texts; every distinct blank-separated chunk is encoded once.
+    """Token ids of texts; every distinct blank-separated chunk is encoded once per worker.
 
     The tokenizer's pre-tokenizer drops white space and no token spans it, so a
-    text's ids are those of its chunks in order.  The store of chunks is
-    emptied beyond ``most`` entries (a memory bound, not a limit on texts).
+    text's ids are those of its chunks in order; letters and one closing mark
+    are separate pre-tokens, and ASCII letters are lower-cased by its
+    normalizer, so such chunks share their word's ids.  The store is emptied
+    beyond ``most`` chunks (a memory bound, not a limit on texts).
     """
 
-    def __init__(self, tokenizer, most: int = 400_000) -> None:
+    def __init__(self, tokenizer, most: int = 700_000) -> None:
         self.tokenizer, self.most = tokenizer, most
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.start, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.ids, self.used = np.zeros(4096, np.uint32), 0
+        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
 
-    def _learn(self, chunks: list[str]) -> None:
-        if not chunks:
-            return
+    def _put(self, chunk: str, ids: np.ndarray) -> None:
         at = len(self.number)
-        need = at + len(chunks)
-        if need > len(self.start):
-            self.start, self.length = np.resize(self.start, 2 * need), np.resize(self.length, 2 * need)
-        for encoding in self.tokenizer.encode_batch(chunks, add_special_tokens=False):
-            ids = encoding.ids
-            if self.used + len(ids) > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.start[at], self.length[at] = self.used, len(ids)
-            self.used += len(ids)
-            at += 1
-        for k, c in enumerate(chunks):
-            self.number[c] = at - len(chunks) + k
+        if at == len(self.start):
+            self.start, self.length = np.resize(self.start, 2 * at), np.resize(self.length, 2 * at)
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.start[at], self.length[at] = self.used, len(ids)
+        self.used += len(ids)
+        self.number[chunk] = at
+
+    def _of(self, chunk: str) -> np.ndarray:
+        at = self.number[chunk]
+        return self.ids[self.start[at] : self.start[at] + self.length[at]]
+
+    def _encode(self, chunks: list[str]) -> None:
+        """Encode many chunks in few calls: joined by blanks, cut by the tokens' offsets."""
+        for lo in range(0, len(chunks), 2000):
+            part = chunks[lo : lo + 2000]
+            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(got.ids, np.uint32)
+            starts = np.cumsum([0] + [len(c) + 1 for c in part])
+            cut = np.searchsorted(np.array([a for a, _ in got.offsets], np.int64), starts)
+            for k, c in enumerate(part):
+                self._put(c, ids[cut[k] : cut[k + 1]])
+
+    @staticmethod
+    def _parts(chunk: str) -> tuple[str, ...]:
+        low = chunk.lower() if chunk.isascii() else chunk
+        if low[-1:] in (".", ",", ";", ":", "!", "?") and low[:-1].isalpha():
+            return low[:-1], low[-1]
+        return (low,)
+
+    def _learn(self, chunks: list[str]) -> None:
+        if "" not in self.number:
+            self._put("", np.zeros(0, np.uint32))
+        parts = {c: self._parts(c) for c in chunks if c}
+        self._encode(list(dict.fromkeys(p for ps in parts.values() for p in ps if p not in self.number)))
+        for c, ps in parts.items():
+            if c not in self.number:
+                self._put(c, np.concatenate([self._of(p) for p in ps]))
 
     def encode(self, text: str) -> np.ndarray:
         if len(self.number) > self.most:
@@ -89,6 +116,17 @@ class ChunkEncoder:
         first = np.cumsum(n) - n
         return self.ids[np.repeat(self.start[at] - first, n) + np.arange(total)]
 
+    def learn_all(self, texts) -> None:
+        """Encode the unknown chunks of many texts together (fewer, larger tokenizer calls)."""
+        if len(self.number) > self.most:
+            self.clear()
+        number, new = self.number, {}
+        for text in texts:
+            for c in text.replace("\n", " ").split(" "):
+                if c not in number:
+                    new[c] = None
+        self._learn(list(new))
+
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1, slots: int = 64) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, crc of its ids (and a slot that spreads equal lengths)."""
@@ -96,15 +134,21 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: i
     def run(batches):
         from tokenizers import Tokenizer
 
-        encoder = ChunkEncoder(Tokenizer.from_file(tokenizer_path))
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        kept = worker_store()
+        if tokenizer_path not in kept:
+            kept[tokenizer_path] = ChunkEncoder(Tokenizer.from_file(tokenizer_path))
+        encoder = kept[tokenizer_path]
         for batch in batches:
             out = [[], [], [], [], [], []]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for k, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
+                if k % 256 == 0:
+                    encoder.learn_all(t or "" for t in batch.column(1)[k : k + 256].to_pylist())
                 ids = np.append(encoder.encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
-                for k, lo in enumerate(range(0, len(ids), capacity)):
+                for piece, lo in enumerate(range(0, len(ids), capacity)):
                     part = ids[lo : lo + capacity]
                     crc = zlib.crc32(part.tobytes())
-                    for col, v in zip(out, (doc, k, lo, len(part), crc, (crc ^ (doc or 0)) % slots), strict=True):
+                    for col, v in zip(out, (doc, piece, lo, len(part), crc, (crc ^ (doc or 0)) % slots), strict=True):
                         col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, PIECES_ARROW, strict=True)], schema=PIECES_ARROW)
 
