@@ -206,25 +206,31 @@ def rows_batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
 
-def repeated_entries(rows: pa.Table) -> pa.Table:
-    """A bucket's answer: for each block, the refs of keys that occur at least twice; block rows pass on."""
-    blocks, kinds, blobs = rows["block"].to_pylist(), rows["kind"].to_pylist(), rows["payload"].to_pylist()
-    out = [(b, k, x) for b, k, x in zip(blocks, kinds, blobs, strict=True) if k != KEYS]
-    mine = [(b, unplanes(x)) for b, k, x in zip(blocks, kinds, blobs, strict=True) if k == KEYS]
-    if mine:
-        keys = np.concatenate([x[0] for _, x in mine])
-        order = np.argsort(keys, kind="stable")
-        same = keys[order[1:]] == keys[order[:-1]]
-        again = np.zeros(len(keys), bool)
-        again[order[1:]] |= same
-        again[order[:-1]] |= same
-        at = 0
-        for b, x in mine:
-            hit = again[at : at + len(x[0])]
-            at += len(x[0])
-            if hit.any():
-                out.append((b, KEYS, planes(np.sort(x[1][hit]))))
-    return pa.Table.from_batches([rows_batch(out, ANSWER_ARROW)])
+def repeated_entries(hot: int):
+    """A bucket's answer to each block: the refs of keys that occur at least twice, and whether ``hot`` times or more."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        cells = list(zip(rows["block"].to_pylist(), rows["kind"].to_pylist(), rows["payload"].to_pylist(), strict=True))
+        out = [c for c in cells if c[1] != KEYS]  # block rows pass on
+        mine = [(b, unplanes(x)) for b, k, x in cells if k == KEYS]
+        if mine:
+            keys = np.concatenate([x[0] for _, x in mine])
+            order = np.argsort(keys, kind="stable")
+            ranked = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+            size = np.diff(np.append(first, len(keys)))
+            count = np.empty(len(keys), np.int64)
+            count[order] = np.repeat(size, size)
+            at = 0
+            for b, x in mine:
+                n = count[at : at + len(x[0])]
+                at += len(x[0])
+                hit = n > 1
+                if hit.any():
+                    out.append((b, KEYS, planes(x[1][hit], (n[hit] >= hot).astype(U64))))
+        return pa.Table.from_batches([rows_batch(out, ANSWER_ARROW)])
+
+    return run
 
 
 def block_row(block: int, buckets: int, doc_ids, ids: np.ndarray, starts: np.ndarray):

@@ -1,10 +1,13 @@
 """Toxicity scores by the nearest labelled examples under exact TF-IDF cosine.
 
 Fit (bounded): at most ``examples`` labelled rows in hash order (documented
-parameter; rows of the held-out fold never take part).  Terms are the
+parameter; rows of the held-out fold never take part), of which groups of near
+copies (equal smallest hash of three-word sequences, equal label) give one, so
+that a much-copied text does not speak for its words.  Terms are the
 lower-cased words without punctuation and the first four letters of longer
 words; the vocabulary is the ``terms`` terms whose presence depends most on the
-label (chi-square at least ``chi2``).  Document frequencies are counted over
+label (chi-square at least ``chi2``, and a label rate ``lift`` times above or
+below the usual).  Document frequencies are counted over
 *all* documents.  The examples' TF-IDF vectors go into an inverted index whose
 postings are cut into blocks with their largest weight.
 
@@ -12,7 +15,7 @@ Score: the ``k`` examples of largest cosine, found exactly: blocks are visited
 by falling upper bound (the sum of the query terms' block maxima) until no
 block can still reach the k-th best; ties go to the smaller example number.
 Neighbours vote with weight 1 / (1.05 - cosine); the vote is calibrated by an
-isotonic map fitted to the examples' leave-one-out votes.  A document without
+isotonic map fitted to leave-one-out votes of at most ``calibrate`` examples.  A document without
 any term of the vocabulary has no neighbours: its score is the share of toxic
 examples among such examples.
 
@@ -24,6 +27,7 @@ text column is read, so other columns cannot clash.
 """
 
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import saved
+from touchline.llm.common import saved, worker_store
 
 #: Stripped from both ends of a word (fixed value).
 PUNCTUATION = ".,;:!?\"'()[]{}<>*#$%&-_/\\…«»„“”¿¡"
@@ -48,12 +52,30 @@ def word_terms(word: str) -> tuple[str, ...]:
     return (bare, bare[:4] + "*") if len(bare) > 5 else (bare,)
 
 
+def smallest_sequence(texts: pd.Series) -> pd.Series:
+    """The smallest hash of a text's three-word sequences: near copies mostly share it."""
+    out = []
+    for text in texts:
+        w = (text or "").lower().split()
+        out.append(min((zlib.crc32(" ".join(w[i : i + 3]).encode()) for i in range(max(1, len(w) - 2))), default=0))
+    return pd.Series(out, dtype="int64")
+
+
 class TermCounter:
     """Counts of the vocabulary's terms in a text; each distinct chunk is analysed once (store bounded)."""
 
     def __init__(self, vocabulary: dict[str, int], most: int = 500_000) -> None:
         self.vocabulary, self.most = vocabulary, most
-        self.seen: dict[str, tuple[int, ...]] = {}
+        self.stems = {t[:-1] for t in vocabulary if t.endswith("*")}
+        kept = worker_store().setdefault("toxic-terms", {})  # one vocabulary at a time
+        if kept.get("vocabulary") != vocabulary:
+            kept.clear()
+            kept |= {"vocabulary": vocabulary, "seen": {}}
+        self.seen: dict[str, tuple[int, ...]] = kept["seen"]
+
+    def may_hold(self, word: str) -> bool:
+        """Whether a chunk can have a term of the vocabulary (cheap, and never wrongly false)."""
+        return word in self.vocabulary or word[:4] in self.stems or not word[-1].isalpha() or not word[0].isalpha()
 
     def __call__(self, text: str | None) -> dict[int, int]:
         if not text:
@@ -67,7 +89,7 @@ class TermCounter:
         except KeyError:
             for w in set(words):
                 if w not in seen:
-                    seen[w] = tuple(vocabulary[t] for t in word_terms(w) if t in vocabulary)
+                    seen[w] = tuple(vocabulary[t] for t in word_terms(w) if t in vocabulary) if self.may_hold(w) else ()
             found = [t for t in map(seen.__getitem__, words) if t]
         return Counter(x for t in found for x in t)
 
@@ -96,9 +118,7 @@ class BlockMaxIndex:
             w = np.array([r[1] for r in rows])
             block = ids // BLOCK
             first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-            last = np.append(first[1:], len(ids))
-            spans = {int(b): (int(lo), int(hi)) for b, lo, hi in zip(block[first], first, last, strict=True)}
-            self.terms[t] = (ids, w, block[first], np.maximum.reduceat(w, first), spans)
+            self.terms[t] = (ids, w, block[first], np.maximum.reduceat(w, first), np.append(first, len(ids)))
 
     def nearest(self, terms: tuple[int, ...], weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
         """The k best (cosine, example), largest first, ties to the smaller number; exact."""
@@ -106,19 +126,37 @@ class BlockMaxIndex:
         bound = np.zeros(self.blocks)
         for (_, _, blocks, most, _), w in mine:
             bound[blocks] += w * most
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) == k and bound[b] < best[-1][0] - 1e-9):
-                break
-            scores = np.zeros(BLOCK)
-            for (ids, w, _, _, spans), q in mine:
-                if (span := spans.get(int(b))) is not None:
-                    scores[ids[span[0] : span[1]] - b * BLOCK] += q * w[span[0] : span[1]]
-            for j in np.flatnonzero(scores > 0):
-                if (i := int(b) * BLOCK + int(j)) != without:
-                    best.append((round(float(scores[j]), 9), i))
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-        return best
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        best_ids, best = np.zeros(0, np.int64), np.zeros(0)
+        at, step = 0, 4
+        while at < len(order):
+            todo = order[at : at + step]
+            if len(best) == k:  # blocks that cannot reach the k-th best, or only tie with larger numbers
+                floor, last = best[-1], best_ids[-1]
+                if bound[todo[0]] < floor - 1e-9:
+                    break
+                todo = todo[(bound[todo] > floor + 1e-9) | ((bound[todo] >= floor - 1e-9) & (todo * BLOCK < last))]
+            at, step = at + step, 2 * step
+            if not len(todo):
+                continue
+            todo = np.sort(todo)
+            scores = np.zeros(len(todo) * BLOCK)
+            for (ids, w, blocks, _, first), q in mine:
+                spot = np.searchsorted(blocks, todo)
+                hit = np.flatnonzero((spot < len(blocks)) & (blocks[np.minimum(spot, len(blocks) - 1)] == todo))
+                if len(hit):
+                    lo, n = first[spot[hit]], first[spot[hit] + 1] - first[spot[hit]]
+                    e = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                    scores[np.repeat(hit * BLOCK, n) + ids[e] - np.repeat(todo[hit] * BLOCK, n)] += q * w[e]
+            found = np.flatnonzero(scores > 0)
+            ids = todo[found // BLOCK] * BLOCK + found % BLOCK
+            keep = ids != without
+            best_ids = np.concatenate([best_ids, ids[keep]])
+            best = np.concatenate([best, np.round(scores[found[keep]], 9)])
+            rank = np.lexsort((best_ids, -best))[:k]
+            best_ids, best = best_ids[rank], best[rank]
+        return list(zip(best.tolist(), best_ids.tolist(), strict=True))
 
 
 def vote(best: list[tuple[float, int]], label: np.ndarray) -> float:
@@ -142,14 +180,15 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, terms: int = 1024, chi2: float = 25.0, k: int = 9) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, terms: int = 1024, chi2: float = 25.0, lift: float = 2.0, k: int = 9, calibrate: int = 2048) -> dict:
     """The model as plain values (bounded by the parameters)."""
     spark = docs.sparkSession
     usable = labels.filter("toxic is not null and doc_id is not null").filter(~held_out())
     usable = usable.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = usable.orderBy(F.xxhash64("id"), "id", "toxic").limit(examples)
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
-    sample = saved(sample.select("id", "toxic", "text").repartition(16), "toxic-sample")
+    sample = sample.select("id", "toxic", "text", F.pandas_udf(smallest_sequence, "long")("text").alias("near"))
+    sample = saved(sample.repartition(16, "near").dropDuplicates(["near", "toxic"]), "toxic-sample")
     total, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     model = {"vocabulary": {}, "names": [], "idf": np.zeros(0), "vectors": [], "label": np.zeros(0), "ids": [], "k": k, "prior": 0.0, "map": ([0.0], [0.0])}
     if not total:
@@ -167,6 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, terms: int =
     n, hit, p = F.col("n"), F.col("hit"), float(toxic) / total
     gain = (hit - n * p) * (hit - n * p) / (n * p * (1 - p) * (1 - n / float(total)) + 1e-9) if 0 < p < 1 else F.lit(0.0)
     best = seen.filter("n >= 5").withColumn("gain", gain).filter(F.col("gain") >= chi2)
+    best = best.filter((hit >= n * (p * lift)) | (hit <= n * (p / lift)))
     names = sorted(r["term"] for r in best.orderBy(F.desc("gain"), "term").limit(terms).collect())
     vocabulary = {t: i for i, t in enumerate(names)}
 
@@ -195,7 +235,8 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, terms: int =
     some = [(weigh(dict(zip(r["t"], r["c"], strict=True)), idf), r["id"], r["toxic"]) for r in _ordered(rows.filter("size(t) > 0").collect())]
     vecs, label = [s[0] for s in some], np.array([float(s[2]) for s in some])
     index = BlockMaxIndex(vecs)
-    votes = [(vote(near, label), int(label[i])) for i, v in enumerate(vecs) if (near := index.nearest(*v, k, without=i))]
+    some_rows = np.unique(np.linspace(0, max(len(vecs) - 1, 0), min(calibrate, len(vecs))).astype(int)).tolist()
+    votes = [(vote(near, label), int(label[i])) for i, v in ((i, vecs[i]) for i in some_rows) if (near := index.nearest(*v, k, without=i))]
     curve = isotonic([v for v, _ in votes], [y for _, y in votes]) if votes else ([0.0], [0.0])
     return model | {"vocabulary": vocabulary, "names": names, "idf": idf, "vectors": vecs, "label": label, "ids": [s[1] for s in some], "prior": (float(zero[1]) + 0.05) / (zero[0] + 0.1), "map": curve}
 
