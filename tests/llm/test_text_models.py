@@ -92,17 +92,17 @@ def test_messages_give_exact_marginals(model):
     n, table = len(page.parent), model["node"]
     phi = []
     for i in range(n):
-        p = np.ones(3)
+        p = np.ones(4)
         for f in page.features[i]:
-            p = p * np.array(table.get(f, [1, 1, 1]))
+            p = p * np.array(table.get(f, [1, 1, 1, 1]))
         if page.tag[i] == "#text":
             p[0] = 0
         elif i and len(page.features[i]) == 1:
             p = p * np.array(table["g:none"])
         phi.append(p)
     total, hit = 0.0, np.zeros(n)
-    for code in range(3 ** (n - 1)):
-        y = [0] + [code // 3**k % 3 for k in range(n - 1)]
+    for code in range(4 ** (n - 1)):
+        y = [0] + [code // 4**k % 4 for k in range(n - 1)]
         w = np.prod([model["edge"][y[page.parent[i]]][y[i]] * phi[i][y[i]] for i in range(1, n)])
         total += w
         hit += w * (np.array(y) == 1)

@@ -2,7 +2,8 @@
 
 A page becomes a tree: its elements, and below them one leaf for each run of
 inline text of a block.  Every node has a hidden label: structure (wraps
-content and other things), content, or boilerplate.  Node potentials are
+content and other things), content, chrome (menus, footers, forms), or prose
+that is not content (comments, notices, adverts).  Node potentials are
 smoothed likelihoods of the node's features (tag, groups of class / id / role
 words, text length, link density, closing punctuation); edge potentials are
 the parent-child label probabilities.  Sum-product messages go upward from the
@@ -34,7 +35,10 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import rows_batch
 
-STRUCTURE, CONTENT, BOILERPLATE = 0, 1, 2
+STRUCTURE, CONTENT, CHROME, PROSE = 0, 1, 2, 3
+LABELS = 4
+#: Words of a leaf from which a boilerplate region counts as prose.
+PROSE_WORDS = 12
 # Tag classes of HTML, and words of class, id and role attributes by what they mark.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp svg math select object canvas audio video".split())
@@ -219,24 +223,27 @@ def filled_layouts(texts: list[str], turns: int = 6, seed: int = 5) -> list[str]
 def region_labels(page: Page, marked: bool) -> list[int] | None:
     """Labels of a page's nodes from its marks (layouts) or its article / main element (sample pages)."""
     n = len(page.parent)
-    label = [BOILERPLATE] * n
+    label = [CHROME] * n
+    region = list(range(n))  # the topmost node of the same kind
     for i in range(1, n):
-        label[i] = label[page.parent[i]] if label[page.parent[i]] == CONTENT else BOILERPLATE
+        p = page.parent[i]
+        label[i] = label[p]
         if marked:
             if (m := re.search(r"\by=([01])", page.attributes[i])) is not None:
-                label[i] = CONTENT if m[1] == "1" else BOILERPLATE
+                label[i] = CONTENT if m[1] == "1" else CHROME
         elif page.tag[i] in ("article", "main"):
             label[i] = CONTENT
         elif label[i] == CONTENT and any(f[:2] == "g:" and f != "g:content" for f in page.features[i]):
-            label[i] = BOILERPLATE
+            label[i] = CHROME
+        region[i] = region[p] if label[i] == label[p] and p and page.tag[p] != "body" and page.tag[p] != "html" else i
     if CONTENT not in label:
         return None
     for i in range(n - 1, 0, -1):  # what wraps content is structure
-        p = page.parent[i]
-        if label[i] in (CONTENT, STRUCTURE) and label[p] == BOILERPLATE:
-            label[p] = STRUCTURE
+        if label[i] in (CONTENT, STRUCTURE) and label[page.parent[i]] == CHROME:
+            label[page.parent[i]] = STRUCTURE
     label[0] = STRUCTURE
-    return label
+    prose = {region[i] for i, t in page.leaf_text.items() if label[i] == CHROME and t.count(" ") >= PROSE_WORDS}
+    return [PROSE if y == CHROME and region[i] in prose else y for i, y in enumerate(label)]
 
 
 def fit(sample_pages: list[str]) -> dict:
@@ -244,68 +251,77 @@ def fit(sample_pages: list[str]) -> dict:
     parsed = [Page(p) for p in sample_pages]
     texts = [t for p in parsed for t in p.leaf_text.values()]
     labelled = [(p, y) for p in parsed if (y := region_labels(p, False)) is not None]
-    labelled += [(p, region_labels(p, True)) for p in map(Page, filled_layouts(texts, max(6, len(labelled) // len(LAYOUTS))))]
-    edge = np.full((3, 3), 0.5)
-    edge[BOILERPLATE, CONTENT] = edge[BOILERPLATE, STRUCTURE] = edge[CONTENT, STRUCTURE] = 0.01
+    labelled += [(p, region_labels(p, True)) for p in map(Page, filled_layouts(texts, max(6, 2 * len(labelled) // len(LAYOUTS))))]
+    edge = np.full((LABELS, LABELS), 0.5)
+    for y in (CONTENT, CHROME, PROSE):
+        edge[y, STRUCTURE] = edge[y, CONTENT] = 1e-3
+    edge[CONTENT, CONTENT] = 0.5
     counts: dict[str, np.ndarray] = {}
     for page, y in labelled:
         for i in range(1, len(y)):
             edge[y[page.parent[i]], y[i]] += 1
             for f in page.features[i]:
-                counts.setdefault(f, np.zeros(3))[y[i]] += 1
+                counts.setdefault(f, np.zeros(LABELS))[y[i]] += 1
             if page.tag[i] != "#text" and len(page.features[i]) == 1:
-                counts.setdefault("g:none", np.zeros(3))[y[i]] += 1
+                counts.setdefault("g:none", np.zeros(LABELS))[y[i]] += 1
     kinds: dict[str, np.ndarray] = {}
     for f, c in counts.items():
-        kinds[f[:2]] = kinds.get(f[:2], np.zeros(3)) + c
-    node = {f: ((c + 0.3) / (kinds[f[:2]] + 0.3 * 20)).tolist() for f, c in counts.items()}
+        kinds[f[:2]] = kinds.get(f[:2], np.zeros(LABELS)) + c
+    least = {"t:": 0.1, "g:": 0.02}  # pseudo-counts: group words seldom lie
+    node = {f: ((c + least.get(f[:2], 0.5)) / (kinds[f[:2]] + 20 * least.get(f[:2], 0.5))).tolist() for f, c in counts.items()}
+    for f in node:  # a leaf's length, links and ending say much the same: together they count as half
+        if f[:2] in ("l:", "d:", "e:"):
+            node[f] = np.sqrt(node[f]).tolist()
     for g in GROUPS:  # a group unseen in training says what its name says
-        node.setdefault("g:" + g, [0.01, 0.02, 0.05] if g != "content" else [0.05, 0.05, 0.01])
+        node.setdefault("g:" + g, [0.05, 0.05, 1e-4, 1e-4] if g == "content" else [1e-3, 1e-4, 0.05, 0.05])
     return {"edge": (edge / edge.sum(axis=1, keepdims=True)).tolist(), "node": node}
 
 
 def content_marginals(page: Page, model: dict) -> list[float]:
     """P(content) of every node by one upward and one downward pass of sum-product messages."""
-    edge, potential = model["edge"], model["node"]
-    n = len(page.parent)
-    up = [[1.0, 1.0, 1.0] for _ in range(n)]  # node potential times the children's messages
-    sent = [(1.0, 1.0, 1.0)] * n
-    e0, e1, e2 = edge
-    none = potential.get("g:none")
+    (e00, e01, e02, e03), (e10, e11, e12, e13), (e20, e21, e22, e23), (e30, e31, e32, e33) = model["edge"]
+    potential, none = model["node"], model["node"].get("g:none")
+    n, parent, tags = len(page.parent), page.parent, page.tag
+    up = [[1.0, 1.0, 1.0, 1.0] for _ in range(n)]  # node potential times the children's messages
+    sent = [(1.0, 1.0, 1.0, 1.0)] * n
     for i in range(n - 1, 0, -1):
-        a, b, c = up[i]
+        a, b, c, d = up[i]
         features = page.features[i]
         for f in features:
             if (w := potential.get(f)) is not None:
-                a, b, c = a * w[0], b * w[1], c * w[2]
-        if page.tag[i] == "#text":
+                a, b, c, d = a * w[0], b * w[1], c * w[2], d * w[3]
+        if tags[i] == "#text":
             a = 0.0
         elif len(features) == 1 and none is not None:
-            a, b, c = a * none[0], b * none[1], c * none[2]
-        top = max(a, b, c) or 1.0
-        a, b, c = a / top, b / top, c / top
-        up[i] = [a, b, c]
-        m = (e0[0] * a + e0[1] * b + e0[2] * c, e1[0] * a + e1[1] * b + e1[2] * c, e2[0] * a + e2[1] * b + e2[2] * c)
-        top = max(m)
-        m = (m[0] / top + 1e-300, m[1] / top + 1e-300, m[2] / top + 1e-300)
-        sent[i] = m
-        p = up[page.parent[i]]
-        p[0], p[1], p[2] = p[0] * m[0], p[1] * m[1], p[2] * m[2]
+            a, b, c, d = a * none[0], b * none[1], c * none[2], d * none[3]
+        top = max(a, b, c, d) or 1.0
+        a, b, c, d = a / top, b / top, c / top, d / top
+        up[i] = [a, b, c, d]
+        m0 = e00 * a + e01 * b + e02 * c + e03 * d
+        m1 = e10 * a + e11 * b + e12 * c + e13 * d
+        m2 = e20 * a + e21 * b + e22 * c + e23 * d
+        m3 = e30 * a + e31 * b + e32 * c + e33 * d
+        top = max(m0, m1, m2, m3)
+        m0, m1, m2, m3 = m0 / top + 1e-200, m1 / top + 1e-200, m2 / top + 1e-200, m3 / top + 1e-200
+        sent[i] = (m0, m1, m2, m3)
+        p = up[parent[i]]
+        p[0], p[1], p[2], p[3] = p[0] * m0, p[1] * m1, p[2] * m2, p[3] * m3
         top = max(p)
-        if top < 1e-100:
-            p[0], p[1], p[2] = p[0] / top, p[1] / top, p[2] / top
-    belief = [(1.0, 0.0, 0.0)] * n
+        if top < 1e-50:
+            p[0], p[1], p[2], p[3] = p[0] / top, p[1] / top, p[2] / top, p[3] / top
+    belief = [(1.0, 0.0, 0.0, 0.0)] * n
     out = [0.0] * n
     for i in range(1, n):
-        q, m = belief[page.parent[i]], sent[i]
-        x, y, z = q[0] / m[0], q[1] / m[1], q[2] / m[2]  # the parent without this child's message
-        top = max(x, y, z) or 1.0
-        x, y, z = x / top, y / top, z / top
-        a = (x * e0[0] + y * e1[0] + z * e2[0]) * up[i][0]
-        b = (x * e0[1] + y * e1[1] + z * e2[1]) * up[i][1]
-        c = (x * e0[2] + y * e1[2] + z * e2[2]) * up[i][2]
-        total = (a + b + c) or 1.0
-        belief[i] = (a / total, b / total, c / total)
+        q, m, u = belief[parent[i]], sent[i], up[i]
+        x, y, z, v = q[0] / m[0], q[1] / m[1], q[2] / m[2], q[3] / m[3]  # the parent without this child's message
+        top = max(x, y, z, v) or 1.0
+        x, y, z, v = x / top, y / top, z / top, v / top
+        a = (x * e00 + y * e10 + z * e20 + v * e30) * u[0]
+        b = (x * e01 + y * e11 + z * e21 + v * e31) * u[1]
+        c = (x * e02 + y * e12 + z * e22 + v * e32) * u[2]
+        d = (x * e03 + y * e13 + z * e23 + v * e33) * u[3]
+        total = (a + b + c + d) or 1.0
+        belief[i] = (a / total, b / total, c / total, d / total)
         out[i] = b / total
     return out
 
