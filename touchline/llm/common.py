@@ -107,6 +107,19 @@ class Poly:
         return mix((prefix[end] - prefix[start]) * self.down[start])
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, poly: Poly, piece: int = 1 << 20) -> np.ndarray:
+    """Hash of every span [start, end) of the bytes (spans in order, none overlapping), about ``piece`` bytes at a time."""
+    out = np.empty(len(start), U64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + piece, side="right")))
+        base = start[i]
+        prefix = poly.prefix(data[base : end[j - 1]].astype(U64) + U64(1))
+        out[i:j] = poly.span(prefix, start[i:j] - base, end[i:j] - base)
+        i = j
+    return out
+
+
 def words_of(data: np.ndarray, offs: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word of the rows, and the number of words before each row.
 

@@ -51,6 +51,7 @@ CLOSES_P = frozenset(
     "ol p pre section table ul".split()
 )
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+APART = frozenset("nav aside footer form".split())
 SCOPES = frozenset("ul ol dl table html body div section article".split())
 GROUPS = {
     "content": "article content main post entry story body text prose maincontent articlebody",
@@ -203,6 +204,10 @@ LAYOUTS = (
     "</form></body>",
     "<body><article y=1><header><h1>{s}</h1></header><p>{p}</p><p>{p}</p><aside class=pullquote y=0>{p}</aside><div class=ad y=0>{s}</div><p>{p}</p>"
     "<footer y=0>{s}</footer></article><div class=sponsored>{p}</div></body>",
+    "<body><header><h2>{s}</h2><nav>{a}</nav></header><main y=1><h1>{s}</h1><ul><li>{s}</li><li>{s}</li><li>{s}</li></ul><p>{p}</p><form y=0>"
+    "<p>{s}</p><p>{p}</p></form><ol><li>{s}</li><li>{p}</li></ol></main><footer><p>{s}</p></footer></body>",
+    "<body><header><h1>{s}</h1><p>{s}</p></header><article y=1><h2>{s}</h2><ul><li>{s}</li><li>{s}</li><li>{s}</li><li>{s}</li></ul><p>{p}</p>"
+    "<form y=0>{s}<p>{p}</p></form></article><nav>{a}</nav><form><p>{p}</p></form></body>",
 )
 
 
@@ -233,7 +238,7 @@ def region_labels(page: Page, marked: bool) -> list[int] | None:
                 label[i] = CONTENT if m[1] == "1" else CHROME
         elif page.tag[i] in ("article", "main"):
             label[i] = CONTENT
-        elif label[i] == CONTENT and any(f[:2] == "g:" and f != "g:content" for f in page.features[i]):
+        elif label[i] == CONTENT and (page.tag[i] in APART or any(f[:2] == "g:" and f != "g:content" for f in page.features[i])):
             label[i] = CHROME
         region[i] = region[p] if label[i] == label[p] and p and page.tag[p] != "body" and page.tag[p] != "html" else i
     if CONTENT not in label:

@@ -121,6 +121,7 @@ def identify(pages: DataFrame, docs: DataFrame, sample: int = 400, strength: flo
     said = first.groupBy("declared").agg(*[F.sum(f"p{i}").alias(f"p{i}") for i in range(k)]).collect()  # languages + 2 rows
     kinds = [*langs, "other", "none"]
     table = np.full((k, len(kinds)), 0.5)
+    table[:, :k] += 4.0 * np.eye(k)  # before any page is seen, a declaration tells the truth
     for r in said:
         table[:, kinds.index(r["declared"])] += [r[f"p{i}"] or 0.0 for i in range(k)]
     declared_logs = np.log(table / table.sum(axis=1, keepdims=True))

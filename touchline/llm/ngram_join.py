@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import (
     ANSWER, ANSWER_ARROW, BLOCK, EXCHANGE, EXCHANGE_ARROW, KEYS, POLY, U64, Poly, components, lowered, mix, planes,
-    rows_batch, saved, send, shuffle_parts, slices, text_buffer, text_id, unplanes, words_of,
+    rows_batch, saved, send, shuffle_parts, slices, span_hashes, text_buffer, text_id, unplanes, words_of,
 )
 
 LOCAL = 2
@@ -50,8 +50,7 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, poly: Poly, words: int = 5)
     start, end, at = words_of(data, offs)
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, U64)
-    low = poly.prefix(lowered(data).astype(U64) + U64(1))
-    w = poly.span(low, start, end)
+    w = span_hashes(lowered(data), start, end, poly)
     scale = [U64(pow(POLY, k + 2, 1 << 64) | 1) for k in range(words)]
     padded = np.concatenate([w, np.zeros(words, U64)])
     row = np.repeat(np.arange(len(offs) - 1), np.diff(at))

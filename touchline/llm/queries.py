@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from touchline.llm import oracles
 from touchline.llm.bit_sliced import top_inner_products
 from touchline.llm.common import table
 from touchline.llm.html_extract import extract
@@ -74,4 +75,9 @@ QUERIES = {f.__name__: f for f in (
     op7_substring_dedup, op8_toxicity, op9_mix_sources, op10_top_k_search,
 )}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op6_ngram_jaccard": oracles.NGRAM_JACCARD,
+    "op7_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op10_top_k_search": oracles.TOP_K_SEARCH,
+}

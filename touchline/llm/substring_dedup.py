@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import (
     ANSWER, ANSWER_ARROW, BLOCK, EXCHANGE, EXCHANGE_ARROW, KEYS, POLY, U64, Poly, block_row, mix, planes, read_block,
-    repeated_entries, rows_batch, saved, send, shuffle_parts, sliding_argmin, slices, text_buffer, text_id, unplanes, words_of,
+    repeated_entries, rows_batch, saved, send, shuffle_parts, sliding_argmin, slices, span_hashes, text_buffer, text_id, unplanes, words_of,
 )
 from touchline.llm.suffix_dedup import SPANS, SPANS_ARROW, _union, _with_spans, merged_spans
 
@@ -46,7 +46,7 @@ def word_hashes(data: np.ndarray, offs: np.ndarray, poly: Poly) -> tuple[np.ndar
     start, end, at = words_of(data, offs)
     if not len(start):
         return np.zeros(0, U64), at
-    return poly.span(poly.prefix(data.astype(U64) + U64(1)), start, end), at
+    return span_hashes(data, start, end, poly), at
 
 
 def rolling(w: np.ndarray, size: int) -> np.ndarray:
@@ -146,15 +146,17 @@ def _windows(buckets: int, window: int, most: int):
                 of = lead[np.cumsum(new) - 1]
                 later = (rank != rank[of]) | (start != start[of])
                 texts = batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype("<i8").view("<u8")
-                parts = [planes(ids.view("<u8"), null.astype("<u8"), texts), planes(*(x.astype(U64) for x in (row[lead], start[lead]))), planes(*(x.astype(U64) for x in (row[later], start[later])))]
+                refs = (row.astype(U64) << U64(32)) | start.astype(U64)
+                parts = [planes(ids.view("<u8"), null.astype("<u8"), texts), planes(np.sort(refs[later]))]
                 body = b"".join(len(x).to_bytes(8, "little") + x for x in parts)
+                keys, refs, rank = keys[lead], refs[lead], rank[lead]
                 out = [(number % buckets, number, WINDOWS, body)]
-                to = ((keys[lead] >> U64(40)) % U64(buckets)).astype(np.int64)
+                to = ((keys >> U64(40)) % U64(buckets)).astype(np.int64)
                 place = np.argsort(to, kind="stable")
                 cut = np.flatnonzero(np.concatenate([[True], to[place][1:] != to[place][:-1], [True]]))
                 for x, y in zip(cut[:-1], cut[1:], strict=True):
                     e = place[x:y]
-                    out.append((int(to[e[0]]), number, KEYS, planes(keys[lead][e], e.astype(U64), rank[lead][e], start[lead][e].astype(U64))))
+                    out.append((int(to[e[0]]), number, KEYS, planes(keys[e], refs[e], rank[e])))
                 for i in range(0, len(out), 64):
                     yield rows_batch(out[i : i + 64], EXCHANGE_ARROW)
 
@@ -167,7 +169,8 @@ def _later(rows: pa.Table) -> pa.Table:
     out = [c for c in cells if c[1] != KEYS]
     mine = [(b, unplanes(x)) for b, k, x in cells if k == KEYS]
     if mine:
-        keys, _, rank, start = (np.concatenate([x[i] for _, x in mine]) for i in range(4))
+        keys, start, rank = (np.concatenate([x[i] for _, x in mine]) for i in range(3))
+        start = start & U64(0xFFFFFFFF)
         order = np.lexsort((start, rank, keys))
         new = np.concatenate([[True], keys[order][1:] != keys[order][:-1]])
         of = order[np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -190,13 +193,9 @@ def _intervals(window: int):
             n = int.from_bytes(body[:8], "little")
             parts.append(unplanes(body[8 : 8 + n]))
             body = body[8 + n :]
-        (ids, null, texts), (row, start), (row2, start2) = parts
-        told = [unplanes(x)[0].astype(np.int64) for k, x in zip(kinds, blobs, strict=True) if k == KEYS]
-        hit = np.concatenate(told) if told else np.zeros(0, np.int64)
-        row = np.concatenate([row[hit], row2]).astype(np.int64)
-        start = np.concatenate([start[hit], start2]).astype(np.int64)
-        order = np.argsort(row, kind="stable")
-        row, start = row[order], start[order]
+        (ids, null, texts), (later,) = parts
+        refs = np.sort(np.concatenate([later, *(unplanes(x)[0] for k, x in zip(kinds, blobs, strict=True) if k == KEYS)]))
+        row, start = (refs >> U64(32)).astype(np.int64), (refs & U64(0xFFFFFFFF)).astype(np.int64)
         out = []
         cut = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1], [True]])) if len(row) else [0]
         for a, b in zip(cut[:-1], cut[1:], strict=True):

@@ -48,6 +48,8 @@ from touchline.llm.common import (
 KGRAM = 16
 NARROW = 8
 OCCURRENCES = 3
+#: Bytes hashed at a time.
+PIECE = 1 << 20
 CELLS = "doc_id long, text_id long, cells binary"
 CELLS_ARROW = pa.schema([("doc_id", pa.int64()), ("text_id", pa.int64()), ("cells", pa.binary())])
 SPANS = "doc_id long, text_id long, spans binary"
@@ -57,18 +59,14 @@ SPANS_ARROW = pa.schema([("doc_id", pa.int64()), ("text_id", pa.int64()), ("span
 # --- 1, 2: cells whose core occurs again ----------------------------------
 
 
-def window_runs(data: np.ndarray, offs: np.ndarray, span: int, poly: Poly, piece: int = 4 << 20):
+def window_runs(data: np.ndarray, offs: np.ndarray, span: int, poly: Poly, piece: int = 1 << 20):
     """Runs of windows with the same picked place and side: (first start, number, place)."""
     first, count, place = [], [], []
     n = len(data)
-    valid = np.zeros(n + 1, np.int32)
-    long_ = np.diff(offs) >= span
-    np.add.at(valid, offs[:-1][long_], 1)
-    np.add.at(valid, offs[1:][long_] - span + 1, -1)
-    valid = np.cumsum(valid[:-1]) > 0
     for base in range(0, max(n - span + 1, 0), piece):
         part = data[base : base + piece + span - 1]
-        ok = np.flatnonzero(valid[base : base + min(piece, len(part) - span + 1)])
+        here = np.arange(base, base + len(part) - span + 1)
+        ok = np.flatnonzero(here + span <= offs[np.searchsorted(offs, here, side="right")])
         if not len(ok):
             continue
         prefix = poly.prefix(part.astype(U64) + U64(1))
@@ -113,15 +111,15 @@ def _scan(buckets: int, span: int, most: int):
                 out = [block_row(block, buckets, batch.column(0).slice(lo, hi - lo), texts, starts[:-1])]
                 keys = np.empty(len(a), U64)
                 high = p - a >= half
-                for base in range(0, len(mine), 4 << 20):  # hash the cores piece by piece
+                for base in range(0, len(mine), PIECE):  # hash the cores piece by piece
                     prefix = None
                     for side in (False, True):
-                        pick = np.flatnonzero((high == side) & (p >= base) & (p < base + (4 << 20)))
+                        pick = np.flatnonzero((high == side) & (p >= base) & (p < base + PIECE))
                         if not len(pick):
                             continue
                         left = max(base - half, 0)
                         if prefix is None:
-                            prefix = poly.prefix(mine[left : base + (4 << 20) + span].astype(U64) + U64(1))
+                            prefix = poly.prefix(mine[left : base + PIECE + span].astype(U64) + U64(1))
                         at = p[pick] - left
                         s, e = (at - half, at + KGRAM) if side else (at, at + half + 1)
                         keys[pick] = poly.span(prefix, s, e) + U64(side)

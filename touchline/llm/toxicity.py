@@ -238,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, terms: int =
     some_rows = np.unique(np.linspace(0, max(len(vecs) - 1, 0), min(calibrate, len(vecs))).astype(int)).tolist()
     votes = [(vote(near, label), int(label[i])) for i, v in ((i, vecs[i]) for i in some_rows) if (near := index.nearest(*v, k, without=i))]
     curve = isotonic([v for v, _ in votes], [y for _, y in votes]) if votes else ([0.0], [0.0])
-    return model | {"vocabulary": vocabulary, "names": names, "idf": idf, "vectors": vecs, "label": label, "ids": [s[1] for s in some], "prior": (float(zero[1]) + 0.05) / (zero[0] + 0.1), "map": curve}
+    return model | {"vocabulary": vocabulary, "names": names, "idf": idf, "vectors": vecs, "label": label, "ids": [s[1] for s in some], "prior": (float(zero[1]) + p) / (zero[0] + 1), "map": curve}
 
 
 def _ordered(rows: list) -> list:
