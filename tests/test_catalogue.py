@@ -5,7 +5,7 @@ import pytest
 from touchline.oracle_check import compare, duck
 from touchline.plans import ORACLE, QUERIES
 
-ROWS_ONLY = {"preview", "simple_join"}  # unordered LIMIT: which rows is unspecified
+ROWS_ONLY: set[str] = set()
 FORBIDDEN_NODES = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
@@ -22,10 +22,7 @@ def test_every_key_has_an_oracle_unless_rows_only():
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, smoke_dir, key):
     r = compare(spark, con, smoke_dir, key, QUERIES[key], ORACLE.get(key))
-    if key in ROWS_ONLY:
-        assert r["rows"] == 10
-    else:
-        assert r["columns"] and r["values"], r
+    assert r["columns"] and r["values"], r
 
 
 def _plan(df) -> str:
@@ -80,7 +77,7 @@ def test_entry_smoke(spark):
 
     df = entry.entry(spark)
     assert df.count() > 0
-    assert set(entry.queries()) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_model_tables_have_the_declared_schemas(spark, smoke_dir):
@@ -95,13 +92,12 @@ def test_model_tables_have_the_declared_schemas(spark, smoke_dir):
 
 
 def test_persisted_model_gives_the_cold_results(spark, smoke_dir):
-    from touchline.plans import season
+    from touchline.plans import Season, opened
 
-    cold_dir = smoke_dir.replace("/sf0.001", "/./sf0.001")  # same files, separate model
-    season(spark, cold_dir, keep=False)
     keys = ["q01", "q08", "q11", "q14", "consolidate", "c06", "c11", "d03", "d10", "d11",
             "dq_check", "dq_foreign_key", "reconcile", "delete_set_null", "apply_corrections"]
     for key in keys:
-        warm = sorted(map(tuple, QUERIES[key](spark, smoke_dir).collect()), key=str)
-        cold = sorted(map(tuple, QUERIES[key](spark, cold_dir).collect()), key=str)
+        cold = sorted(map(tuple, QUERIES[key](spark, smoke_dir).collect()), key=str)
+        with opened(Season(spark, smoke_dir, keep=True)):
+            warm = sorted(map(tuple, QUERIES[key](spark, smoke_dir).collect()), key=str)
         assert warm == cold, key

@@ -67,3 +67,47 @@ def test_export_all_writes_each_result(spark, smoke_dir, tmp_path):
     back = spark.read.option("sep", ";").option("header", True).csv(paths["q01"])
     assert back.count() == 25 and set(back.columns) == {"nom_equipe", "total_buts"}
     assert spark.read.option("sep", ";").option("header", True).csv(paths["c00"]).count() == 2
+
+
+PERF = [Field("ID", "id", "int"), Field("a", "a", "int"), Field("b", None), Field("c", "c")]
+
+
+@pytest.mark.parametrize("line", ["1;2", "1;2;x", "1;2;x;y;z", "1;2;x;y;"])
+def test_short_and_long_lines_abort(spark, tmp_path, line):
+    f = _write(tmp_path / "p.csv", f"ID;a;b;c\n0;1;x;y\n{line}\n")
+    with pytest.raises(Exception):
+        load_delimited(spark, f, PERF).collect()
+
+
+def test_quotes_backslashes_and_blanks(spark, tmp_path):
+    layout = [Field("id", "id", "int"), Field("t", "t")]
+    f = _write(tmp_path / "q.csv", 'id;t\n1;"a ""b"" c"\n2;"bs\\"\n3;  pad \n4;"x;y"\n')
+    rows = {r.id: r.t for r in load_delimited(spark, f, layout).collect()}
+    assert rows == {1: 'a "b" c', 2: "bs\\", 3: "  pad ", 4: "x;y"}
+
+
+def test_line_breaks_in_quotes_need_multi_line(spark, tmp_path):
+    layout = [Field("id", "id", "int"), Field("t", "t")]
+    f = _write(tmp_path / "m.csv", 'id;t\n1;"two\nlines"\n2;z\n')
+    assert {r.id: r.t for r in load_delimited(spark, f, layout, multi_line=True).collect()} == {1: "two\nlines", 2: "z"}
+    with pytest.raises(Exception):
+        load_delimited(spark, f, layout).collect()
+
+
+def test_write_keeps_every_character(spark, tmp_path):
+    layout = [Field("id", "id", "int"), Field("t", "t")]
+    values = ["  pad ", 'say "x"', "back\\slash\\", "a;b", "two\nlines", "", None, '"', "é"]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, t string")
+    out = str(tmp_path / "out")
+    write_delimited(df, out, layout)
+    back = {r.id: r.t for r in load_delimited(spark, out, layout, multi_line=True).collect()}
+    assert [back[i] or None for i in range(len(values))] == [v or None for v in values]
+
+
+@pytest.mark.parametrize("name, line", [("progression", "1;2;12,5;3"), ("salaire_source", "1;x;30;12,5;n")])
+def test_direct_copy_columns_refuse_decimal_commas(spark, tmp_path, name, line):
+    from touchline.sources.layouts import LAYOUTS
+
+    f = _write(tmp_path / "d.csv", "h" + ";h" * (len(LAYOUTS[name]) - 1) + "\n" + line + "\n")
+    with pytest.raises(Exception):
+        load_delimited(spark, f, LAYOUTS[name]).collect()

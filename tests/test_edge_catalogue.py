@@ -35,21 +35,18 @@ def reversed_dir(tmp_path_factory):
 
 def test_row_order_does_not_change_any_result(spark, edge_dir, reversed_dir):
     for key in sorted(QUERIES):
-        if key in ("preview", "simple_join"):  # unordered LIMIT: which rows is unspecified
-            continue
         a = sorted(map(tuple, QUERIES[key](spark, edge_dir).collect()), key=str)
         b = sorted(map(tuple, QUERIES[key](spark, reversed_dir).collect()), key=str)
         assert a == b, key
 
 
 def test_hot_key_split_path_matches_oracle(spark, edge_dir, edge_con):
-    from touchline.plans import season
-
-    # Same files under another path: a separate model whose matching treats
-    # every key carried by 2+ salary rows as hot (broadcast split path).
-    hot_dir = edge_dir + "/."
-    s = season(spark, hot_dir, hot_key_rows=2)
-    assert "Union" in s.salaire_source._jdf.queryExecution().optimizedPlan().toString()  # split path taken
-    for key in ("reconcile", "reconcile_summary", "reconcile_ambiguous", "q11", "q14", "c11", "d11"):
-        r = compare(spark, edge_con, hot_dir, key, QUERIES[key], ORACLE[key])
-        assert r["columns"] and r["values"], r
+    from touchline.plans import Season, opened
+
+    # Every key carried by 2+ rows is hot and salted.
+    with opened(Season(spark, edge_dir, hot_key_rows=2)) as s:
+        plan = s.salaire_source._jdf.queryExecution().optimizedPlan().toString()
+        assert "__salt" in plan and plan.count("p_retailprice") >= 1 and "Union" not in plan
+        for key in ("reconcile", "reconcile_summary", "reconcile_ambiguous", "q11", "q14", "c11", "d11", "delete_set_null", "delete_cascade"):
+            r = compare(spark, edge_con, edge_dir, key, QUERIES[key], ORACLE[key])
+            assert r["columns"] and r["values"], r

@@ -14,18 +14,13 @@ import sys
 
 def export_all(spark, sf_dir: str, out_dir: str, keys=None) -> dict[str, str]:
     from touchline.plans import QUERIES
+    from touchline.sources.delimited import Field, write_delimited
 
     paths = {}
     for key in keys or list(QUERIES):
         path = f"{out_dir.rstrip('/')}/{key}"
-        (
-            QUERIES[key](spark, sf_dir)
-            .write.mode("overwrite")
-            .option("sep", ";")
-            .option("header", True)
-            .option("nullValue", "")
-            .csv(path)
-        )
+        result = QUERIES[key](spark, sf_dir)
+        write_delimited(result, path, [Field(c, c) for c in result.columns], bom=False)
         paths[key] = path
     return paths
 

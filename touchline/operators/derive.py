@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.operators.joins import HOT_KEY_MIN_ROWS, lookup_join
+
 
 def generated_columns(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
     """Derive stored columns (``GENERATED ALWAYS AS (...)``) at load time.
@@ -48,32 +50,38 @@ def apply_corrections(
     return joined.withColumns(out).select(*df.columns)
 
 
-def delete_cascade(child: DataFrame, deleted: DataFrame, child_col: str, parent_col: str) -> DataFrame:
+def _with_deleted(child: DataFrame, deleted: DataFrame, child_col: str, parent_col: str, min_rows: int) -> DataFrame:
+    """``child`` with a flag ``__gone`` where its parent is deleted (hot and NULL keys are spread)."""
+    gone = deleted.select(F.col(parent_col).alias(child_col)).distinct().withColumn("__gone", F.lit(True))
+    return lookup_join(child, gone, [child_col], "left", min_rows)
+
+
+def delete_cascade(
+    child: DataFrame, deleted: DataFrame, child_col: str, parent_col: str, min_rows: int = HOT_KEY_MIN_ROWS
+) -> DataFrame:
     """Child rows that survive deleting the ``deleted`` parents (ON DELETE CASCADE)."""
-    gone = deleted.select(F.col(parent_col).alias(child_col))
-    return child.join(gone, child_col, "left_anti")
+    flagged = _with_deleted(child, deleted, child_col, parent_col, min_rows)
+    return flagged.filter(F.col("__gone").isNull()).select(*child.columns)
 
 
-def delete_set_null(child: DataFrame, deleted: DataFrame, child_col: str, parent_col: str) -> DataFrame:
+def delete_set_null(
+    child: DataFrame, deleted: DataFrame, child_col: str, parent_col: str, min_rows: int = HOT_KEY_MIN_ROWS
+) -> DataFrame:
     """Child rows with the key set to NULL where the parent was deleted (ON DELETE SET NULL)."""
-    gone = deleted.select(F.col(parent_col).alias("__gone")).distinct()
-    return (
-        child.join(gone, F.col(child_col) == F.col("__gone"), "left")
-        .withColumn(child_col, F.when(F.col("__gone").isNull(), F.col(child_col)))
-        .select(*child.columns)
-    )
+    flagged = _with_deleted(child, deleted, child_col, parent_col, min_rows)
+    return flagged.withColumn(child_col, F.when(F.col("__gone").isNull(), F.col(child_col))).select(*child.columns)
 
 
 # monotonically_increasing_id puts the partition index above bit 33 and the
 # row position inside the partition below it.
 _ROW_BITS = 33
-_MAX_BROADCAST_PARTITIONS = 1_000_000
 
 
 def surrogate_key(df: DataFrame, order: Sequence[str | Column], out_col: str, start: int = 1) -> DataFrame:
     """Dense keys ``start .. start+n-1`` following ``order`` (SERIAL / IDENTITY).
 
-    Column names sort ascending with NULLs last, as in SQL.
+    Column names sort ascending with NULLs last, as in SQL.  Equal order values
+    are ordered by a hash of the row, so they spread over the range partitions.
 
     Range-partitioned sort, then each row's position inside its partition
     plus the number of rows in all earlier partitions.  The numbered rows are
@@ -86,7 +94,7 @@ def surrogate_key(df: DataFrame, order: Sequence[str | Column], out_col: str, st
 
     ensure_checkpoint_dir(spark)
     keys = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
-    numbered = df.orderBy(*keys).withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    numbered = df.orderBy(*keys, F.xxhash64(*df.columns)).withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     numbered = numbered.withColumns(
         {
             "__part": F.shiftright(F.col("__mid"), _ROW_BITS),
@@ -97,15 +105,9 @@ def surrogate_key(df: DataFrame, order: Sequence[str | Column], out_col: str, st
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
     offsets = offsets.select("__part", "__offset")
-    # One row per partition of the range-partitioned sort: at most the
-    # configured shuffle partition count, a bound known without running a job.
-    conf = spark.conf
-    bound = max(
-        int(conf.get("spark.sql.shuffle.partitions", "200")),
-        int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or 0),
-    )
-    if bound <= _MAX_BROADCAST_PARTITIONS:
-        offsets = F.broadcast(offsets)
+    # One row per partition of the range-partitioned sort, whose number is the
+    # configured shuffle partition count: metadata, broadcast.
+    offsets = F.broadcast(offsets)
     keyed = numbered.join(offsets, "__part").withColumn(
         out_col, F.col("__offset") + F.col("__pos") + F.lit(start)
     )

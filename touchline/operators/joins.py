@@ -8,16 +8,20 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension joined to a fact of any size is broadcast only when it has at
-# most this many rows; beyond it the join is left to the planner and AQE
-# (sort-merge, or a runtime broadcast when the shuffled side turns out small).
+# Plan-only parameters: results never depend on them.
+#
+# A dimension is broadcast when it has at most this many rows; beyond it the
+# season model writes it to the shared folder, so that joins with it have plain
+# shuffles on both sides, which adaptive execution splits when a key is hot.
 DIM_BROADCAST_MAX_ROWS = 100_000
 
-# A join key carried by at least this many rows of the probing side is
-# "hot": one task would have to stream all of them.  At most
-# HOT_KEYS_MAX_ROWS such keys are split off (their lookup rows are broadcast).
+# A join key carried by at least this many rows of the probing side is "hot":
+# one task would have to stream all of them.  The heaviest HOT_KEYS_MAX_ROWS
+# such keys are salted over HOT_KEY_SALTS tasks; a key beyond them is lighter
+# than every salted one.
 HOT_KEY_MIN_ROWS = 1_000_000
 HOT_KEYS_MAX_ROWS = 100_000
+HOT_KEY_SALTS = 64
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
@@ -29,27 +33,16 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when its row count is within ``max_rows``."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_MIN_ROWS) -> DataFrame:
-    """Key values carried by at least ``min_rows`` rows (partial + final aggregation).
-
-    A NULL key counts too: a shuffle join would send all NULL-key rows to
-    one task as well.
-    """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .filter(F.col("__rows") >= min_rows)
-        .select(*keys)
-    )
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_MIN_ROWS, most: int = HOT_KEYS_MAX_ROWS
+) -> DataFrame:
+    """The heaviest key values carried by at least ``min_rows`` rows (partial + final aggregation)."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") >= min_rows)
+    return counted.orderBy(F.desc("__rows"), *keys).limit(most).select(*keys)
 
 
 def hot_keys_by_level(
-    df: DataFrame, levels: Sequence[Sequence[str]], min_rows: int = HOT_KEY_MIN_ROWS
+    df: DataFrame, levels: Sequence[Sequence[str]], min_rows: int = HOT_KEY_MIN_ROWS, most: int = HOT_KEYS_MAX_ROWS
 ) -> list[DataFrame]:
     """:func:`hot_keys` for several key sets in one aggregation (``GROUPING SETS``).
 
@@ -61,6 +54,8 @@ def hot_keys_by_level(
         df.groupingSets([list(level) for level in levels], *cols)
         .agg(F.count(F.lit(1)).alias("__rows"), F.grouping_id().alias("__level"))
         .filter(F.col("__rows") >= min_rows)
+        .orderBy(F.desc("__rows"), "__level", *cols)
+        .limit(most)
         .cache()
     )
     out = []
@@ -83,45 +78,30 @@ def lookup_join(
     """``big JOIN lookup USING (keys)`` where ``lookup`` has at most one row per key.
 
     A shuffle join sends every row of a key to one task, so a key held by a
-    third of ``big`` would make one task do a third of the work.  Here:
-
-    * hot keys (at least ``min_rows`` rows in ``big``) are found first; once
-      their number is checked to be within ``max_hot_keys`` they are
-      broadcast, and the rows of ``big`` carrying them join the matching
-      lookup rows as a broadcast (those are at most one per hot key): no
-      shuffle, any number of tasks;
-    * the other rows take the ordinary shuffle join;
-    * rows with a NULL key part never match and skip the join, so they
-      cannot pile up in one task either.
-
-    When no key is hot the plain shuffle join is planned.  ``how`` is
-    ``"left"`` or ``"inner"``.  The hot-key check runs one aggregation job
-    when called; the hot keys are cached for the plan.  ``hot`` passes hot
-    keys found beforehand (e.g. on the rows ``big`` was derived from).
+    third of ``big`` would make one task do a third of the work.  Here every
+    row gets a salt: 0 for ordinary keys, a spread value for hot keys and for
+    rows with a NULL key part (they never match, and would pile up).  A hot
+    key's lookup row is repeated once per salt value.  It is one scan of
+    ``big`` and one join, whatever the number of hot keys.
+
+    ``how`` is ``"left"`` or ``"inner"``.  Finding the hot keys is one
+    aggregation; they are at most ``max_hot_keys`` rows and are broadcast.
+    ``hot`` passes hot keys found beforehand (e.g. on the rows ``big`` was
+    derived from).
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     keys = list(keys)
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    hot = (hot_keys(big, keys, min_rows) if hot is None else hot.select(*keys)).cache()
-    n_hot = hot.limit(max_hot_keys + 1).count()
-    if n_hot == 0 or n_hot > max_hot_keys:
-        # No hot key: the shuffle join spreads the rows evenly.  More than
-        # max_hot_keys heavy keys: the weight is spread over many keys,
-        # which the shuffle join also spreads over tasks.
-        hot.unpersist()
-        return big.join(lookup, keys, how)
-    hot = F.broadcast(hot)
-    keyed = big.filter(~any_null)
-    hot_rows = keyed.join(hot, keys, "left_semi")
-    cold_rows = keyed.join(hot, keys, "left_anti")
-    hot_lookup = F.broadcast(lookup.join(hot, keys, "left_semi"))
-    parts = [hot_rows.join(hot_lookup, keys, how), cold_rows.join(lookup, keys, how)]
-    if how == "left":
-        extra = [c for c in lookup.columns if c not in keys]
-        nulls = big.filter(any_null).select(
-            *big.columns, *[F.lit(None).cast(lookup.schema[c].dataType).alias(c) for c in extra]
-        )
-        parts.append(nulls)
-    columns = parts[0].columns
-    return reduce(lambda a, b: a.unionByName(b), [p.select(*columns) for p in parts])
+    hot = hot_keys(big, keys, min_rows, max_hot_keys) if hot is None else hot.select(*keys)
+    hot = F.broadcast(hot.limit(max_hot_keys).withColumn("__hot", F.lit(True)))
+    # The same row always gets the same salt (a retried task agrees with itself);
+    # equal rows in different input partitions get different ones.
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *big.columns), F.lit(HOT_KEY_SALTS)).cast("int")
+    rows = big.filter(~any_null) if how == "inner" else big
+    rows = rows.withColumn("__spread", spread).join(hot, keys, "left")
+    salted = F.when(F.col("__hot") | any_null, F.col("__spread")).otherwise(F.lit(0))
+    rows = rows.withColumn("__salt", salted).drop("__spread", "__hot")
+    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(HOT_KEY_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spots = lookup.join(hot, keys, "left").withColumn("__salt", F.explode(salts)).drop("__hot")
+    return rows.join(spots, [*keys, "__salt"], how).drop("__salt")

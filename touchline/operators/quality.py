@@ -113,13 +113,18 @@ def foreign_key(
     parent: DataFrame,
     parent_cols: Sequence[str],
 ) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row (a left anti join)."""
+    """Child rows whose non-NULL key has no parent row.
+
+    Child rows are counted per distinct key first (partial aggregation), so
+    only distinct keys reach the anti join and a hot key is one row there.
+    """
     keys = child.select(*child_cols)
     for c in child_cols:
         keys = keys.filter(F.col(c).isNotNull())
+    counted = keys.groupBy(*child_cols).agg(F.count(F.lit(1)).alias("__rows"))
     ref = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_cols, child_cols)])
-    orphans = keys.join(ref, list(child_cols), "left_anti")
-    return _row(orphans, table, "FOREIGN KEY", ", ".join(child_cols), F.count(F.lit(1)))
+    orphans = counted.join(ref, list(child_cols), "left_anti")
+    return _row(orphans, table, "FOREIGN KEY", ", ".join(child_cols), F.coalesce(F.sum("__rows"), F.lit(0)))
 
 
 def max_length(

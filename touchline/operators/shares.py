@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.numeric import ratio
+from touchline.session import ensure_checkpoint_dir
 
 
 def share_of_total(grouped: DataFrame, value_col: str, out_col: str, scale: int = 2) -> DataFrame:
     """Add ``ROUND(value * 100 / total, scale)`` where total sums ``value_col``.
 
-    The total is a scalar subquery over the grouped rows (one small job run
-    once, its value substituted as a literal), not an un-partitioned window,
+    The grouped rows are computed once and checkpointed to the shared folder;
+    the total is a scalar subquery over them, not an un-partitioned window,
     which would move every group into one task, nor a cross join.
     """
+    ensure_checkpoint_dir(grouped.sparkSession)
+    grouped = grouped.checkpoint(eager=True)
     total = grouped.agg(F.sum(value_col)).scalar()
     return grouped.withColumn(out_col, ratio(F.col(value_col), total, scale=scale, percent=True))

@@ -57,22 +57,19 @@ def summarize(plan: str) -> dict[str, int]:
 
 
 def main(argv: list[str]) -> int:
-    from touchline.plans import QUERIES, season
+    from touchline.plans import QUERIES
     from touchline.session import local_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     spark = local_session()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    season(spark, sf_dir, keep=False)  # plan every question from the raw tables
     names = [n for n, _ in COUNTERS]
     print("# Physical plans at scale (automatic broadcast off, model not persisted)\n")
     print("Generated by `python -m touchline.plan_report`. Counts of plan operators per query, each "
-          "question planned cold from the raw tables (in a session the fact aggregate, the reconciled "
-          "source and the consolidated view are persisted once and read by every question); "
-          "a cached dimension counts as one scan (its one-time build is not repeated). Broadcasts are "
-          "the dimensions (behind a row-count check) and the one-row scalar results. Counts are static: "
-          "at run time AQE reuses the main query's last shuffle inside a scalar subquery (share of "
-          "total), so that branch does not recompute its input.\n")
+          "question planned from the raw tables, the default mode (an opened season persists the fact "
+          "aggregate, the reconciled source and the consolidated view instead); a cached dimension counts as one scan (its one-time build is not repeated). Broadcasts are "
+          "the dimensions (behind a row-count check), hot keys and the one-row scalar results. "
+          "Inputs that a query checkpoints first (share of total, files) count as one scan.\n")
     print("| key | " + " | ".join(names) + " |")
     print("| --- |" + " --- |" * len(names))
     for key, recipe in QUERIES.items():

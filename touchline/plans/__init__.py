@@ -5,8 +5,8 @@ Importing this package registers every recipe in
 :data:`touchline.plans.registry.ORACLE`.
 """
 
-from touchline.plans import raw, consolidated, compare, load  # noqa: F401,I001  (registration order)
-from touchline.plans.model import Season, season
+from touchline.plans import raw, consolidated, compare, load, files  # noqa: F401,I001  (registration order)
+from touchline.plans.model import Season, opened, season
 from touchline.plans.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "Season", "season"]
+__all__ = ["ORACLE", "QUERIES", "Season", "opened", "season"]

@@ -22,12 +22,12 @@ from touchline.plans.model import (
     season,
 )
 from touchline.plans.registry import register
-from touchline.plans.sqltext import big, dbl, mean as smean, ratio as sratio, teams
+from touchline.plans.sqltext import big, dbl, floor_ratio, mean as smean, ratio as sratio, teams
 
-_DECIMAL_MEASURES = {"matchs_90", "xg", "npxg", "xag", "progression_passe"}
+_DECIMAL_MEASURES = {"minutes_jouees", "matchs_90", "xg", "npxg", "xag", "progression_passe"}
 _VIEW_COLUMNS = ", ".join(
     ["CAST(id_joueur_reference AS BIGINT) AS id_joueur_reference", "nom_joueur", "code_position",
-     "CAST(id_equipe AS BIGINT) AS id_equipe"]
+     "id_equipe"]
     + [(dbl(m) if m in _DECIMAL_MEASURES else big(m)) + f" AS {m}" for m in CONSOLIDATED_MEASURES]
 )
 
@@ -224,12 +224,9 @@ def c09(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "c10",
     f"""
-SELECT nom_equipe, nom_joueur, {dbl('prgp')} AS prgp FROM (
-  SELECT e.nom_equipe, v.nom_joueur, v.progression_passe AS prgp,
-         ROW_NUMBER() OVER (PARTITION BY e.id_equipe
-                            ORDER BY v.progression_passe DESC NULLS FIRST, v.id_joueur_reference) AS rang
-  FROM v JOIN equipe e ON v.id_equipe = e.id_equipe) classement
-WHERE rang = 1
+SELECT nom_equipe, nom_joueur, {dbl('progression_passe')} AS prgp FROM v JOIN equipe USING (id_equipe)
+QUALIFY ROW_NUMBER() OVER (PARTITION BY id_equipe ORDER BY progression_passe DESC NULLS FIRST, id_joueur_reference) = 1
+ORDER BY prgp DESC NULLS FIRST, nom_equipe
 """,
 )
 def c10(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,36 +274,21 @@ def consolidated_shortlist(s, by: str) -> DataFrame:
 
 def _shortlist_sql(by: str) -> str:
     if by == "id":
-        src = "JOIN salaire_source s ON s.id_joueur = v.id_joueur_reference"
-        cap = "AND s.salaire_annuel <= {cap}"
-        sal = ""
+        pay = "(SELECT id_joueur AS cle, salaire_annuel FROM salaire_source WHERE salaire_annuel <= {cap}) p ON cle = id_joueur_reference"
     else:
-        sal = (
-            "salaires_consolides AS (SELECT lower(trim(nom_joueur)) AS k, MIN(salaire_annuel) AS salaire_annuel "
-            "FROM salaire_source WHERE salaire_annuel <= {cap} GROUP BY lower(trim(nom_joueur))),"
+        pay = (
+            "(SELECT lower(trim(nom_joueur)) AS cle, min(salaire_annuel) AS salaire_annuel FROM salaire_source "
+            "WHERE salaire_annuel <= {cap} GROUP BY cle) p ON cle = lower(trim(v.nom_joueur || ' ' || nom_equipe))"
         )
-        src = "JOIN salaires_consolides s ON s.k = lower(trim(v.nom_joueur || ' ' || e.nom_equipe))"
-        cap = ""
     return f"""
-WITH {sal}
-candidats AS (
-  SELECT v.nom_joueur, {teams()} AS equipes,
-         round(CAST(CAST(MIN(s.salaire_annuel) AS DOUBLE) / {{unit}} AS DECIMAL(38,10)), 2) AS salaire_millions_euros,
-         SUM(v.buts) AS buts, SUM(v.progression_passe) AS prgp,
-         CAST(floor(CAST(CAST(SUM(v.progression_passe) AS DOUBLE) / NULLIF(SUM(v.buts), 0) AS DECIMAL(38,10)))
-              AS INTEGER) AS ratio
-  FROM v JOIN equipe e ON v.id_equipe = e.id_equipe
-  {src}
-  WHERE v.code_position LIKE '{{attack}}' {cap}
-  GROUP BY v.nom_joueur
-  HAVING SUM(v.buts) >= {{goals_min}}),
-classement AS (
-  SELECT ROW_NUMBER() OVER (ORDER BY buts DESC NULLS FIRST, ratio ASC NULLS LAST, prgp ASC NULLS LAST,
-                                     nom_joueur) AS rang, *
-  FROM candidats)
-SELECT {big('rang')} AS rang, nom_joueur, equipes, {dbl('salaire_millions_euros')} AS salaire_millions_euros,
-       {big('buts')} AS buts, {dbl('prgp')} AS prgp, {big('ratio')} AS ratio
-FROM classement WHERE rang <= 10
+WITH by_name AS (
+  SELECT v.nom_joueur, {teams('nom_equipe')} AS equipes, min(salaire_annuel) AS paie, sum(v.buts) AS buts, sum(progression_passe) AS prgp
+  FROM v JOIN equipe USING (id_equipe) JOIN {pay}
+  WHERE code_position LIKE '{{attack}}' GROUP BY v.nom_joueur)
+SELECT {big("row_number() OVER (ORDER BY buts DESC NULLS FIRST, " + floor_ratio('prgp', 'buts') + " NULLS LAST, prgp NULLS LAST, nom_joueur)")} AS rang,
+       nom_joueur, equipes, {dbl(sratio('paie', '{unit}'))} AS salaire_millions_euros, {big('buts')} AS buts, {dbl('prgp')} AS prgp,
+       {big(floor_ratio('prgp', 'buts'))} AS ratio
+FROM by_name WHERE buts >= {{goals_min}} ORDER BY rang LIMIT 10
 """
 
 

@@ -18,10 +18,10 @@ from touchline.plans.model import PERFORMANCE as PERFORMANCE_COLUMNS
 from touchline.plans.model import PROGRESSION, REFERENCE_YEAR, TEMPS_DE_JEU, Season, conform, season
 from touchline.plans.registry import register
 from touchline.plans.sqltext import big, dbl, ratio as sratio
-from touchline.session import scratch_path
+from touchline.session import drop_path, ensure_checkpoint_dir, scratch_path
 from touchline.sources.delimited import load_delimited, write_delimited
 from touchline.sources.layouts import ATTENDU, LOAD_ORDER, PERFORMANCE
-from touchline.sources.tables import catalog_listing, read_tables, register_views, reload_tables
+from touchline.sources.tables import read_tables, reload_tables
 
 # ---------------------------------------------------------------------------
 # Data-quality rules, stated once and used for both the Spark job and its SQL.
@@ -326,7 +326,7 @@ WITH fixes AS (
   FROM salaire_source WHERE matched_pass = 2 GROUP BY id_joueur)
 SELECT CAST(j.id_joueur AS BIGINT) AS id_joueur, j.nom_joueur,
        CAST(COALESCE(CAST(f.fix AS INTEGER), j.annee_naissance) AS BIGINT) AS annee_naissance,
-       j.code_position, CAST(j.id_equipe AS BIGINT) AS id_equipe
+       j.code_position, j.id_equipe
 FROM joueur j LEFT JOIN fixes f ON j.id_joueur = f.id_joueur
 """,
 )
@@ -337,6 +337,28 @@ def apply_corrections_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(fixed)
 
 
+_GAPS_SQL = "CASE WHEN id_joueur % 7 = 0 THEN NULL ELSE annee_naissance END"
+
+
+@register(
+    "apply_corrections_fill",
+    f"""
+WITH fixes AS (
+  SELECT id_joueur, max(CAST({{year}} - age AS VARCHAR)) AS fix
+  FROM salaire_source WHERE matched_pass = 2 GROUP BY id_joueur)
+SELECT CAST(j.id_joueur AS BIGINT) AS id_joueur, j.nom_joueur,
+       CAST(COALESCE({_GAPS_SQL.replace("id_joueur", "j.id_joueur")}, CAST(f.fix AS INTEGER)) AS BIGINT) AS annee_naissance,
+       j.code_position, j.id_equipe
+FROM joueur j LEFT JOIN fixes f ON j.id_joueur = f.id_joueur
+""",
+)
+def apply_corrections_fill_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hub with gaps in the birth years: corrections fill them where one is documented, other gaps stay."""
+    s = season(spark, sf_dir)
+    gaps = s.joueur.withColumn("annee_naissance", F.expr(_GAPS_SQL))
+    return conform(apply_corrections(gaps, _age_corrections(s), "id_joueur", ["annee_naissance"], mode="fill"))
+
+
 def _duplicates(s: Season) -> DataFrame:
     """Hub rows merged into another row by consolidation (not the group's lowest id)."""
     refs = s.consolidated.select(F.col("id_joueur_reference").alias("id_joueur"))
@@ -441,6 +463,14 @@ def reconcile_ambiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Files: export in the delivered layout and load back.
 
 
+def _taken(loaded: DataFrame, path: str) -> DataFrame:
+    """The loaded rows, checkpointed; the file they came from is removed."""
+    ensure_checkpoint_dir(loaded.sparkSession)
+    out = loaded.checkpoint(eager=True)
+    drop_path(loaded.sparkSession, path)
+    return out
+
+
 def _performance_file(s: Season) -> DataFrame:
     # Columns 3, 9 and 10 of the file: goals + assists, team id, team name
     # (informational: a row whose player or team is unknown is still written).
@@ -465,7 +495,7 @@ def load_delimited_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = season(spark, sf_dir)
     path = scratch_path(spark, "performance_csv")
     write_delimited(_performance_file(s), path, PERFORMANCE)
-    return conform(load_delimited(spark, path, PERFORMANCE))
+    return conform(_taken(load_delimited(spark, path, PERFORMANCE), path))
 
 
 @register(
@@ -483,7 +513,7 @@ def coerce_decimal_comma_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The delivered total column is not trusted: write a different value there.
     delivered = s.attendu.withColumn("_f4", F.col("npxg_xag") + F.lit(1))
     write_delimited(delivered, path, ATTENDU)
-    loaded = load_delimited(spark, path, ATTENDU)
+    loaded = _taken(load_delimited(spark, path, ATTENDU), path)
     return conform(loaded.withColumn("npxg_xag", F.col("npxg") + F.col("xag")))
 
 
@@ -509,12 +539,21 @@ def load_season(spark: SparkSession, s: Season, root: str) -> dict[str, str]:
     ``lineitem`` is aggregated once per load, not once per fact: the
     season's persisted aggregate, or a staged copy when it is not persisted.
     """
-    stats = None
+    staged = None
     if not s.keep:
-        staged = f"{root.rstrip('/')}/_staging_stats"
-        s.stats.write.mode("overwrite").parquet(staged)
-        stats = spark.read.parquet(staged)
-    return reload_tables(_model_tables(s, stats), root, LOAD_ORDER)
+        staged = scratch_path(spark, "staging_stats")
+        s.stats.write.parquet(staged)
+    try:
+        return reload_tables(_model_tables(s, spark.read.parquet(staged) if staged else None), root, LOAD_ORDER)
+    finally:
+        if staged:
+            drop_path(spark, staged)
+
+
+def _content(table: str, df: DataFrame) -> DataFrame:
+    """Row count and an order-free content hash of a stored table."""
+    h = F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
+    return df.agg(F.count(F.lit(1)).alias("nombre_lignes"), h.alias("contenu")).select(F.lit(table).alias("table_name"), "*")
 
 
 _COUNTS_SQL = _union_sql([f"SELECT '{t}' AS table_name, count(*) AS nombre_lignes FROM {t}" for t in LOAD_ORDER])
@@ -534,30 +573,17 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("reload_idempotent", _COUNTS_SQL)
 def reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load every table twice (overwrite, dimensions first) and count what is stored."""
+    """Load every table twice (overwrite, dimensions first): what is stored, and only if both loads left the same content."""
     s = season(spark, sf_dir)
+    ensure_checkpoint_dir(spark)
     root = scratch_path(spark, "season")
-    load_season(spark, s, root)
-    paths = load_season(spark, s, root)
-    stored = read_tables(spark, paths)
-    counts = [
-        stored[t].agg(F.count(F.lit(1)).alias("nombre_lignes")).select(F.lit(t).alias("table_name"), "nombre_lignes")
-        for t in LOAD_ORDER
-    ]
-    return reduce(DataFrame.unionByName, counts)
-
-
-@register(
-    "catalog_listing",
-    "SELECT table_name FROM (VALUES "
-    + ", ".join(f"('{t}')" for t in sorted(LOAD_ORDER))
-    + ") t(table_name)",
-)
-def catalog_listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables of the season model registered as views, as listed by the catalogue."""
-    s = season(spark, sf_dir)
-    register_views(_model_tables(s))
-    return catalog_listing(spark, LOAD_ORDER)
+    first, second = (
+        reduce(DataFrame.unionByName, [_content(t, df) for t, df in read_tables(spark, load_season(spark, s, root)).items()])
+        .checkpoint(eager=True)
+        for _ in range(2)
+    )
+    drop_path(spark, root)
+    return second.join(first, ["table_name", "nombre_lignes", "contenu"], "left_semi").drop("contenu")
 
 
 @register("export_results", f"SELECT e.nom_equipe, {big('SUM(p.buts)')} AS total_buts FROM equipe e "
@@ -571,24 +597,28 @@ def export_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = [Field("nom_equipe", "nom_equipe"), Field("total_buts", "total_buts", "bigint")]
     path = scratch_path(spark, "export_q01")
     write_delimited(q01(spark, sf_dir), path, layout, bom=False)
-    return load_delimited(spark, path, layout)
+    return _taken(load_delimited(spark, path, layout), path)
 
 
 # ---------------------------------------------------------------------------
 # Smoke and document checks.
 
 
-@register("preview")
+@register("preview", "SELECT * REPLACE (CAST(annee_naissance AS BIGINT) AS annee_naissance) FROM joueur ORDER BY id_joueur LIMIT 10")
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten hub rows (``SELECT * ... LIMIT 10``; which ten is unspecified)."""
-    return conform(season(spark, sf_dir).joueur.limit(10))
+    """Ten hub rows, the first by id."""
+    return conform(top_k(season(spark, sf_dir).joueur, [asc("id_joueur")], 10))
 
 
-@register("simple_join")
+@register(
+    "simple_join",
+    "SELECT nom_joueur, nom_equipe FROM joueur JOIN equipe USING (id_equipe) ORDER BY id_joueur LIMIT 10",
+)
 def simple_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten players with their team name (unordered LIMIT)."""
+    """Ten players with their team name, the first by id."""
     s = season(spark, sf_dir)
-    return s.joueur.join(s.equipe, "id_equipe").select("nom_joueur", "nom_equipe").limit(10)
+    df = s.joueur.join(s.equipe, "id_equipe").select("id_joueur", "nom_joueur", "nom_equipe")
+    return top_k(df, [asc("id_joueur")], 10).drop("id_joueur")
 
 
 @register(
@@ -609,7 +639,7 @@ def perf_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "top_k",
     """
-SELECT j.nom_joueur, e.nom_equipe, CAST(t.minutes_jouees AS BIGINT) AS minutes_jouees
+SELECT j.nom_joueur, e.nom_equipe, CAST(t.minutes_jouees AS DOUBLE) AS minutes_jouees
 FROM joueur j JOIN equipe e ON j.id_equipe = e.id_equipe JOIN temps_de_jeu t ON j.id_joueur = t.id_joueur
 ORDER BY t.minutes_jouees DESC, j.id_joueur LIMIT 10
 """,
@@ -637,7 +667,7 @@ def share_of_total_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _HUB_SQL = ("CAST(id_joueur AS BIGINT) AS id_joueur, nom_joueur, CAST(annee_naissance AS BIGINT) AS annee_naissance, "
-            "code_position, CAST(id_equipe AS BIGINT) AS id_equipe")
+            "code_position, id_equipe")
 
 
 @register(
@@ -670,13 +700,10 @@ def missing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Players without performance / without playing-time rows (anti joins)."""
     s = season(spark, sf_dir)
     hub = s.joueur
-    no_perf = hub.join(s.performance.select("id_joueur"), "id_joueur", "left_anti")
-    no_time = hub.join(s.temps_de_jeu.select("id_joueur"), "id_joueur", "left_anti")
-    return conform(
-        no_perf.select(F.lit("performance").alias("fait_manquant"), *hub.columns).unionByName(
-            no_time.select(F.lit("temps_de_jeu").alias("fait_manquant"), *hub.columns)
-        )
-    )
+    # Both fact tables are projections of one aggregate: one anti join, two labels.
+    without = hub.join(s.stats.select("id_joueur"), "id_joueur", "left_anti")
+    labels = F.explode(F.array(F.lit("performance"), F.lit("temps_de_jeu")))
+    return conform(without.select(labels.alias("fait_manquant"), *hub.columns))
 
 
 @register(

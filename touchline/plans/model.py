@@ -5,7 +5,7 @@ player fact tables and an external salary source) is derived from the
 driver's tables:
 
 * hub ``joueur``      <- ``part`` (one row per part)
-* dim ``equipe``      <- distinct ``p_brand``; dim ``position`` <- distinct ``p_type``
+* dim ``equipe``      <- distinct ``p_brand`` (its own key); dim ``position`` <- distinct ``p_type``
 * facts               <- ``lineitem`` aggregated per ``l_partkey`` (one pass)
 * ``salaire_source``  <- ``part`` re-keyed and re-spelled, then reconciled
 
@@ -18,6 +18,7 @@ partitioned on the player id, so the hub join only shuffles ``part``.
 from __future__ import annotations
 
 import threading
+from contextlib import contextmanager
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -30,6 +31,7 @@ from touchline.operators.consolidate import consolidate
 from touchline.operators.derive import generated_columns
 from touchline.operators.joins import DIM_BROADCAST_MAX_ROWS, HOT_KEY_MIN_ROWS, bounded_rows
 from touchline.operators.reconcile import reconcile
+from touchline.session import scratch_path
 
 # ---------------------------------------------------------------------------
 # Fixed values of the mapping onto the driver tables.
@@ -60,6 +62,7 @@ RAW_LABEL_COMPARISONS = "joueur brut"
 CONSOLIDATED_LABEL = "joueurs consolidés"
 # ---------------------------------------------------------------------------
 
+# The measures of each fact table, and the consolidated sums, in column order.
 PERFORMANCE = [
     "buts",
     "passes_decisives",
@@ -94,17 +97,10 @@ CONSOLIDATED_MEASURES = [
 ]
 CONSOLIDATION_KEYS = ["nom_joueur", "code_position", "id_equipe"]
 
+# Line amounts are taken as DECIMAL(18,2) and summed without narrowing: SUM
+# widens to DECIMAL(28,2).
 MONEY = "decimal(18,2)"
-# Line-level amounts (discount, tax, extended price < 10^6) are cast to
-# DECIMAL(8,2): their sums are DECIMAL(18,2), which Spark keeps in a long
-# (an exact sum about 2.5x faster than with a DECIMAL(28,2) buffer).  A
-# per-part sum still holds up to 10^16, i.e. a third of all revenue at 100 TB.
-LINE_MONEY = "decimal(8,2)"
-
-
-def team_id(brand: Column) -> Column:
-    """Numeric team id carried by a brand label (``Brand#17`` -> 17)."""
-    return F.regexp_extract(brand, r"([0-9]+)", 1).cast("int")
+MINUTES = "decimal(30,2)"
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -128,17 +124,17 @@ def conform(df: DataFrame) -> DataFrame:
 class Season:
     """Lazily built DataFrames of the season model for one data folder.
 
-    Three derived tables are the "loaded" model that every question reads:
-    the fact aggregate, the reconciled salary source and the consolidated
-    view.  They are persisted (memory, spilling to disk) the first time a
-    query computes them, as the source loads its tables once and then runs
-    its questions; the hub and the driver tables are read from the files so
-    that filters keep reaching the parquet scans.  A lost block is rebuilt
-    from its short lineage (one aggregation).  :meth:`release` frees them.
+    With ``keep`` the three derived tables that every question reads (the
+    fact aggregate, the reconciled salary source and the consolidated view)
+    are persisted (memory, spilling to disk) the first time a query computes
+    them; a lost block is rebuilt from its short lineage (one aggregation)
+    and :meth:`release` frees them.  Without it (the default) each question
+    is planned from the files and prunes the aggregate to the measures it
+    uses.  ``hot_key_rows`` is the plan-only hot-key threshold.
     """
 
     def __init__(
-        self, spark: SparkSession, sf_dir: str, keep: bool = True, hot_key_rows: int = HOT_KEY_MIN_ROWS
+        self, spark: SparkSession, sf_dir: str, keep: bool = False, hot_key_rows: int = HOT_KEY_MIN_ROWS
     ):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
@@ -155,7 +151,7 @@ class Season:
         return kept
 
     def release(self) -> None:
-        """Unpersist the loaded model tables."""
+        """Unpersist the loaded model tables and the dimension values."""
         for df in self._kept:
             df.unpersist()
         self._kept.clear()
@@ -175,22 +171,27 @@ class Season:
         per brand and per type) is cached.
         """
         part = self.table("part")
-        return (
-            part.groupingSets([["p_brand"], ["p_type"]], "p_brand", "p_type")
-            .agg(F.grouping_id().alias("__level"))
-            .cache()
-        )
+        values = part.groupingSets([["p_brand"], ["p_type"]], "p_brand", "p_type").agg(F.grouping_id().alias("__level"))
+        values = values.cache()
+        self._kept.append(values)
+        return values
 
     def _dim(self, df: DataFrame) -> DataFrame:
-        # A dimension is the distinct values of a low-cardinality column;
-        # it is broadcast only after its row count is checked.
-        return F.broadcast(df) if bounded_rows(df, DIM_BROADCAST_MAX_ROWS) else df
+        # A dimension is the distinct values of a low-cardinality column; it
+        # is broadcast only after its row count is checked.  A larger one is
+        # written to the shared folder: joins with it then have plain shuffles
+        # on both sides, which adaptive execution splits at a hot key.
+        if bounded_rows(df, DIM_BROADCAST_MAX_ROWS):
+            return F.broadcast(df)
+        path = scratch_path(self.spark, "dimension")
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
 
     @cached_property
     def equipe(self) -> DataFrame:
         brands = self._dim_values.filter(F.col("__level") == 1)  # p_type aggregated away
         return self._dim(
-            brands.select(team_id(F.col("p_brand")).alias("id_equipe"), F.col("p_brand").alias("nom_equipe"))
+            brands.select(F.col("p_brand").alias("id_equipe"), F.col("p_brand").alias("nom_equipe"))
         )
 
     @cached_property
@@ -209,7 +210,7 @@ class Season:
             F.col("p_name").alias("nom_joueur"),
             (F.lit(REFERENCE_YEAR) - F.col("p_size")).alias("annee_naissance"),
             F.col("p_type").alias("code_position"),
-            team_id(F.col("p_brand")).alias("id_equipe"),
+            F.col("p_brand").alias("id_equipe"),
         )
 
     # -- facts --------------------------------------------------------------
@@ -217,14 +218,14 @@ class Season:
     def stats(self) -> DataFrame:
         """All fact measures per player id, from one aggregation of ``lineitem``."""
         li = self.table("lineitem")
-        disc = F.col("l_discount").cast(LINE_MONEY)
+        disc = F.col("l_discount").cast(MONEY)
         deep = F.col("l_discount") >= 0.08
         accepted = F.col("l_returnflag") == "A"
         agg = li.groupBy(F.col("l_partkey").alias("id_joueur")).agg(
             # temps_de_jeu
             F.count(F.lit(1)).alias("matchs_joues"),
             F.count_if(F.col("l_quantity") >= 45).alias("matchs_titulaires"),
-            F.sum(F.col("l_quantity").cast("int")).alias("minutes_jouees"),
+            F.sum(F.col("l_quantity").cast(MONEY)).alias("minutes_jouees"),
             # performance
             F.count_if(deep).alias("buts"),
             F.count_if(F.col("l_tax") >= 0.06).alias("passes_decisives"),
@@ -234,21 +235,21 @@ class Season:
             F.count_if((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")).alias("cartons_jaunes"),
             F.count_if(F.col("l_returnflag") == "R").alias("cartons_rouges"),
             # attendu
-            F.sum(disc).cast(MONEY).alias("xg"),
-            F.sum(F.when(~accepted, disc).otherwise(F.lit(0).cast(LINE_MONEY))).cast(MONEY).alias("npxg"),
-            F.sum(F.col("l_tax").cast(LINE_MONEY)).cast(MONEY).alias("xag"),
+            F.sum(disc).alias("xg"),
+            F.sum(F.when(~accepted, disc).otherwise(F.lit(0).cast(MONEY))).alias("npxg"),
+            F.sum(F.col("l_tax").cast(MONEY)).alias("xag"),
             # progression
             F.count_if(F.col("l_linenumber") == 1).alias("progression_conduite"),
-            F.sum(F.col("l_extendedprice").cast(LINE_MONEY)).cast(MONEY).alias("progression_passe"),
+            F.sum(F.col("l_extendedprice").cast(MONEY)).alias("progression_passe"),
             F.count_if(F.col("l_linestatus") == "O").alias("progression_course"),
         )
-        agg = agg.withColumn("matchs_90", F.round(exact_div("minutes_jouees", F.lit(90)), 2).cast("decimal(12,2)"))
+        agg = agg.withColumn("matchs_90", F.round(exact_div("minutes_jouees", F.lit(90)), 2).cast(MINUTES))
         return self._keep(
             generated_columns(
                 agg,
                 {
                     "buts_plus_passes": F.col("buts") + F.col("passes_decisives"),
-                    "npxg_xag": (F.col("npxg") + F.col("xag")).cast(MONEY),
+                    "npxg_xag": F.col("npxg") + F.col("xag"),
                 },
             )
         )
@@ -336,21 +337,28 @@ class Season:
         )
 
 
-_SEASONS: dict[tuple[str, str], Season] = {}
+_OPEN: dict[tuple[str, str], Season] = {}
 _LOCK = threading.Lock()
 
 
-def season(
-    spark: SparkSession, sf_dir: str, keep: bool = True, hot_key_rows: int = HOT_KEY_MIN_ROWS
-) -> Season:
-    """The memoised :class:`Season` of a data folder for this application.
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return (spark.conf.get("spark.app.id", None) or str(id(spark)), sf_dir.rstrip("/"))
 
-    On first use of a folder, ``keep=False`` plans every question from the
-    raw tables without persisting the loaded model, and ``hot_key_rows``
-    sets the row count from which a matching key is split off as hot.
-    """
-    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), sf_dir.rstrip("/"))
+
+def season(spark: SparkSession, sf_dir: str) -> Season:
+    """The opened :class:`Season` of a data folder, else a new one that reads the files as they are now."""
+    return _OPEN.get(_key(spark, sf_dir)) or Season(spark, sf_dir)
+
+
+@contextmanager
+def opened(s: Season):
+    """While open, every question about the season's folder uses ``s`` (e.g. one that keeps its tables)."""
+    key = _key(s.spark, s.sf_dir)
     with _LOCK:
-        if key not in _SEASONS:
-            _SEASONS[key] = Season(spark, sf_dir, keep=keep, hot_key_rows=hot_key_rows)
-        return _SEASONS[key]
+        before, _OPEN[key] = _OPEN.get(key), s
+    try:
+        yield s
+    finally:
+        with _LOCK:
+            _OPEN.pop(key) if before is None else _OPEN.__setitem__(key, before)
+        s.release()

@@ -48,21 +48,18 @@ PARAMS = {
 # on the decimal; the recipes divide in wide decimals.
 MODEL_SQL = """
 equipe AS (
-  SELECT DISTINCT CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS id_equipe,
-         p_brand AS nom_equipe
-  FROM part),
+  SELECT DISTINCT p_brand AS id_equipe, p_brand AS nom_equipe FROM part),
 position AS (
   SELECT DISTINCT p_type AS code_position, lower(p_type) AS libelle_position FROM part),
 joueur AS (
   SELECT p_partkey AS id_joueur, p_name AS nom_joueur, {year} - p_size AS annee_naissance,
-         p_type AS code_position,
-         CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS id_equipe
+         p_type AS code_position, p_brand AS id_equipe
   FROM part),
 stats0 AS (
   SELECT l_partkey AS id_joueur,
          count(*) AS matchs_joues,
          count_if(l_quantity >= 45) AS matchs_titulaires,
-         CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS minutes_jouees,
+         sum(CAST(l_quantity AS DECIMAL(18,2))) AS minutes_jouees,
          count_if(l_discount >= 0.08) AS buts,
          count_if(l_tax >= 0.06) AS passes_decisives,
          count_if(l_discount >= 0.08 AND l_returnflag <> 'A') AS buts_hors_penalties,
@@ -70,19 +67,18 @@ stats0 AS (
          count_if(l_returnflag = 'A') AS penalties_tentes,
          count_if(l_returnflag = 'N' AND l_linestatus = 'O') AS cartons_jaunes,
          count_if(l_returnflag = 'R') AS cartons_rouges,
-         CAST(sum(CAST(l_discount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS xg,
-         CAST(sum(CASE WHEN l_returnflag <> 'A' THEN CAST(l_discount AS DECIMAL(18,2)) ELSE 0 END)
-              AS DECIMAL(18,2)) AS npxg,
-         CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS xag,
+         sum(CAST(l_discount AS DECIMAL(18,2))) AS xg,
+         sum(CASE WHEN l_returnflag <> 'A' THEN CAST(l_discount AS DECIMAL(18,2)) ELSE 0 END) AS npxg,
+         sum(CAST(l_tax AS DECIMAL(18,2))) AS xag,
          count_if(l_linenumber = 1) AS progression_conduite,
-         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS progression_passe,
+         sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS progression_passe,
          count_if(l_linestatus = 'O') AS progression_course
   FROM lineitem GROUP BY l_partkey),
 stats AS (
   SELECT *,
-         CAST(round(CAST(minutes_jouees / 90 AS DECIMAL(38,10)), 2) AS DECIMAL(12,2)) AS matchs_90,
+         CAST(round(CAST(minutes_jouees / 90 AS DECIMAL(38,10)), 2) AS DECIMAL(30,2)) AS matchs_90,
          buts + passes_decisives AS buts_plus_passes,
-         CAST(npxg + xag AS DECIMAL(18,2)) AS npxg_xag
+         npxg + xag AS npxg_xag
   FROM stats0),
 performance AS (
   SELECT id_joueur, buts, passes_decisives, buts_hors_penalties, penalties_marques, penalties_tentes,

@@ -28,3 +28,7 @@ def big(x: str) -> str:
 def teams(x: str = "e.nom_equipe") -> str:
     """STRING_AGG(DISTINCT x, ', ') in byte order."""
     return f"string_agg(DISTINCT {x}, ', ' ORDER BY {x})"
+
+
+def floor_ratio(num: str, den: str) -> str:
+    return f"CAST(floor(CAST(CAST({num} AS DOUBLE) / NULLIF({den}, 0) AS DECIMAL(38,10))) AS INTEGER)"

@@ -14,12 +14,13 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local runs, tests) is a folder of our
-    own chosen and recorded on the session; a cluster's setting is never
-    replaced.
+    Only a local session (one machine) without the setting gets a folder of
+    our own, recorded on the session; on a cluster the setting is required.
     """
     root = spark.conf.get(_CHECKPOINT_KEY, None) or _context_dir(spark)
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="touchline-ckpt-")
         _set_context_dir(spark, root)
         root = _context_dir(spark) or root
@@ -49,12 +50,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for written tables."""
+    """A fresh path under the shared checkpoint folder for written tables (:func:`drop_path` removes it)."""
     root = checkpoint_root(spark)
     sep = "" if root.endswith("/") else "/"
     return f"{root}{sep}touchline/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a written folder through Spark's own file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "touchline") -> SparkSession:
     """A local session for tests and the benchmark."""
     spark = (

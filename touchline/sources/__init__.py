@@ -2,13 +2,12 @@
 
 from touchline.sources.delimited import Field, load_delimited, parse_failures, read_text, typed, write_delimited
 from touchline.sources.layouts import LAYOUTS, LOAD_ORDER
-from touchline.sources.tables import catalog_listing, read_tables, register_views, reload_tables
+from touchline.sources.tables import read_tables, register_views, reload_tables
 
 __all__ = [
     "Field",
     "LAYOUTS",
     "LOAD_ORDER",
-    "catalog_listing",
     "load_delimited",
     "parse_failures",
     "read_tables",

@@ -2,7 +2,10 @@
 
 Files are UTF-8 (a byte-order mark may precede the header), ``;``-separated,
 with a header line, decimal commas and empty fields meaning NULL.  Columns
-are bound by position; the header is only checked for its column count.
+are bound by position; a line with more or fewer fields aborts the read.
+Quotes are doubled inside quoted fields, a backslash is an ordinary
+character, and blanks are kept.  A line break inside a quoted field needs
+``multi_line`` (such a file cannot be split into several tasks).
 Loading is two steps, as with a text staging table: every field is read as
 a string, then cast to its type.  With ANSI casts (Spark's default) a value
 that does not parse aborts the job, like the original typed insert; the
@@ -20,6 +23,13 @@ from pyspark.sql import types as T
 
 BOM = "\ufeff"
 
+# Writing keeps every character: blanks, quotes (doubled), backslashes, line breaks.
+# An empty string is written quoted, NULL as nothing.
+LOSSLESS = {
+    "quote": '"', "escape": '"', "emptyValue": '""', "nullValue": "",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
 
 @dataclass(frozen=True)
 class Field:
@@ -32,7 +42,8 @@ class Field:
 
 
 def read_text(
-    spark: SparkSession, path: str | Sequence[str], fields: Sequence[Field], sep: str = ";", header: bool = True
+    spark: SparkSession, path: str | Sequence[str], fields: Sequence[Field], sep: str = ";", header: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """All columns as strings, bound by position; empty field -> NULL; malformed line -> error."""
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(fields))])
@@ -43,17 +54,19 @@ def read_text(
         .option("enforceSchema", True)
         .option("mode", "FAILFAST")
         .option("encoding", "UTF-8")
+        .option("columnPruning", False)  # else a query that drops columns skips the width check
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .csv(path)
     )
 
 
 def coerce(raw: Column, field: Field, permissive: bool = False) -> Column:
-    """``TRIM(x)::type`` (``REPLACE(x, ',', '.')`` first for decimal commas)."""
+    """``x::type`` (``REPLACE(x, ',', '.')`` first for decimal commas); casts ignore outer blanks, as the server's do."""
     if field.type == "string":
         return raw
-    text = F.trim(raw)
-    if field.decimal_comma:
-        text = F.regexp_replace(text, ",", ".")
+    text = F.replace(raw, F.lit(","), F.lit(".")) if field.decimal_comma else raw
     return text.try_cast(field.type) if permissive else text.cast(field.type)
 
 
@@ -71,9 +84,10 @@ def load_delimited(
     sep: str = ";",
     header: bool = True,
     permissive: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read a delimited file set into a typed DataFrame (see module doc)."""
-    return typed(read_text(spark, path, fields, sep, header), fields, permissive)
+    return typed(read_text(spark, path, fields, sep, header, multi_line), fields, permissive)
 
 
 def parse_failures(text_df: DataFrame, fields: Sequence[Field]) -> DataFrame:
@@ -91,7 +105,7 @@ def parse_failures(text_df: DataFrame, fields: Sequence[Field]) -> DataFrame:
 
 def _render(c: Column, f: Field) -> Column:
     text = c.cast("string")
-    return F.regexp_replace(text, r"\.", ",") if f.decimal_comma else text
+    return F.replace(text, F.lit("."), F.lit(",")) if f.decimal_comma else text
 
 
 def write_delimited(
@@ -117,7 +131,6 @@ def write_delimited(
         .write.mode(mode)
         .option("sep", sep)
         .option("header", True)
-        .option("emptyValue", "")
-        .option("nullValue", "")
+        .options(**LOSSLESS)
         .csv(path)
     )

@@ -68,7 +68,7 @@ ATTENDU = [
 PROGRESSION = [
     Field("ID", "id_joueur", "bigint"),
     Field("PrgC", "progression_conduite", "int"),
-    Field("PrgP", "progression_passe", "decimal(18,2)", decimal_comma=True),
+    Field("PrgP", "progression_passe", "bigint"),
     Field("PrgR", "progression_course", "int"),
 ]
 
@@ -76,7 +76,7 @@ SALAIRE_SOURCE = [
     Field("ID joueurs", "id_joueur_source", "bigint"),
     Field("Joueur", "nom_joueur"),
     Field("Âge", "age", "int"),
-    Field("Salaires annuels", "salaire_annuel", "decimal(12,2)", decimal_comma=True),
+    Field("Salaires annuels", "salaire_annuel", "decimal(12,2)"),
     Field("Notes", "note_source"),
 ]
 

@@ -18,23 +18,23 @@ def _s(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
 
 
 L, I, S = T.LongType(), T.IntegerType(), T.StringType()
-D2 = T.DecimalType(18, 2)
+SUM2 = T.DecimalType(28, 2)  # sums of DECIMAL(18,2) amounts, not narrowed
 
-EQUIPE = _s(("id_equipe", I, True), ("nom_equipe", S, True))
+EQUIPE = _s(("id_equipe", S, True), ("nom_equipe", S, True))
 POSITION = _s(("code_position", S, True), ("libelle_position", S, True))
 JOUEUR = _s(
     ("id_joueur", L, True),
     ("nom_joueur", S, True),
     ("annee_naissance", I, True),
     ("code_position", S, True),
-    ("id_equipe", I, True),
+    ("id_equipe", S, True),
 )
 TEMPS_DE_JEU = _s(
     ("id_joueur", L, True),
     ("matchs_joues", L, False),
     ("matchs_titulaires", L, False),
-    ("minutes_jouees", L, True),
-    ("matchs_90", T.DecimalType(12, 2), True),
+    ("minutes_jouees", SUM2, True),
+    ("matchs_90", T.DecimalType(30, 2), True),
 )
 PERFORMANCE = _s(
     ("id_joueur", L, True),
@@ -47,11 +47,11 @@ PERFORMANCE = _s(
     ("cartons_rouges", L, False),
     ("buts_plus_passes", L, False),
 )
-ATTENDU = _s(("id_joueur", L, True), ("xg", D2, True), ("npxg", D2, True), ("xag", D2, True), ("npxg_xag", D2, True))
+ATTENDU = _s(("id_joueur", L, True), ("xg", SUM2, True), ("npxg", SUM2, True), ("xag", SUM2, True), ("npxg_xag", T.DecimalType(29, 2), True))
 PROGRESSION = _s(
     ("id_joueur", L, True),
     ("progression_conduite", L, False),
-    ("progression_passe", D2, True),
+    ("progression_passe", SUM2, True),
     ("progression_course", L, False),
 )
 SALAIRE_SOURCE = _s(

@@ -1,11 +1,10 @@
-"""Table sinks: idempotent reload of a table set, catalogue listing."""
+"""Table sinks: idempotent reload of a table set, views."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def reload_tables(
@@ -39,11 +38,3 @@ def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
     """Expose every table as a temporary view (``CREATE OR REPLACE VIEW``)."""
     for name, df in tables.items():
         df.createOrReplaceTempView(prefix + name)
-
-
-def catalog_listing(spark: SparkSession, names: Sequence[str] | None = None) -> DataFrame:
-    """Tables and views of the session catalogue as a DataFrame, by name."""
-    listed = spark.sql("SHOW TABLES").select(F.col("tableName").alias("table_name"))
-    if names is not None:
-        listed = listed.filter(F.col("table_name").isin(list(names)))
-    return listed.orderBy("table_name")
