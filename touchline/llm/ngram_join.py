@@ -162,7 +162,7 @@ def _assemble(percent: int):
     return run
 
 
-def shared_tokens(docs: DataFrame, words: int = 5, percent: int = 75, block_bytes: int = 8 << 20) -> DataFrame:
+def shared_tokens(docs: DataFrame, words: int = 5, percent: int = 75, block_bytes: int = 4 << 20) -> DataFrame:
     """Every row: doc_id, text_id, n_shingles, node (its set's id), prefix, tokens (its shared ones, if its prefix has any)."""
     buckets = 4 * shuffle_parts(docs.sparkSession)
     src = docs.select(F.col("doc_id").cast("long"), text_id().alias("text_id"), F.col("text").cast("string"))
