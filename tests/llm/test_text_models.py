@@ -87,6 +87,40 @@ def test_main_text(model, k):
     assert main_text(PAGES[k][0], model)[0] == PAGES[k][1]
 
 
+SHORT = "Short title here"
+LINKS = "".join(f"<li><a href=/x>Item {i}</a></li>" for i in range(6))
+LAYOUT_CASES = [
+("plain p's", f"<html><body><h1>{SHORT}</h1><p>{LOREM}</p><p>{LOREM}</p></body></html>", f"{SHORT} {LOREM} {LOREM}"),
+("div soup", f"<body><div class='top'><ul>{LINKS}</ul></div><div id='content'><p>{LOREM}</p><p>Ok</p><p>{LOREM}</p></div><div id='footer'>{LOREM}</div></body>", f"{LOREM} Ok {LOREM}"),
+("header site + article header", f"<body><header><h2>Site name</h2><nav><ul>{LINKS}</ul></nav></header><main><article><header><h1>{SHORT}</h1></header><p>{LOREM}</p></article></main><footer><p>{LOREM}</p></footer></body>", f"{SHORT} {LOREM}"),
+("notice div", f"<body><div class='notice'>We use cookies. {LOREM}</div><article><p>{LOREM}</p></article><div class='newsletter-signup'><form>{LOREM}<input></form></div></body>", LOREM),
+("aside sidebar in main", f"<body><main><p>{LOREM}</p><aside class='sidebar'><h3>{SHORT}</h3><p>{LOREM}</p><ul>{LINKS}</ul></aside><p>{LOREM}</p></main></body>", f"{LOREM} {LOREM}"),
+("comments after", f"<body><article><h1>{SHORT}</h1><p>{LOREM}</p></article><section id='comments'><h2>Comments</h2><div class='comment'><p>{LOREM}</p></div><div class='comment'><p>{LOREM}</p></div></section></body>", f"{SHORT} {LOREM}"),
+("comments inside article", f"<body><article><h1>{SHORT}</h1><p>{LOREM}</p><div class='comments'><h2>Comments</h2><div class='comment'><p>{LOREM}</p></div></div></article></body>", f"{SHORT} {LOREM}"),
+("lists, tables", f"<body><article><h1>{SHORT}</h1><ul><li>One thing</li><li>Two things</li></ul><table><tr><th>A</th><td>B</td></tr></table><blockquote>{LOREM}</blockquote><pre>x  y</pre></article></body>", f"{SHORT} One thing Two things A B {LOREM} x y"),
+("advert between", f"<body><article><p>{LOREM}</p><div class='ad-banner'><p>{LOREM}</p></div><div class='sponsored'>{LOREM}</div><p>{LOREM}</p></article></body>", f"{LOREM} {LOREM}"),
+("links in text", f"<body><article><p>See <a href=x>the long link text that goes on</a> and <a href=y>more</a>.</p><p>{LOREM}</p></article></body>", f"See the long link text that goes on and more. {LOREM}"),
+("form", f"<body><article><p>{LOREM}</p><form><label>Your name</label><input><button>Send</button><p>{LOREM}</p></form></article></body>", LOREM),
+("role", f"<body><div role='navigation'><ul>{LINKS}</ul></div><div role='main'><p>{LOREM}</p></div><div role='complementary'><p>{LOREM}</p></div></body>", LOREM),
+("empty article", f"<body><nav><ul>{LINKS}</ul></nav><article></article><footer>{LOREM}</footer></body>", ""),
+("only nav", f"<body><nav><ul>{LINKS}</ul></nav><footer>&copy; x</footer></body>", ""),
+("short article", f"<body><nav><ul>{LINKS}</ul></nav><article><h1>Hi</h1><p>Yes</p></article><footer>{LOREM}</footer></body>", "Hi Yes"),
+("one word article, ads", f"<body><nav><ul>{LINKS}</ul></nav><div class=ad>{LOREM}</div><article><p>Word</p></article><aside>{LOREM}</aside><footer>{LOREM}</footer></body>", "Word"),
+("section main", f"<body><div class=menu><ul>{LINKS}</ul></div><section class='main'><h2>{SHORT}</h2><p>{LOREM}</p></section><div class='related'><ul>{LINKS}</ul></div></body>", f"{SHORT} {LOREM}"),
+]
+
+
+@pytest.fixture(scope="module")
+def table_model(spark):
+    rows = spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").limit(200).collect()
+    return fit([r.html for r in rows])
+
+
+@pytest.mark.parametrize("case", LAYOUT_CASES, ids=[c[0] for c in LAYOUT_CASES])
+def test_unseen_layouts(table_model, case):
+    assert main_text(case[1], table_model)[0] == case[2]
+
+
 def test_messages_give_exact_marginals(model):
     page = Page("<div class=ad><p>one two</p><ul><li><a href=x>three</a></li></ul></div>")
     n, table = len(page.parent), model["node"]

@@ -39,6 +39,8 @@ STRUCTURE, CONTENT, CHROME, PROSE = 0, 1, 2, 3
 LABELS = 4
 #: Words of a leaf from which a boilerplate region counts as prose.
 PROSE_WORDS = 12
+#: Longer pages are not drawn into the training sample (they are extracted like all others).
+LONGEST_SAMPLE = 200_000
 # Tag classes of HTML, and words of class, id and role attributes by what they mark.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp svg math select object canvas audio video".split())
@@ -348,9 +350,9 @@ TEXTS_ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text",
 def extract(pages: DataFrame, sample: int = 200) -> DataFrame:
     """Every page: page_id, url, text, n_chars, n_blocks, confidence."""
     src = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    known = src.select("page_id").filter("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
-    chosen = src.join(F.broadcast(known.distinct()), "page_id").select(F.substring("html", 1, 100_000).alias("html")).limit(2 * sample)
-    model = pages.sparkSession.sparkContext.broadcast(fit(sorted(r["html"] for r in chosen.collect() if r["html"])))
+    usable = src.filter((F.col("page_id").isNotNull()) & (F.length("html") <= LONGEST_SAMPLE))
+    chosen = usable.orderBy(F.xxhash64("page_id"), F.xxhash64("html")).limit(sample).select("html")
+    model = pages.sparkSession.sparkContext.broadcast(fit(sorted(r["html"] for r in chosen.collect())))
 
     def run(batches):
         m = model.value

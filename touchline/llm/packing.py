@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -44,88 +45,73 @@ class ChunkEncoder:
     """Token ids of texts; every distinct blank-separated chunk is encoded once per worker.
 
     The tokenizer's pre-tokenizer drops white space and no token spans it, so a
-    text's ids are those of its chunks in order; letters and one closing mark
-    are separate pre-tokens, and ASCII letters are lower-cased by its
-    normalizer, so such chunks share their word's ids.  The store is emptied
-    beyond ``most`` chunks (a memory bound, not a limit on texts).
+    text's ids are those of its chunks in order.  Its normalizer lower-cases,
+    and letters and a closing mark are separate pre-tokens: a chunk of Latin
+    letters (with such a mark) is its lower-cased word's pieces (and the
+    mark's).  All other chunks go through the whole tokenizer.  The store is
+    emptied beyond ``most`` chunks (a memory bound, not a limit on texts).
     """
 
-    def __init__(self, tokenizer, most: int = 700_000) -> None:
-        self.tokenizer, self.most = tokenizer, most
+    def __init__(self, tokenizer, most: int = 1_000_000) -> None:
+        self.tokenizer, self.model, self.most = tokenizer, tokenizer.model, most
+        # letters as the byte-level pre-tokenizer writes them: bytes outside the printable ranges move up by 256
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        moved = [x for x in range(256) if x not in set(printable)]
+        self.bytes = {x: x for x in printable} | {x: 256 + k for k, x in enumerate(moved)}
+        self.marks = {m: tokenizer.encode(m, add_special_tokens=False).ids for m in ".,;:!?"}
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
-
-    def _put(self, chunk: str, ids: np.ndarray) -> None:
-        at = len(self.number)
-        if at == len(self.start):
-            self.start, self.length = np.resize(self.start, 2 * at), np.resize(self.length, 2 * at)
-        if self.used + len(ids) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.start[at], self.length[at] = self.used, len(ids)
-        self.used += len(ids)
-        self.number[chunk] = at
-
-    def _of(self, chunk: str) -> np.ndarray:
-        at = self.number[chunk]
-        return self.ids[self.start[at] : self.start[at] + self.length[at]]
-
-    def _encode(self, chunks: list[str]) -> None:
-        """Encode many chunks in few calls: joined by blanks, cut by the tokens' offsets."""
-        for lo in range(0, len(chunks), 2000):
-            part = chunks[lo : lo + 2000]
-            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(got.ids, np.uint32)
-            starts = np.cumsum([0] + [len(c) + 1 for c in part])
-            cut = np.searchsorted(np.array([a for a, _ in got.offsets], np.int64), starts)
-            for k, c in enumerate(part):
-                self._put(c, ids[cut[k] : cut[k + 1]])
-
-    @staticmethod
-    def _parts(chunk: str) -> tuple[str, ...]:
-        low = chunk.lower() if chunk.isascii() else chunk
-        if low[-1:] in (".", ",", ";", ":", "!", "?") and low[:-1].isalpha():
-            return low[:-1], low[-1]
-        return (low,)
-
-    def _learn(self, chunks: list[str]) -> None:
-        if "" not in self.number:
-            self._put("", np.zeros(0, np.uint32))
-        parts = {c: self._parts(c) for c in chunks if c}
-        self._encode(list(dict.fromkeys(p for ps in parts.values() for p in ps if p not in self.number)))
-        for c, ps in parts.items():
-            if c not in self.number:
-                self._put(c, np.concatenate([self._of(p) for p in ps]))
+        self.number: dict[str, int] = {"": 0}
+        self.start, self.length, self.ids = array("q", [0]), array("q", [0]), array("I")
+
+    def _put(self, chunk: str, start: int, length: int) -> int:
+        at = self.number[chunk] = len(self.start)
+        self.start.append(start)
+        self.length.append(length)
+        return at
+
+    def _learn(self, chunk: str) -> int:
+        """The number of an unknown chunk."""
+        mark = self.marks.get(chunk[-1])
+        bare = chunk[:-1] if mark else chunk
+        if not (bare.isalpha() and max(bare) < "\u0250" and "\u0130" not in bare):
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            self.ids.extend(ids)
+            return self._put(chunk, len(self.ids) - len(ids), len(ids))
+        word = bare.lower()
+        at = self.number.get(word)
+        if at is None:
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.bytes)
+            ids = [t.id for t in self.model.tokenize(shown)]
+            at = self._put(word, len(self.ids), len(ids))
+            self.ids.extend(ids)
+            self.ids.extend(self.marks["."])  # so that the word with a full stop lies there too
+        if chunk == word:
+            return at
+        start, length = self.start[at], self.length[at]
+        if mark and chunk[-1] != ".":
+            ids = self.ids[start : start + length]
+            start = len(self.ids)
+            self.ids.extend(ids)
+            self.ids.extend(mark)
+        return self._put(chunk, start, length + (len(mark) if mark else 0))
 
     def encode(self, text: str) -> np.ndarray:
-        if len(self.number) > self.most:
+        if len(self.start) > self.most:
             self.clear()
         chunks = text.replace("\n", " ").split(" ")
         number = self.number
         try:
             at = np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
         except KeyError:
-            self._learn(list(dict.fromkeys(c for c in chunks if c not in number)))
-            at = np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
-        n = self.length[at]
-        total = int(n.sum())
-        first = np.cumsum(n) - n
-        return self.ids[np.repeat(self.start[at] - first, n) + np.arange(total)]
-
-    def learn_all(self, texts) -> None:
-        """Encode the unknown chunks of many texts together (fewer, larger tokenizer calls)."""
-        if len(self.number) > self.most:
-            self.clear()
-        number, new = self.number, {}
-        for text in texts:
-            for c in text.replace("\n", " ").split(" "):
+            for c in chunks:
                 if c not in number:
-                    new[c] = None
-        self._learn(list(new))
+                    self._learn(c)
+            at = np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
+        start, n = np.frombuffer(self.start, np.int64)[at], np.frombuffer(self.length, np.int64)[at]
+        spot = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return np.frombuffer(self.ids, np.uint32)[spot] if len(spot) else np.zeros(0, np.uint32)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1, slots: int = 64) -> DataFrame:
@@ -141,9 +127,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: i
         encoder = kept[tokenizer_path]
         for batch in batches:
             out = [[], [], [], [], [], []]
-            for k, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
-                if k % 256 == 0:
-                    encoder.learn_all(t or "" for t in batch.column(1)[k : k + 256].to_pylist())
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = np.append(encoder.encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
                 for piece, lo in enumerate(range(0, len(ids), capacity)):
                     part = ids[lo : lo + capacity]
