@@ -22,7 +22,7 @@ def test_every_key_has_an_oracle_unless_rows_only():
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, smoke_dir, key):
     r = compare(spark, con, smoke_dir, key, QUERIES[key], ORACLE.get(key))
-    assert r["columns"] and r["values"], r
+    assert r["columns"] and r["values"] and r["order"], r
 
 
 def _plan(df) -> str:
@@ -36,6 +36,12 @@ def test_plan_stays_in_the_jvm_without_cartesian_products(spark, smoke_dir, key)
         assert node not in plan, f"{key}: {node}"
 
 
+def test_ordered_oracles_exist():
+    from touchline.oracle_check import is_ordered
+
+    assert {"q05", "q06", "q09", "q10", "q11", "q12", "q13", "q14", "c06", "c09", "c10", "c11", "preview", "top_k"} <= {k for k, v in ORACLE.items() if is_ordered(v)}
+
+
 def test_plan_shapes(spark, smoke_dir):
     assert "TakeOrderedAndProject" in _plan(QUERIES["q06"](spark, smoke_dir))
     assert "WindowGroupLimit" in _plan(QUERIES["c10"](spark, smoke_dir))

@@ -23,7 +23,7 @@ def edge_con(edge_dir):
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_edge_tables_match_oracle(spark, edge_con, edge_dir, key):
     r = compare(spark, edge_con, edge_dir, key, QUERIES[key], ORACLE[key])
-    assert r["columns"] and r["values"], r
+    assert r["columns"] and r["values"] and r["order"], r
 
 
 @pytest.fixture(scope="module")
@@ -49,4 +49,4 @@ def test_hot_key_split_path_matches_oracle(spark, edge_dir, edge_con):
         assert "__salt" in plan and plan.count("p_retailprice") >= 1 and "Union" not in plan
         for key in ("reconcile", "reconcile_summary", "reconcile_ambiguous", "q11", "q14", "c11", "d11", "delete_set_null", "delete_cascade"):
             r = compare(spark, edge_con, edge_dir, key, QUERIES[key], ORACLE[key])
-            assert r["columns"] and r["values"], r
+            assert r["columns"] and r["values"] and r["order"], r

@@ -1,8 +1,8 @@
 """Side-by-side check of a recipe against its SQL oracle (DuckDB).
 
 ``python -m touchline.oracle_check /root/testdata/sf0.01 [key ...]`` prints
-one line per key: row counts, column names and an order-insensitive exact
-comparison of the values.
+one line per key: row counts, column names, an exact comparison of the values,
+and of the row order where the oracle states one.
 """
 
 from __future__ import annotations
@@ -47,9 +47,23 @@ def _norm(v):
     return (2, str(v))
 
 
-def rows_of(columns, rows):
+def in_order(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
+    return [tuple(_norm(r[i]) for i in order) for r in rows]
+
+
+def rows_of(columns, rows):
+    return sorted(in_order(columns, rows))
+
+
+def is_ordered(sql: str) -> bool:
+    """Whether the statement itself (not a subquery or window) ends in ORDER BY."""
+    depth, flat = 0, []
+    for ch in sql:
+        depth += (ch == "(") - (ch == ")")
+        if depth == 0:
+            flat.append(ch)
+    return "ORDER BY" in "".join(flat)
 
 
 def compare(spark, con, sf_dir: str, key: str, recipe, sql: str | None):
@@ -71,6 +85,7 @@ def compare(spark, con, sf_dir: str, key: str, recipe, sql: str | None):
         "oracle_rows": len(o_rows),
         "columns": same_cols,
         "values": same_vals,
+        "order": same_vals and (not is_ordered(sql) or in_order(s_cols, s_rows) == in_order(o_cols, o_rows)),
         "sec": round(elapsed, 2),
     }
     if not same_cols:
@@ -97,7 +112,7 @@ def main(argv: list[str]) -> int:
             r = compare(spark, con, sf_dir, k, QUERIES[k], ORACLE.get(k))
         except Exception as e:  # report and continue with the next key
             r = {"key": k, "error": f"{type(e).__name__}: {str(e)[:300]}"}
-        ok = r.get("values", r.get("oracle") is None and "error" not in r)
+        ok = r.get("order", r.get("oracle") is None and "error" not in r)
         bad += 0 if ok else 1
         print(("OK  " if ok else "BAD ") + str(r), flush=True)
     print(f"{len(keys) - bad}/{len(keys)} ok")
