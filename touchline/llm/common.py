@@ -202,10 +202,15 @@ def unplanes(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Equal ranges of the (uniform) keys: the leading bytes of a bucket's sorted keys are nearly constant."""
+    return (((keys >> U64(32)) * U64(buckets)) >> U64(32)).astype(np.int64)
+
+
 def send(keys: np.ndarray, refs: np.ndarray, buckets: int, block: int, more: np.ndarray | None = None):
     """One row for each bucket that gets some of a block's keys, sorted by key; ``more`` goes along."""
     with_more = [] if more is None else [more]
-    to = ((keys >> U64(40)) % U64(buckets)).astype(np.int64)
+    to = bucket_of(keys, buckets)
     order = np.lexsort((keys, to))
     keys, refs, to, with_more = keys[order], refs[order], to[order], [m[order] for m in with_more]
     cuts = np.flatnonzero(np.diff(to)) + 1

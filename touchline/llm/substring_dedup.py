@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import (
-    ANSWER, ANSWER_ARROW, BLOCK, EXCHANGE, EXCHANGE_ARROW, KEYS, POLY, U64, Poly, block_row, mix, planes, read_block,
+    ANSWER, ANSWER_ARROW, BLOCK, EXCHANGE, EXCHANGE_ARROW, KEYS, POLY, U64, Poly, block_row, bucket_of, mix, planes, read_block,
     repeated_entries, rows_batch, saved, send, shuffle_parts, sliding_argmin, slices, span_hashes, text_buffer, text_id, unplanes, words_of,
 )
 from touchline.llm.suffix_dedup import SPANS, SPANS_ARROW, _union, _with_spans, merged_spans
@@ -151,7 +151,7 @@ def _windows(buckets: int, window: int, most: int):
                 body = b"".join(len(x).to_bytes(8, "little") + x for x in parts)
                 keys, refs, rank = keys[lead], refs[lead], rank[lead]
                 out = [(number % buckets, number, WINDOWS, body)]
-                to = ((keys >> U64(40)) % U64(buckets)).astype(np.int64)
+                to = bucket_of(keys, buckets)
                 place = np.argsort(to, kind="stable")
                 cut = np.flatnonzero(np.concatenate([[True], to[place][1:] != to[place][:-1], [True]]))
                 for x, y in zip(cut[:-1], cut[1:], strict=True):
