@@ -1,15 +1,13 @@
 """Column-level helpers (pure ``pyspark.sql.functions`` expressions)."""
 
-from touchline.functions.numeric import diff, differs, exact_div, floor_int, mean, ratio, round2
-from touchline.functions.text import full_name, like_any, match_key, sorted_distinct_join
+from touchline.functions.numeric import diff, exact_div, floor_int, mean, ratio, round2
+from touchline.functions.text import full_name, match_key, sorted_distinct_join
 
 __all__ = [
     "diff",
-    "differs",
     "exact_div",
     "floor_int",
     "full_name",
-    "like_any",
     "match_key",
     "mean",
     "ratio",

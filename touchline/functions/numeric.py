@@ -57,8 +57,3 @@ def floor_int(c: Column | str) -> Column:
 def diff(a: Column | str, b: Column | str, default=0) -> Column:
     """``COALESCE(a, default) - COALESCE(b, default)``."""
     return F.coalesce(_col(a), F.lit(default)) - F.coalesce(_col(b), F.lit(default))
-
-
-def differs(a: Column | str, b: Column | str, default=0) -> Column:
-    """``COALESCE(a, d) <> COALESCE(b, d)``: NULL and ``d`` compare equal."""
-    return F.coalesce(_col(a), F.lit(default)) != F.coalesce(_col(b), F.lit(default))

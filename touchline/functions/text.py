@@ -37,8 +37,3 @@ def full_name(*parts: Column | str) -> Column:
     for c in cols[1:]:
         out += [F.lit(" "), c]
     return F.concat(*out)
-
-
-def like_any(c: Column | str, pattern: str) -> Column:
-    """SQL ``LIKE`` (case-sensitive); ``%x%`` becomes a pushed-down contains."""
-    return _col(c).like(pattern)
