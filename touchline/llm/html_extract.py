@@ -53,7 +53,7 @@ CLOSES_P = frozenset(
     "ol p pre section table ul".split()
 )
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-APART = frozenset("nav aside footer form".split())
+APART = {"nav": "menu", "aside": "side", "footer": "footer", "form": "form"}  # tags that say what such words say
 SCOPES = frozenset("ul ol dl table html body div section article".split())
 GROUPS = {
     "content": "article content main post entry story body text prose maincontent articlebody",
@@ -164,7 +164,7 @@ class Page:
 
 
 def element_features(tag: str, attributes: str) -> tuple[str, ...]:
-    groups = set()
+    groups = {APART[tag]} if tag in APART else set()
     for m in MARKS.finditer(attributes):
         value = m[2] or m[3] or m[4] or ""
         for word in re.split(r"[\s_-]+|(?<=[a-z])(?=[A-Z])", value):
