@@ -49,6 +49,15 @@ def text_id() -> Column:
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
+def thinned(key: Column, rows: int | Column, size: int) -> Column:
+    """True for about ``4 * size`` of ``rows`` rows by their key's hash (all, if there are fewer).
+
+    An ordered limit after it takes its rows from a set of bounded size, however many tasks read the table.
+    """
+    share = F.lit(float(4 * size << 20)) / (rows if isinstance(rows, Column) else F.lit(float(max(rows, 1))))
+    return F.pmod(F.xxhash64(F.lit(11), key), F.lit(1 << 20)) < share
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes (wrap-around arithmetic)."""
     h = h ^ (h >> U64(33))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import rows_batch
+from touchline.llm.common import rows_batch, thinned
 
 STRUCTURE, CONTENT, CHROME, PROSE = 0, 1, 2, 3
 LABELS = 4
@@ -351,7 +351,7 @@ def extract(pages: DataFrame, sample: int = 200) -> DataFrame:
     """Every page: page_id, url, text, n_chars, n_blocks, confidence."""
     src = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     usable = src.filter((F.col("page_id").isNotNull()) & (F.length("html") <= LONGEST_SAMPLE))
-    chosen = usable.orderBy(F.xxhash64("page_id"), F.xxhash64("html")).limit(sample).select("html")
+    chosen = usable.filter(thinned(F.col("page_id"), usable.count(), sample)).orderBy(F.xxhash64("page_id"), F.xxhash64("html")).limit(sample).select("html")
     model = pages.sparkSession.sparkContext.broadcast(fit(sorted(r["html"] for r in chosen.collect())))
 
     def run(batches):

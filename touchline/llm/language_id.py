@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import saved, text_buffer
+from touchline.llm.common import saved, text_buffer, thinned
 
 CELLS = 1 << 14
 NO_TEXT = re.compile(r"<(script|style|template|noscript)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<[^>]*(?:>|\Z)", re.S | re.I)
@@ -58,6 +58,10 @@ def fit_text(docs: DataFrame, sample: int) -> tuple[list[str], np.ndarray]:
     from pyspark.sql.window import Window
 
     named = docs.filter("lang is not null and text is not null").select("doc_id", F.lower("lang").alias("lang"))
+    rows = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect()}  # one row a language
+    if rows:
+        of = F.create_map(*[F.lit(x) for lang, n in rows.items() for x in (lang, float(n))])
+        named = named.filter(thinned(F.col("doc_id"), F.element_at(of, F.col("lang")), sample))
     w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = F.broadcast(named.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= sample).select(F.col("doc_id").alias("id"), "lang"))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, F.col("doc_id") == F.col("id")).select("lang", "text").repartition(8)

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.llm.common import thinned
 from touchline.llm.vector_grid import best_ranked, by_length, in_cells, usable_vectors
 
 FOUND = "query_id long, vec_id long, score double"
@@ -145,7 +146,7 @@ def nearest(rows: DataFrame, every: int = 100, k: int = 10, sample: int = 4096,
     """For each row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score of the k nearest found."""
     vectors = usable_vectors(rows, zero=False)
     queries = vectors.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    taken = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow()
+    taken = vectors.filter(thinned(F.col("vec_id"), vectors.count(), sample)).orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow()
     model = None
     if taken.num_rows:
         ids, x = max(by_length(taken).values(), key=lambda g: len(g[0]))

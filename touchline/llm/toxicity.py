@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import saved, worker_store
+from touchline.llm.common import saved, thinned, worker_store
 
 #: Stripped from both ends of a word (fixed value).
 PUNCTUATION = ".,;:!?\"'()[]{}<>*#$%&-_/\\…«»„“”¿¡"
@@ -185,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, terms: int =
     spark = docs.sparkSession
     usable = labels.filter("toxic is not null and doc_id is not null").filter(~held_out())
     usable = usable.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
-    chosen = usable.orderBy(F.xxhash64("id"), "id", "toxic").limit(examples)
+    chosen = usable.filter(thinned(F.col("id"), usable.count(), examples)).orderBy(F.xxhash64("id"), "id", "toxic").limit(examples)
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
     sample = sample.select("id", "toxic", "text", F.pandas_udf(smallest_sequence, "long")("text").alias("near"))
     sample = saved(sample.repartition(16, "near").dropDuplicates(["near", "toxic"]), "toxic-sample")
