@@ -39,10 +39,12 @@ from touchline.llm.common import (
 )
 
 LOCAL = 2
+#: Words of a class's parity bitmap.
+BITMAP = 16
 #: Occurrences of a token in one block from which the block sends a count instead of the documents.
 LOCAL_MANY = 16
-DOCS = "doc_id long, text_id long, n_shingles long, node long, prefix int, tokens array<long>"
-DOCS_ARROW = pa.schema([("doc_id", pa.int64()), ("text_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("prefix", pa.int32()), ("tokens", pa.list_(pa.int64()))])
+DOCS = "doc_id long, text_id long, n_shingles long, node long, prefix int, tokens array<long>, bits array<long>"
+DOCS_ARROW = pa.schema([("doc_id", pa.int64()), ("text_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("prefix", pa.int32()), ("tokens", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, poly: Poly, words: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -156,7 +158,14 @@ def _assemble(percent: int):
         keep = live[row] if len(row) else np.zeros(0, bool)
         sizes = np.where(live, have, 0)
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(token[keep].view("<i8")))
-        cols = [pa.array(ids.view("<i8"), mask=null > 0), pa.array(texts.view("<i8")), pa.array(n), pa.array(node.view("<i8")), pa.array(np.where(live, np.minimum(prefix, have), 0).astype(np.int32)), lists]
+        # parity bitmap of a document's shared tokens: two documents differ in at least as many tokens as bits
+        at = np.cumsum(live) - 1
+        bits = np.zeros((int(live.sum()), BITMAP), U64)
+        mine = token[keep]
+        np.bitwise_xor.at(bits, (at[row[keep]], ((mine >> U64(6)) % U64(BITMAP)).astype(np.int64)), U64(1) << (mine & U64(63)))
+        ends = np.concatenate([[0], np.cumsum(live * BITMAP)]).astype(np.int32)
+        maps = pa.ListArray.from_arrays(pa.array(ends), pa.array(bits.reshape(-1).view("<i8")))
+        cols = [pa.array(ids.view("<i8"), mask=null > 0), pa.array(texts.view("<i8")), pa.array(n), pa.array(node.view("<i8")), pa.array(np.where(live, np.minimum(prefix, have), 0).astype(np.int32)), lists, maps]
         return pa.Table.from_arrays(cols, schema=DOCS_ARROW)
 
     return run
@@ -182,7 +191,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def link_components(rows: DataFrame, percent: int = 75, few: int = 64) -> DataFrame:
     """(node, comp) of every class that has a link."""
-    live = rows.filter("prefix > 0").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("tokens").alias("tokens"))
+    live = rows.filter("prefix > 0").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("tokens").alias("tokens"), F.first("bits").alias("bits"))
     classes = saved(live, "join-classes")
     post = classes.select("node", "n", F.size("tokens").alias("m"), F.posexplode(F.slice("tokens", F.lit(1), F.col("prefix"))).alias("i", "token"))
     # band b and b + 1 hold every size that can be linked with a size of band b
@@ -206,13 +215,20 @@ def link_components(rows: DataFrame, percent: int = 75, few: int = 64) -> DataFr
     wide = members.filter(F.col("c") > few).drop("second").join(ahead, "node")
     wide = wide.withColumn("second", F.explode(F.slice("tokens", F.col("i") + 2, F.greatest(F.col("prefix") - F.col("i"), F.lit(0)))))
     keyed = rare.select("token", "second", "node", "n", "pos", "comp").union(wide.select("token", "second", "node", "n", "pos", "comp"))
-    keyed = saved(keyed, "join-keyed")
+    maps = classes.select("node", (F.col("n") - F.size("tokens")).alias("alone"), "bits")
+    keyed = saved(saved(keyed, "join-keyed").join(maps, "node"), "join-mapped")
     a, b = keyed.alias("a"), keyed.alias("b")
     fits = (F.col("a.token") == F.col("b.token")) & (F.col("a.second") == F.col("b.second")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp"))
     size = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
     ahead = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))
     reach = (100 + percent) * ahead >= percent * (F.col("a.n") + F.col("b.n"))
-    pairs = a.join(b, fits & size & reach).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    # what certainly differs: shingles of one document only, and the bits in which the bitmaps differ
+    differ = F.col("a.alone") + F.col("b.alone")
+    for k in range(BITMAP):
+        differ = differ + F.bit_count(F.element_at("a.bits", k + 1).bitwiseXOR(F.element_at("b.bits", k + 1)))
+    # an overlap o of at least percent / (100 + percent) of both sizes leaves n + n - 2 o differing shingles at most
+    near = (100 + percent) * differ <= (100 - percent) * (F.col("a.n") + F.col("b.n"))
+    pairs = a.join(b, fits & size & reach & near).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
     more = saved(_verified(saved(pairs, "join-pairs"), classes, percent), "join-more")
     if more.limit(1).count():
         comp = components(links.union(more), name="join-cc2")
