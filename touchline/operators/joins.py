@@ -85,7 +85,7 @@ def lookup_join(
     ``big`` and one join, whatever the number of hot keys.
 
     ``how`` is ``"left"`` or ``"inner"``.  Finding the hot keys is one
-    aggregation; they are at most ``max_hot_keys`` rows and are broadcast.
+    aggregation; they are at most ``max_hot_keys`` rows, cached and broadcast.
     ``hot`` passes hot keys found beforehand (e.g. on the rows ``big`` was
     derived from).
     """
@@ -93,7 +93,7 @@ def lookup_join(
         raise ValueError("how must be 'left' or 'inner'")
     keys = list(keys)
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    hot = hot_keys(big, keys, min_rows, max_hot_keys) if hot is None else hot.select(*keys)
+    hot = hot_keys(big, keys, min_rows, max_hot_keys).cache() if hot is None else hot.select(*keys)
     hot = F.broadcast(hot.limit(max_hot_keys).withColumn("__hot", F.lit(True)))
     # The same row always gets the same salt (a retried task agrees with itself);
     # equal rows in different input partitions get different ones.
