@@ -15,6 +15,9 @@ from touchline.llm import mixing, ngram_join, packing, suffix_dedup, toxicity
 from touchline.llm.common import saved, table
 from touchline.llm.queries import tokenizer_path
 
+#: Bytes from which a repeated passage goes: 51 words take more, but for runs of very short words (op5 has its own length).
+PASSAGE = 200
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
@@ -25,7 +28,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix_dedup.without_repeats(docs)
+    return suffix_dedup.without_repeats(docs, span=PASSAGE)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,13 +1,14 @@
 """The pipeline stage by stage against brute force; the entry module with and without the subpackage."""
 
 import os
+import random
 import shutil
 import subprocess
 import sys
 from collections import Counter
 
 import corpus_pipeline
-from tests.llm.fixtures import brute_bytes, brute_components
+from tests.llm.fixtures import SCHEMA, brute_bytes, brute_components, invented
 from touchline.llm.mixing import mix_report
 from touchline.llm.toxicity import score_documents
 
@@ -48,6 +49,21 @@ def test_stages(spark, smoke_dir, tmp_path):
     assert Counter(map(tuple, whole.select(*key).collect())) == Counter(map(tuple, packed.select(*key).collect()))
 
 
+def test_passage_of_51_words_goes(spark, smoke_dir):
+    rng = random.Random(7)
+    text = lambda k: " ".join("".join(rng.choice("abcdefghiklmnoprstuvz") for _ in range(rng.randint(3, 7))) for _ in range(k))
+    passage = text(51)
+    assert corpus_pipeline.PASSAGE <= len(passage) < 400
+    own = [(f"{text(80)} ", f" {text(80)}") for _ in range(3)]
+    rows = [(i, a + passage + b, "en", "src0", 0) for i, (a, b) in enumerate(own)] + [(3, text(300), "en", "src1", 0), *invented(n=40)[5:]]
+    cut = corpus_pipeline.remove_repeated_passages(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), smoke_dir).collect()
+    kept = {r.text for r in cut}
+    assert all((a[:-1] + b[1:]) in kept for a, b in own) and rows[3][1] in kept  # the blanks beside it repeat as well
+    want = sorted((d is None, d or 0, n - k) for d, n, k, _, _ in brute_bytes(rows, span=corpus_pipeline.PASSAGE))
+    got = sorted((r.doc_id is None, r.doc_id or 0, len((r.text or "").encode())) for r in cut)
+    assert all(w[:2] == g[:2] and w[2] - 12 <= g[2] <= w[2] for w, g in zip(want, got, strict=True))  # a cut may break a character
+
+
 def test_entry_lists_the_queries():
     import __spark_entry__ as entry
 
