@@ -47,6 +47,32 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(r.predicted == r.toxic for r in rows if r.held_out) / sum(r.held_out for r in rows) >= 0.95
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_toxicity_finds_the_held_out_toxic_rows(spark, sf):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = score_documents(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").collect()
+    toxic = [r for r in rows if r.toxic == 1]
+    assert sum(r.predicted for r in toxic if r.held_out) == sum(r.held_out for r in toxic) > 0
+    assert sum(r.predicted for r in toxic) >= 0.9 * len(toxic)
+    assert all(r.terms and len(r.neighbours) == 9 for r in rows if r.toxic == 1 or len(r.terms) > 20)
+
+
+def test_block_max_search_meets_dense_and_rare_terms():
+    rng = np.random.default_rng(4)
+    idf = rng.random(400) + 0.1
+    pick = lambda: {int(t): int(rng.integers(1, 4)) for t in (*rng.choice(20, 9, replace=False), *rng.choice(np.arange(20, 400), 5, replace=False))}
+    vecs = [weigh(pick(), idf) for _ in range(3000)]
+    index = BlockMaxIndex(vecs)
+    assert 0 < len(index.head) < 400 and len(index.row)
+    dense = np.zeros((len(vecs), 400))
+    for i, (t, w) in enumerate(vecs):
+        dense[i, t] = w
+    queries = [weigh(pick(), idf) for _ in range(50)]
+    for (t, w), got in zip(queries, index.nearest_of(queries, 9), strict=True):
+        s = np.round(dense[:, t] @ w, 9)
+        assert [j for _, j in got] == np.lexsort((np.arange(len(s)), -s))[:9].tolist()
+
+
 def test_toxicity_edge_rows(spark):
     say = lambda i: ["idiot", "moron"] if i % 3 == 0 else ["fine", "park"]
     rows = [(i, " ".join(x for k in range(12 + i % 5) for x in (f"w{i}x{k}", say(i)[k % 2])), "x") for i in range(120)]

@@ -5,18 +5,21 @@ parameter; rows of the held-out fold never take part), of which groups of near
 copies (equal smallest hash of three-word sequences, equal label) give one, so
 that a much-copied text does not speak for its words.  Terms are the
 lower-cased words without punctuation and the first four letters of longer
-words; the vocabulary is the ``terms`` terms whose presence depends most on the
-label (chi-square at least ``chi2``, and a label rate ``lift`` times above or
-below the usual).  Document frequencies are counted over
-*all* documents.  The examples' TF-IDF vectors go into an inverted index whose
-postings are cut into blocks with their largest weight.
-
-Score: the ``k`` examples of largest cosine, found exactly: blocks are visited
-by falling upper bound (the sum of the query terms' block maxima) until no
-block can still reach the k-th best; ties go to the smaller example number.
+words; the vocabulary is every term of an example.  Document frequencies are
+counted over *all* documents.  A term weighs its idf times 0.1 and the square of
+its log odds of the label, drawn to 0 by ``shrink`` average examples: no term is
+left out, and one that says nothing of the label counts little.  The examples'
+vectors go into an inverted index; the terms of a twentieth of the examples and
+more lie dense, in blocks with their largest weight.
+
+Score: the ``k`` examples of largest cosine, found exactly: the rare terms'
+postings are added up, then a block of examples is met only if its upper bound
+(its largest sum so far, and the frequent terms' block maxima) reaches the k-th
+best; the last candidates are computed anew in double precision, and ties go to the
+smaller example number.
 Neighbours vote with weight 1 / (1.05 - cosine); the vote is calibrated by an
 isotonic map fitted to leave-one-out votes of at most ``calibrate`` examples.  A document without
-any term of the vocabulary has no neighbours: its score is the share of toxic
+any term of an example has no neighbours: its score is the share of toxic
 examples among such examples.
 
 Model size is bounded by the parameters, so it is broadcast.  Null and empty
@@ -27,12 +30,15 @@ text column is read, so other columns cannot clash.
 """
 
 
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +47,10 @@ from touchline.llm.common import saved, thinned, worker_store
 #: Stripped from both ends of a word (fixed value).
 PUNCTUATION = ".,;:!?\"'()[]{}<>*#$%&-_/\\…«»„“”¿¡"
 BLOCK = 64
+#: Blocks of one dense product, queries searched together, most frequent terms kept dense (fixed values).
+SPAN, GROUP, DENSE = 16, 32, 2048
+#: Above the rounding of a cosine added up in single precision.
+SLACK = 1e-5
 SCORE = "score double, neighbours array<long>, similarity array<double>, terms array<string>"
 
 
@@ -68,7 +78,7 @@ class TermCounter:
         self.vocabulary, self.most = vocabulary, most
         self.stems = {t[:-1] for t in vocabulary if t.endswith("*")}
         kept = worker_store().setdefault("toxic-terms", {})  # one vocabulary at a time
-        if kept.get("vocabulary") != vocabulary:
+        if kept.get("vocabulary") is not vocabulary:
             kept.clear()
             kept |= {"vocabulary": vocabulary, "seen": {}}
         self.seen: dict[str, tuple[int, ...]] = kept["seen"]
@@ -91,72 +101,121 @@ class TermCounter:
                 if w not in seen:
                     seen[w] = tuple(vocabulary[t] for t in word_terms(w) if t in vocabulary) if self.may_hold(w) else ()
             found = [t for t in map(seen.__getitem__, words) if t]
-        return Counter(x for t in found for x in t)
+        return Counter(chain.from_iterable(found))
 
 
-def weigh(counts: dict[int, int], idf: np.ndarray) -> tuple[tuple[int, ...], np.ndarray]:
-    """The unit TF-IDF vector: term numbers in order, weights."""
-    terms = tuple(sorted(counts))
-    w = np.array([(1 + np.log(counts[t])) * idf[t] for t in terms])
+def numbered(names: list[str], key: str) -> dict[str, int]:
+    """The vocabulary's numbers, made once per Python worker."""
+    kept = worker_store().setdefault("toxic-names", {})
+    if kept.get("key") != key:
+        kept.clear()
+        kept |= {"key": key, "vocabulary": {t: i for i, t in enumerate(names)}}
+    return kept["vocabulary"]
+
+
+def weigh(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The unit vector: term numbers in order, weights."""
+    terms = np.fromiter(counts.keys(), np.int64, len(counts))
+    many = np.fromiter(counts.values(), np.float64, len(counts))
+    order = np.argsort(terms)
+    terms = terms[order]
+    w = (1 + np.log(many[order])) * idf[terms]
     n = np.sqrt((w * w).sum())
     return terms, w / n if n else w
 
 
+def ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (n of them), for each start."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
 class BlockMaxIndex:
-    """Inverted index over example vectors; per term and block of examples the postings and their maximum."""
+    """Inverted index over example vectors: postings of rare terms, dense rows of frequent ones with their block maxima."""
 
-    def __init__(self, vectors: list[tuple[tuple[int, ...], np.ndarray]]) -> None:
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
         self.n = len(vectors)
         self.blocks = -(-self.n // BLOCK)
-        postings: dict[int, list] = {}
-        for i, (terms, w) in enumerate(vectors):
-            for t, x in zip(terms, w, strict=True):
-                postings.setdefault(t, []).append((i, x))
-        self.terms = {}
-        for t, rows in postings.items():
-            ids = np.array([r[0] for r in rows])
-            w = np.array([r[1] for r in rows])
-            block = ids // BLOCK
-            first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-            self.terms[t] = (ids, w, block[first], np.maximum.reduceat(w, first), np.append(first, len(ids)))
-
-    def nearest(self, terms: tuple[int, ...], weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
+        size = np.array([len(t) for t, _ in vectors], np.int64)
+        self.first = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        self.term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)]).astype(np.int32)
+        self.weight = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
+        order = np.argsort(self.term, kind="stable")
+        term, row, w = self.term[order], np.repeat(np.arange(self.n, dtype=np.int32), size)[order], self.weight[order].astype(np.float32)
+        count = np.bincount(term)
+        self.width = len(count)
+        dense = np.argsort(-count, kind="stable")[:DENSE]
+        dense = dense[count[dense] > max(BLOCK, self.n // 20)]
+        self.place = np.full(self.width, -1, np.int64)
+        self.place[dense] = np.arange(len(dense))
+        self.head = np.zeros((len(dense), self.blocks * BLOCK), np.float32)
+        at = self.place[term]
+        rare = at < 0
+        self.head[at[~rare], row[~rare]] = w[~rare]
+        self.most = self.head.reshape(len(dense), self.blocks, BLOCK).max(2)
+        count[dense] = 0
+        self.start = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+        self.row, self.post = row[rare], w[rare]
+
+    def nearest(self, terms, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
         """The k best (cosine, example), largest first, ties to the smaller number; exact."""
-        mine = [(self.terms[t], w) for t, w in zip(terms, weights, strict=True) if t in self.terms]
-        bound = np.zeros(self.blocks)
-        for (_, _, blocks, most, _), w in mine:
-            bound[blocks] += w * most
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        best_ids, best = np.zeros(0, np.int64), np.zeros(0)
-        at, step = 0, 4
-        while at < len(order):
-            todo = order[at : at + step]
-            if len(best) == k:  # blocks that cannot reach the k-th best, or only tie with larger numbers
-                floor, last = best[-1], best_ids[-1]
-                if bound[todo[0]] < floor - 1e-9:
-                    break
-                todo = todo[(bound[todo] > floor + 1e-9) | ((bound[todo] >= floor - 1e-9) & (todo * BLOCK < last))]
-            at, step = at + step, 2 * step
-            if not len(todo):
-                continue
-            todo = np.sort(todo)
-            scores = np.zeros(len(todo) * BLOCK)
-            for (ids, w, blocks, _, first), q in mine:
-                spot = np.searchsorted(blocks, todo)
-                hit = np.flatnonzero((spot < len(blocks)) & (blocks[np.minimum(spot, len(blocks) - 1)] == todo))
-                if len(hit):
-                    lo, n = first[spot[hit]], first[spot[hit] + 1] - first[spot[hit]]
-                    e = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                    scores[np.repeat(hit * BLOCK, n) + ids[e] - np.repeat(todo[hit] * BLOCK, n)] += q * w[e]
-            found = np.flatnonzero(scores > 0)
-            ids = todo[found // BLOCK] * BLOCK + found % BLOCK
-            keep = ids != without
-            best_ids = np.concatenate([best_ids, ids[keep]])
-            best = np.concatenate([best, np.round(scores[found[keep]], 9)])
-            rank = np.lexsort((best_ids, -best))[:k]
-            best_ids, best = best_ids[rank], best[rank]
-        return list(zip(best.tolist(), best_ids.tolist(), strict=True))
+        return self.nearest_of([(terms, weights)], k, [without])[0]
+
+    def nearest_of(self, queries: list, k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """``nearest`` of each query."""
+        without = without or [-1] * len(queries)
+        if not self.n:
+            return [[] for _ in queries]
+        return [best for lo in range(0, len(queries), GROUP) for best in self._group(queries[lo : lo + GROUP], k, without[lo : lo + GROUP])]
+
+    def _group(self, queries: list, k: int, without: list[int]) -> list[list[tuple[float, int]]]:
+        m, n = len(queries), self.blocks * BLOCK
+        known = [np.asarray(t, np.int64) < self.width for t, _ in queries]
+        queries = [(np.asarray(t, np.int64)[ok], w[ok]) for (t, w), ok in zip(queries, known, strict=True)]
+        term, w = (np.concatenate([q[i] for q in queries]) for i in (0, 1))
+        who = np.repeat(np.arange(m), [len(t) for t, _ in queries])
+        place = self.place[term]
+        some = place >= 0
+        head = np.zeros((m, len(self.head)), np.float32)
+        head[who[some], place[some]] = w[some]
+        count = self.start[term + 1] - self.start[term]
+        e = ranges(self.start[term], count)
+        sums = np.bincount(np.repeat(who * n, count) + self.row[e], weights=np.repeat(w, count) * self.post[e], minlength=m * n).astype(float).reshape(m, n)
+        for i, x in enumerate(without):
+            if x >= 0:
+                sums[i, x] = -np.inf
+        k_at = n - min(k, n)
+        floor = np.zeros(m)
+        dense = np.zeros(self.width)
+        for i, (t, x) in enumerate(queries):
+            far = np.argpartition(sums[i], k_at)[k_at:]
+            if sums[i, far].min() > 0:
+                dense[t] = x
+                floor[i] = self._exact(far, dense).min()
+                dense[t] = 0
+        bound = sums.reshape(m, self.blocks, BLOCK).max(2) + head @ self.most
+        live = (bound > 0) & (bound >= floor[:, None] - SLACK)
+        for lo in range(0, self.blocks, SPAN):
+            need = np.flatnonzero(live[:, lo : lo + SPAN].any(1))
+            if len(need):
+                cols = slice(lo * BLOCK, (lo + SPAN) * BLOCK)
+                sums[need, cols] += head[need] @ self.head[:, cols]
+        out = []
+        for i, (t, x) in enumerate(queries):
+            least = max(np.partition(sums[i], k_at)[k_at], floor[i]) - SLACK
+            ids = np.flatnonzero((sums[i] >= least) & (sums[i] > 0))
+            dense[t] = x
+            cosine = self._exact(ids, dense)
+            dense[t] = 0
+            ids, cosine = ids[cosine > 0], np.round(cosine[cosine > 0], 9)
+            rank = np.lexsort((ids, -cosine))[:k]
+            out.append(list(zip(cosine[rank].tolist(), ids[rank].tolist(), strict=True)))
+        return out
+
+    def _exact(self, ids: np.ndarray, dense: np.ndarray) -> np.ndarray:
+        """The examples' cosines in double precision, added up in the order of their terms."""
+        size = self.first[ids + 1] - self.first[ids]
+        e = ranges(self.first[ids], size)
+        return np.bincount(np.repeat(np.arange(len(ids)), size), weights=dense[self.term[e]] * self.weight[e], minlength=len(ids))
 
 
 def vote(best: list[tuple[float, int]], label: np.ndarray) -> float:
@@ -180,7 +239,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, terms: int = 1024, chi2: float = 25.0, lift: float = 2.0, k: int = 9, calibrate: int = 2048) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, shrink: float = 20.0, k: int = 9, calibrate: int = 2048) -> dict:
     """The model as plain values (bounded by the parameters)."""
     spark = docs.sparkSession
     usable = labels.filter("toxic is not null and doc_id is not null").filter(~held_out())
@@ -190,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, terms: int =
     sample = sample.select("id", "toxic", "text", F.pandas_udf(smallest_sequence, "long")("text").alias("near"))
     sample = saved(sample.repartition(16, "near").dropDuplicates(["near", "toxic"]), "toxic-sample")
     total, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    model = {"vocabulary": {}, "names": [], "idf": np.zeros(0), "vectors": [], "label": np.zeros(0), "ids": [], "k": k, "prior": 0.0, "map": ([0.0], [0.0])}
+    model = {"key": uuid.uuid4().hex, "names": [], "idf": np.zeros(0), "vectors": [], "label": np.zeros(0), "ids": [], "k": k, "prior": 0.0, "map": ([0.0], [0.0])}
     if not total:
         return model
 
@@ -203,46 +262,58 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, terms: int =
 
     seen = sample.select("text", "toxic").mapInPandas(present, "term string, y int, n long")
     seen = seen.groupBy("term").agg(F.sum("n").alias("n"), F.sum(F.expr("if(y = 1, n, 0)")).alias("hit"))
-    n, hit, p = F.col("n"), F.col("hit"), float(toxic) / total
-    gain = (hit - n * p) * (hit - n * p) / (n * p * (1 - p) * (1 - n / float(total)) + 1e-9) if 0 < p < 1 else F.lit(0.0)
-    best = seen.filter("n >= 5").withColumn("gain", gain).filter(F.col("gain") >= chi2)
-    best = best.filter((hit >= n * (p * lift)) | (hit <= n * (p / lift)))
-    names = sorted(r["term"] for r in best.orderBy(F.desc("gain"), "term").limit(terms).collect())
-    vocabulary = {t: i for i, t in enumerate(names)}
+    seen = seen.toArrow().sort_by("term")
+    names, key = seen["term"].to_pylist(), model["key"]
+    n, hit, p = seen["n"].to_numpy().astype(float), seen["hit"].to_numpy().astype(float), float(toxic) / total
+    odds = np.log((hit + shrink * p) / (n - hit + shrink * (1 - p)) * (1 - p) / p) if 0 < p < 1 else np.zeros(len(names))
+    shared = spark.sparkContext.broadcast(names)
 
     def frequencies(batches):
-        count = TermCounter(vocabulary)
-        df = Counter()
+        count = TermCounter(numbered(shared.value, key))
+        df = np.zeros(len(shared.value), np.int64)
         rows = 0
         for b in batches:
             rows += len(b)
             for text in b["text"]:
-                df.update(count(text).keys())
-        yield pd.DataFrame([(-1, rows), *df.items()], columns=["term", "n"])
+                df[list(count(text))] += 1
+        some = np.flatnonzero(df)
+        yield pd.DataFrame({"term": np.append(some, -1), "n": np.append(df[some], rows)})
 
     df = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    df = {r["term"]: r["n"] for r in df.collect()}
-    idf = np.log(1 + df.get(-1, 0) / np.array([1.0 + df.get(i, 0) for i in range(len(names))]))
+    df = df.toArrow()
+    at, many = df["term"].to_numpy(), df["n"].to_numpy()
+    held = np.zeros(len(names))
+    held[at[at >= 0]] = many[at >= 0]
+    idf = np.log(1 + many[at < 0].sum() / (1 + held)) * (0.1 + odds * odds)
 
     def vectors(batches):
-        count = TermCounter(vocabulary)
+        count = TermCounter(numbered(shared.value, key))
         for b in batches:
-            found = [count(t) for t in b["text"]]
-            yield pd.DataFrame({"id": b["id"], "toxic": b["toxic"], "t": [list(map(int, f)) for f in found], "c": [list(map(int, f.values())) for f in found]})
+            found = [sorted(count(t).items()) for t in b["text"]]
+            yield pd.DataFrame({"id": b["id"], "toxic": b["toxic"], "t": [[t for t, _ in f] for f in found], "c": [[c for _, c in f] for f in found]})
 
     rows = sample.mapInPandas(vectors, "id long, toxic int, t array<int>, c array<int>")
     zero = rows.filter("size(t) = 0").agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    some = [(weigh(dict(zip(r["t"], r["c"], strict=True)), idf), r["id"], r["toxic"]) for r in _ordered(rows.filter("size(t) > 0").collect())]
+    some = _ordered(rows.filter("size(t) > 0").toArrow(), idf)
     vecs, label = [s[0] for s in some], np.array([float(s[2]) for s in some])
     index = BlockMaxIndex(vecs)
     some_rows = np.unique(np.linspace(0, max(len(vecs) - 1, 0), min(calibrate, len(vecs))).astype(int)).tolist()
-    votes = [(vote(near, label), int(label[i])) for i, v in ((i, vecs[i]) for i in some_rows) if (near := index.nearest(*v, k, without=i))]
+    votes = [(vote(near, label), int(label[i])) for i, near in zip(some_rows, index.nearest_of([vecs[i] for i in some_rows], k, some_rows), strict=True) if near]
     curve = isotonic([v for v, _ in votes], [y for _, y in votes]) if votes else ([0.0], [0.0])
-    return model | {"vocabulary": vocabulary, "names": names, "idf": idf, "vectors": vecs, "label": label, "ids": [s[1] for s in some], "prior": (float(zero[1]) + p) / (zero[0] + 1), "map": curve}
+    return model | {"names": names, "idf": idf, "vectors": vecs, "label": label, "ids": [s[1] for s in some], "prior": (float(zero[1]) + p) / (zero[0] + 1), "map": curve}
 
 
-def _ordered(rows: list) -> list:
-    return sorted(rows, key=lambda r: (sorted(zip(r["t"], r["c"], strict=True)), r["id"]))
+def _ordered(rows: pa.Table, idf: np.ndarray) -> list[tuple]:
+    """(vector, id, label) of the examples, those alike in label and strongest term beside each other."""
+    ids, toxic = rows["id"].to_pylist(), rows["toxic"].to_pylist()
+    lists = [rows[c].combine_chunks() for c in ("t", "c")]
+    first = np.concatenate([[0], np.cumsum(lists[0].value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+    t, c = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
+    out = []
+    for i, (lo, hi) in enumerate(zip(first[:-1], first[1:], strict=True)):
+        terms, w = weigh(dict(zip(t[lo:hi].tolist(), c[lo:hi].tolist(), strict=True)), idf)
+        out.append((toxic[i], int(terms[np.argmax(w)]), ids[i], t[lo:hi].tobytes(), c[lo:hi].tobytes(), (terms, w)))
+    return [(x[5], x[2], x[0]) for x in sorted(out, key=lambda x: x[:5])]
 
 
 def scorer(spark, model: dict):
@@ -252,20 +323,20 @@ def scorer(spark, model: dict):
     @F.pandas_udf(SCORE)
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        count, index, known = TermCounter(m["vocabulary"]), BlockMaxIndex(m["vectors"]), {}
+        kept = worker_store().setdefault("toxic-index", {})
+        if kept.get("key") != m["key"]:
+            kept.clear()
+            kept |= {"key": m["key"], "index": BlockMaxIndex(m["vectors"])}
+        count, index = TermCounter(numbered(m["names"], m["key"])), kept["index"]
         for texts in parts:
-            out = []
-            for text in texts:
-                found = count(text)
-                sig = tuple(sorted(found.items()))
-                if sig not in known:
-                    if len(known) > 100_000:
-                        known.clear()
-                    best = index.nearest(*weigh(found, m["idf"]), m["k"]) if found else []
+            known, every = {}, list(dict.fromkeys(texts))
+            for lo in range(0, len(every), GROUP):
+                some = every[lo : lo + GROUP]
+                found = [weigh(count(text), m["idf"]) for text in some]
+                for text, (terms, _), best in zip(some, found, index.nearest_of(found, m["k"]), strict=True):
                     s = float(np.interp(vote(best, m["label"]), *m["map"])) if best else m["prior"]
-                    known[sig] = (min(max(s, 0.0), 1.0), [m["ids"][i] for _, i in best], [c for c, _ in best], [m["names"][t] for t, _ in sig])
-                out.append(known[sig])
-            yield pd.DataFrame(out, columns=["score", "neighbours", "similarity", "terms"])
+                    known[text] = (min(max(s, 0.0), 1.0), [m["ids"][i] for _, i in best], [c for c, _ in best], [m["names"][t] for t in terms.tolist()])
+            yield pd.DataFrame([known[text] for text in texts], columns=["score", "neighbours", "similarity", "terms"])
 
     return score
 
