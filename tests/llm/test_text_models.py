@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from touchline.llm import html_extract, queries
 from touchline.llm.html_extract import Page, content_marginals, extract, fit, main_text
 from touchline.llm.language_id import identify
-from touchline.llm.toxicity import BlockMaxIndex, isotonic, keep_clean, score_documents, weigh
+from touchline.llm.toxicity import BlockMaxIndex, held_out, isotonic, keep_clean, score_documents, weigh
+from touchline.llm.toxicity import fit as fit_toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -73,6 +74,25 @@ def test_block_max_search_meets_dense_and_rare_terms():
         assert [j for _, j in got] == np.lexsort((np.arange(len(s)), -s))[:9].tolist()
 
 
+def test_toxicity_examples_are_copies_only_when_whole(spark):
+    line = "aaa bbb ccc ddd eee fff"
+    rows = [(i, f"{line} w{i} v{i} u{i} {'idiot' if i % 2 else 'park'}") for i in range(40)]  # one passage in all
+    rows += [(100 + i, rows[1][1].upper() + " ") for i in range(20)] + [(200 + i, "") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2 if i < 100 else 1 if i < 200 else int(i < 210)) for i, _ in rows], "doc_id long, toxic int")
+    fold = {r.doc_id for r in docs.filter(held_out()).collect()}
+    models = [fit_toxicity(docs.repartition(n), labels) for n in (1, 7)]
+    usable = [i for i, _ in rows if i not in fold]
+    copies = [i for i in usable if i == 1 or 100 <= i < 200]
+    assert len(copies) > 1
+    for m in models:
+        assert sorted(m["ids"]) == sorted({i for i in usable if i < 100 and i != 1} | {min(copies)}) and m["ids"] == models[0]["ids"]
+    empty = [i for i in usable if i >= 200]
+    examples = len(models[0]["ids"]) + 2
+    p = (1 + sum(models[0]["label"])) / examples
+    assert models[0]["prior"] == pytest.approx((sum(i < 210 for i in empty) + p) / (len(empty) + 1))
+
+
 def test_toxicity_edge_rows(spark):
     say = lambda i: ["idiot", "moron"] if i % 3 == 0 else ["fine", "park"]
     rows = [(i, " ".join(x for k in range(12 + i % 5) for x in (f"w{i}x{k}", say(i)[k % 2])), "x") for i in range(120)]

@@ -1,9 +1,9 @@
 """Toxicity scores by the nearest labelled examples under exact TF-IDF cosine.
 
 Fit (bounded): at most ``examples`` labelled rows in hash order (documented
-parameter; rows of the held-out fold never take part), of which groups of near
-copies (equal smallest hash of three-word sequences, equal label) give one, so
-that a much-copied text does not speak for its words.  Terms are the
+parameter; rows of the held-out fold never take part), of which copies (equal
+lower-cased words, equal label) are one example with the smallest id, so that a
+much-copied text votes once; near copies are examples of their own.  Terms are the
 lower-cased words without punctuation and the first four letters of longer
 words; the vocabulary is every term of an example.  Document frequencies are
 counted over *all* documents.  A term weighs its idf times 0.1 and the square of
@@ -20,7 +20,7 @@ smaller example number.
 Neighbours vote with weight 1 / (1.05 - cosine); the vote is calibrated by an
 isotonic map fitted to leave-one-out votes of at most ``calibrate`` examples.  A document without
 any term of an example has no neighbours: its score is the share of toxic
-examples among such examples.
+rows among such examples, copies counted.
 
 Model size is bounded by the parameters, so it is broadcast.  Null and empty
 texts are documents without terms.  Null labels or ids of label rows are left
@@ -30,8 +30,8 @@ text column is read, so other columns cannot clash.
 """
 
 
+import hashlib
 import uuid
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
@@ -39,6 +39,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ from touchline.llm.common import saved, thinned, worker_store
 PUNCTUATION = ".,;:!?\"'()[]{}<>*#$%&-_/\\…«»„“”¿¡"
 BLOCK = 64
 #: Blocks of one dense product, queries searched together, most frequent terms kept dense (fixed values).
-SPAN, GROUP, DENSE = 16, 32, 2048
+SPAN, GROUP, DENSE = 16, 8, 1024
 #: Above the rounding of a cosine added up in single precision.
 SLACK = 1e-5
 SCORE = "score double, neighbours array<long>, similarity array<double>, terms array<string>"
@@ -62,25 +63,21 @@ def word_terms(word: str) -> tuple[str, ...]:
     return (bare, bare[:4] + "*") if len(bare) > 5 else (bare,)
 
 
-def smallest_sequence(texts: pd.Series) -> pd.Series:
-    """The smallest hash of a text's three-word sequences: near copies mostly share it."""
-    out = []
-    for text in texts:
-        w = (text or "").lower().split()
-        out.append(min((zlib.crc32(" ".join(w[i : i + 3]).encode()) for i in range(max(1, len(w) - 2))), default=0))
-    return pd.Series(out, dtype="int64")
+def same_words(texts: pd.Series) -> pd.Series:
+    """A digest of a text's lower-cased words in order: equal for copies."""
+    return pd.Series([hashlib.sha256(" ".join((text or "").lower().split()).encode("utf-8", "surrogatepass")).hexdigest() for text in texts], dtype=object)
 
 
 class TermCounter:
     """Counts of the vocabulary's terms in a text; each distinct chunk is analysed once (store bounded)."""
 
-    def __init__(self, vocabulary: dict[str, int], most: int = 500_000) -> None:
+    def __init__(self, vocabulary: dict[str, int], most: int = 100_000) -> None:
         self.vocabulary, self.most = vocabulary, most
-        self.stems = {t[:-1] for t in vocabulary if t.endswith("*")}
         kept = worker_store().setdefault("toxic-terms", {})  # one vocabulary at a time
         if kept.get("vocabulary") is not vocabulary:
             kept.clear()
-            kept |= {"vocabulary": vocabulary, "seen": {}}
+            kept |= {"vocabulary": vocabulary, "seen": {}, "stems": {t[:-1] for t in vocabulary if t.endswith("*")}}
+        self.stems = kept["stems"]
         self.seen: dict[str, tuple[int, ...]] = kept["seen"]
 
     def may_hold(self, word: str) -> bool:
@@ -129,16 +126,20 @@ def ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
+def end_to_end(vectors: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first entry of each vector, terms, weights)."""
+    first = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors])]).astype(np.int64)
+    return first, np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)]).astype(np.int32), np.concatenate([np.zeros(0), *(w for _, w in vectors)])
+
+
 class BlockMaxIndex:
     """Inverted index over example vectors: postings of rare terms, dense rows of frequent ones with their block maxima."""
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        self.n = len(vectors)
+    def __init__(self, vectors: list | tuple) -> None:
+        self.first, self.term, self.weight = vectors if isinstance(vectors, tuple) else end_to_end(vectors)
+        self.n = len(self.first) - 1
         self.blocks = -(-self.n // BLOCK)
-        size = np.array([len(t) for t, _ in vectors], np.int64)
-        self.first = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-        self.term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)]).astype(np.int32)
-        self.weight = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
+        size = np.diff(self.first)
         order = np.argsort(self.term, kind="stable")
         term, row, w = self.term[order], np.repeat(np.arange(self.n, dtype=np.int32), size)[order], self.weight[order].astype(np.float32)
         count = np.bincount(term)
@@ -156,6 +157,10 @@ class BlockMaxIndex:
         self.start = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
         self.row, self.post = row[rare], w[rare]
 
+    def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        at = slice(self.first[i], self.first[i + 1])
+        return self.term[at], self.weight[at]
+
     def nearest(self, terms, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
         """The k best (cosine, example), largest first, ties to the smaller number; exact."""
         return self.nearest_of([(terms, weights)], k, [without])[0]
@@ -240,18 +245,19 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, shrink: float = 20.0, k: int = 9, calibrate: int = 2048) -> dict:
-    """The model as plain values (bounded by the parameters)."""
+    """The model (bounded by the parameters), and what the tasks share of it."""
     spark = docs.sparkSession
     usable = labels.filter("toxic is not null and doc_id is not null").filter(~held_out())
     usable = usable.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = usable.filter(thinned(F.col("id"), usable.count(), examples)).orderBy(F.xxhash64("id"), "id", "toxic").limit(examples)
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
-    sample = sample.select("id", "toxic", "text", F.pandas_udf(smallest_sequence, "long")("text").alias("near"))
-    sample = saved(sample.repartition(16, "near").dropDuplicates(["near", "toxic"]), "toxic-sample")
+    sample = sample.select("id", "toxic", "text", F.pandas_udf(same_words, "string")("text").alias("words"))
+    sample = sample.groupBy("words", "toxic").agg(F.min("id").alias("id"), F.min("text").alias("text"), F.count("*").alias("copies"))
+    sample = saved(sample.repartition(16, "words"), "toxic-sample")
     total, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    model = {"key": uuid.uuid4().hex, "names": [], "idf": np.zeros(0), "vectors": [], "label": np.zeros(0), "ids": [], "k": k, "prior": 0.0, "map": ([0.0], [0.0])}
+    model = {"key": uuid.uuid4().hex, "idf": np.zeros(0), "vectors": (np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0)), "label": np.zeros(0), "ids": [], "k": k}
     if not total:
-        return model
+        return model | {"names": spark.sparkContext.broadcast([]), "shared": spark.sparkContext.broadcast(model), "prior": 0.0, "map": ([0.0], [0.0])}
 
     def present(batches):
         for b in batches:
@@ -266,11 +272,11 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, shrink: float
     names, key = seen["term"].to_pylist(), model["key"]
     n, hit, p = seen["n"].to_numpy().astype(float), seen["hit"].to_numpy().astype(float), float(toxic) / total
     odds = np.log((hit + shrink * p) / (n - hit + shrink * (1 - p)) * (1 - p) / p) if 0 < p < 1 else np.zeros(len(names))
-    shared = spark.sparkContext.broadcast(names)
+    words = spark.sparkContext.broadcast(names)
 
     def frequencies(batches):
-        count = TermCounter(numbered(shared.value, key))
-        df = np.zeros(len(shared.value), np.int64)
+        count = TermCounter(numbered(words.value, key))
+        df = np.zeros(len(words.value), np.int64)
         rows = 0
         for b in batches:
             rows += len(b)
@@ -287,55 +293,76 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, shrink: float
     idf = np.log(1 + many[at < 0].sum() / (1 + held)) * (0.1 + odds * odds)
 
     def vectors(batches):
-        count = TermCounter(numbered(shared.value, key))
+        count = TermCounter(numbered(words.value, key))
         for b in batches:
             found = [sorted(count(t).items()) for t in b["text"]]
-            yield pd.DataFrame({"id": b["id"], "toxic": b["toxic"], "t": [[t for t, _ in f] for f in found], "c": [[c for _, c in f] for f in found]})
+            yield pd.DataFrame({"id": b["id"], "toxic": b["toxic"], "copies": b["copies"], "t": [[t for t, _ in f] for f in found], "c": [[c for _, c in f] for f in found]})
+
+    rows = sample.mapInPandas(vectors, "id long, toxic int, copies long, t array<int>, c array<int>")
+    rows = rows.toArrow()
+    none = rows.filter(pc.equal(pc.list_value_length(rows["t"]), 0)).select(["copies", "toxic"])
+    copies, bad = (none[c].to_numpy() for c in ("copies", "toxic"))
+    vecs, ids, label = _ordered(rows.filter(pc.greater(pc.list_value_length(rows["t"]), 0)), idf)
+    del rows
+    model |= {"idf": idf, "vectors": vecs, "label": label, "ids": ids}
+    model["shared"] = shared = spark.sparkContext.broadcast(dict(model))
+    some_rows = np.unique(np.linspace(0, max(len(ids) - 1, 0), min(calibrate, len(ids))).astype(int)).tolist()
+
+    def votes(batches):
+        m, index = shared.value, kept_index(shared.value)
+        for b in batches:
+            mine = [some_rows[i] for i in b["id"]]
+            near = index.nearest_of([index.vector(i) for i in mine], m["k"], mine)
+            yield pd.DataFrame([(vote(x, m["label"]), int(m["label"][i])) for i, x in zip(mine, near, strict=True) if x], columns=["vote", "toxic"])
 
-    rows = sample.mapInPandas(vectors, "id long, toxic int, t array<int>, c array<int>")
-    zero = rows.filter("size(t) = 0").agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    some = _ordered(rows.filter("size(t) > 0").toArrow(), idf)
-    vecs, label = [s[0] for s in some], np.array([float(s[2]) for s in some])
-    index = BlockMaxIndex(vecs)
-    some_rows = np.unique(np.linspace(0, max(len(vecs) - 1, 0), min(calibrate, len(vecs))).astype(int)).tolist()
-    votes = [(vote(near, label), int(label[i])) for i, near in zip(some_rows, index.nearest_of([vecs[i] for i in some_rows], k, some_rows), strict=True) if near]
-    curve = isotonic([v for v, _ in votes], [y for _, y in votes]) if votes else ([0.0], [0.0])
-    return model | {"names": names, "idf": idf, "vectors": vecs, "label": label, "ids": [s[1] for s in some], "prior": (float(zero[1]) + p) / (zero[0] + 1), "map": curve}
+    told = spark.range(0, len(some_rows), 1, 8).mapInPandas(votes, "vote double, toxic int").collect()
+    curve = isotonic([r["vote"] for r in told], [r["toxic"] for r in told]) if told else ([0.0], [0.0])
+    return model | {"names": words, "prior": (float((copies * bad).sum()) + p) / (float(copies.sum()) + 1), "map": curve}
 
 
-def _ordered(rows: pa.Table, idf: np.ndarray) -> list[tuple]:
-    """(vector, id, label) of the examples, those alike in label and strongest term beside each other."""
+def _ordered(rows: pa.Table, idf: np.ndarray) -> tuple:
+    """(vectors end to end, ids, labels) of the examples, those alike in label and strongest term beside each other."""
     ids, toxic = rows["id"].to_pylist(), rows["toxic"].to_pylist()
     lists = [rows[c].combine_chunks() for c in ("t", "c")]
-    first = np.concatenate([[0], np.cumsum(lists[0].value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+    size = np.asarray(lists[0].value_lengths().to_numpy(zero_copy_only=False), np.int64)
+    first = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
     t, c = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
-    out = []
+    w = (1 + np.log(c)) * idf[t]
+    rank = []
     for i, (lo, hi) in enumerate(zip(first[:-1], first[1:], strict=True)):
-        terms, w = weigh(dict(zip(t[lo:hi].tolist(), c[lo:hi].tolist(), strict=True)), idf)
-        out.append((toxic[i], int(terms[np.argmax(w)]), ids[i], t[lo:hi].tobytes(), c[lo:hi].tobytes(), (terms, w)))
-    return [(x[5], x[2], x[0]) for x in sorted(out, key=lambda x: x[:5])]
+        w[lo:hi] /= np.sqrt((w[lo:hi] * w[lo:hi]).sum()) or 1.0
+        rank.append((toxic[i], int(t[lo + np.argmax(w[lo:hi])]), ids[i], hashlib.sha256(t[lo:hi].tobytes() + c[lo:hi].tobytes()).digest(), i))
+    order = np.array([x[-1] for x in sorted(rank)], np.int64)
+    e = ranges(first[order], size[order])
+    vectors = np.concatenate([[0], np.cumsum(size[order])]).astype(np.int64), t[e].astype(np.int32), w[e]
+    return vectors, [ids[i] for i in order], np.array([float(toxic[i]) for i in order])
+
+
+def kept_index(model: dict) -> BlockMaxIndex:
+    """The model's index, built once per Python worker."""
+    kept = worker_store().setdefault("toxic-index", {})
+    if kept.get("key") != model["key"]:
+        kept.clear()
+        kept |= {"key": model["key"], "index": BlockMaxIndex(model["vectors"])}
+    return kept["index"]
 
 
 def scorer(spark, model: dict):
     """A column function of the text: score, neighbours (example ids), similarity, terms (the evidence)."""
-    shared = spark.sparkContext.broadcast(model)
+    shared, words, prior, curve = model["shared"], model["names"], model["prior"], model["map"]
 
     @F.pandas_udf(SCORE)
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m = shared.value
-        kept = worker_store().setdefault("toxic-index", {})
-        if kept.get("key") != m["key"]:
-            kept.clear()
-            kept |= {"key": m["key"], "index": BlockMaxIndex(m["vectors"])}
-        count, index = TermCounter(numbered(m["names"], m["key"])), kept["index"]
+        m, names = shared.value, words.value
+        count, index = TermCounter(numbered(names, m["key"])), kept_index(m)
         for texts in parts:
             known, every = {}, list(dict.fromkeys(texts))
             for lo in range(0, len(every), GROUP):
                 some = every[lo : lo + GROUP]
                 found = [weigh(count(text), m["idf"]) for text in some]
                 for text, (terms, _), best in zip(some, found, index.nearest_of(found, m["k"]), strict=True):
-                    s = float(np.interp(vote(best, m["label"]), *m["map"])) if best else m["prior"]
-                    known[text] = (min(max(s, 0.0), 1.0), [m["ids"][i] for _, i in best], [c for c, _ in best], [m["names"][t] for t in terms.tolist()])
+                    s = float(np.interp(vote(best, m["label"]), *curve)) if best else prior
+                    known[text] = (min(max(s, 0.0), 1.0), [m["ids"][i] for _, i in best], [c for c, _ in best], [names[t] for t in terms.tolist()])
             yield pd.DataFrame([known[text] for text in texts], columns=["score", "neighbours", "similarity", "terms"])
 
     return score
