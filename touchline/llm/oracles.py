@@ -77,3 +77,10 @@ SELECT b.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT)
        CAST(coalesce(k, 0) AS BIGINT) AS n_spans, sha256(unhex(h)) AS kept_sha256
 FROM b JOIN kept ON kept.doc_id = b.doc_id LEFT JOIN totals ON totals.doc_id = b.doc_id
 """
+
+EXACT_DEDUP = r"""
+WITH t AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS s FROM documents),
+g AS (SELECT s, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY s)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(s) AS text_sha256 FROM t JOIN g USING (s)
+"""

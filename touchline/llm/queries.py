@@ -7,8 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.llm import oracles
+from touchline.llm.alignment import alignment_report
 from touchline.llm.bit_sliced import top_inner_products
 from touchline.llm.common import table
+from touchline.llm.exact_dedup import exact_groups
 from touchline.llm.html_extract import extract
 from touchline.llm.language_id import identify
 from touchline.llm.mixing import mix_report
@@ -18,6 +20,7 @@ from touchline.llm.packing import pack
 from touchline.llm.substring_dedup import window_report
 from touchline.llm.suffix_dedup import removal_report
 from touchline.llm.toxicity import score_documents
+from touchline.llm.whitening import whiten
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -70,9 +73,22 @@ def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(table(spark, sf_dir, "embeddings"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_nearest_neighbours, op3_language_id, op4_best_fit_packing, op5_suffix_dedup, op6_ngram_jaccard,
-    op7_substring_dedup, op8_toxicity, op9_mix_sources, op10_top_k_search,
+    op7_substring_dedup, op8_toxicity, op9_mix_sources, op10_top_k_search, op11_token_alignment,
+    op12_embedding_whitening, op13_exact_dedup,
 )}
 
 ORACLE: dict[str, str] = {
@@ -80,4 +96,5 @@ ORACLE: dict[str, str] = {
     "op6_ngram_jaccard": oracles.NGRAM_JACCARD,
     "op7_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op10_top_k_search": oracles.TOP_K_SEARCH,
+    "op13_exact_dedup": oracles.EXACT_DEDUP,
 }
