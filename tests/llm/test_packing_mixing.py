@@ -120,3 +120,86 @@ def test_mixture_repeats_rows_as_reported(spark):
         told[g.doc_id] += g.taken
     assert +words == +told
     assert mix_report(df.limit(0)).count() == mixture(df.limit(0)).count() == 0
+
+
+def _equal_rows(word: str, n: int = 600):
+    """Three sources of one thousand documents; ``n`` rows of the last one are equal, without an id."""
+    rng = np.random.default_rng(len(word))
+    text = lambda k: " ".join(word + str(x) for x in rng.integers(0, 10**6, k))
+    rows = [(i, text(100 if i < 2000 else 50), "en", f"src{i // 1000}", 0) for i in range(3000 - n)]
+    return rows + [(None, " ".join(f"{word}{k}" for k in range(50)), "en", "src2", 0)] * n
+
+
+@pytest.mark.parametrize("word", ["a", "lorem", "xyz"])
+def test_a_large_group_of_equal_rows_is_split(spark, word):
+    """Equal rows have places of their own: the source meets its target, whatever the order and number of partitions."""
+    rows = _equal_rows(word)
+    told = []
+    for parts in (1, 5):
+        got = mix_report(spark.createDataFrame(rows, SCHEMA).repartition(parts)).collect()
+        taken = Counter()
+        for g in got:
+            assert 0 <= g.taken <= 2 * g.size
+            taken[g.source] += g.taken
+        for g in got:
+            assert abs(taken[g.source] - g.target) <= 100
+        told.append(Counter(map(tuple, got)))
+    assert told[0] == told[1]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert sum(len(r.text.split()) for r in mixture(df).collect()) == sum(r.taken for r in mix_report(df).collect())
+
+
+def test_the_tree_decides_what_is_taken(spark, monkeypatch):
+    """With another tree other documents are taken, and the shards' quotas are those of the tree."""
+    from touchline.llm import mixing
+
+    df = spark.createDataFrame(invented(n=800), SCHEMA)
+    want = Counter(map(tuple, mix_report(df).collect()))
+
+    def first_shards(draws, shards, seed, sizes=None):
+        """Sources in turn instead of draws."""
+        sizes = [int(draws.sum()) * (i + 1) // shards - int(draws.sum()) * i // shards for i in range(shards)] if sizes is None else list(sizes)
+        out, left = np.zeros((shards, len(draws)), np.int64), draws.copy()
+        for i, n in enumerate(sizes):
+            for s in range(len(draws)):
+                k = min(int(left[s]), int(n))
+                out[i, s], left[s], n = k, left[s] - k, n - k
+        return out
+
+    monkeypatch.setattr(mixing, "split_quotas", first_shards)
+    other = Counter(map(tuple, mix_report(df).collect()))
+    assert want != other
+    taken = lambda told: Counter({(r[0], r[1], r[5]): n for r, n in told.items()})
+    assert taken(want) != taken(other)
+
+
+def test_many_sources(spark, monkeypatch):
+    """More sources than rows of a broadcast plan, and groups of several sources, mix as few do."""
+    from touchline.llm import mixing
+
+    monkeypatch.setattr(mixing, "PLAN_ROWS", 10)
+    monkeypatch.setattr(mixing, "GROUPS", 7)
+    rows = [(i, " ".join(["w"] * (1 + i % 9)), "en", f"s{i % 500:03d}", 0) for i in range(6000)]
+    got = mix_report(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    size = Counter()
+    for r in rows:
+        size[r[3]] += len(r[1].split())
+    names = sorted(size)
+    want = dict(zip(names, targets([size[s] for s in names]), strict=True))
+    taken = Counter()
+    for g in got:
+        taken[g.source] += g.taken
+        assert g.target == pytest.approx(want[g.source])
+    assert len(got) == 6000 and all(abs(taken[s] - want[s]) <= 9 for s in names)
+
+
+def test_drawn_blocks():
+    """Every block once before any twice; the words reach the target."""
+    from touchline.llm.mixing import planned
+
+    words = {b: 10 + b for b in range(20)}
+    for target in (0.0, 5.0, 150.0, 390.0, 391.0, 600.0, 780.0):
+        plan = planned("s", words, target, np.array([3, 0, 9, 8]), 1)
+        assert sum(w * plan[b][0] + (plan[b][1] or 0) for b, w in words.items()) == pytest.approx(target, abs=0.5)
+        draws = [len(p[2]) for p in plan.values()]
+        assert max(draws) - min(draws) <= 1 and sum(p[1] is not None for p in plan.values()) <= 1
