@@ -140,3 +140,43 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert removal_report(empty).count() == window_report(empty).count() == near_duplicates(empty).count() == 0
     assert without_repeats(empty).count() == keep_one(empty).count() == 0
+
+
+def test_many_equal_rows_stay_one_to_one(spark, monkeypatch):
+    """5,000 equal rows without an id: the join of texts with what the buckets told gives a row a row, results as ever."""
+    from touchline.llm import common, substring_dedup
+
+    rng = random.Random(5)
+    text = lambda k: " ".join("".join(rng.choice("abcdefghik") for _ in range(rng.randint(3, 8))) for _ in range(k))
+    copy = text(80)
+    rows = [(None, copy, "en", "s", 0)] * 5000 + [(1, text(90) + " " + copy, "en", "s", 0), (2, text(90), "en", "s", 0)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    joined = []
+
+    def counted(*args):
+        out = common.opened_rows(*args)
+        joined.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "opened_rows", counted)
+    monkeypatch.setattr(substring_dedup, "opened_rows", counted)
+    some = [r for i, r in enumerate(rows) if i < 2 or i >= 5000]
+    want5, want7 = brute_bytes(some), brute_windows(some)
+    got5, got7 = tuples(removal_report(df), *SHA5), tuples(window_report(df), *SHA7)
+    assert len(got5) == len(got7) == 5002 and set(got5) == set(want5) and set(got7) == set(want7)
+    assert joined and all(n <= 5002 for n in joined)
+
+
+def test_planted_passages_of_400_bytes_and_more(spark):
+    """Passages of 400 bytes and more planted in otherwise clean documents: all caught by n_removed, clean documents left alone."""
+    rng = random.Random(11)
+    text = lambda k: " ".join("".join(rng.choice("abcdefghiklmnoprstuvz") for _ in range(rng.randint(2, 9))) for _ in range(k))
+    passages = []
+    while len(passages) < 12:
+        p = text(rng.randint(70, 140))
+        passages += [p] if len(p) >= 400 else []
+    planted = [(i, f"{text(60)} {passages[i % 12]} {text(60)}", "en", "s", 0) for i in range(48)]
+    clean = [(100 + i, text(rng.randint(1, 400)), "en", "s", 0) for i in range(60)]
+    got = {r["doc_id"]: r for r in removal_report(spark.createDataFrame(planted + clean, SCHEMA).repartition(4)).collect()}
+    assert all(got[i]["n_removed"] >= len(passages[i % 12]) for i in range(48))
+    assert all(got[r[0]]["n_removed"] == 0 for r in clean)

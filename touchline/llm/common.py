@@ -228,6 +228,16 @@ def send(keys: np.ndarray, refs: np.ndarray, buckets: int, block: int, more: np.
             yield int(to[lo]), block, KEYS, planes(keys[lo:hi], refs[lo:hi], *(m[lo:hi] for m in with_more))
 
 
+def opened_rows(src: DataFrame, told: DataFrame, column: str) -> DataFrame:
+    """``src`` rows (doc_id, text_id, text) that ``told`` names, each once, with ``column``.
+
+    Repeated rows have equal entries, so the entries are one a (doc_id, text_id) before the join: m copies stay m rows.
+    """
+    one = told.groupBy(F.col("doc_id").alias("c_doc"), F.col("text_id").alias("c_text")).agg(F.max(column).alias(column))
+    both = src.join(one, src["doc_id"].eqNullSafe(one["c_doc"]) & (src["text_id"] == one["c_text"]))
+    return both.select("doc_id", "text_id", "text", column)
+
+
 def rows_batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import (
-    ANSWER, ANSWER_ARROW, BLOCK, EXCHANGE, EXCHANGE_ARROW, KEYS, POLY, U64, Poly, block_row, bucket_of, mix, planes, read_block,
+    ANSWER, ANSWER_ARROW, BLOCK, EXCHANGE, EXCHANGE_ARROW, KEYS, POLY, U64, Poly, block_row, bucket_of, mix, opened_rows, planes, read_block,
     repeated_entries, rows_batch, saved, send, shuffle_parts, sliding_argmin, slices, span_hashes, text_buffer, text_id, unplanes, words_of,
 )
 from touchline.llm.suffix_dedup import SPANS, SPANS_ARROW, _union, _with_spans, merged_spans
@@ -215,11 +215,9 @@ def repeated_intervals(docs: DataFrame, window: int = 20, block_bytes: int = 8 <
     asked = src.mapInArrow(_scan(buckets, window, block_bytes), EXCHANGE)
     told = asked.groupBy("bucket").applyInArrow(repeated_entries(1 << 62), ANSWER)
     runs = saved(told.groupBy("block").applyInArrow(_open_runs, CELLS), "window-runs")
-    opened = runs.select(F.col("doc_id").alias("c_doc"), F.col("text_id").alias("c_text"), "runs")
-    both = src.join(opened, src["doc_id"].eqNullSafe(opened["c_doc"]) & (src["text_id"] == opened["c_text"]))
-    found = both.select("doc_id", "text_id", "text", "runs").mapInArrow(_windows(buckets, window, block_bytes), EXCHANGE)
+    found = opened_rows(src, runs, "runs").mapInArrow(_windows(buckets, window, block_bytes), EXCHANGE)
     decided = found.groupBy("bucket").applyInArrow(_later, ANSWER).groupBy("block").applyInArrow(_intervals(window), SPANS)
-    return decided.groupBy("doc_id", "text_id").agg(F.collect_list("spans").alias("spans"))
+    return decided.groupBy("doc_id", "text_id").agg(F.collect_set("spans").alias("spans"))
 
 
 REPORT = "doc_id long, n_words long, n_removed long, kept_sha256 string"

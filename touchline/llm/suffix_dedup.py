@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import (
-    ANSWER, ANSWER_ARROW, BLOCK, EXCHANGE, EXCHANGE_ARROW, KEYS, U64, Poly, block_row, planes, read_block,
+    ANSWER, ANSWER_ARROW, BLOCK, EXCHANGE, EXCHANGE_ARROW, KEYS, U64, Poly, block_row, opened_rows, planes, read_block,
     repeated_entries, rows_batch, saved, send, shuffle_parts, sliding_argmin, slices, text_buffer, text_id, unplanes,
 )
 
@@ -439,12 +439,10 @@ def repeated_spans(docs: DataFrame, span: int = 400, hot: int = 4096, block_byte
     asked = src.mapInArrow(_scan(buckets, span, block_bytes), EXCHANGE)
     told = asked.groupBy("bucket").applyInArrow(repeated_entries(hot), ANSWER)
     cells = saved(told.groupBy("block").applyInArrow(_cells, CELLS), "suffix-cells")
-    opened = cells.select(F.col("doc_id").alias("c_doc"), F.col("text_id").alias("c_text"), "cells")
-    both = src.join(opened, src["doc_id"].eqNullSafe(opened["c_doc"]) & (src["text_id"] == opened["c_text"]))
-    runs = both.select("doc_id", "text_id", "text", "cells").mapInArrow(_sorted_runs(buckets, span, block_bytes), EXCHANGE)
+    runs = opened_rows(src, cells, "cells").mapInArrow(_sorted_runs(buckets, span, block_bytes), EXCHANGE)
     merged = runs.groupBy("bucket").applyInArrow(_merge(span), ANSWER)
     found = merged.groupBy("block").applyInArrow(_spans(span), SPANS)
-    return found.groupBy("doc_id", "text_id").agg(F.collect_list("spans").alias("spans"))
+    return found.groupBy("doc_id", "text_id").agg(F.collect_set("spans").alias("spans"))
 
 
 def _union(blobs) -> tuple[np.ndarray, np.ndarray]:
