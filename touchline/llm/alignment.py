@@ -92,7 +92,7 @@ class Pieces:
     blanks together are those of its space-separated chunks, each encoded once per worker (the store is emptied
     beyond ``most`` pieces); other texts are encoded whole."""
 
-    def __init__(self, path: str, most: int = 4_000_000) -> None:
+    def __init__(self, path: str, most: int = 1_000_000) -> None:
         import sentencepiece
 
         self.model, self.most = sentencepiece.SentencePieceProcessor(model_file=path), most
@@ -269,7 +269,7 @@ def blocks(batch: pa.RecordBatch, most: int):
         yield lo, hi, batch.column(1).slice(lo, hi - lo).to_pylist()
 
 
-def token_links(docs: DataFrame, a_path: str, b_path: str, kind: str = "overlap", block_bytes: int = 4 << 20) -> DataFrame:
+def token_links(docs: DataFrame, a_path: str, b_path: str, kind: str = "overlap", block_bytes: int = 1 << 20) -> DataFrame:
     """Every link: doc_id, the tokens' places a and b (from 0), their ids, and the product's entry n.
 
     ``kind``: ``overlap`` (n: shared bytes), ``end`` (byte ranges that end together) or ``group`` (tokens of one group).
@@ -359,7 +359,7 @@ def pair_counts(scan: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(top), "b").select("pair", "count", (F.col("count") == F.col("top")).cast("int").alias("best"))
 
 
-def alignment_report(docs: DataFrame, a_path: str, b_path: str, kind: str = "end", block_bytes: int = 8 << 20) -> DataFrame:
+def alignment_report(docs: DataFrame, a_path: str, b_path: str, kind: str = "end", block_bytes: int = 2 << 20) -> DataFrame:
     """Every document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     src = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     scan = saved(src.mapInArrow(_scan(a_path, b_path, block_bytes, kind), SCAN), "align-scan")
