@@ -8,15 +8,18 @@ lower-cased words without punctuation and the first four letters of longer
 words; the vocabulary is every term of an example.  Document frequencies are
 counted over *all* documents.  A term weighs its idf times 0.1 and the square of
 its log odds of the label, drawn to 0 by ``shrink`` average examples: no term is
-left out, and one that says nothing of the label counts little.  The examples'
-vectors go into an inverted index; the terms of a twentieth of the examples and
-more lie dense, in blocks with their largest weight.
+left out, and one that says nothing of the label counts little.  Terms are told by
+64-bit hashes, so no task holds their strings; every document's terms are counted
+once and written for both passes.  The examples' vectors go into an
+inverted index; the most frequent terms (of an eightieth of the examples and more)
+lie dense, in blocks of examples with their largest weight.
 
 Score: the ``k`` examples of largest cosine, found exactly: the rare terms'
-postings are added up, then a block of examples is met only if its upper bound
-(its largest sum so far, and the frequent terms' block maxima) reaches the k-th
-best; the last candidates are computed anew in double precision, and ties go to the
-smaller example number.
+postings are added up, then an example is met only if its sum and an upper bound of
+what the frequent terms can add (their block maxima, and the norms of both dense
+parts) reach the k-th best; the last candidates are computed anew in double
+precision, and ties go to the smaller example number.  Evidence: the neighbours, and
+the document's terms that weigh most.
 Neighbours vote with weight 1 / (1.05 - cosine); the vote is calibrated by an
 isotonic map fitted to leave-one-out votes of at most ``calibrate`` examples.  A document without
 any term of an example has no neighbours: its score is the share of toxic
@@ -32,9 +35,7 @@ text column is read, so other columns cannot clash.
 
 import hashlib
 import uuid
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -42,85 +43,158 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from touchline.llm.common import saved, thinned, worker_store
+from touchline.llm.common import U64, Poly, mix, saved, slices, text_buffer, thinned, words_of, worker_store
 
 #: Stripped from both ends of a word (fixed value).
 PUNCTUATION = ".,;:!?\"'()[]{}<>*#$%&-_/\\…«»„“”¿¡"
+ASCII_MARK = np.isin(np.arange(256), [ord(c) for c in PUNCTUATION if c.isascii()])
+WIDE_MARKS = [c.encode() for c in PUNCTUATION if not c.isascii()]
+#: Sets a stem's hash apart from a word's (fixed value).
+STEM = 0x5354454D5354454D
 BLOCK = 64
-#: Blocks of one dense product, queries searched together, most frequent terms kept dense (fixed values).
-SPAN, GROUP, DENSE = 16, 8, 1024
+#: Most frequent terms kept dense, and the share of examples a dense term is in at least (fixed values).
+DENSE, OFTEN = 1024, 80
 #: Above the rounding of a cosine added up in single precision.
 SLACK = 1e-5
+#: Terms given as evidence: those that weigh most in the document.
+SHOWN = 24
 SCORE = "score double, neighbours array<long>, similarity array<double>, terms array<string>"
 
 
-def word_terms(word: str) -> tuple[str, ...]:
-    """The terms of one blank-separated chunk: the bare word, and the first four letters of longer words."""
-    bare = word.strip(PUNCTUATION)
-    if not bare:
-        return ()
-    return (bare, bare[:4] + "*") if len(bare) > 5 else (bare,)
-
-
 def same_words(texts: pd.Series) -> pd.Series:
     """A digest of a text's lower-cased words in order: equal for copies."""
     return pd.Series([hashlib.sha256(" ".join((text or "").lower().split()).encode("utf-8", "surrogatepass")).hexdigest() for text in texts], dtype=object)
 
 
-class TermCounter:
-    """Counts of the vocabulary's terms in a text; each distinct chunk is analysed once (store bounded)."""
-
-    def __init__(self, vocabulary: dict[str, int], most: int = 100_000) -> None:
-        self.vocabulary, self.most = vocabulary, most
-        kept = worker_store().setdefault("toxic-terms", {})  # one vocabulary at a time
-        if kept.get("vocabulary") is not vocabulary:
-            kept.clear()
-            kept |= {"vocabulary": vocabulary, "seen": {}, "stems": {t[:-1] for t in vocabulary if t.endswith("*")}}
-        self.stems = kept["stems"]
-        self.seen: dict[str, tuple[int, ...]] = kept["seen"]
-
-    def may_hold(self, word: str) -> bool:
-        """Whether a chunk can have a term of the vocabulary (cheap, and never wrongly false)."""
-        return word in self.vocabulary or word[:4] in self.stems or not word[-1].isalpha() or not word[0].isalpha()
-
-    def __call__(self, text: str | None) -> dict[int, int]:
-        if not text:
-            return {}
-        if len(self.seen) > self.most:
-            self.seen.clear()
-        seen, vocabulary = self.seen, self.vocabulary
-        words = text.lower().split()
-        try:
-            found = [t for t in map(seen.__getitem__, words) if t]
-        except KeyError:
-            for w in set(words):
-                if w not in seen:
-                    seen[w] = tuple(vocabulary[t] for t in word_terms(w) if t in vocabulary) if self.may_hold(w) else ()
-            found = [t for t in map(seen.__getitem__, words) if t]
-        return Counter(chain.from_iterable(found))
-
-
-def numbered(names: list[str], key: str) -> dict[str, int]:
-    """The vocabulary's numbers, made once per Python worker."""
-    kept = worker_store().setdefault("toxic-names", {})
+def _marks(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to punctuation."""
+    out = ASCII_MARK[data]
+    for mark in WIDE_MARKS:
+        at = np.flatnonzero(data[: len(data) - len(mark) + 1] == mark[0])
+        for k, byte in enumerate(mark[1:], 1):
+            at = at[data[at + k] == byte]
+        for k in range(len(mark)):
+            out[at + k] = True
+    return out
+
+
+class Terms:
+    """Every term of a block of texts: its row, 64-bit hash and bytes.
+
+    Terms are the lower-cased blank-separated chunks without punctuation at their ends, and the first four letters
+    of longer ones (marked in the hash).  A term is told by its hash, so no task holds the vocabulary's strings.
+    """
+
+    def __init__(self, texts: pa.Array, poly: Poly, piece: int = 1 << 20) -> None:
+        self.data, offs = text_buffer(pc.utf8_lower(texts.cast(pa.large_string())))
+        start, end, at = words_of(self.data, offs)
+        row = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(at))
+        mark = _marks(self.data) if len(start) else np.zeros(0, bool)
+        odd = mark[start] | mark[end - 1]
+        plain = np.flatnonzero(~mark)
+        first, last = np.searchsorted(plain, start[odd]), np.searchsorted(plain, end[odd])
+        some = first < last  # something is left between the marks
+        bare = np.ones(len(start), bool)
+        bare[odd] = some
+        kept = np.flatnonzero(odd)[some]
+        start[kept], end[kept] = plain[first[some]], plain[last[some] - 1] + 1
+        start, end, row = start[bare], end[bare], row[bare]
+        letter = np.concatenate([[0], np.cumsum((self.data & 0xC0) != 0x80)])
+        place = np.flatnonzero((self.data & 0xC0) != 0x80)
+        long = np.flatnonzero(letter[end] - letter[start] > 5)
+        stem_end = place[letter[start[long]] + 4]
+        word, stem = np.empty(len(start), U64), np.empty(len(long), U64)
+        i = j = 0
+        while i < len(start):  # prefix hashes of about ``piece`` bytes at a time
+            k = max(i + 1, int(np.searchsorted(end, start[i] + piece, side="right")))
+            base, m = start[i], int(np.searchsorted(long, k))
+            prefix = poly.prefix(self.data[base : end[k - 1]].astype(U64) + U64(1))
+            word[i:k] = poly.span(prefix, start[i:k] - base, end[i:k] - base)
+            stem[j:m] = mix(poly.span(prefix, start[long[j:m]] - base, stem_end[j:m] - base) ^ U64(STEM))
+            i, j = k, m
+        self.hash = np.concatenate([word, stem])
+        self.row = np.concatenate([row, row[long]])
+        self.start, self.end, self.stems = np.concatenate([start, start[long]]), np.concatenate([end, stem_end]), len(stem)
+
+    def name(self, i: int) -> str:
+        return self.data[self.start[i] : self.end[i]].tobytes().decode("utf-8", "replace") + "*" * (i >= len(self.hash) - self.stems)
+
+
+class Vocabulary:
+    """Sorted hashes with the place of each leading 20 bits: a lookup meets the few hashes that share them."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = hashes
+        self.first = np.searchsorted(hashes, np.arange((1 << 20) + 1, dtype=object).astype(U64)[:-1] << U64(44)).astype(np.int32)
+        self.first = np.append(self.first, np.int32(len(hashes)))
+
+    def numbers(self, h: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for those outside."""
+        out, lead = np.full(len(h), -1, np.int32), (h >> U64(44)).astype(np.int64)
+        at, stop = self.first[lead], self.first[lead + 1]
+        left = np.flatnonzero(at < stop)
+        at = at[left]
+        while len(left):
+            hit = self.hashes[at] == h[left]
+            out[left[hit]] = at[hit]
+            at = at + 1
+            more = ~hit & (at < stop[left])
+            left, at = left[more], at[more]
+        return out
+
+    def vectors(self, texts: pa.Array, poly: Poly) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first entry of each text, term numbers rising, counts)."""
+        terms = Terms(texts, poly)
+        number = self.numbers(terms.hash)
+        known = number >= 0
+        key, count = np.unique(terms.row[known] << 32 | number[known], return_counts=True)
+        first = np.searchsorted(key >> 32, np.arange(len(texts) + 1))
+        return first, (key & 0xFFFFFFFF).astype(np.int32), count.astype(np.int32)
+
+
+def kept_vocabulary(key: str, hashes: np.ndarray) -> Vocabulary:
+    """One vocabulary per Python worker."""
+    kept = worker_store().setdefault("toxic-terms", {})
     if kept.get("key") != key:
         kept.clear()
-        kept |= {"key": key, "vocabulary": {t: i for i, t in enumerate(names)}}
+        kept |= {"key": key, "vocabulary": Vocabulary(hashes)}
     return kept["vocabulary"]
 
 
-def weigh(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The unit vector: term numbers in order, weights."""
-    terms = np.fromiter(counts.keys(), np.int64, len(counts))
-    many = np.fromiter(counts.values(), np.float64, len(counts))
-    order = np.argsort(terms)
-    terms = terms[order]
-    w = (1 + np.log(many[order])) * idf[terms]
+def with_vectors(rows: DataFrame, key: str, known, block_bytes: int = 1 << 20) -> DataFrame:
+    """``rows`` (their last column: the text) with t and c, the text's term numbers and counts, in its place."""
+    names = rows.columns[:-1]
+    schema = T.StructType([*(rows.schema[c] for c in names), *(T.StructField(c, T.ArrayType(T.IntegerType())) for c in "tc")])
+
+    def run(batches):
+        vocabulary, poly = kept_vocabulary(key, known.value), Poly()
+        for batch in batches:
+            text = batch.column(len(names))
+            _, offs = text_buffer(text)
+            for lo, hi in slices(offs, block_bytes):
+                first, t, c = vocabulary.vectors(text.slice(lo, hi - lo), poly)
+                at = pa.array(first.astype(np.int32))
+                lists = [pa.ListArray.from_arrays(at, pa.array(v)) for v in (t, c)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in range(len(names))), *lists], names=[*names, "t", "c"])
+
+    return rows.mapInArrow(run, schema)
+
+
+def weighted(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The unit vector of counted terms."""
+    w = (1 + np.log(counts)) * idf[terms]
     n = np.sqrt((w * w).sum())
     return terms, w / n if n else w
 
 
+def weigh(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The unit vector: term numbers in order, weights."""
+    terms = np.array(sorted(counts), np.int64)
+    return weighted(terms, np.array([counts[t] for t in terms.tolist()], np.float64), idf)
+
+
 def ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     """start, start + 1, ... (n of them), for each start."""
     return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
@@ -133,88 +207,83 @@ def end_to_end(vectors: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray
 
 
 class BlockMaxIndex:
-    """Inverted index over example vectors: postings of rare terms, dense rows of frequent ones with their block maxima."""
+    """Inverted index over example vectors: postings of rare terms, dense rows of frequent ones with their block maxima.
+
+    What the frequent terms can add to an example is bounded twice: by the block maxima (for all of a block) and by
+    the norms of both dense parts; only examples that may reach the k-th best have their dense part added.
+    """
 
     def __init__(self, vectors: list | tuple) -> None:
         self.first, self.term, self.weight = vectors if isinstance(vectors, tuple) else end_to_end(vectors)
         self.n = len(self.first) - 1
         self.blocks = -(-self.n // BLOCK)
-        size = np.diff(self.first)
-        order = np.argsort(self.term, kind="stable")
-        term, row, w = self.term[order], np.repeat(np.arange(self.n, dtype=np.int32), size)[order], self.weight[order].astype(np.float32)
-        count = np.bincount(term)
-        self.width = len(count)
+        width = int(self.term.max(initial=-1)) + 1
+        count = np.bincount(self.term, minlength=width)
+        self.width = width
         dense = np.argsort(-count, kind="stable")[:DENSE]
-        dense = dense[count[dense] > max(BLOCK, self.n // 20)]
-        self.place = np.full(self.width, -1, np.int64)
+        dense = dense[count[dense] > max(BLOCK, self.n // OFTEN)]
+        self.place = np.full(width, -1, np.int32)
         self.place[dense] = np.arange(len(dense))
-        self.head = np.zeros((len(dense), self.blocks * BLOCK), np.float32)
-        at = self.place[term]
-        rare = at < 0
-        self.head[at[~rare], row[~rare]] = w[~rare]
-        self.most = self.head.reshape(len(dense), self.blocks, BLOCK).max(2)
+        small = np.uint16 if self.n <= 1 << 16 else np.int32
+        row = np.repeat(np.arange(self.n, dtype=small), np.diff(self.first))
+        often = self.place[self.term] >= 0
+        self.by_row = np.zeros((self.blocks * BLOCK, len(dense)), np.float32)
+        self.by_row[row[often], self.place[self.term[often]]] = self.weight[often]
+        self.head = self.by_row.T
+        self.most = self.by_row.reshape(self.blocks, BLOCK, len(dense)).max(1) if len(dense) else np.zeros((self.blocks, 0), np.float32)
+        self.norm = np.sqrt(np.einsum("ij,ij->i", self.by_row, self.by_row))
         count[dense] = 0
         self.start = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
-        self.row, self.post = row[rare], w[rare]
+        rare = np.flatnonzero(~often).astype(np.int32)
+        rare = rare[np.argsort(self.term[rare], kind="stable")]
+        self.row, self.post = row[rare], self.weight[rare].astype(np.float32)
+        self.scratch = np.zeros(width)
 
     def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         at = slice(self.first[i], self.first[i + 1])
         return self.term[at], self.weight[at]
 
-    def nearest(self, terms, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
-        """The k best (cosine, example), largest first, ties to the smaller number; exact."""
-        return self.nearest_of([(terms, weights)], k, [without])[0]
-
     def nearest_of(self, queries: list, k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
         """``nearest`` of each query."""
         without = without or [-1] * len(queries)
-        if not self.n:
-            return [[] for _ in queries]
-        return [best for lo in range(0, len(queries), GROUP) for best in self._group(queries[lo : lo + GROUP], k, without[lo : lo + GROUP])]
-
-    def _group(self, queries: list, k: int, without: list[int]) -> list[list[tuple[float, int]]]:
-        m, n = len(queries), self.blocks * BLOCK
-        known = [np.asarray(t, np.int64) < self.width for t, _ in queries]
-        queries = [(np.asarray(t, np.int64)[ok], w[ok]) for (t, w), ok in zip(queries, known, strict=True)]
-        term, w = (np.concatenate([q[i] for q in queries]) for i in (0, 1))
-        who = np.repeat(np.arange(m), [len(t) for t, _ in queries])
-        place = self.place[term]
+        return [self.nearest(t, w, k, x) for (t, w), x in zip(queries, without, strict=True)]
+
+    def nearest(self, terms, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
+        """The k best (cosine, example), largest first, ties to the smaller number; exact."""
+        terms = np.asarray(terms, np.int64)
+        known = terms < self.width
+        terms, weights = terms[known], weights[known]
+        if not self.n or not len(terms):
+            return []
+        place = self.place[terms]
         some = place >= 0
-        head = np.zeros((m, len(self.head)), np.float32)
-        head[who[some], place[some]] = w[some]
-        count = self.start[term + 1] - self.start[term]
-        e = ranges(self.start[term], count)
-        sums = np.bincount(np.repeat(who * n, count) + self.row[e], weights=np.repeat(w, count) * self.post[e], minlength=m * n).astype(float).reshape(m, n)
-        for i, x in enumerate(without):
-            if x >= 0:
-                sums[i, x] = -np.inf
-        k_at = n - min(k, n)
-        floor = np.zeros(m)
-        dense = np.zeros(self.width)
-        for i, (t, x) in enumerate(queries):
-            far = np.argpartition(sums[i], k_at)[k_at:]
-            if sums[i, far].min() > 0:
-                dense[t] = x
-                floor[i] = self._exact(far, dense).min()
-                dense[t] = 0
-        bound = sums.reshape(m, self.blocks, BLOCK).max(2) + head @ self.most
-        live = (bound > 0) & (bound >= floor[:, None] - SLACK)
-        for lo in range(0, self.blocks, SPAN):
-            need = np.flatnonzero(live[:, lo : lo + SPAN].any(1))
-            if len(need):
-                cols = slice(lo * BLOCK, (lo + SPAN) * BLOCK)
-                sums[need, cols] += head[need] @ self.head[:, cols]
-        out = []
-        for i, (t, x) in enumerate(queries):
-            least = max(np.partition(sums[i], k_at)[k_at], floor[i]) - SLACK
-            ids = np.flatnonzero((sums[i] >= least) & (sums[i] > 0))
-            dense[t] = x
-            cosine = self._exact(ids, dense)
-            dense[t] = 0
-            ids, cosine = ids[cosine > 0], np.round(cosine[cosine > 0], 9)
-            rank = np.lexsort((ids, -cosine))[:k]
-            out.append(list(zip(cosine[rank].tolist(), ids[rank].tolist(), strict=True)))
-        return out
+        q = np.zeros(self.by_row.shape[1], np.float32)
+        q[place[some]] = weights[some]
+        rare, w = terms[~some], weights[~some]
+        count = self.start[rare + 1] - self.start[rare]
+        e = ranges(self.start[rare], count)
+        sums = np.bincount(self.row[e], weights=np.repeat(w, count) * self.post[e], minlength=self.blocks * BLOCK).astype(float)
+        if without >= 0:
+            sums[without] = -np.inf
+        # the k-th best of the examples that stand out in their blocks is a floor
+        peak = sums.reshape(self.blocks, BLOCK)
+        first = peak.argmax(1) + np.arange(self.blocks) * BLOCK
+        if len(first) > 4 * k:
+            first = first[np.argpartition(sums[first], len(first) - 4 * k)[-4 * k :]]
+        near = sums[first] + self.by_row[first] @ q
+        floor = float(np.partition(near, len(near) - k)[len(near) - k]) if len(near) >= k else 0.0
+        more = np.minimum(np.repeat(self.most @ q, BLOCK), float(np.sqrt((q.astype(np.float64) ** 2).sum())) * self.norm)
+        bound = sums + more
+        ids = np.flatnonzero((bound > 0) & (bound >= floor - SLACK))
+        near = sums[ids] + self.by_row[ids] @ q
+        least = np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else 0.0
+        ids = ids[(near > 0) & (near >= least - SLACK)]
+        self.scratch[terms] = weights
+        cosine = self._exact(ids, self.scratch)
+        self.scratch[terms] = 0
+        ids, cosine = ids[cosine > 0], np.round(cosine[cosine > 0], 9)
+        rank = np.lexsort((ids, -cosine))[:k]
+        return list(zip(cosine[rank].tolist(), ids[rank].tolist(), strict=True))
 
     def _exact(self, ids: np.ndarray, dense: np.ndarray) -> np.ndarray:
         """The examples' cosines in double precision, added up in the order of their terms."""
@@ -244,8 +313,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, shrink: float = 20.0, k: int = 9, calibrate: int = 2048) -> dict:
-    """The model (bounded by the parameters), and what the tasks share of it."""
+def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, shrink: float = 20.0, k: int = 9, calibrate: int = 2048, keep: tuple = ()) -> dict:
+    """The model (bounded by the parameters), what the tasks share of it, and ``counted``: the documents' vectors beside ``keep``."""
     spark = docs.sparkSession
     usable = labels.filter("toxic is not null and doc_id is not null").filter(~held_out())
     usable = usable.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
@@ -255,57 +324,53 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, shrink: float
     sample = sample.groupBy("words", "toxic").agg(F.min("id").alias("id"), F.min("text").alias("text"), F.count("*").alias("copies"))
     sample = saved(sample.repartition(16, "words"), "toxic-sample")
     total, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    model = {"key": uuid.uuid4().hex, "idf": np.zeros(0), "vectors": (np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0)), "label": np.zeros(0), "ids": [], "k": k}
-    if not total:
-        return model | {"names": spark.sparkContext.broadcast([]), "shared": spark.sparkContext.broadcast(model), "prior": 0.0, "map": ([0.0], [0.0])}
+    none = np.zeros(0, np.int64)
+    model = {"key": uuid.uuid4().hex, "hashes": np.zeros(0, np.uint64), "names": pa.array([], pa.string()), "idf": np.zeros(0), "first": np.zeros(1, np.int64), "term": none, "count": none, "label": np.zeros(0), "ids": [], "k": k}
+    key = model["key"]
 
     def present(batches):
+        poly = Poly()
         for b in batches:
-            rows = Counter()
-            for text, y in zip(b["text"], b["toxic"], strict=True):
-                rows.update((t, int(y)) for t in {t for w in set((text or "").lower().split()) for t in word_terms(w)})
-            yield pd.DataFrame([(t, y, n) for (t, y), n in rows.items()], columns=["term", "y", "n"])
-
-    seen = sample.select("text", "toxic").mapInPandas(present, "term string, y int, n long")
-    seen = seen.groupBy("term").agg(F.sum("n").alias("n"), F.sum(F.expr("if(y = 1, n, 0)")).alias("hit"))
-    seen = seen.toArrow().sort_by("term")
-    names, key = seen["term"].to_pylist(), model["key"]
-    n, hit, p = seen["n"].to_numpy().astype(float), seen["hit"].to_numpy().astype(float), float(toxic) / total
-    odds = np.log((hit + shrink * p) / (n - hit + shrink * (1 - p)) * (1 - p) / p) if 0 < p < 1 else np.zeros(len(names))
-    words = spark.sparkContext.broadcast(names)
-
-    def frequencies(batches):
-        count = TermCounter(numbered(words.value, key))
-        df = np.zeros(len(words.value), np.int64)
-        rows = 0
-        for b in batches:
-            rows += len(b)
-            for text in b["text"]:
-                df[list(count(text))] += 1
-        some = np.flatnonzero(df)
-        yield pd.DataFrame({"term": np.append(some, -1), "n": np.append(df[some], rows)})
-
-    df = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    df = df.toArrow()
-    at, many = df["term"].to_numpy(), df["n"].to_numpy()
-    held = np.zeros(len(names))
-    held[at[at >= 0]] = many[at >= 0]
-    idf = np.log(1 + many[at < 0].sum() / (1 + held)) * (0.1 + odds * odds)
-
-    def vectors(batches):
-        count = TermCounter(numbered(words.value, key))
-        for b in batches:
-            found = [sorted(count(t).items()) for t in b["text"]]
-            yield pd.DataFrame({"id": b["id"], "toxic": b["toxic"], "copies": b["copies"], "t": [[t for t, _ in f] for f in found], "c": [[c for _, c in f] for f in found]})
+            _, offs = text_buffer(b.column(0))
+            toxic = b.column(1).to_numpy().astype(np.int64)
+            for lo, hi in slices(offs, 1 << 20):
+                terms = Terms(b.column(0).slice(lo, hi - lo), poly)
+                order = np.lexsort((terms.row, terms.hash))
+                h, row = terms.hash[order], terms.row[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])  # each term of a text once
+                h, row, order = h[new], row[new], order[new]
+                lead = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+                n, hit = (np.add.reduceat(v, lead) if len(lead) else lead for v in (np.ones(len(h), np.int64), toxic[lo:hi][row]))
+                yield pa.RecordBatch.from_arrays([pa.array(h[lead].view(np.int64)), pa.array(n), pa.array(hit), pa.array([terms.name(i) for i in order[lead].tolist()], pa.string())], names=["term", "n", "hit", "name"])
+
+    seen = sample.select("text", "toxic").mapInArrow(present, "term long, n long, hit long, name string")
+    seen = seen.groupBy("term").agg(F.sum("n").alias("n"), F.sum("hit").alias("hit"), F.min("name").alias("name")).toArrow()
+    hashes = seen["term"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    hashes, n, hit = hashes[order], seen["n"].to_numpy()[order].astype(float), seen["hit"].to_numpy()[order].astype(float)
+    names = seen["name"].combine_chunks().take(pa.array(order)) if len(order) else model["names"]
+    p = float(toxic) / total if total else 0.0
+    odds = np.log((hit + shrink * p) / (n - hit + shrink * (1 - p)) * (1 - p) / p) if 0 < p < 1 else np.zeros(len(hashes))
+    known = spark.sparkContext.broadcast(hashes)
+
+    # the documents' vectors are counted once, written, and read for the frequencies and for the scores
+    counted = saved(with_vectors(docs.select(*keep, F.col("text").cast("string").alias("tox_text")), key, known), "toxic-vectors")
+    model["counted"] = counted
+    if not total:
+        return model | {"shared": spark.sparkContext.broadcast({k: v for k, v in model.items() if k != "counted"}), "prior": 0.0, "map": ([0.0], [0.0])}
+    held = np.zeros(len(hashes))
+    df = counted.select(F.explode("t").alias("term")).groupBy("term").agg(F.count("*").alias("n")).toArrow()
+    held[df["term"].to_numpy()] = df["n"].to_numpy()
+    idf = np.log(1 + counted.count() / (1 + held)) * (0.1 + odds * odds)
 
-    rows = sample.mapInPandas(vectors, "id long, toxic int, copies long, t array<int>, c array<int>")
-    rows = rows.toArrow()
+    rows = with_vectors(sample.select("id", "toxic", "copies", "text"), key, known).toArrow()
     none = rows.filter(pc.equal(pc.list_value_length(rows["t"]), 0)).select(["copies", "toxic"])
     copies, bad = (none[c].to_numpy() for c in ("copies", "toxic"))
-    vecs, ids, label = _ordered(rows.filter(pc.greater(pc.list_value_length(rows["t"]), 0)), idf)
+    first, term, count, ids, label = _ordered(rows.filter(pc.greater(pc.list_value_length(rows["t"]), 0)), idf)
     del rows
-    model |= {"idf": idf, "vectors": vecs, "label": label, "ids": ids}
-    model["shared"] = shared = spark.sparkContext.broadcast(dict(model))
+    model |= {"hashes": hashes, "names": names, "idf": idf, "first": first, "term": term, "count": count, "label": label, "ids": ids}
+    model["shared"] = shared = spark.sparkContext.broadcast({k: v for k, v in model.items() if k not in ("counted", "hashes")})
     some_rows = np.unique(np.linspace(0, max(len(ids) - 1, 0), min(calibrate, len(ids))).astype(int)).tolist()
 
     def votes(batches):
@@ -317,25 +382,25 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, shrink: float
 
     told = spark.range(0, len(some_rows), 1, 8).mapInPandas(votes, "vote double, toxic int").collect()
     curve = isotonic([r["vote"] for r in told], [r["toxic"] for r in told]) if told else ([0.0], [0.0])
-    return model | {"names": words, "prior": (float((copies * bad).sum()) + p) / (float(copies.sum()) + 1), "map": curve}
+    return model | {"prior": (float((copies * bad).sum()) + p) / (float(copies.sum()) + 1), "map": curve}
 
 
 def _ordered(rows: pa.Table, idf: np.ndarray) -> tuple:
-    """(vectors end to end, ids, labels) of the examples, those alike in label and strongest term beside each other."""
+    """(first entries, terms, counts, ids, labels) of the examples, those alike in label and strongest term beside each other."""
     ids, toxic = rows["id"].to_pylist(), rows["toxic"].to_pylist()
     lists = [rows[c].combine_chunks() for c in ("t", "c")]
     size = np.asarray(lists[0].value_lengths().to_numpy(zero_copy_only=False), np.int64)
     first = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-    t, c = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
-    w = (1 + np.log(c)) * idf[t]
+    t, c = (x.flatten().to_numpy(zero_copy_only=False).astype(np.int32) for x in lists)
     rank = []
     for i, (lo, hi) in enumerate(zip(first[:-1], first[1:], strict=True)):
-        w[lo:hi] /= np.sqrt((w[lo:hi] * w[lo:hi]).sum()) or 1.0
-        rank.append((toxic[i], int(t[lo + np.argmax(w[lo:hi])]), ids[i], hashlib.sha256(t[lo:hi].tobytes() + c[lo:hi].tobytes()).digest(), i))
+        w = (1 + np.log(c[lo:hi])) * idf[t[lo:hi]]
+        rank.append((toxic[i], int(t[lo + np.argmax(w)]), ids[i], hashlib.sha256(t[lo:hi].tobytes() + c[lo:hi].tobytes()).digest(), i))
     order = np.array([x[-1] for x in sorted(rank)], np.int64)
     e = ranges(first[order], size[order])
-    vectors = np.concatenate([[0], np.cumsum(size[order])]).astype(np.int64), t[e].astype(np.int32), w[e]
-    return vectors, [ids[i] for i in order], np.array([float(toxic[i]) for i in order])
+    first = np.concatenate([[0], np.cumsum(size[order])]).astype(np.int64)
+    small = np.uint16 if c.max(initial=0) < 1 << 16 else np.int32
+    return first, t[e], c[e].astype(small), [ids[i] for i in order], np.array([float(toxic[i]) for i in order])
 
 
 def kept_index(model: dict) -> BlockMaxIndex:
@@ -343,39 +408,48 @@ def kept_index(model: dict) -> BlockMaxIndex:
     kept = worker_store().setdefault("toxic-index", {})
     if kept.get("key") != model["key"]:
         kept.clear()
-        kept |= {"key": model["key"], "index": BlockMaxIndex(model["vectors"])}
+        w = (1 + np.log(model["count"])) * model["idf"][model["term"]]
+        size = np.diff(model["first"])
+        row = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        norm = np.sqrt(np.bincount(row, weights=w * w, minlength=len(size)))
+        w /= np.where(norm > 0, norm, 1)[row]
+        del row
+        kept |= {"key": model["key"], "index": BlockMaxIndex((model["first"], model["term"], w))}
     return kept["index"]
 
 
-def scorer(spark, model: dict):
-    """A column function of the text: score, neighbours (example ids), similarity, terms (the evidence)."""
-    shared, words, prior, curve = model["shared"], model["names"], model["prior"], model["map"]
+def scorer(model: dict):
+    """A column function of a document's term numbers and counts: score, neighbours (example ids), similarity, terms (the evidence)."""
+    shared, prior, curve = model["shared"], model["prior"], model["map"]
 
     @F.pandas_udf(SCORE)
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m, names = shared.value, words.value
-        count, index = TermCounter(numbered(names, m["key"])), kept_index(m)
-        for texts in parts:
-            known, every = {}, list(dict.fromkeys(texts))
-            for lo in range(0, len(every), GROUP):
-                some = every[lo : lo + GROUP]
-                found = [weigh(count(text), m["idf"]) for text in some]
-                for text, (terms, _), best in zip(some, found, index.nearest_of(found, m["k"]), strict=True):
+    def score(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        m = shared.value
+        index = kept_index(m)
+        for ts, cs in parts:
+            known, out = {}, []
+            for t, c in zip(ts, cs, strict=True):
+                same = (t.tobytes(), c.tobytes())  # copies score alike
+                if same not in known:
+                    terms, weights = weighted(t, c, m["idf"])
+                    best = index.nearest(terms, weights, m["k"])
                     s = float(np.interp(vote(best, m["label"]), *curve)) if best else prior
-                    known[text] = (min(max(s, 0.0), 1.0), [m["ids"][i] for _, i in best], [c for c, _ in best], [names[t] for t in terms.tolist()])
-            yield pd.DataFrame([known[text] for text in texts], columns=["score", "neighbours", "similarity", "terms"])
+                    strongest = terms[np.argsort(-weights, kind="stable")[:SHOWN]]
+                    known[same] = (min(max(s, 0.0), 1.0), [m["ids"][i] for _, i in best], [c for c, _ in best], m["names"].take(pa.array(strongest)).to_pylist())
+                out.append(known[same])
+            yield pd.DataFrame(out, columns=["score", "neighbours", "similarity", "terms"])
 
     return score
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
     """Every document: doc_id, held_out, score, predicted, and the evidence."""
-    score = scorer(docs.sparkSession, fit(docs, labels, **params))
-    out = docs.select("doc_id", held_out().alias("held_out"), score(F.col("text").cast("string")).alias("s"))
+    model = fit(docs, labels, keep=("doc_id",), **params)
+    out = model["counted"].select("doc_id", held_out().alias("held_out"), scorer(model)("t", "c").alias("s"))
     return out.select("doc_id", "held_out", "s.score", (F.col("s.score") >= 0.5).cast("int").alias("predicted"), "s.neighbours", "s.similarity", "s.terms")
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
     """The documents whose score is below 0.5, with all their columns."""
-    score = scorer(docs.sparkSession, fit(docs, labels, **params))
-    return docs.filter(score(F.col("text").cast("string")).getField("score") < 0.5)
+    model = fit(docs, labels, keep=(F.struct("*").alias("row"),), **params)
+    return model["counted"].filter(scorer(model)("t", "c").getField("score") < 0.5).select("row.*")
