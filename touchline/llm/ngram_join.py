@@ -8,13 +8,16 @@
 3. Prefixes: sets of size n that reach Jaccard t share a token among their first
    n - ceil(tn) + 1 tokens in that order, and two tokens among one token more
    (the extended prefix).  Classes whose prefix has no shared token are alone.
-4. First pass: within each prefix token and size band the first class is
-   compared with the others; verified links give components.
-5. Second pass, for links the stars cannot show: classes of *different*
-   components that still share a prefix token.  Tokens of few classes are
-   indexed singly; for frequent ones the index key is a combination of two
-   tokens of the extended prefix.  Size and position bounds prune, the rest is
-   verified on the whole sets.  Links inside one component change nothing, so
+4. Star rounds: within each prefix token and size band the classes are compared
+   with one centre (another each round); verified links give components, and
+   tokens held by one component only are done.  A group of near copies becomes one
+   component in a few rounds of as many comparisons as it has classes.
+5. Pairs, for links the stars cannot show: classes of *different* components that
+   still share a prefix token.  Tokens of few classes are indexed singly; for
+   frequent ones the index key is a combination of two, then three tokens of the
+   prefix extended by one and two, where that is less than the pairs.  Keys held by
+   the same classes are one.  Size and position bounds prune, the rest is verified on
+   the whole sets.  Links inside one component change nothing, so
    every component is exact; no pairs of a group of copies are listed.
 
 A null text, and one without words, has an empty set and is linked with
@@ -180,45 +183,101 @@ def shared_tokens(docs: DataFrame, words: int = 5, percent: int = 75, block_byte
     return told.groupBy("block").applyInArrow(_assemble(percent), DOCS)
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, percent: int, *more: str) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the similarity; exact."""
     left = classes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = classes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("ta", "tb")).cast("long")
-    return both.withColumn("o", shared).filter(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
+    return both.withColumn("o", shared).filter(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b", *more)
 
 
-def link_components(rows: DataFrame, percent: int = 75, few: int = 64) -> DataFrame:
-    """(node, comp) of every class that has a link."""
+def _relabelled(labels: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+    """``labels`` (node, comp) after links between their components (edges a, b)."""
+    merged = components(edges, name=name).select(F.col("node").alias("was"), F.col("comp").alias("now"))
+    out = labels.join(merged, labels.comp == merged.was, "left").select("node", F.coalesce("now", "comp").alias("comp"))
+    return saved(out, f"{name}-labels")
+
+
+def _mixed(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows`` (with comp) whose key is held by classes of two components or more, and c, how many hold it."""
+    held = rows.groupBy(key).agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    held = saved(held.filter("lo <> hi").select(key, "c"), f"{name}-held")
+    return saved(rows.join(held, key), name)
+
+
+def _grouped(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` of keys held by several components; and of each such key c, how many classes hold it, and kept: one key
+    for all that are held by the same classes, whose pairs are met once."""
+    at = (F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2))
+    held = rows.groupBy("key").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), *at)
+    held = saved(held.filter("lo <> hi").drop("lo", "hi"), f"{name}-held")
+    alike = held.groupBy("c", "x1", "x2").agg(F.min("key").alias("kept"))
+    lists = saved(held.join(alike, ["c", "x1", "x2"]).select("key", "kept", "c"), f"{name}-lists")
+    return saved(rows.join(lists.select("key"), "key"), name), lists
+
+
+def _star_round(post: DataFrame, classes: DataFrame, labels: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Links (a, b: components) between classes and the centres of their tokens: one centre a token and size band, another each turn.
+
+    A class is compared with one class of each other component that it meets so, whatever the tokens they share.
+    """
+    own = post.select("token", "node", "n", "band").join(labels, "node")
+    live = _mixed(own, "token", f"join-live{turn}")
+    first = F.min(F.struct(F.xxhash64("node", "token", F.lit(turn)).alias("h"), F.col("node").alias("centre"), F.col("comp").alias("c_comp"), F.col("n").alias("c_n"))).alias("f")
+    centre = live.groupBy("token", "band").agg(first).select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), "f.centre", "f.c_comp", "f.c_n")
+    met = live.join(saved(centre, f"join-centres{turn}"), ["token", "band"]).filter((F.col("comp") != F.col("c_comp")) & (100 * F.least("n", "c_n") >= percent * F.greatest("n", "c_n")))
+    one = met.groupBy("node", "comp", "c_comp").agg(F.min(F.struct(F.xxhash64("centre", "node", F.lit(turn)).alias("h"), "centre")).alias("f"))
+    pairs = saved(one.select(F.col("node").alias("a"), F.col("f.centre").alias("b"), "comp", "c_comp"), f"join-met{turn}")
+    links = _verified(pairs, classes, percent, "comp", "c_comp").select(F.col("comp").alias("a"), F.col("c_comp").alias("b")).distinct()
+    return saved(links, f"join-star{turn}")
+
+
+def link_components(rows: DataFrame, percent: int = 75, few: int = 64, turns: int = 4, tokens: int = 3) -> DataFrame:
+    """(node, comp) of every class with a shared token in its prefix."""
     live = rows.filter("prefix > 0").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("tokens").alias("tokens"), F.first("bits").alias("bits"))
     classes = saved(live, "join-classes")
-    post = classes.select("node", "n", F.size("tokens").alias("m"), F.posexplode(F.slice("tokens", F.lit(1), F.col("prefix"))).alias("i", "token"))
+    post = classes.select("node", "n", "prefix", F.size("tokens").alias("m"), F.posexplode(F.slice("tokens", F.lit(1), F.col("prefix"))).alias("i", "token"))
     # band b and b + 1 hold every size that can be linked with a size of band b
     band = F.floor(F.log("n") / F.lit(float(np.log(100 / percent)))).cast("int")
-    post = saved(post.select("token", "node", "n", "i", (F.col("n") - F.col("m") + F.col("i")).alias("pos"), band.alias("band")), "join-post")
-    centre = post.groupBy("token", "band").agg(F.min("node").alias("a"), F.count("*").alias("c"))
-    spread = saved(centre.withColumn("band", F.explode(F.array("band", F.col("band") + 1))).select("token", "band", "a"), "join-centres")
-    star = post.join(spread, ["token", "band"]).filter("a <> node").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-    star = saved(star, "join-star")
-    links = saved(_verified(star, classes, percent), "join-links")
-    comp = components(links, name="join-cc")
-
-    # Second pass: classes of different components that share a prefix token.
-    own = post.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    own = saved(own.select("token", "node", "n", "i", "pos", "comp"), "join-own")
-    mixed = own.groupBy("token").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    mixed = saved(mixed.filter("lo <> hi").select("token", "c"), "join-mixed")
-    members = saved(own.join(mixed, "token").withColumn("second", F.lit(-1).cast("long")), "join-members")
-    rare = members.filter(F.col("c") <= few)
-    ahead = classes.select("node", "prefix", "tokens")
-    wide = members.filter(F.col("c") > few).drop("second").join(ahead, "node")
-    wide = wide.withColumn("second", F.explode(F.slice("tokens", F.col("i") + 2, F.greatest(F.col("prefix") - F.col("i"), F.lit(0)))))
-    keyed = rare.select("token", "second", "node", "n", "pos", "comp").union(wide.select("token", "second", "node", "n", "pos", "comp"))
-    maps = classes.select("node", (F.col("n") - F.size("tokens")).alias("alone"), "bits")
-    keyed = saved(saved(keyed, "join-keyed").join(maps, "node"), "join-mapped")
+    post = saved(post.select("token", "node", "n", "i", "m", "prefix", (F.col("n") - F.col("m") + F.col("i")).alias("pos"), band.alias("band")), "join-post")
+    labels = saved(classes.select("node", F.col("node").alias("comp")), "join-labels")
+    total = classes.count()
+    for turn in range(turns):
+        links = _star_round(post, classes, labels, percent, turn)
+        n = links.count()
+        if n:
+            labels = _relabelled(labels, links, f"join-cc{turn}")
+        if 100 * n <= total:  # what is left is not for stars to find
+            break
+
+    # Pairs: classes of different components that still share a token, or a combination of several.
+    level = post.select(F.col("token").alias("key"), "node", "n", "i", "pos", "m", "prefix").join(labels, "node")
+    ready, maps = None, classes.select("node", (F.col("n") - F.size("tokens")).alias("alone"), "bits")
+    for k in range(1, tokens + 1):
+        level, lists = _grouped(level, f"join-level{k}")
+        direct, children = lists.withColumn("direct", F.lit(True)), None
+        if k < tokens:
+            wide = level.join(lists.filter(F.col("c") > few).select("key"), "key", "left_semi").join(classes.select("node", "tokens"), "node")
+            room = F.greatest(F.least(F.col("m"), F.col("prefix") + k) - F.col("i") - 1, F.lit(0))  # k + 1 shared tokens lie in the prefix extended by k
+            ahead = F.posexplode(F.slice("tokens", F.col("i") + 2, room)).alias("at", "token")
+            wide = wide.select("key", "node", "n", "i", "pos", "m", "prefix", "comp", ahead)
+            index = F.xxhash64("key", "token").alias("key")
+            children = saved(wide.select(F.col("key").alias("parent"), index, "node", "n", (F.col("i") + 1 + F.col("at")).alias("i"), "pos", "m", "prefix", "comp"), f"join-wider{k}")
+            # a key is extended only where its extensions have fewer pairs to meet
+            held = children.groupBy("parent", "key").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+            cost = held.groupBy("parent").agg(F.sum(F.col("c") * (F.col("c") - 1)).alias("cost"))
+            direct = lists.join(cost.withColumnRenamed("parent", "key"), "key", "left")
+            direct = saved(direct.withColumn("direct", (F.col("c") <= few) | (F.coalesce("cost", F.lit(0)) >= F.col("c") * (F.col("c") - 1))), f"join-direct{k}")
+        mine = level.join(direct.filter("direct").select("key", "kept"), "key")
+        mine = mine.groupBy(F.col("kept").alias("key"), "node").agg(F.min("pos").alias("pos"), F.first("n").alias("n"), F.first("comp").alias("comp"))
+        mine = mine.select("key", "node", "n", "pos", "comp")
+        ready = mine if ready is None else ready.union(mine)
+        if children is not None:
+            level = children.join(direct.filter(~F.col("direct")).select(F.col("key").alias("parent")), "parent", "left_semi").drop("parent")
+    keyed = saved(saved(ready, "join-keyed").join(maps, "node"), "join-mapped")
     a, b = keyed.alias("a"), keyed.alias("b")
-    fits = (F.col("a.token") == F.col("b.token")) & (F.col("a.second") == F.col("b.second")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp"))
+    fits = (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp"))
     size = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
     ahead = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))
     reach = (100 + percent) * ahead >= percent * (F.col("a.n") + F.col("b.n"))
@@ -228,11 +287,10 @@ def link_components(rows: DataFrame, percent: int = 75, few: int = 64) -> DataFr
         differ = differ + F.bit_count(F.element_at("a.bits", k + 1).bitwiseXOR(F.element_at("b.bits", k + 1)))
     # an overlap o of at least percent / (100 + percent) of both sizes leaves n + n - 2 o differing shingles at most
     near = (100 + percent) * differ <= (100 - percent) * (F.col("a.n") + F.col("b.n"))
-    pairs = a.join(b, fits & size & reach & near).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    more = saved(_verified(saved(pairs, "join-pairs"), classes, percent), "join-more")
-    if more.limit(1).count():
-        comp = components(links.union(more), name="join-cc2")
-    return comp
+    pairs = a.join(b, fits & size & reach & near).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.comp").alias("x"), F.col("b.comp").alias("y")).distinct()
+    more = _verified(saved(pairs, "join-pairs"), classes, percent, "x", "y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    more = saved(more, "join-more")
+    return _relabelled(labels, more, "join-cc") if more.limit(1).count() else labels
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, few: int = 64) -> DataFrame:
