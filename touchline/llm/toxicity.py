@@ -34,6 +34,7 @@ text column is read, so other columns cannot clash.
 
 
 import hashlib
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -206,6 +207,34 @@ def end_to_end(vectors: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray
     return first, np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)]).astype(np.int32), np.concatenate([np.zeros(0), *(w for _, w in vectors)])
 
 
+class Examples:
+    """Example vectors end to end; weights are made from counts when asked for, so the store stays small."""
+
+    def __init__(self, first: np.ndarray, term: np.ndarray, count: np.ndarray, idf: np.ndarray) -> None:
+        self.first, self.term, self.count, self.idf = first, term, count, idf
+        self.norm = np.ones(len(first) - 1)
+        for lo in range(0, len(first) - 1, 1024):
+            hi = min(lo + 1024, len(first) - 1)
+            e = np.arange(first[lo], first[hi])
+            w = self.weight(e, np.zeros(len(e), np.int64))
+            norm = np.sqrt(np.bincount(np.repeat(np.arange(hi - lo), np.diff(first[lo : hi + 1])), weights=w * w, minlength=hi - lo))
+            self.norm[lo:hi] = np.where(norm > 0, norm, 1)
+
+    def weight(self, e: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """The weights of entries e, which are of vectors ``row``."""
+        return (1 + np.log(self.count[e])) * self.idf[self.term[e]] / self.norm[row]
+
+
+class Given(Examples):
+    """Example vectors with their weights."""
+
+    def __init__(self, vectors: list) -> None:
+        self.first, self.term, self.given = end_to_end(vectors)
+
+    def weight(self, e: np.ndarray, row: np.ndarray) -> np.ndarray:
+        return self.given[e]
+
+
 class BlockMaxIndex:
     """Inverted index over example vectors: postings of rare terms, dense rows of frequent ones with their block maxima.
 
@@ -213,35 +242,51 @@ class BlockMaxIndex:
     the norms of both dense parts; only examples that may reach the k-th best have their dense part added.
     """
 
-    def __init__(self, vectors: list | tuple) -> None:
-        self.first, self.term, self.weight = vectors if isinstance(vectors, tuple) else end_to_end(vectors)
-        self.n = len(self.first) - 1
+    def __init__(self, vectors: list | Examples) -> None:
+        self.all = vectors if isinstance(vectors, Examples) else Given(vectors)
+        first, term = self.all.first, self.all.term
+        self.n = len(first) - 1
         self.blocks = -(-self.n // BLOCK)
-        width = int(self.term.max(initial=-1)) + 1
-        count = np.bincount(self.term, minlength=width)
-        self.width = width
+        self.width = width = int(term.max(initial=-1)) + 1
+        count = np.bincount(term, minlength=width)
         dense = np.argsort(-count, kind="stable")[:DENSE]
         dense = dense[count[dense] > max(BLOCK, self.n // OFTEN)]
         self.place = np.full(width, -1, np.int32)
         self.place[dense] = np.arange(len(dense))
-        small = np.uint16 if self.n <= 1 << 16 else np.int32
-        row = np.repeat(np.arange(self.n, dtype=small), np.diff(self.first))
-        often = self.place[self.term] >= 0
-        self.by_row = np.zeros((self.blocks * BLOCK, len(dense)), np.float32)
-        self.by_row[row[often], self.place[self.term[often]]] = self.weight[often]
-        self.head = self.by_row.T
-        self.most = self.by_row.reshape(self.blocks, BLOCK, len(dense)).max(1) if len(dense) else np.zeros((self.blocks, 0), np.float32)
-        self.norm = np.sqrt(np.einsum("ij,ij->i", self.by_row, self.by_row))
         count[dense] = 0
         self.start = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
-        rare = np.flatnonzero(~often).astype(np.int32)
-        rare = rare[np.argsort(self.term[rare], kind="stable")]
-        self.row, self.post = row[rare], self.weight[rare].astype(np.float32)
+        self.row = np.zeros(self.start[-1], np.uint16 if self.n <= 1 << 16 else np.int32)
+        self.post = np.zeros(self.start[-1], np.float32)
+        self.by_row = np.zeros((self.blocks * BLOCK, len(dense)), np.float32)
+        self.most = np.zeros((self.blocks, len(dense)), np.float32)
+        self.norm = np.zeros(self.blocks * BLOCK)
+        used = self.start[:-1].copy()
+        for lo in range(0, self.n, BLOCK):  # a block of examples at a time
+            hi = min(lo + BLOCK, self.n)
+            e = np.arange(first[lo], first[hi])
+            row = np.repeat(np.arange(lo, hi), np.diff(first[lo : hi + 1]))
+            t, w = term[e], self.all.weight(e, row)
+            at = self.place[t]
+            some = at >= 0
+            part = np.zeros((BLOCK, len(dense)), np.float32)
+            part[row[some] - lo, at[some]] = w[some]
+            self.by_row[lo : lo + BLOCK] = part
+            self.most[lo // BLOCK] = part.max(0, initial=0)
+            self.norm[lo : lo + BLOCK] = np.sqrt((part.astype(np.float64) ** 2).sum(1))
+            t, row, w = t[~some], row[~some], w[~some]
+            order = np.argsort(t, kind="stable")
+            t, row, w = t[order], row[order], w[order]
+            new = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, np.int64)
+            many = np.diff(np.append(new, len(t)))
+            spot = ranges(used[t[new]], many)
+            self.row[spot], self.post[spot] = row, w
+            used[t[new]] += many
+        self.head = self.by_row.T
         self.scratch = np.zeros(width)
 
     def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        at = slice(self.first[i], self.first[i + 1])
-        return self.term[at], self.weight[at]
+        e = np.arange(self.all.first[i], self.all.first[i + 1])
+        return self.all.term[e], self.all.weight(e, np.full(len(e), i))
 
     def nearest_of(self, queries: list, k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
         """``nearest`` of each query."""
@@ -251,33 +296,38 @@ class BlockMaxIndex:
     def nearest(self, terms, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
         """The k best (cosine, example), largest first, ties to the smaller number; exact."""
         terms = np.asarray(terms, np.int64)
-        known = terms < self.width
-        terms, weights = terms[known], weights[known]
+        if len(terms) and terms[-1] >= self.width:
+            known = terms < self.width
+            terms, weights = terms[known], weights[known]
         if not self.n or not len(terms):
             return []
         place = self.place[terms]
         some = place >= 0
         q = np.zeros(self.by_row.shape[1], np.float32)
         q[place[some]] = weights[some]
-        rare, w = terms[~some], weights[~some]
-        count = self.start[rare + 1] - self.start[rare]
-        e = ranges(self.start[rare], count)
-        sums = np.bincount(self.row[e], weights=np.repeat(w, count) * self.post[e], minlength=self.blocks * BLOCK).astype(float)
+        rare = terms[~some]
+        start = self.start[rare]
+        count = self.start[rare + 1] - start
+        e = ranges(start, count)
+        w = np.repeat(weights[~some].astype(np.float32), count)
+        w *= self.post[e]
+        sums = np.bincount(self.row[e], weights=w, minlength=self.blocks * BLOCK).astype(float)
         if without >= 0:
             sums[without] = -np.inf
         # the k-th best of the examples that stand out in their blocks is a floor
-        peak = sums.reshape(self.blocks, BLOCK)
-        first = peak.argmax(1) + np.arange(self.blocks) * BLOCK
+        first = sums.reshape(self.blocks, BLOCK).argmax(1) + np.arange(self.blocks) * BLOCK
         if len(first) > 4 * k:
             first = first[np.argpartition(sums[first], len(first) - 4 * k)[-4 * k :]]
         near = sums[first] + self.by_row[first] @ q
         floor = float(np.partition(near, len(near) - k)[len(near) - k]) if len(near) >= k else 0.0
-        more = np.minimum(np.repeat(self.most @ q, BLOCK), float(np.sqrt((q.astype(np.float64) ** 2).sum())) * self.norm)
-        bound = sums + more
-        ids = np.flatnonzero((bound > 0) & (bound >= floor - SLACK))
+        block = np.repeat(self.most @ q, BLOCK)
+        bound = self.norm * math.sqrt(float(q @ q))
+        np.minimum(bound, block, out=bound)
+        bound += sums
+        ids = np.flatnonzero(bound >= max(floor - SLACK, 1e-12))
         near = sums[ids] + self.by_row[ids] @ q
         least = np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else 0.0
-        ids = ids[(near > 0) & (near >= least - SLACK)]
+        ids = ids[near >= least - SLACK]
         self.scratch[terms] = weights
         cosine = self._exact(ids, self.scratch)
         self.scratch[terms] = 0
@@ -287,9 +337,13 @@ class BlockMaxIndex:
 
     def _exact(self, ids: np.ndarray, dense: np.ndarray) -> np.ndarray:
         """The examples' cosines in double precision, added up in the order of their terms."""
-        size = self.first[ids + 1] - self.first[ids]
-        e = ranges(self.first[ids], size)
-        return np.bincount(np.repeat(np.arange(len(ids)), size), weights=dense[self.term[e]] * self.weight[e], minlength=len(ids))
+        first = self.all.first
+        size = first[ids + 1] - first[ids]
+        e, of = ranges(first[ids], size), np.repeat(np.arange(len(ids)), size)
+        q = dense[self.all.term[e]]
+        hit = np.flatnonzero(q)
+        e, of = e[hit], of[hit]
+        return np.bincount(of, weights=q[hit] * self.all.weight(e, ids[of]), minlength=len(ids))
 
 
 def vote(best: list[tuple[float, int]], label: np.ndarray) -> float:
@@ -408,48 +462,62 @@ def kept_index(model: dict) -> BlockMaxIndex:
     kept = worker_store().setdefault("toxic-index", {})
     if kept.get("key") != model["key"]:
         kept.clear()
-        w = (1 + np.log(model["count"])) * model["idf"][model["term"]]
-        size = np.diff(model["first"])
-        row = np.repeat(np.arange(len(size), dtype=np.int32), size)
-        norm = np.sqrt(np.bincount(row, weights=w * w, minlength=len(size)))
-        w /= np.where(norm > 0, norm, 1)[row]
-        del row
-        kept |= {"key": model["key"], "index": BlockMaxIndex((model["first"], model["term"], w))}
+        kept |= {"key": model["key"], "index": BlockMaxIndex(Examples(model["first"], model["term"], model["count"], model["idf"]))}
     return kept["index"]
 
 
-def scorer(model: dict):
-    """A column function of a document's term numbers and counts: score, neighbours (example ids), similarity, terms (the evidence)."""
+def scored(counted: DataFrame, model: dict, below: float | None = None) -> DataFrame:
+    """``counted`` (its last columns: t and c) with score, neighbours (example ids), similarity and terms (the evidence)
+    in their place; with ``below``, only the rows of a smaller score, without these columns."""
     shared, prior, curve = model["shared"], model["prior"], model["map"]
+    names = counted.columns[:-2]
+    fields = [counted.schema[c] for c in names]
+    schema = T.StructType(fields + ([] if below is not None else list(T._parse_datatype_string(SCORE))))
 
-    @F.pandas_udf(SCORE)
-    def score(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    def run(batches):
         m = shared.value
-        index = kept_index(m)
-        for ts, cs in parts:
-            known, out = {}, []
-            for t, c in zip(ts, cs, strict=True):
-                same = (t.tobytes(), c.tobytes())  # copies score alike
+        index, ids = kept_index(m), np.array(m["ids"], np.int64)
+        for batch in batches:
+            t, c = (batch.column(len(names) + k) for k in range(2))
+            first = t.offsets.to_numpy()
+            term, count = (x.values.to_numpy() for x in (t, c))
+            score, near, shown, known = [], [], [], {}
+            for lo, hi in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                same = (term[lo:hi].tobytes(), count[lo:hi].tobytes())  # copies score alike
                 if same not in known:
-                    terms, weights = weighted(t, c, m["idf"])
+                    terms, weights = weighted(term[lo:hi], count[lo:hi], m["idf"])
                     best = index.nearest(terms, weights, m["k"])
                     s = float(np.interp(vote(best, m["label"]), *curve)) if best else prior
-                    strongest = terms[np.argsort(-weights, kind="stable")[:SHOWN]]
-                    known[same] = (min(max(s, 0.0), 1.0), [m["ids"][i] for _, i in best], [c for c, _ in best], m["names"].take(pa.array(strongest)).to_pylist())
-                out.append(known[same])
-            yield pd.DataFrame(out, columns=["score", "neighbours", "similarity", "terms"])
-
-    return score
+                    known[same] = min(max(s, 0.0), 1.0), best, terms[np.argsort(-weights, kind="stable")[:SHOWN]]
+                s, best, strongest = known[same]
+                score.append(s)
+                near.append(best)
+                shown.append(strongest)
+            kept = [batch.column(i) for i in range(len(names))]
+            if below is not None:
+                yield pa.RecordBatch.from_arrays(kept, names=names).filter(pa.array(np.array(score) < below))
+                continue
+            ends = [pa.array(np.concatenate([[0], np.cumsum([len(x) for x in some])]).astype(np.int32)) for some in (near, shown)]
+            flat = [x for best in near for x in best]
+            evidence = m["names"].take(pa.array(np.concatenate([np.zeros(0, np.int64), *shown])))
+            lists = [
+                pa.ListArray.from_arrays(ends[0], pa.array(ids[[i for _, i in flat]] if flat else ids[:0])),
+                pa.ListArray.from_arrays(ends[0], pa.array([s for s, _ in flat], pa.float64())),
+                pa.ListArray.from_arrays(ends[1], evidence),
+            ]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(score, pa.float64()), *lists], names=[f.name for f in schema])
+
+    return counted.mapInArrow(run, schema)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
     """Every document: doc_id, held_out, score, predicted, and the evidence."""
     model = fit(docs, labels, keep=("doc_id",), **params)
-    out = model["counted"].select("doc_id", held_out().alias("held_out"), scorer(model)("t", "c").alias("s"))
-    return out.select("doc_id", "held_out", "s.score", (F.col("s.score") >= 0.5).cast("int").alias("predicted"), "s.neighbours", "s.similarity", "s.terms")
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored(model["counted"], model).select("doc_id", held_out().alias("held_out"), "score", predicted, "neighbours", "similarity", "terms")
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
     """The documents whose score is below 0.5, with all their columns."""
     model = fit(docs, labels, keep=(F.struct("*").alias("row"),), **params)
-    return model["counted"].filter(scorer(model)("t", "c").getField("score") < 0.5).select("row.*")
+    return scored(model["counted"], model, below=0.5).select("row.*")
