@@ -177,3 +177,34 @@ def test_hot_keys_by_level_matches_separate_aggregations(spark):
     for level, got in zip(levels, together):
         want = hot_keys(df, level, min_rows=40)
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_reconcile_decides_all_passes_in_one_join(spark):
+    out = reconcile(_source(spark), _target(spark), [["k_name", "k_age"], ["k_name"]], "id", "id")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+
+
+def test_reconcile_forms_agree(spark, monkeypatch):
+    """Nested candidates, and the chain for too many candidates or no common key, link alike (ids, passes, counts)."""
+    from touchline.operators import reconcile as module
+
+    target = spark.range(400).select(
+        F.col("id"), F.when(F.col("id") % 9 == 0, None).otherwise(F.concat(F.lit("n"), (F.col("id") % 23).cast("string"))).alias("k_name"),
+        F.when(F.col("id") % 7 == 0, None).otherwise((F.col("id") % 5).cast("int")).alias("k_age"), (F.col("id") % 3).cast("int").alias("k_club"),
+    )
+    source = spark.range(900).select(
+        F.col("id").alias("src"), F.when(F.col("id") % 3 == 0, F.lit("n1")).otherwise(F.concat(F.lit("n"), (F.col("id") % 29).cast("string"))).alias("k_name"),
+        F.when(F.col("id") % 8 == 0, None).otherwise((F.col("id") % 6).cast("int")).alias("k_age"), (F.col("id") % 4).cast("int").alias("k_club"),
+    )
+    passes = [["k_name", "k_age", "k_club"], ["k_name", "k_club"], ["k_name", "k_age"], ["k_name"]]
+    key = lambda df: sorted(map(tuple, df.select("src", "id", "matched_pass", "n_candidates").collect()))
+    nested = reconcile(source, target, passes, "id", "id")
+    assert nested._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    want = key(nested)
+    monkeypatch.setattr(module, "NEST_MAX", 1)
+    chained = reconcile(source, target, passes, "id", "id", hot_key_rows=50)
+    assert chained._jdf.queryExecution().optimizedPlan().toString().count("Join ") > 1 and key(chained) == want
+    monkeypatch.undo()
+    none = reconcile(source, target, [["k_name"], ["k_age"]], "id", "id")
+    assert none._jdf.queryExecution().optimizedPlan().toString().count("Join ") > 1 and none.count() == 900

@@ -57,3 +57,27 @@ def test_share_of_total(spark):
 def test_asc_nulls_last(spark):
     df = spark.createDataFrame([(1, None), (2, 3)], "id int, v int")
     assert [r.id for r in df.orderBy(asc("v")).collect()] == [2, 1]
+
+
+def test_share_of_total_is_one_lazy_scan(spark, smoke_dir):
+    """No job runs before the result is asked for, and the input is scanned once."""
+    from touchline.plans import QUERIES
+
+    spark.sparkContext.setJobGroup("share", "share of total")
+    try:
+        part = spark.read.parquet(f"{smoke_dir}/part.parquet")
+        spark.sparkContext.setJobGroup("share-lazy", "nothing may run")
+        out = share_of_total(part.groupBy("p_type").count(), "count", "pct")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("share-lazy")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert _plan(out).count("FileScan parquet") == 1 and "SinglePartition" not in _plan(out)
+    assert _plan(QUERIES["c03"](spark, smoke_dir)).count("part.parquet") == 1
+
+
+def test_share_of_total_edges(spark):
+    rows = [("a", 1), ("a", 1), (None, 2), ("b", None), ("c", 0)]  # equal rows, a null group, a null value
+    got = sorted((r.p or "", r.n, str(r.pct)) for r in share_of_total(spark.createDataFrame(rows, "p string, n long"), "n", "pct").collect() if r.n is not None)
+    assert got == [("", 2, "50.00"), ("a", 1, "25.00"), ("a", 1, "25.00"), ("c", 0, "0.00")]
+    assert share_of_total(spark.createDataFrame(rows, "p string, n long"), "n", "pct").count() == 5
+    assert share_of_total(spark.createDataFrame([], "p string, n long"), "n", "pct").count() == 0

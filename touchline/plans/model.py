@@ -31,7 +31,7 @@ from touchline.operators.consolidate import consolidate
 from touchline.operators.derive import generated_columns
 from touchline.operators.joins import DIM_BROADCAST_MAX_ROWS, HOT_KEY_MIN_ROWS, bounded_rows
 from touchline.operators.reconcile import reconcile
-from touchline.session import scratch_path
+from touchline.session import written
 
 # ---------------------------------------------------------------------------
 # Fixed values of the mapping onto the driver tables.
@@ -183,9 +183,7 @@ class Season:
         # on both sides, which adaptive execution splits at a hot key.
         if bounded_rows(df, DIM_BROADCAST_MAX_ROWS):
             return F.broadcast(df)
-        path = scratch_path(self.spark, "dimension")
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
+        return written(df, "dimension")
 
     @cached_property
     def equipe(self) -> DataFrame:

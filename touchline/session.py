@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -49,17 +51,52 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+#: Folders written by this program, with what removes them.
+_SCRATCH: dict[str, object] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for written tables (:func:`drop_path` removes it)."""
+    """A fresh path under the shared checkpoint folder for written tables.
+
+    :func:`drop_path` removes it; what is left goes when the program ends, since a result that reads it may be
+    used until then.
+    """
     root = checkpoint_root(spark)
     sep = "" if root.endswith("/") else "/"
-    return f"{root}{sep}touchline/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}{sep}touchline/{name}-{uuid.uuid4().hex[:12]}"
+    remove_at_exit(spark, path)
+    return path
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a folder when the program ends (a killed program leaves it to the cluster's own cleaning)."""
+    if not _SCRATCH:
+        atexit.register(drop_scratch)
+    with contextlib.suppress(Exception):  # a remote (Connect) session has no file system of its own
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        _SCRATCH[path] = (where, where.getFileSystem(spark._jsc.hadoopConfiguration()))
+
+
+def drop_scratch() -> None:
+    """Remove every scratch folder of this program."""
+    while _SCRATCH:
+        _, (where, system) = _SCRATCH.popitem()
+        with contextlib.suppress(Exception):  # the JVM may be gone by now
+            system.delete(where, True)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a written folder through Spark's own file system."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _SCRATCH.pop(path, None)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a scratch folder and read back: short lineage, known size, plain shuffles in later joins."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "touchline") -> SparkSession:
