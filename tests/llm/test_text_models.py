@@ -167,6 +167,37 @@ def test_unseen_layouts(table_model, case):
     assert main_text(case[1], table_model)[0] == case[2]
 
 
+INSIDE = [
+    ("math", f"<p>{LOREM} So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p><p>{LOREM}</p>", f"{LOREM} So x=2 holds. {LOREM}"),
+    ("quote in an unquoted value", f"<p data-x=it's>First {LOREM}</p><p>We don't {LOREM}</p>", f"First {LOREM} We don't {LOREM}"),
+    ("stray quotes", f"<p title=\"a\" \"b class=x'y>{LOREM}</p><p>{LOREM}</p>", f"{LOREM} {LOREM}"),
+    ("quoted >", f"<p title=\"a > b\" data-y = 'c > d'>{LOREM}</p>", LOREM),
+    ("unclosed quote", f"<p title=\"a>{LOREM}</p><p>{LOREM.replace('article', 'piece')}</p>", f"{LOREM} {LOREM.replace('article', 'piece')}"),
+    ("svg without end", f"<p>{LOREM}</p><svg width=1><p>{LOREM}</p><p>{LOREM}</p>", f"{LOREM} {LOREM} {LOREM}"),
+    ("svg text", f"<p>{LOREM} <svg><path d='M0 0'/><text>label</text></svg> then</p>", f"{LOREM} label then"),
+    ("noscript", f"<noscript><p>{LOREM}</p></noscript><p>{LOREM}</p>", f"{LOREM} {LOREM}"),
+    ("object and video", f"<p>{LOREM} <object data=x><param name=y>fallback</object> <video><source src=z>no video</video> end</p>", f"{LOREM} fallback no video end"),
+    ("controls", f"<p>{LOREM}</p><p>Pick <select><option>one</option></select><button type=button>Go</button><textarea>typed</textarea> here</p>", f"{LOREM} Pick here"),
+    ("select without end", f"<p>{LOREM}</p><select><p>{LOREM}</p>", f"{LOREM} {LOREM}"),
+]
+
+
+@pytest.mark.parametrize("case", INSIDE, ids=[c[0] for c in INSIDE])
+def test_nothing_inside_an_article_is_lost(table_model, case):
+    page = f"<html><body><nav><ul>{LINKS}</ul></nav><article><h1>{SHORT}</h1>{case[1]}</article><footer>{LOREM}</footer></body></html>"
+    if case[0] in ("svg without end", "select without end"):
+        page = f"<html><body><nav><ul>{LINKS}</ul></nav><article><h1>{SHORT}</h1>{case[1]}</article></body></html>"
+    assert main_text(page, table_model)[0] == f"{SHORT} {case[2]}"
+
+
+def test_long_attributes_take_linear_time(model):
+    import time
+
+    began = time.time()
+    main_text("<p " + "a=b c " * 200_000 + "'" + f"><p>{LOREM}</p>" + "<x " * 50_000 + "=\"" * 2000, model)
+    assert time.time() - began < 20
+
+
 def test_messages_give_exact_marginals(model):
     page = Page("<div class=ad><p>one two</p><ul><li><a href=x>three</a></li></ul></div>")
     n, table = len(page.parent), model["node"]

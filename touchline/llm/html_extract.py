@@ -13,12 +13,13 @@ Training (bounded): labelled pages are layouts, marked below, filled with text
 of at most ``sample`` pages of the table, and those sample pages that mark
 their content by an article or main element.  Potentials are counts.
 
-Text: scripts, styles, templates, the head, comments and tags are no text;
+Text: scripts, styles, templates, form controls, the head, comments and tags are no
+text; what formulas, drawings, media and noscript hold is text like other text;
 character references are decoded; white space inside a block is one blank;
 blocks are trimmed and joined by one blank in page order; nothing is dropped
 from a kept block.  A null page, an empty one, or one without content gives "".
 Broken markup is read as browsers do (open paragraphs end at the next block, a
-cut-off tag is no text).  Texts of any length are read whole; repeated rows
+cut-off tag is no text, a quote opens a value only behind "=").  Texts of any length are read whole; repeated rows
 give equal results; empty tables give empty results.  Only page_id, url and
 html are read.  Trees of any depth: nothing recurses.
 """
@@ -43,10 +44,14 @@ PROSE_WORDS = 12
 LONGEST_SAMPLE = 200_000
 # Tag classes of HTML, and words of class, id and role attributes by what they mark.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe xmp svg math select object canvas audio video".split())
+RAW = frozenset("script style template textarea title".split())  # their content is no markup, up to the closing tag
+CONTROLS = frozenset("select button datalist".split())  # form controls: gone with their content, where they are closed
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup "
-    "time tt u var label br wbr img".split()
+    "time tt u var label br wbr img noscript iframe object canvas audio video picture svg g text tspan textpath math mi mn mo ms mtext "
+    "mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts semantics "
+    "annotation path circle ellipse rect line polyline polygon defs use symbol stop lineargradient radialgradient clippath mask filter "
+    "foreignobject desc source track param embed".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav "
@@ -70,9 +75,13 @@ GROUPS = {
 }
 WORDS = {w: g for g, words in GROUPS.items() for w in words.split()}
 TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^<>]*\Z",
+    # a quote opens a value only directly behind "="; elsewhere it is a character like others
+    r"<!--.*?-->|<!--|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=(?!\s*+[\"']))*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
 )
+#: Behind the last ">" of a page: an open comment or declaration, or a cut-off tag.
+TAIL = re.compile(r"<!--.*|<[!?].*|</?[a-zA-Z][^<>]*\Z", re.S)
 MARKS = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 GONE = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
@@ -97,6 +106,7 @@ class Page:
         run: list[str] = []
         linked, links = 0, 0
         at, n = 0, len(source)
+        closed = source.rfind(">") + 1
 
         def flush() -> None:
             nonlocal linked
@@ -108,7 +118,7 @@ class Page:
             linked = 0
 
         while at < n:
-            m = TOKEN.search(source, at)
+            m = (at < closed and TOKEN.search(source, at, closed)) or TAIL.search(source, max(at, closed))
             chunk = source[at : m.start()] if m else source[at:]
             if chunk:
                 run.append(chunk)
@@ -116,6 +126,8 @@ class Page:
                     linked += len(chunk)
             if not m:
                 break
+            if m.re is TAIL or m[0] == "<!--":
+                break
             at = m.end()
             name = (m[2] or m[5] or "").lower()
             if not name:
@@ -132,6 +144,11 @@ class Page:
                     at = end.end() if end else n
                 run.append(" ")
                 continue
+            if name in CONTROLS:
+                end = None if closing else re.compile(rf"</{name}\s*>", re.I).search(source, at)
+                at = end.end() if end else at
+                run.append(" ")
+                continue
             if name in INLINE:
                 if name in ("br", "wbr", "img"):
                     run.append(" " if name == "br" else "")
