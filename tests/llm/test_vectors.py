@@ -104,3 +104,62 @@ def test_pigeonhole_probes_miss_no_code():
 def test_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert top_inner_products(empty).count() == nearest(empty).count() == 0
+
+
+def test_one_id_with_many_vectors(spark):
+    """An id on a third of the rows, with different vectors: the smallest asks, whatever the partitions; its rows are its own."""
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((120, 6)).astype(np.float32)
+    data = [(50 if i < 40 else i, [float(c) for c in v], 0, "x") for i, v in enumerate(x)]
+    told = []
+    for parts in (1, 3, 5):
+        df = spark.createDataFrame(data, SCHEMA).repartition(parts)
+        told.append([sorted(map(tuple, f(df, every=10, block_rows=16).collect())) for f in (top_inner_products, nearest)])
+    assert told[0] == told[1] == told[2]
+    asked = min(v for i, v, *_ in data if i == 50)
+    others = [(i, v) for i, v, *_ in data if i != 50]
+    want = sorted((-int((quantise(np.array(asked)) * quantise(np.array(v))).sum()), i) for i, v in others)[:5]
+    assert [(r[2], r[3]) for r in told[0][0] if r[0] == 50] == [(i, -s) for s, i in want]
+
+
+def test_cells_build_once_and_stream_the_queries(spark):
+    """More queries do not copy the vectors again, and a cell's index is built once."""
+    from touchline.llm import vector_grid
+
+    data = rows()
+    df = vector_grid.usable_vectors(spark.createDataFrame(data, SCHEMA))
+    built = spark.sparkContext.accumulator(0)
+
+    def build(ids, x):
+        built.add(1)
+        return len(ids)
+
+    from touchline.llm.bit_sliced import FOUND_ARROW
+
+    plan = vector_grid.in_cells(df, vector_grid.distinct_queries(df, 1), build, lambda n, q, v: [(q, n, n)], FOUND_ARROW, 64, 65536)
+    seen = {}
+    for r in plan.collect():
+        seen[r[0]] = seen.get(r[0], 0) + r[1]
+    assert set(seen.values()) >= {sum(len(v) == 12 for _, v in ((r.vec_id, r.vector) for r in df.collect()))}
+    assert built.value <= 2 * -(-df.count() // 64)  # a block, and a vector length
+
+
+def test_probes_meet_few_codes():
+    """Long substrings: on isotropic vectors the probes meet under a third of the codes at the fitted radius."""
+    from touchline.llm.multi_index import fit_radius
+
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((6000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    centre, projections = fit_codes(x[:2000])
+    code = codes(x, centre, projections)
+    radius = fit_radius(x[:2000], code[:2000], 10, 0.97)
+    index, met = MultiIndex(code), []
+    for q in range(0, 6000, 300):
+        share, more = divmod(radius + 1, code.shape[1])
+        seen = np.zeros(len(code), bool)
+        for j in range(code.shape[1]):
+            seen |= np.bitwise_count(code[:, j] ^ code[q, j]) <= share - 1 + (j < more)
+        met.append(seen.mean())
+        assert index.within(code[q], radius).tolist() == np.flatnonzero(hamming(code, code[q]) <= radius).tolist()
+    assert np.mean(met) < 1 / 3, np.mean(met)

@@ -26,9 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.vector_grid import best_ranked, by_length, in_cells, usable_vectors
+from touchline.llm.vector_grid import best_ranked, distinct_queries, in_cells, usable_vectors
 
-FOUND = "query_id long, vec_id long, score long"
 FOUND_ARROW = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 ONES = ~np.uint64(0)
 LONG = (1 << 63) - 1
@@ -130,31 +129,24 @@ def _set_rows(bitmap: np.ndarray) -> np.ndarray:
     return words[at] * 64 + bit
 
 
-def _search(k: int, scale: float):
-    def work(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        out = []
-        if vectors.num_rows and queries.num_rows:
-            cells, asked = by_length(vectors), by_length(queries)
-            for d in sorted(cells.keys() & asked.keys()):
-                ids, x = cells[d]
-                index = BitSlices(quantise(x, scale))
-                for q, v in zip(*asked[d], strict=True):
-                    allowed = index.valid
-                    lo, hi = np.searchsorted(ids, q), np.searchsorted(ids, q, side="right")
-                    if lo < hi:
-                        allowed = allowed.copy()
-                        for r in range(lo, hi):
-                            allowed[r // 64] &= ~(np.uint64(1) << np.uint64(r % 64))
-                    out += [(int(q), int(ids[r]), max(-LONG - 1, min(LONG, s))) for r, s in index.top(quantise(v, scale), k, allowed)]
-        cols = list(zip(*out, strict=True)) if out else ([], [], [])
-        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=FOUND_ARROW)
-
-    return work
-
-
-def top_inner_products(rows: DataFrame, every: int = 50, k: int = 5, scale: float = 256.0, block_rows: int = 16384, query_rows: int = 256) -> DataFrame:
+class Cell:
+    """A block's bit slices, with the rows' ids in order."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, scale: float) -> None:
+        self.ids, self.scale, self.index = ids, scale, BitSlices(quantise(x, scale))
+
+    def best(self, q: int, v: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+        allowed = self.index.valid
+        lo, hi = np.searchsorted(self.ids, q), np.searchsorted(self.ids, q, side="right")
+        if lo < hi:
+            allowed = allowed.copy()
+            for r in range(lo, hi):
+                allowed[r // 64] &= ~(np.uint64(1) << np.uint64(r % 64))
+        return [(q, int(self.ids[r]), max(-LONG - 1, min(LONG, s))) for r, s in self.index.top(quantise(v, self.scale), k, allowed)]
+
+
+def top_inner_products(rows: DataFrame, every: int = 50, k: int = 5, scale: float = 256.0, block_rows: int = 16384, query_rows: int = 65536) -> DataFrame:
     """For each row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score of its k best."""
     vectors = usable_vectors(rows)
-    queries = vectors.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    found = in_cells(vectors, queries, _search(k, scale), FOUND, block_rows, query_rows)
+    found = in_cells(vectors, distinct_queries(vectors, every), lambda ids, x: Cell(ids, x, scale), lambda cell, q, v: cell.best(q, v, k), FOUND_ARROW, block_rows, query_rows)
     return best_ranked(found, k, F.desc("score"), "vec_id").select("query_id", "rank", "vec_id", "score")

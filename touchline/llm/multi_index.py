@@ -3,12 +3,13 @@
 Fit (bounded): on at most ``sample`` vectors in hash order (a documented
 parameter), centre, rotate by principal axes and by ``turns`` orthogonal
 matrices that iterative quantisation moves towards the signs; each rotation
-gives one bit per axis.  The Hamming radius is the ``recall`` quantile of the
+gives one bit per axis, a substring of the code each.  The Hamming radius is the ``recall`` quantile of the
 distances between the sample's codes and those of their true k nearest in the
 sample; over more rows the nearest are nearer, so recall only grows.
 
-Index: a cell (a bounded block of rows) cuts its codes into ``bits``-bit
-substrings and keeps, for each substring's place, the rows by value.  A query
+Index: a cell (a bounded block of rows) keeps, for each substring's place, the
+rows by value.  Long substrings (64 bits of 256) probe few rows: the share of a
+radius that falls on each is far below half of its bits.  A query
 probes in every place the values within that place's share of the radius; the
 shares sum to the radius plus one minus the number of places, so by the
 pigeonhole principle every code within the radius is met.  Those codes are
@@ -19,7 +20,7 @@ exist.  Every row is indexed; the model has a few hundred kilobytes.
 
 Rows with a null id, or a vector that is null, empty, zero or holds null or
 non-finite parts, take no part.  Rows that share the query's id are its own;
-repeated query rows are one query, repeated candidates are each listed.  Only
+repeated query rows are one query (the smallest vector, if they differ), repeated candidates are each listed.  Only
 vectors of one length compare: the commonest length of the sample is hashed,
 vectors of other lengths are searched exactly.  Empty tables give empty results.
 """
@@ -32,9 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import thinned
-from touchline.llm.vector_grid import best_ranked, by_length, in_cells, usable_vectors
+from touchline.llm.vector_grid import best_ranked, by_length, distinct_queries, in_cells, usable_vectors
 
-FOUND = "query_id long, vec_id long, score double"
 FOUND_ARROW = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
@@ -56,13 +56,13 @@ def fit_codes(x: np.ndarray, turns: int = 4, steps: int = 20, seed: int = 7) ->
     return centre, np.concatenate(out, axis=1)
 
 
-def codes(x: np.ndarray, centre: np.ndarray, projections: np.ndarray, bits: int = 16) -> np.ndarray:
-    """The code of each row as ``bits``-bit substrings (uint16), zero-padded."""
+def codes(x: np.ndarray, centre: np.ndarray, projections: np.ndarray) -> np.ndarray:
+    """The code of each row as substrings of up to 64 bits (one rotation each, if it has no more axes)."""
+    bits = min(64, x.shape[1])
     on = (x - centre) @ projections >= 0
-    pad = -on.shape[1] % bits
-    on = np.pad(on, ((0, 0), (0, pad)))
-    weights = (1 << np.arange(bits)).astype(np.uint32)
-    return (on.reshape(len(x), -1, bits) * weights).sum(axis=2).astype(np.uint16)
+    on = np.pad(on, ((0, 0), (0, -on.shape[1] % bits))).reshape(len(x), -1, bits)
+    on = np.pad(on, ((0, 0), (0, 0), (0, 64 - bits)))
+    return np.packbits(on, axis=2, bitorder="little").view("<u8")[:, :, 0].astype(np.uint64)
 
 
 def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -110,48 +110,41 @@ class MultiIndex:
         return rows[hamming(self.code[rows], query) <= radius]
 
 
-def _search(model, k: int):
-    def work(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        out = []
-        if vectors.num_rows and queries.num_rows:
-            cells, asked = by_length(vectors), by_length(queries)
-            for d in sorted(cells.keys() & asked.keys()):
-                ids, x = cells[d]
-                qids, qx = asked[d]
-                known = model is not None and len(model[0]) == d
-                if known:
-                    centre, projections, radius = model
-                    index, qcode = MultiIndex(codes(x, centre, projections)), codes(qx, centre, projections)
-                for i, q in enumerate(qids):
-                    rows, r = np.arange(len(ids)), 0
-                    if known:
-                        r, most = radius, 16 * qcode.shape[1]
-                        while True:
-                            rows = index.within(qcode[i], r)
-                            rows = rows[ids[rows] != q]
-                            if len(rows) >= k or r >= most:
-                                break
-                            r = min(most, r + 8)
-                    rows = rows[ids[rows] != q]
-                    dist = np.sqrt(((x[rows] - qx[i]) ** 2).sum(axis=1))
-                    best = np.lexsort((ids[rows], dist))[:k]
-                    out += [(int(q), int(ids[rows[b]]), float(dist[b])) for b in best]
-        cols = list(zip(*out, strict=True)) if out else ([], [], [])
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, FOUND_ARROW, strict=True)], schema=FOUND_ARROW)
-
-    return work
-
-
-def nearest(rows: DataFrame, every: int = 100, k: int = 10, sample: int = 4096, turns: int = 4, recall: float = 0.97, block_rows: int = 16384, query_rows: int = 256) -> DataFrame:
+class Cell:
+    """A block's vectors with the index of their codes."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, model) -> None:
+        self.ids, self.x, self.model = ids, x, model if model is not None and len(model[0]) == x.shape[1] else None
+        self.index = MultiIndex(codes(x, *self.model[:2])) if self.model else None
+
+    def nearest(self, q: int, v: np.ndarray, k: int) -> list[tuple[int, int, float]]:
+        rows = np.arange(len(self.ids))
+        if self.model:
+            centre, projections, r = self.model
+            code = codes(v[None], centre, projections)[0]
+            most = projections.shape[1]
+            while True:
+                rows = self.index.within(code, r)
+                rows = rows[self.ids[rows] != q]
+                if len(rows) >= k or r >= most:
+                    break
+                r = min(most, r + 8)
+        rows = rows[self.ids[rows] != q]
+        dist = np.sqrt(((self.x[rows] - v) ** 2).sum(axis=1))
+        best = np.lexsort((self.ids[rows], dist))[:k]
+        return [(q, int(self.ids[rows[b]]), float(dist[b])) for b in best]
+
+
+def nearest(rows: DataFrame, every: int = 100, k: int = 10, sample: int = 4096, turns: int = 4, recall: float = 0.97, block_rows: int = 16384, query_rows: int = 65536) -> DataFrame:
     """For each row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score of the k nearest found."""
     vectors = usable_vectors(rows, zero=False)
-    queries = vectors.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    taken = vectors.filter(thinned(F.col("vec_id"), vectors.count(), sample)).orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow()
+    key = F.xxhash64("vec_id", "vector")
+    taken = vectors.filter(thinned(key, vectors.count(), sample)).orderBy(key, "vec_id", "vector").limit(sample).toArrow()
     model = None
     if taken.num_rows:
         ids, x = max(by_length(taken).values(), key=lambda g: len(g[0]))
         if len(ids) > k:
             centre, projections = fit_codes(x, turns)
             model = (centre, projections, fit_radius(x, codes(x, centre, projections), k, recall))
-    found = in_cells(vectors, queries, _search(model, k), FOUND, block_rows, query_rows)
+    found = in_cells(vectors, distinct_queries(vectors, every), lambda ids, x: Cell(ids, x, model), lambda cell, q, v: cell.nearest(q, v, k), FOUND_ARROW, block_rows, query_rows)
     return best_ranked(found, k, "score", "vec_id").select("query_id", "rank", "vec_id", "score")

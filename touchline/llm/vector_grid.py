@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from touchline.llm.common import shuffle_parts
+
 
 def usable_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", zero: bool = True) -> DataFrame:
     """(vec_id long, vector array<double>) of rows with an id and a vector without null or non-finite parts."""
@@ -18,19 +20,50 @@ def usable_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     return out if zero else out.filter(F.exists(v, lambda x: x != 0))
 
 
-def in_cells(vectors: DataFrame, queries: DataFrame, work, schema: str, block_rows: int, query_rows: int) -> DataFrame:
-    """Every block of vectors meets every chunk of queries once: ``work(vectors, queries)`` on Arrow tables.
+def distinct_queries(vectors: DataFrame, every: int) -> DataFrame:
+    """The rows whose id is divisible by ``every``, once an id: where rows of one id differ, the smallest vector asks."""
+    return vectors.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+
+
+def in_cells(vectors: DataFrame, queries: DataFrame, build, search, schema: pa.Schema, block_rows: int, query_rows: int) -> DataFrame:
+    """Every block of vectors meets every query: ``search(build(ids, matrix), query id, query vector)`` gives result rows.
 
-    A cell holds about ``block_rows`` vectors and ``query_rows`` queries
-    whatever the input; the numbers of blocks and chunks follow the counts.
+    A cell is a block of about ``block_rows`` vectors and a chunk of at most about ``query_rows`` queries: it builds its
+    index once and the queries stream past it, so a vector is copied once a chunk (once up to ``query_rows`` queries)
+    and memory holds a block, whatever the number of queries.  Blocks go by id and vector: an id on many rows is spread.
     """
     n, q = vectors.count(), queries.count()
     blocks, chunks = max(1, -(-n // block_rows)), max(1, -(-q // query_rows))
-    left = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    left = left.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    right = queries.withColumn("chunk", F.pmod(F.xxhash64(F.lit(1), F.col("vec_id")), F.lit(chunks)).cast("int"))
-    right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(work, schema)
+    left = vectors.select("vec_id", "vector", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("int").alias("block"),
+                          F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), F.lit(0).alias("kind"))
+    right = queries.select("vec_id", "vector", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+                           F.pmod(F.xxhash64(F.lit(1), F.col("vec_id")), F.lit(chunks)).cast("int").alias("chunk"), F.lit(1).alias("kind"))
+    cell = ["block", "chunk"]
+    rows = left.unionByName(right).repartition(shuffle_parts(vectors.sparkSession), *cell).sortWithinPartitions(*cell, "kind")
+    ddl = ", ".join(f"{f.name} {'double' if f.type == pa.float64() else 'long'}" for f in schema)
+
+    def run(batches):
+        now, held, index = None, [], {}
+        for batch in batches:
+            where = np.stack([batch.column(c).to_numpy() for c in (2, 3, 4)])
+            cuts = np.flatnonzero((where[:, 1:] != where[:, :-1]).any(axis=0)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(batch)], strict=True):
+                if lo == hi:
+                    continue
+                part, at = batch.slice(lo, hi - lo), tuple(where[:2, lo])
+                if at != now:
+                    now, held, index = at, [], {}
+                if where[2, lo] == 0:
+                    held.append(part)
+                    continue
+                if held:  # the block is whole: its vectors come first
+                    index = {d: build(*x) for d, x in by_length(pa.Table.from_batches(held)).items()}
+                    held = []
+                out = [r for d, (ids, x) in by_length(pa.Table.from_batches([part])).items() if d in index for i, v in zip(ids.tolist(), x, strict=True) for r in search(index[d], i, v)]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+    return rows.mapInArrow(run, ddl)
 
 
 def best_ranked(found: DataFrame, k: int, *order) -> DataFrame:
