@@ -57,6 +57,8 @@ STEM = 0x5354454D5354454D
 BLOCK = 64
 #: Most frequent terms kept dense, and the share of examples a dense term is in at least (fixed values).
 DENSE, OFTEN = 1024, 80
+#: Groups of dense terms whose norms bound what they can add.
+NORMS = 4
 #: Above the rounding of a cosine added up in single precision.
 SLACK = 1e-5
 #: Terms given as evidence: those that weigh most in the document.
@@ -165,24 +167,43 @@ def kept_vocabulary(key: str, hashes: np.ndarray) -> Vocabulary:
 
 
 def with_vectors(rows: DataFrame, key: str, known, block_bytes: int = 1 << 20) -> DataFrame:
-    """``rows`` (their last column: the text) with t and c, the text's term numbers and counts, in its place."""
+    """``rows`` (their last column: the text) with the text's vector in its place: t (term numbers, rising, four bytes
+    each) and c (counts, two or four bytes each).  Besides, a row for each term a task met, with n, in how many texts."""
     names = rows.columns[:-1]
-    schema = T.StructType([*(rows.schema[c] for c in names), *(T.StructField(c, T.ArrayType(T.IntegerType())) for c in "tc")])
+    more = [("t", T.BinaryType()), ("c", T.BinaryType()), ("term", T.IntegerType()), ("n", T.LongType())]
+    schema = T.StructType([*(T.StructField(c, rows.schema[c].dataType) for c in names), *(T.StructField(c, k) for c, k in more)])
+    columns = [*names, *(c for c, _ in more)]
 
     def run(batches):
         vocabulary, poly = kept_vocabulary(key, known.value), Poly()
+        texts, kinds = np.zeros(len(vocabulary.hashes), np.int64), []
         for batch in batches:
             text = batch.column(len(names))
+            kinds = [batch.column(i).type for i in range(len(names))]
             _, offs = text_buffer(text)
             for lo, hi in slices(offs, block_bytes):
                 first, t, c = vocabulary.vectors(text.slice(lo, hi - lo), poly)
-                at = pa.array(first.astype(np.int32))
-                lists = [pa.ListArray.from_arrays(at, pa.array(v)) for v in (t, c)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in range(len(names))), *lists], names=[*names, "t", "c"])
+                texts += np.bincount(t, minlength=len(texts))
+                c = c.astype("<u2" if c.max(initial=0) < 1 << 16 else "<u4")
+                ends = first.tolist()
+                cells = [pa.array([v[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary()) for v in (t.astype("<i4"), c)]
+                none = [pa.nulls(hi - lo, k) for k in (pa.int32(), pa.int64())]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in range(len(names))), *cells, *none], names=columns)
+        met = np.flatnonzero(texts)
+        for lo in range(0, len(met), 1 << 17):
+            some = met[lo : lo + (1 << 17)]
+            none = [pa.nulls(len(some), k) for k in (*kinds, pa.binary(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(some, pa.int32()), pa.array(texts[some])], names=columns)
 
     return rows.mapInArrow(run, schema)
 
 
+def unpacked(t: bytes, c: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Term numbers and counts of a vector."""
+    terms = np.frombuffer(t, "<i4")
+    return terms, np.frombuffer(c, "<u2" if len(c) == 2 * len(terms) else "<u4")
+
+
 def weighted(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The unit vector of counted terms."""
     w = (1 + np.log(counts)) * idf[terms]
@@ -239,7 +260,8 @@ class BlockMaxIndex:
     """Inverted index over example vectors: postings of rare terms, dense rows of frequent ones with their block maxima.
 
     What the frequent terms can add to an example is bounded twice: by the block maxima (for all of a block) and by
-    the norms of both dense parts; only examples that may reach the k-th best have their dense part added.
+    the norms of both dense parts (in groups of terms); only examples that may reach the k-th best have their dense
+    part added, from one byte a weight, and only those within its error are computed exactly.
     """
 
     def __init__(self, vectors: list | Examples) -> None:
@@ -257,9 +279,16 @@ class BlockMaxIndex:
         self.start = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
         self.row = np.zeros(self.start[-1], np.uint16 if self.n <= 1 << 16 else np.int32)
         self.post = np.zeros(self.start[-1], np.float32)
-        self.by_row = np.zeros((self.blocks * BLOCK, len(dense)), np.float32)
+        top = np.zeros(width)
+        for lo in range(0, self.n, BLOCK):
+            hi = min(lo + BLOCK, self.n)
+            e = np.arange(first[lo], first[hi])
+            np.maximum.at(top, term[e], self.all.weight(e, np.repeat(np.arange(lo, hi), np.diff(first[lo : hi + 1]))))
+        self.step = np.maximum(top[dense], 1e-30) / 255
+        self.by_row = np.zeros((self.blocks * BLOCK, len(dense)), np.uint8)
         self.most = np.zeros((self.blocks, len(dense)), np.float32)
-        self.norm = np.zeros(self.blocks * BLOCK)
+        self.group = np.unique(np.linspace(0, len(dense), NORMS + 1).astype(np.int64)[:-1]) if len(dense) else np.zeros(0, np.int64)
+        self.norm = np.zeros((self.blocks, BLOCK, len(self.group)))
         used = self.start[:-1].copy()
         for lo in range(0, self.n, BLOCK):  # a block of examples at a time
             hi = min(lo + BLOCK, self.n)
@@ -270,9 +299,10 @@ class BlockMaxIndex:
             some = at >= 0
             part = np.zeros((BLOCK, len(dense)), np.float32)
             part[row[some] - lo, at[some]] = w[some]
-            self.by_row[lo : lo + BLOCK] = part
+            self.by_row[lo : lo + BLOCK] = np.rint(part / self.step)
             self.most[lo // BLOCK] = part.max(0, initial=0)
-            self.norm[lo : lo + BLOCK] = np.sqrt((part.astype(np.float64) ** 2).sum(1))
+            if len(dense):
+                self.norm[lo // BLOCK] = np.sqrt(np.add.reduceat(part.astype(np.float64) ** 2, self.group, axis=1))
             t, row, w = t[~some], row[~some], w[~some]
             order = np.argsort(t, kind="stable")
             t, row, w = t[order], row[order], w[order]
@@ -282,7 +312,7 @@ class BlockMaxIndex:
             self.row[spot], self.post[spot] = row, w
             used[t[new]] += many
         self.head = self.by_row.T
-        self.scratch = np.zeros(width)
+        self.at = np.zeros(width, np.int32)
 
     def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         e = np.arange(self.all.first[i], self.all.first[i + 1])
@@ -303,47 +333,56 @@ class BlockMaxIndex:
             return []
         place = self.place[terms]
         some = place >= 0
-        q = np.zeros(self.by_row.shape[1], np.float32)
+        q = np.zeros(self.by_row.shape[1])
         q[place[some]] = weights[some]
         rare = terms[~some]
         start = self.start[rare]
         count = self.start[rare + 1] - start
         e = ranges(start, count)
-        w = np.repeat(weights[~some].astype(np.float32), count)
+        w = np.repeat(weights[~some], count)
         w *= self.post[e]
-        sums = np.bincount(self.row[e], weights=w, minlength=self.blocks * BLOCK).astype(float)
+        sums = np.bincount(self.row[e], weights=w, minlength=self.blocks * BLOCK).astype(float, copy=False)
         if without >= 0:
             sums[without] = -np.inf
+        peak = sums.reshape(self.blocks, BLOCK)
+        first = peak.argmax(1) + np.arange(0, len(sums), BLOCK)
+        tops = sums[first]
+        # the dense parts lie in steps of 1 / 255 of a term's largest weight: this far off at most
+        q8 = (q * self.step).astype(np.float32)
+        off = float(q8.sum()) / 2 + SLACK
         # the k-th best of the examples that stand out in their blocks is a floor
-        first = sums.reshape(self.blocks, BLOCK).argmax(1) + np.arange(self.blocks) * BLOCK
         if len(first) > 4 * k:
-            first = first[np.argpartition(sums[first], len(first) - 4 * k)[-4 * k :]]
-        near = sums[first] + self.by_row[first] @ q
-        floor = float(np.partition(near, len(near) - k)[len(near) - k]) if len(near) >= k else 0.0
-        block = np.repeat(self.most @ q, BLOCK)
-        bound = self.norm * math.sqrt(float(q @ q))
-        np.minimum(bound, block, out=bound)
-        bound += sums
-        ids = np.flatnonzero(bound >= max(floor - SLACK, 1e-12))
-        near = sums[ids] + self.by_row[ids] @ q
-        least = np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else 0.0
-        ids = ids[near >= least - SLACK]
-        self.scratch[terms] = weights
-        cosine = self._exact(ids, self.scratch)
-        self.scratch[terms] = 0
+            first = first[np.argpartition(tops, len(first) - 4 * k)[-4 * k :]]
+        near = sums[first] + self.by_row[first].astype(np.float32) @ q8
+        floor = max(float(np.partition(near, len(near) - k)[len(near) - k]) - off, 1e-12) if len(near) >= k else 1e-12
+        # blocks by their maxima, then examples by the norms of groups of terms
+        more = self.most @ q.astype(np.float32) + np.float32(SLACK)
+        live = np.flatnonzero(tops + more >= floor)
+        bound = self.norm[live] @ np.sqrt(np.add.reduceat(q * q, self.group)) if len(q) else np.zeros((len(live), BLOCK))
+        np.minimum(bound, more[live][:, None], out=bound)
+        bound += peak[live]
+        block, place = np.nonzero(bound >= floor)
+        ids = live[block] * BLOCK + place
+        near = sums[ids] + self.by_row[ids].astype(np.float32) @ q8
+        least = np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else -1.0
+        ids = ids[near >= least - 2 * off]
+        self.at[terms] = np.arange(1, len(terms) + 1)
+        cosine = self._exact(ids, weights)
+        self.at[terms] = 0
         ids, cosine = ids[cosine > 0], np.round(cosine[cosine > 0], 9)
         rank = np.lexsort((ids, -cosine))[:k]
         return list(zip(cosine[rank].tolist(), ids[rank].tolist(), strict=True))
 
-    def _exact(self, ids: np.ndarray, dense: np.ndarray) -> np.ndarray:
-        """The examples' cosines in double precision, added up in the order of their terms."""
+    def _exact(self, ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The examples' cosines in double precision, added up in the order of their terms (``at``: the query's)."""
         first = self.all.first
-        size = first[ids + 1] - first[ids]
-        e, of = ranges(first[ids], size), np.repeat(np.arange(len(ids)), size)
-        q = dense[self.all.term[e]]
-        hit = np.flatnonzero(q)
-        e, of = e[hit], of[hit]
-        return np.bincount(of, weights=q[hit] * self.all.weight(e, ids[of]), minlength=len(ids))
+        lo, hi = first[ids], first[ids + 1]
+        at = np.concatenate([np.zeros(0, np.int32), *(self.at[self.all.term[a:b]] for a, b in zip(lo.tolist(), hi.tolist(), strict=True))])
+        hit = np.flatnonzero(at)
+        ends = np.cumsum(hi - lo)
+        of = np.searchsorted(ends, hit, side="right")
+        e = hit - (ends - (hi - lo))[of] + lo[of]
+        return np.bincount(of, weights=weights[at[hit] - 1] * self.all.weight(e, ids[of]), minlength=len(ids))
 
 
 def vote(best: list[tuple[float, int]], label: np.ndarray) -> float:
@@ -409,19 +448,20 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, shrink: float
     known = spark.sparkContext.broadcast(hashes)
 
     # the documents' vectors are counted once, written, and read for the frequencies and for the scores
-    counted = saved(with_vectors(docs.select(*keep, F.col("text").cast("string").alias("tox_text")), key, known), "toxic-vectors")
-    model["counted"] = counted
+    every = saved(with_vectors(docs.select(*keep, F.col("text").cast("string").alias("tox_text")), key, known), "toxic-vectors")
+    model["counted"] = counted = every.filter("term is null").drop("term", "n")
     if not total:
         return model | {"shared": spark.sparkContext.broadcast({k: v for k, v in model.items() if k != "counted"}), "prior": 0.0, "map": ([0.0], [0.0])}
     held = np.zeros(len(hashes))
-    df = counted.select(F.explode("t").alias("term")).groupBy("term").agg(F.count("*").alias("n")).toArrow()
+    df = every.filter("term is not null").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     held[df["term"].to_numpy()] = df["n"].to_numpy()
     idf = np.log(1 + counted.count() / (1 + held)) * (0.1 + odds * odds)
+    del seen, df
 
-    rows = with_vectors(sample.select("id", "toxic", "copies", "text"), key, known).toArrow()
-    none = rows.filter(pc.equal(pc.list_value_length(rows["t"]), 0)).select(["copies", "toxic"])
-    copies, bad = (none[c].to_numpy() for c in ("copies", "toxic"))
-    first, term, count, ids, label = _ordered(rows.filter(pc.greater(pc.list_value_length(rows["t"]), 0)), idf)
+    rows = with_vectors(sample.select("id", "toxic", "copies", "text"), key, known).filter("term is null").drop("term", "n").toArrow()
+    some = pc.greater(pc.binary_length(rows["t"]), 0)
+    copies, bad = (rows.filter(pc.invert(some))[c].to_numpy() for c in ("copies", "toxic"))
+    first, term, count, ids, label = _ordered(rows.filter(some), idf)
     del rows
     model |= {"hashes": hashes, "names": names, "idf": idf, "first": first, "term": term, "count": count, "label": label, "ids": ids}
     model["shared"] = shared = spark.sparkContext.broadcast({k: v for k, v in model.items() if k not in ("counted", "hashes")})
@@ -441,20 +481,17 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, shrink: float
 
 def _ordered(rows: pa.Table, idf: np.ndarray) -> tuple:
     """(first entries, terms, counts, ids, labels) of the examples, those alike in label and strongest term beside each other."""
-    ids, toxic = rows["id"].to_pylist(), rows["toxic"].to_pylist()
-    lists = [rows[c].combine_chunks() for c in ("t", "c")]
-    size = np.asarray(lists[0].value_lengths().to_numpy(zero_copy_only=False), np.int64)
-    first = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-    t, c = (x.flatten().to_numpy(zero_copy_only=False).astype(np.int32) for x in lists)
-    rank = []
-    for i, (lo, hi) in enumerate(zip(first[:-1], first[1:], strict=True)):
-        w = (1 + np.log(c[lo:hi])) * idf[t[lo:hi]]
-        rank.append((toxic[i], int(t[lo + np.argmax(w)]), ids[i], hashlib.sha256(t[lo:hi].tobytes() + c[lo:hi].tobytes()).digest(), i))
-    order = np.array([x[-1] for x in sorted(rank)], np.int64)
-    e = ranges(first[order], size[order])
-    first = np.concatenate([[0], np.cumsum(size[order])]).astype(np.int64)
-    small = np.uint16 if c.max(initial=0) < 1 << 16 else np.int32
-    return first, t[e], c[e].astype(small), [ids[i] for i in order], np.array([float(toxic[i]) for i in order])
+    ids, toxic, vectors, rank = rows["id"].to_pylist(), rows["toxic"].to_pylist(), [], []
+    for i, (t, c) in enumerate(zip(rows["t"], rows["c"], strict=True)):
+        terms, counts = unpacked(t.as_py(), c.as_py())
+        vectors.append((terms, counts.astype(np.uint16 if counts.max() < 1 << 16 else np.int32)))
+        w = (1 + np.log(counts)) * idf[terms]
+        rank.append((toxic[i], int(terms[np.argmax(w)]), ids[i], hashlib.sha256(t.as_py() + counts.astype("<u4").tobytes()).digest(), i))
+    order = [x[-1] for x in sorted(rank)]
+    first = np.concatenate([[0], np.cumsum([len(vectors[i][0]) for i in order])]).astype(np.int64)
+    term = np.concatenate([np.zeros(0, np.int32), *(vectors[i][0] for i in order)])
+    count = np.concatenate([np.zeros(0, np.uint16), *(vectors[i][1] for i in order)])
+    return first, term, count, [ids[i] for i in order], np.array([float(toxic[i]) for i in order])
 
 
 def kept_index(model: dict) -> BlockMaxIndex:
@@ -478,14 +515,10 @@ def scored(counted: DataFrame, model: dict, below: float | None = None) -> DataF
         m = shared.value
         index, ids = kept_index(m), np.array(m["ids"], np.int64)
         for batch in batches:
-            t, c = (batch.column(len(names) + k) for k in range(2))
-            first = t.offsets.to_numpy()
-            term, count = (x.values.to_numpy() for x in (t, c))
             score, near, shown, known = [], [], [], {}
-            for lo, hi in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-                same = (term[lo:hi].tobytes(), count[lo:hi].tobytes())  # copies score alike
-                if same not in known:
-                    terms, weights = weighted(term[lo:hi], count[lo:hi], m["idf"])
+            for same in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True):
+                if same not in known:  # copies score alike
+                    terms, weights = weighted(*unpacked(*same), m["idf"])
                     best = index.nearest(terms, weights, m["k"])
                     s = float(np.interp(vote(best, m["label"]), *curve)) if best else prior
                     known[same] = min(max(s, 0.0), 1.0), best, terms[np.argsort(-weights, kind="stable")[:SHOWN]]
