@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import sys
 import types
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.session import checkpoint_root
+from touchline.session import written
 
 U64 = np.uint64
 #: Odd multipliers of the polynomial and mixing hashes (fixed values).
@@ -27,11 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back: short lineage, one copy for all."""
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/touchline-llm/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` written to the shared checkpoint folder and read back: short lineage, one copy for all (removed when the program ends)."""
+    return written(df, f"llm-{name}")
 
 
 def worker_store() -> dict:
