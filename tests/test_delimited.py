@@ -1,6 +1,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from touchline.sources.delimited import Field, load_delimited, parse_failures, read_text, write_delimited
 from touchline.sources.layouts import ATTENDU, EQUIPE
@@ -111,3 +112,55 @@ def test_direct_copy_columns_refuse_decimal_commas(spark, tmp_path, name, line):
     f = _write(tmp_path / "d.csv", "h" + ";h" * (len(LAYOUTS[name]) - 1) + "\n" + line + "\n")
     with pytest.raises(Exception):
         load_delimited(spark, f, LAYOUTS[name]).collect()
+
+
+def test_keys_follow_the_lines_of_split_files(spark, tmp_path):
+    """Several files, several splits a file and several splits a task: the key is the line's place, without a sort or shuffle of the rows."""
+    from touchline.sources.delimited import load_numbered
+
+    fields = [Field("id", "id", "bigint"), Field("text", "text")]
+    lines = [(k, "x" * (k * 7 % 90)) for k in range(9000)]
+    for i, (lo, hi) in enumerate([(0, 5000), (5000, 5001), (5001, 5001), (5001, 9000)]):
+        (tmp_path / f"part-{i}.csv").write_text("id;text\n" + "".join(f"{k};{t}\n" for k, t in lines[lo:hi]))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for most in ("20000", "70000", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            rows = load_numbered(spark, str(tmp_path), fields, "key", start=10)
+            got = {r.id: r.key for r in rows.collect()}
+            assert got == {k: k + 10 for k in range(9000)}
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            assert "rangepartitioning" not in plan and "SortMergeJoin" not in plan
+        assert load_numbered(spark, str(tmp_path), fields, "key").filter("id = 5000").first().key == 5001  # a filter moves no key
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_load_counts_its_failures_in_the_same_scan(spark, tmp_path):
+    from touchline.sources.delimited import load_counted
+
+    fields = [Field("id", "id", "bigint"), Field("x", "x", "decimal(6,2)", decimal_comma=True), Field("note", "note"), Field("y", "y", "int")]
+    (tmp_path / "f.csv").write_text("id;x;note;y\n1;1,5;a;2\n2;n/a;b;\n3;;c;zz\nx;2,25;;9999999999\n")
+    rows, seen = load_counted(spark, str(tmp_path / "f.csv"), fields)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    loaded = sorted(map(tuple, rows.collect()), key=str)
+    assert seen.get == {"__rows": 4, "id": 1, "x": 1, "y": 2}
+    assert [(r[0], str(r[1]), r[3]) for r in loaded if r[0]] == [(1, "1.50", 2), (2, "None", None), (3, "None", None)]
+
+
+def test_an_export_reads_back_in_its_order(spark, tmp_path):
+    from touchline.sources.delimited import read_ordered, write_ordered
+
+    fields = [Field("id", "id", "bigint"), Field("name", "name")]
+    df = spark.range(3000).select("id", F.concat(F.lit("n"), (F.col("id") * 7919 % 3001).cast("string")).alias("name")).repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_ordered(df, str(tmp_path / "out"), fields, [F.col("name").desc()])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "out").glob("part-*"))) > 1
+    got = [r.name for r in read_ordered(spark, str(tmp_path / "out"), fields).collect()]
+    assert got == sorted(got, reverse=True) and len(got) == 3000

@@ -19,8 +19,8 @@ from touchline.plans.model import PROGRESSION, REFERENCE_YEAR, TEMPS_DE_JEU, Sea
 from touchline.plans.registry import register
 from touchline.plans.sqltext import big, dbl, ratio as sratio
 from touchline.session import drop_path, ensure_checkpoint_dir, scratch_path
-from touchline.sources.delimited import load_delimited, write_delimited
-from touchline.sources.layouts import ATTENDU, LOAD_ORDER, PERFORMANCE
+from touchline.sources.delimited import load_counted, load_delimited, load_numbered, read_ordered, write_delimited, write_ordered
+from touchline.sources.layouts import ATTENDU, JOUEUR, LOAD_ORDER, PERFORMANCE
 from touchline.sources.tables import read_tables, reload_tables
 
 # ---------------------------------------------------------------------------
@@ -588,16 +588,57 @@ def reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("export_results", f"SELECT e.nom_equipe, {big('SUM(p.buts)')} AS total_buts FROM equipe e "
           "JOIN joueur j ON e.id_equipe = j.id_equipe JOIN performance p ON j.id_joueur = p.id_joueur "
-          "GROUP BY e.nom_equipe")
+          "GROUP BY e.nom_equipe ORDER BY SUM(p.buts) DESC NULLS FIRST, e.nom_equipe")
 def export_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A result (team goals) exported to a delimited file and read back."""
+    """A result (team goals) exported to delimited files in its order and read back in it."""
     from touchline.plans.raw import q01
     from touchline.sources.delimited import Field
 
     layout = [Field("nom_equipe", "nom_equipe"), Field("total_buts", "total_buts", "bigint")]
     path = scratch_path(spark, "export_q01")
-    write_delimited(q01(spark, sf_dir), path, layout, bom=False)
-    return _taken(load_delimited(spark, path, layout), path)
+    write_ordered(q01(spark, sf_dir), path, layout, [desc("total_buts"), asc("nom_equipe")])
+    return _taken(read_ordered(spark, path, layout), path)
+
+
+@register(
+    "insertion_key",
+    f"""
+SELECT CAST(row_number() OVER (ORDER BY nom_joueur, id_joueur) AS BIGINT) AS cle, {big('id_joueur')} AS id_joueur, nom_joueur
+FROM joueur
+""",
+)
+def insertion_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players written by name over several files, then loaded with serial keys: the key is the line's place in the files."""
+    s = season(spark, sf_dir)
+    path = scratch_path(spark, "joueur_csv")
+    write_delimited(s.joueur.orderBy("nom_joueur", "id_joueur"), path, JOUEUR)
+    rows = load_numbered(spark, path, JOUEUR, "cle").select("cle", "id_joueur", "nom_joueur")
+    return conform(_taken(rows, path))
+
+
+#: One id in ten has a value that is no number in the file of ``load_errors``.
+BROKEN = 10
+
+
+@register(
+    "load_errors",
+    _union_sql([f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE id_joueur % {n} = 0) AS failures, count(*) AS loaded FROM attendu" for c, n in (("xg", BROKEN), ("npxg", 2 * BROKEN))])
+    + " UNION ALL SELECT c, 0, (SELECT count(*) FROM attendu) FROM (VALUES ('id_joueur'), ('xag')) AS t(c)",
+)
+def load_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected goals with broken numbers: rows loaded and fields that did not cast, from the one read that loads them."""
+    s = season(spark, sf_dir)
+    path, table = scratch_path(spark, "attendu_csv"), scratch_path(spark, "attendu")
+    bad = lambda c, n: F.when(F.col("id_joueur") % n == 0, F.lit("n/a")).otherwise(F.replace(F.col(c).cast("string"), F.lit("."), F.lit(",")))
+    delivered = s.attendu.withColumns({"xg": bad("xg", BROKEN), "npxg": bad("npxg", 2 * BROKEN)})
+    write_delimited(delivered, path, ATTENDU)
+    rows, seen = load_counted(spark, path, ATTENDU)
+    rows.write.parquet(table)
+    counts = seen.get
+    stored = spark.read.parquet(table).agg(F.count(F.lit(1)).alias("loaded"))
+    names = [f.column for f in ATTENDU if f.column and f.type != "string"]
+    told = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(counts[c]).cast("long").alias("failures")) for c in names])
+    return stored.select(F.explode(told).alias("t"), "loaded").select("t.column_name", "t.failures", "loaded")
 
 
 # ---------------------------------------------------------------------------
