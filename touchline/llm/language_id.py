@@ -17,7 +17,8 @@ Hosts of any size: pages carry a salt, sums go (host, salt) -> host -> back to
 
 A null or empty html has no text and no declaration: the address decides.  A
 null url has the empty host.  Without labelled documents the result has null
-languages.  Ties go to the alphabetically first language.  Repeated rows are
+languages.  Classes are the ``languages`` most frequent labels (a documented
+parameter; ties by name).  Ties go to the alphabetically first language.  Repeated rows are
 judged alike.  Only page_id, url and html (text and lang of the documents) are
 read.  Texts are read whole.
 """
@@ -53,13 +54,14 @@ def visible(source: str | None) -> str:
     return " ".join(html_lib.unescape(NO_TEXT.sub(" ", source)).split()) if source else ""
 
 
-def fit_text(docs: DataFrame, sample: int) -> tuple[list[str], np.ndarray]:
-    """(languages, log P(trigram cell | language)) from a bounded sample of labelled documents."""
+def fit_text(docs: DataFrame, sample: int, languages: int = 256) -> tuple[list[str], np.ndarray]:
+    """(languages, log P(trigram cell | language)) from a bounded sample of labelled documents, for the ``languages`` most frequent labels."""
     from pyspark.sql.window import Window
 
     named = docs.filter("lang is not null and text is not null").select("doc_id", F.lower("lang").alias("lang"))
-    rows = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect()}  # one row a language
+    rows = {r["lang"]: r["count"] for r in named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()}
     if rows:
+        named = named.filter(F.col("lang").isin(list(rows)))
         of = F.create_map(*[F.lit(x) for lang, n in rows.items() for x in (lang, float(n))])
         named = named.filter(thinned(F.col("doc_id"), F.element_at(of, F.col("lang")), sample))
     w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -90,10 +92,10 @@ def _posterior(logs: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
-def identify(pages: DataFrame, docs: DataFrame, sample: int = 400, strength: float = 60.0, host_weight: float = 5.0, suffix_weight: float = 20.0, salts: int = 64) -> DataFrame:
+def identify(pages: DataFrame, docs: DataFrame, sample: int = 400, languages: int = 256, strength: float = 60.0, host_weight: float = 5.0, suffix_weight: float = 20.0, salts: int = 64) -> DataFrame:
     """Every page: page_id, url, lang, score (its posterior), text_lang, declared, host."""
     spark = pages.sparkSession
-    langs, logs = fit_text(docs, sample)
+    langs, logs = fit_text(docs, sample, languages)
     k = len(langs)
     if not k:
         none = F.lit(None).cast("string")
