@@ -168,7 +168,7 @@ def kept_vocabulary(key: str, hashes: np.ndarray) -> Vocabulary:
 
 def with_vectors(rows: DataFrame, key: str, known, block_bytes: int = 1 << 20) -> DataFrame:
     """``rows`` (their last column: the text) with the text's vector in its place: t (term numbers, rising, four bytes
-    each) and c (counts, two or four bytes each).  Besides, a row for each term a task met, with n, in how many texts."""
+    each) and c (counts, one or four bytes each).  Besides, a row for each term a task met, with n, in how many texts."""
     names = rows.columns[:-1]
     more = [("t", T.BinaryType()), ("c", T.BinaryType()), ("term", T.IntegerType()), ("n", T.LongType())]
     schema = T.StructType([*(T.StructField(c, rows.schema[c].dataType) for c in names), *(T.StructField(c, k) for c, k in more)])
@@ -184,7 +184,7 @@ def with_vectors(rows: DataFrame, key: str, known, block_bytes: int = 1 << 20) -
             for lo, hi in slices(offs, block_bytes):
                 first, t, c = vocabulary.vectors(text.slice(lo, hi - lo), poly)
                 texts += np.bincount(t, minlength=len(texts))
-                c = c.astype("<u2" if c.max(initial=0) < 1 << 16 else "<u4")
+                c = c.astype("<u1" if c.max(initial=0) < 1 << 8 else "<u4")
                 ends = first.tolist()
                 cells = [pa.array([v[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary()) for v in (t.astype("<i4"), c)]
                 none = [pa.nulls(hi - lo, k) for k in (pa.int32(), pa.int64())]
@@ -201,7 +201,7 @@ def with_vectors(rows: DataFrame, key: str, known, block_bytes: int = 1 << 20) -
 def unpacked(t: bytes, c: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Term numbers and counts of a vector."""
     terms = np.frombuffer(t, "<i4")
-    return terms, np.frombuffer(c, "<u2" if len(c) == 2 * len(terms) else "<u4")
+    return terms, np.frombuffer(c, "<u1" if len(c) == len(terms) else "<u4")
 
 
 def weighted(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -243,7 +243,7 @@ class Examples:
 
     def weight(self, e: np.ndarray, row: np.ndarray) -> np.ndarray:
         """The weights of entries e, which are of vectors ``row``."""
-        return (1 + np.log(self.count[e])) * self.idf[self.term[e]] / self.norm[row]
+        return (1 + np.log(self.count.take(e))) * self.idf.take(self.term.take(e)) / self.norm.take(row)
 
 
 class Given(Examples):
@@ -279,12 +279,14 @@ class BlockMaxIndex:
         self.start = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
         self.row = np.zeros(self.start[-1], np.uint16 if self.n <= 1 << 16 else np.int32)
         self.post = np.zeros(self.start[-1], np.float32)
-        top = np.zeros(width)
-        for lo in range(0, self.n, BLOCK):
-            hi = min(lo + BLOCK, self.n)
-            e = np.arange(first[lo], first[hi])
-            np.maximum.at(top, term[e], self.all.weight(e, np.repeat(np.arange(lo, hi), np.diff(first[lo : hi + 1]))))
-        self.step = np.maximum(top[dense], 1e-30) / 255
+        top = np.zeros(len(dense))
+        for lo in range(0, self.n, 16 * BLOCK):
+            hi = min(lo + 16 * BLOCK, self.n)
+            at = self.place[term[first[lo] : first[hi]]]
+            e = np.flatnonzero(at >= 0)
+            row = np.searchsorted(first[lo + 1 : hi + 1] - first[lo], e, side="right") + lo
+            np.maximum.at(top, at[e], self.all.weight(e + first[lo], row))
+        self.step = np.maximum(top, 1e-30) / 255
         self.by_row = np.zeros((self.blocks * BLOCK, len(dense)), np.uint8)
         self.most = np.zeros((self.blocks, len(dense)), np.float32)
         self.group = np.unique(np.linspace(0, len(dense), NORMS + 1).astype(np.int64)[:-1]) if len(dense) else np.zeros(0, np.int64)
@@ -312,7 +314,7 @@ class BlockMaxIndex:
             self.row[spot], self.post[spot] = row, w
             used[t[new]] += many
         self.head = self.by_row.T
-        self.at = np.zeros(width, np.int32)
+        self.at = np.zeros(width, np.int16)
 
     def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         e = np.arange(self.all.first[i], self.all.first[i + 1])
@@ -340,8 +342,8 @@ class BlockMaxIndex:
         count = self.start[rare + 1] - start
         e = ranges(start, count)
         w = np.repeat(weights[~some], count)
-        w *= self.post[e]
-        sums = np.bincount(self.row[e], weights=w, minlength=self.blocks * BLOCK).astype(float, copy=False)
+        w *= self.post.take(e)
+        sums = np.bincount(self.row.take(e), weights=w, minlength=self.blocks * BLOCK).astype(float, copy=False)
         if without >= 0:
             sums[without] = -np.inf
         peak = sums.reshape(self.blocks, BLOCK)
@@ -361,11 +363,13 @@ class BlockMaxIndex:
         bound = self.norm[live] @ np.sqrt(np.add.reduceat(q * q, self.group)) if len(q) else np.zeros((len(live), BLOCK))
         np.minimum(bound, more[live][:, None], out=bound)
         bound += peak[live]
-        block, place = np.nonzero(bound >= floor)
-        ids = live[block] * BLOCK + place
+        at = np.flatnonzero(bound >= floor)
+        ids = live[at // BLOCK] * BLOCK + at % BLOCK
         near = sums[ids] + self.by_row[ids].astype(np.float32) @ q8
         least = np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else -1.0
         ids = ids[near >= least - 2 * off]
+        if len(terms) > 32_000 and self.at.dtype == np.int16:  # a very long text
+            self.at = self.at.astype(np.int32)
         self.at[terms] = np.arange(1, len(terms) + 1)
         cosine = self._exact(ids, weights)
         self.at[terms] = 0
@@ -377,7 +381,7 @@ class BlockMaxIndex:
         """The examples' cosines in double precision, added up in the order of their terms (``at``: the query's)."""
         first = self.all.first
         lo, hi = first[ids], first[ids + 1]
-        at = np.concatenate([np.zeros(0, np.int32), *(self.at[self.all.term[a:b]] for a, b in zip(lo.tolist(), hi.tolist(), strict=True))])
+        at = np.concatenate([np.zeros(0, np.int16), *(self.at.take(self.all.term[a:b]) for a, b in zip(lo.tolist(), hi.tolist(), strict=True))])
         hit = np.flatnonzero(at)
         ends = np.cumsum(hi - lo)
         of = np.searchsorted(ends, hit, side="right")
