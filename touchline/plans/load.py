@@ -19,7 +19,7 @@ from touchline.plans.model import PROGRESSION, REFERENCE_YEAR, TEMPS_DE_JEU, Sea
 from touchline.plans.registry import register
 from touchline.plans.sqltext import big, dbl, ratio as sratio
 from touchline.session import drop_path, ensure_checkpoint_dir, scratch_path
-from touchline.sources.delimited import load_counted, load_delimited, load_numbered, read_ordered, write_delimited, write_ordered
+from touchline.sources.delimited import Field, load_counted, load_delimited, load_numbered, read_ordered, write_delimited, write_ordered
 from touchline.sources.layouts import ATTENDU, JOUEUR, LOAD_ORDER, PERFORMANCE
 from touchline.sources.tables import read_tables, reload_tables
 
@@ -592,7 +592,6 @@ def reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def export_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A result (team goals) exported to delimited files in its order and read back in it."""
     from touchline.plans.raw import q01
-    from touchline.sources.delimited import Field
 
     layout = [Field("nom_equipe", "nom_equipe"), Field("total_buts", "total_buts", "bigint")]
     path = scratch_path(spark, "export_q01")
@@ -616,6 +615,27 @@ def insertion_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(_taken(rows, path))
 
 
+@register(
+    "load_quoted",
+    f"""
+SELECT {big('id_joueur')} AS id_joueur,
+       nom_joueur || CASE WHEN id_joueur % 3 = 0 THEN chr(10) || '"' || nom_joueur || '"; ' || code_position ELSE '' END
+       || CASE WHEN id_joueur % 7 = 0 THEN repeat(chr(10) || 'line', 5) ELSE '' END AS note
+FROM joueur
+""",
+)
+def load_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players with notes that hold line breaks, quotes and separators: written quoted, loaded by as many tasks as the files have splits."""
+    s = season(spark, sf_dir)
+    path = scratch_path(spark, "notes_csv")
+    layout = [Field("ID", "id_joueur", "bigint"), Field("Note", "note")]
+    name, mark = F.col("nom_joueur"), F.col("id_joueur")
+    quoted = F.when(mark % 3 == 0, F.concat(F.lit('\n"'), name, F.lit('"; '), F.col("code_position"))).otherwise(F.lit(""))
+    lines = F.when(mark % 7 == 0, F.lit("\nline" * 5)).otherwise(F.lit(""))
+    write_delimited(s.joueur.select("id_joueur", F.concat(name, quoted, lines).alias("note")), path, layout)
+    return conform(_taken(load_delimited(spark, path, layout, multi_line="split"), path))
+
+
 #: One id in ten has a value that is no number in the file of ``load_errors``.
 BROKEN = 10
 

@@ -4,10 +4,11 @@ Files are UTF-8 (a byte-order mark may precede the header), ``;``-separated,
 with a header line, decimal commas and empty fields meaning NULL.  Columns
 are bound by position; a line with more or fewer fields aborts the read.
 Quotes are doubled inside quoted fields, a backslash is an ordinary
-character, and blanks are kept.  Rows can be numbered in load order
+character, and blanks are kept.  A line break inside a quoted field needs
+``multi_line``: True reads each file in one task, ``"split"`` in many
+(:mod:`touchline.sources.quoted`).  Rows can be numbered in load order
 (:func:`load_numbered`), counted while they load (:func:`load_counted`), and
-written so that they read back in order (:func:`write_ordered`).  A line break inside a quoted field needs
-``multi_line`` (such a file cannot be split into several tasks).
+written so that they read back in order (:func:`write_ordered`).
 Loading is two steps, as with a text staging table: every field is read as
 a string, then cast to its type.  With ANSI casts (Spark's default) a value
 that does not parse aborts the job, like the original typed insert; the
@@ -23,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.sources.quoted import read_quoted
+
 BOM = "\ufeff"
 
 # Writing keeps every character: blanks, quotes (doubled), backslashes, line breaks.
@@ -45,9 +48,14 @@ class Field:
 
 def read_text(
     spark: SparkSession, path: str | Sequence[str], fields: Sequence[Field], sep: str = ";", header: bool = True,
-    multi_line: bool = False,
+    multi_line: bool | str = False,
 ) -> DataFrame:
-    """All columns as strings, bound by position; empty field -> NULL; malformed line -> error."""
+    """All columns as strings, bound by position; empty field -> NULL; malformed line -> error.
+
+    ``multi_line``: line breaks inside quoted fields; True reads a file in one task, ``"split"`` in many.
+    """
+    if multi_line == "split":
+        return read_quoted(spark, path, len(fields), sep, header)
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(fields))])
     return (
         spark.read.schema(schema)
@@ -86,7 +94,7 @@ def load_delimited(
     sep: str = ";",
     header: bool = True,
     permissive: bool = False,
-    multi_line: bool = False,
+    multi_line: bool | str = False,
 ) -> DataFrame:
     """Read a delimited file set into a typed DataFrame (see module doc)."""
     return typed(read_text(spark, path, fields, sep, header, multi_line), fields, permissive)
