@@ -9,8 +9,8 @@ words; the vocabulary is every term of an example.  Document frequencies are
 counted over *all* documents.  A term weighs its idf times 0.1 and the square of
 its log odds of the label, drawn to 0 by ``shrink`` average examples: no term is
 left out, and one that says nothing of the label counts little.  Terms are told by
-64-bit hashes, so no task holds their strings; every document's terms are counted
-once and written for both passes.  The examples' vectors go into an
+64-bit hashes, so no task holds their strings; op8 counts every document's terms
+once and writes the counts for both passes.  The examples' vectors go into an
 inverted index; the most frequent terms (of an eightieth of the examples and more)
 lie dense, in blocks of examples with their largest weight.
 
@@ -63,7 +63,6 @@ NORMS = 4
 SLACK = 1e-5
 #: Terms given as evidence: those that weigh most in the document.
 SHOWN = 24
-SCORE = "score double, neighbours array<long>, similarity array<double>, terms array<string>"
 
 
 def same_words(texts: pd.Series) -> pd.Series:
@@ -166,9 +165,10 @@ def kept_vocabulary(key: str, hashes: np.ndarray) -> Vocabulary:
     return kept["vocabulary"]
 
 
-def with_vectors(rows: DataFrame, key: str, known, block_bytes: int = 1 << 20) -> DataFrame:
+def with_vectors(rows: DataFrame, key: str, known, vectors: bool = True, block_bytes: int = 1 << 20) -> DataFrame:
     """``rows`` (their last column: the text) with the text's vector in its place: t (term numbers, rising, four bytes
-    each) and c (counts, one or four bytes each).  Besides, a row for each term a task met, with n, in how many texts."""
+    each) and c (counts, one or four bytes each).  Besides, a row for each term a task met, with n, in how many texts.
+    Without ``vectors``, a row a text that says no more than that it was there."""
     names = rows.columns[:-1]
     more = [("t", T.BinaryType()), ("c", T.BinaryType()), ("term", T.IntegerType()), ("n", T.LongType())]
     schema = T.StructType([*(T.StructField(c, rows.schema[c].dataType) for c in names), *(T.StructField(c, k) for c, k in more)])
@@ -184,6 +184,8 @@ def with_vectors(rows: DataFrame, key: str, known, block_bytes: int = 1 << 20) -
             for lo, hi in slices(offs, block_bytes):
                 first, t, c = vocabulary.vectors(text.slice(lo, hi - lo), poly)
                 texts += np.bincount(t, minlength=len(texts))
+                if not vectors:
+                    t, c, first = t[:0], c[:0], np.zeros(hi - lo + 1, np.int64)
                 c = c.astype("<u1" if c.max(initial=0) < 1 << 8 else "<u4")
                 ends = first.tolist()
                 cells = [pa.array([v[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary()) for v in (t.astype("<i4"), c)]
@@ -410,8 +412,9 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, shrink: float = 20.0, k: int = 9, calibrate: int = 2048, keep: tuple = ()) -> dict:
-    """The model (bounded by the parameters), what the tasks share of it, and ``counted``: the documents' vectors beside ``keep``."""
+def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, shrink: float = 20.0, k: int = 9, calibrate: int = 2048, keep: tuple | None = ()) -> dict:
+    """The model (bounded by the parameters), what the tasks share of it, and ``counted``: the documents' vectors beside
+    ``keep`` (None: the vectors are not written)."""
     spark = docs.sparkSession
     usable = labels.filter("toxic is not null and doc_id is not null").filter(~held_out())
     usable = usable.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
@@ -452,10 +455,12 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, shrink: float
     known = spark.sparkContext.broadcast(hashes)
 
     # the documents' vectors are counted once, written, and read for the frequencies and for the scores
-    every = saved(with_vectors(docs.select(*keep, F.col("text").cast("string").alias("tox_text")), key, known), "toxic-vectors")
+    text = F.col("text").cast("string").alias("tox_text")
+    every = saved(with_vectors(docs.select(*(keep or ()), text), key, known, keep is not None), "toxic-vectors")
     model["counted"] = counted = every.filter("term is null").drop("term", "n")
+    model["known"] = known
     if not total:
-        return model | {"shared": spark.sparkContext.broadcast({k: v for k, v in model.items() if k != "counted"}), "prior": 0.0, "map": ([0.0], [0.0])}
+        return model | {"shared": spark.sparkContext.broadcast({k: v for k, v in model.items() if k not in ("counted", "known")}), "prior": 0.0, "map": ([0.0], [0.0])}
     held = np.zeros(len(hashes))
     df = every.filter("term is not null").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     held[df["term"].to_numpy()] = df["n"].to_numpy()
@@ -468,7 +473,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 16384, shrink: float
     first, term, count, ids, label = _ordered(rows.filter(some), idf)
     del rows
     model |= {"hashes": hashes, "names": names, "idf": idf, "first": first, "term": term, "count": count, "label": label, "ids": ids}
-    model["shared"] = shared = spark.sparkContext.broadcast({k: v for k, v in model.items() if k not in ("counted", "hashes")})
+    model["shared"] = shared = spark.sparkContext.broadcast({k: v for k, v in model.items() if k not in ("counted", "known", "hashes")})
     some_rows = np.unique(np.linspace(0, max(len(ids) - 1, 0), min(calibrate, len(ids))).astype(int)).tolist()
 
     def votes(batches):
@@ -507,33 +512,41 @@ def kept_index(model: dict) -> BlockMaxIndex:
     return kept["index"]
 
 
-def scored(counted: DataFrame, model: dict, below: float | None = None) -> DataFrame:
-    """``counted`` (its last columns: t and c) with score, neighbours (example ids), similarity and terms (the evidence)
-    in their place; with ``below``, only the rows of a smaller score, without these columns."""
+class Scorer:
+    """Scores of a worker's documents."""
+
+    def __init__(self, model: dict, prior: float, curve: tuple) -> None:
+        self.m, self.prior, self.curve, self.index = model, prior, curve, kept_index(model)
+
+    def __call__(self, t: np.ndarray, c: np.ndarray) -> tuple[float, list, np.ndarray]:
+        """(score, nearest examples, the terms that weigh most)."""
+        terms, weights = weighted(t, c, self.m["idf"])
+        best = self.index.nearest(terms, weights, self.m["k"])
+        s = float(np.interp(vote(best, self.m["label"]), *self.curve)) if best else self.prior
+        return min(max(s, 0.0), 1.0), best, terms[np.argsort(-weights, kind="stable")[:SHOWN]]
+
+
+def scored(counted: DataFrame, model: dict) -> DataFrame:
+    """``counted`` (its last columns: t and c) with score, neighbours (example ids), similarity and terms (the evidence) in their place."""
     shared, prior, curve = model["shared"], model["prior"], model["map"]
     names = counted.columns[:-2]
     fields = [counted.schema[c] for c in names]
-    schema = T.StructType(fields + ([] if below is not None else list(T._parse_datatype_string(SCORE))))
+    schema = T.StructType(fields + [T.StructField("score", T.DoubleType()), T.StructField("neighbours", T.ArrayType(T.LongType())),
+                                    T.StructField("similarity", T.ArrayType(T.DoubleType())), T.StructField("terms", T.ArrayType(T.StringType()))])
 
     def run(batches):
         m = shared.value
-        index, ids = kept_index(m), np.array(m["ids"], np.int64)
+        scorer, ids = Scorer(m, prior, curve), np.array(m["ids"], np.int64)
         for batch in batches:
             score, near, shown, known = [], [], [], {}
             for same in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True):
                 if same not in known:  # copies score alike
-                    terms, weights = weighted(*unpacked(*same), m["idf"])
-                    best = index.nearest(terms, weights, m["k"])
-                    s = float(np.interp(vote(best, m["label"]), *curve)) if best else prior
-                    known[same] = min(max(s, 0.0), 1.0), best, terms[np.argsort(-weights, kind="stable")[:SHOWN]]
+                    known[same] = scorer(*unpacked(*same))
                 s, best, strongest = known[same]
                 score.append(s)
                 near.append(best)
                 shown.append(strongest)
             kept = [batch.column(i) for i in range(len(names))]
-            if below is not None:
-                yield pa.RecordBatch.from_arrays(kept, names=names).filter(pa.array(np.array(score) < below))
-                continue
             ends = [pa.array(np.concatenate([[0], np.cumsum([len(x) for x in some])]).astype(np.int32)) for some in (near, shown)]
             flat = [x for best in near for x in best]
             evidence = m["names"].take(pa.array(np.concatenate([np.zeros(0, np.int64), *shown])))
@@ -554,7 +567,23 @@ def score_documents(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
     return scored(model["counted"], model).select("doc_id", held_out().alias("held_out"), "score", predicted, "neighbours", "similarity", "terms")
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
-    """The documents whose score is below 0.5, with all their columns."""
-    model = fit(docs, labels, keep=(F.struct("*").alias("row"),), **params)
-    return scored(model["counted"], model, below=0.5).select("row.*")
+def keep_clean(docs: DataFrame, labels: DataFrame, below: float = 0.5, **params) -> DataFrame:
+    """The documents whose score is below ``below``, with all their columns.
+
+    Terms are counted again where a document is judged, so nothing of the documents is written.
+    """
+    model = fit(docs, labels, keep=None, **params)
+    key, known, shared, prior, curve = model["key"], model["known"], model["shared"], model["prior"], model["map"]
+
+    @F.pandas_udf("boolean")
+    def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        vocabulary, poly, scorer = kept_vocabulary(key, known.value), Poly(), Scorer(shared.value, prior, curve)
+        for texts in parts:
+            text, out = pa.array(texts, pa.string()), []
+            _, offs = text_buffer(text)
+            for lo, hi in slices(offs, 1 << 20):
+                first, t, c = vocabulary.vectors(text.slice(lo, hi - lo), poly)
+                out += [scorer(t[x:y], c[x:y])[0] < below for x, y in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+            yield pd.Series(out, dtype=bool)
+
+    return docs.filter(clean(F.col("text").cast("string")))
