@@ -85,6 +85,16 @@ def drop_scratch() -> None:
             system.delete(where, True)
 
 
+@contextlib.contextmanager
+def recorded_scratch():
+    """The list of the scratch folders that are made inside the block (known when it ends)."""
+    before, made = set(_SCRATCH), []
+    try:
+        yield made
+    finally:
+        made += [p for p in _SCRATCH if p not in before]
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a written folder through Spark's own file system."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
