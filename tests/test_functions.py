@@ -57,3 +57,17 @@ def test_scale_conf_sizes_partitions():
     small = scale_conf(10 * 1024**2, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16  # at least two waves of task slots
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_distinct_lists(spark):
+    """Values in byte order, each once, sums and minima beside them; NULL without a value; parts of many beginnings."""
+    from touchline.operators.listing import distinct_lists
+
+    names = ["Zoé", "Éa", "a", "ab", "abc", "b", "Ab", "😀x", "é", "", "ab"]
+    rows = [("k", n, 1, i) for i, n in enumerate(names)] + [("n", None, 2, 5), ("n", None, 3, 4), (None, "x", 1, 1)] + [("hot", f"team {i % 700:04d}", 1, i) for i in range(3000)]
+    out = {r.k: r for r in distinct_lists(spark.createDataFrame(rows, "k string, t string, n long, m long").repartition(5), ["k"], "t", "teams", ["n"], ["m"]).collect()}
+    assert out["k"].teams == ", ".join(sorted(set(names), key=lambda x: x.encode())) and (out["k"].n, out["k"].m) == (11, 0)
+    assert out["n"].teams is None and (out["n"].n, out["n"].m) == (5, 4) and out[None].teams == "x"
+    assert out["hot"].teams == ", ".join(f"team {i:04d}" for i in range(700)) and out["hot"].n == 3000
+    only = {r.k: r.teams for r in distinct_lists(spark.createDataFrame(rows, "k string, t string, n long, m long"), ["k"], "t", "teams", sep="|").collect()}
+    assert only["k"].count("|") == len(set(names)) - 1

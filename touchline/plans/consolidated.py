@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.functions import exact_div, floor_int, full_name, match_key, mean, ratio, round2, sorted_distinct_join
+from touchline.functions import exact_div, floor_int, full_name, match_key, mean, ratio, round2
+from touchline.operators.listing import distinct_lists
 from touchline.operators.ranking import asc, best_per_group, desc, ranked_shortlist, top_k
 from touchline.operators.shares import share_of_total
 from touchline.plans.model import (
@@ -145,9 +146,7 @@ def c06(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 10 scorers by name, with the teams they played for."""
     s = season(spark, sf_dir)
     df = s.consolidated.join(s.equipe, "id_equipe")
-    by_name = df.groupBy("nom_joueur").agg(
-        sorted_distinct_join("nom_equipe").alias("equipes"), F.sum("buts").alias("total_buts")
-    )
+    by_name = distinct_lists(df, ["nom_joueur"], "nom_equipe", "equipes", ["buts"]).withColumnRenamed("buts", "total_buts")
     return conform(top_k(by_name, [desc("total_buts")], 10, tie=["nom_joueur"]))
 
 
@@ -206,17 +205,13 @@ def c09(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 10 goals above expected, by name."""
     s = season(spark, sf_dir)
     df = s.consolidated.join(s.equipe, "id_equipe")
-    by_name = df.groupBy("nom_joueur").agg(
-        sorted_distinct_join("nom_equipe").alias("equipes"),
-        F.sum("buts").alias("total_buts"),
-        F.sum("xg").alias("__xg"),
-    )
+    by_name = distinct_lists(df, ["nom_joueur"], "nom_equipe", "equipes", ["buts", "xg"])
     by_name = by_name.select(
         "nom_joueur",
         "equipes",
-        "total_buts",
-        round2("__xg").alias("total_xg"),
-        round2(F.col("total_buts") - F.col("__xg")).alias("difference_buts_xg"),
+        F.col("buts").alias("total_buts"),
+        round2("xg").alias("total_xg"),
+        round2(F.col("buts") - F.col("xg")).alias("difference_buts_xg"),
     )
     return conform(top_k(by_name, [desc("difference_buts_xg")], 10, tie=["nom_joueur"]))
 
@@ -261,12 +256,12 @@ def consolidated_shortlist(s, by: str) -> DataFrame:
         sal = capped.groupBy(match_key("nom_joueur").alias("__k")).agg(F.min("salaire_annuel").alias("salaire_annuel"))
         joined = v.withColumn("__k", match_key(full_name("nom_joueur", "nom_equipe"))).join(sal, "__k")
         joined = joined.withColumn("__copies", F.lit(1).cast("long"))
-    grouped = joined.groupBy("nom_joueur").agg(
-        sorted_distinct_join("nom_equipe").alias("equipes"),
-        ratio(F.min("salaire_annuel"), F.lit(SALARY_UNIT)).alias("salaire_millions_euros"),
-        F.sum(F.col("buts") * F.col("__copies")).alias("buts"),
-        F.sum(F.col("progression_passe") * F.col("__copies")).alias("prgp"),
-    )
+    weighed = joined.select(
+        "nom_joueur", "nom_equipe", "salaire_annuel",
+        (F.col("buts") * F.col("__copies")).alias("buts"), (F.col("progression_passe") * F.col("__copies")).alias("prgp"),
+    )
+    grouped = distinct_lists(weighed, ["nom_joueur"], "nom_equipe", "equipes", ["buts", "prgp"], ["salaire_annuel"])
+    grouped = grouped.select("nom_joueur", "equipes", ratio("salaire_annuel", F.lit(SALARY_UNIT)).alias("salaire_millions_euros"), "buts", "prgp")
     return grouped.filter(F.col("buts") >= GOALS_MIN_SHORTLIST).withColumn(
         "ratio", floor_int(exact_div("prgp", F.nullif(F.col("buts"), F.lit(0))))
     )
