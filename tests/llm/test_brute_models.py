@@ -170,3 +170,16 @@ def test_toxicity_recall_at_sf01(spark):
     labels = [(r.doc_id, r.toxic) for r in table(spark, "labels", sf).collect() if r.doc_id in told and r.toxic is not None]
     toxic, clean = ([told[d] for d, y in labels if y == k] for k in (1, 0))
     assert len(toxic) > 50 and sum(toxic) / len(toxic) >= 0.9 and sum(clean) / len(clean) <= 0.01
+
+
+def test_packed_vectors():
+    rng = np.random.default_rng(6)
+    for wide, top in ((3, 1 << 20), (4, 1 << 30)):
+        lists = [np.unique(rng.integers(0, top, n)) for n in (0, 1, 5, 300, 0)]
+        counts = [rng.integers(1, 250 if wide == 3 else 70_000, len(x)) for x in lists]
+        first = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+        packed = toxicity.packed_terms(np.concatenate(lists).astype(np.int32), first, wide)
+        for kind in ("<u1", "<u4") if wide == 3 else ("<u4",):
+            for i, (t, c) in enumerate(zip(lists, counts, strict=True)):
+                got = toxicity.unpacked(packed[first[i] : first[i + 1]].T.tobytes(), c.astype(kind).tobytes())
+                assert got[0].tolist() == t.tolist() and got[1].tolist() == c.tolist()

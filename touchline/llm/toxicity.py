@@ -166,8 +166,8 @@ def kept_vocabulary(key: str, hashes: np.ndarray) -> Vocabulary:
 
 
 def with_vectors(rows: DataFrame, key: str, known, vectors: bool = True, block_bytes: int = 1 << 20) -> DataFrame:
-    """``rows`` (their last column: the text) with the text's vector in its place: t (term numbers, rising, four bytes
-    each) and c (counts, one or four bytes each).  Besides, a row for each term a task met, with n, in how many texts.
+    """``rows`` (their last column: the text) with the text's vector in its place: t (:func:`packed_terms`) and c
+    (counts, one or four bytes each).  Besides, a row for each term a task met, with n, in how many texts.
     Without ``vectors``, a row a text that says no more than that it was there."""
     names = rows.columns[:-1]
     more = [("t", T.BinaryType()), ("c", T.BinaryType()), ("term", T.IntegerType()), ("n", T.LongType())]
@@ -176,7 +176,7 @@ def with_vectors(rows: DataFrame, key: str, known, vectors: bool = True, block_b
 
     def run(batches):
         vocabulary, poly = kept_vocabulary(key, known.value), Poly()
-        texts, kinds = np.zeros(len(vocabulary.hashes), np.int64), []
+        texts, kinds, wide = np.zeros(len(vocabulary.hashes), np.int64), [], 3 if len(vocabulary.hashes) < 1 << 24 else 4
         for batch in batches:
             text = batch.column(len(names))
             kinds = [batch.column(i).type for i in range(len(names))]
@@ -186,9 +186,9 @@ def with_vectors(rows: DataFrame, key: str, known, vectors: bool = True, block_b
                 texts += np.bincount(t, minlength=len(texts))
                 if not vectors:
                     t, c, first = t[:0], c[:0], np.zeros(hi - lo + 1, np.int64)
-                c = c.astype("<u1" if c.max(initial=0) < 1 << 8 else "<u4")
-                ends = first.tolist()
-                cells = [pa.array([v[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary()) for v in (t.astype("<i4"), c)]
+                packed, c = packed_terms(t, first, wide), c.astype("<u1" if c.max(initial=0) < 1 << 8 else "<u4")
+                ends = list(zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
+                cells = [pa.array([packed[x:y].T.tobytes() for x, y in ends], pa.binary()), pa.array([c[x:y].tobytes() for x, y in ends], pa.binary())]
                 none = [pa.nulls(hi - lo, k) for k in (pa.int32(), pa.int64())]
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in range(len(names))), *cells, *none], names=columns)
         met = np.flatnonzero(texts)
@@ -200,10 +200,21 @@ def with_vectors(rows: DataFrame, key: str, known, vectors: bool = True, block_b
     return rows.mapInArrow(run, schema)
 
 
+def packed_terms(t: np.ndarray, first: np.ndarray, wide: int) -> np.ndarray:
+    """The ``wide`` low bytes of the gaps between a vector's rising term numbers, a row a term (transposed they compress)."""
+    gap = np.diff(t, prepend=0)
+    lead = first[:-1][first[:-1] < first[1:]]
+    gap[lead] = t[lead]
+    return gap.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :wide]
+
+
 def unpacked(t: bytes, c: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Term numbers and counts of a vector."""
-    terms = np.frombuffer(t, "<i4")
-    return terms, np.frombuffer(c, "<u1" if len(c) == len(terms) else "<u4")
+    """Term numbers and counts of a vector: gaps in three or four planes of bytes, counts of one or four bytes."""
+    n = len(c) if len(t) >= 3 * len(c) else len(c) // 4
+    gap = np.zeros((n, 4), np.uint8)
+    wide = len(t) // n if n else 0
+    gap[:, :wide] = np.frombuffer(t, np.uint8).reshape(wide, n).T
+    return np.cumsum(gap.view("<u4")[:, 0], dtype=np.int64), np.frombuffer(c, "<u1" if len(c) == n else "<u4")
 
 
 def weighted(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -493,7 +504,7 @@ def _ordered(rows: pa.Table, idf: np.ndarray) -> tuple:
     ids, toxic, vectors, rank = rows["id"].to_pylist(), rows["toxic"].to_pylist(), [], []
     for i, (t, c) in enumerate(zip(rows["t"], rows["c"], strict=True)):
         terms, counts = unpacked(t.as_py(), c.as_py())
-        vectors.append((terms, counts.astype(np.uint16 if counts.max() < 1 << 16 else np.int32)))
+        vectors.append((terms.astype(np.int32), counts.astype(np.uint16 if counts.max() < 1 << 16 else np.int32)))
         w = (1 + np.log(counts)) * idf[terms]
         rank.append((toxic[i], int(terms[np.argmax(w)]), ids[i], hashlib.sha256(t.as_py() + counts.astype("<u4").tobytes()).digest(), i))
     order = [x[-1] for x in sorted(rank)]
