@@ -610,7 +610,7 @@ def insertion_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Players written by name over several files, then loaded with serial keys: the key is the line's place in the files."""
     s = season(spark, sf_dir)
     path = scratch_path(spark, "joueur_csv")
-    write_delimited(s.joueur.orderBy("nom_joueur", "id_joueur"), path, JOUEUR)
+    write_delimited(s.joueur.orderBy(asc("nom_joueur"), asc("id_joueur")), path, JOUEUR)
     rows = load_numbered(spark, path, JOUEUR, "cle").select("cle", "id_joueur", "nom_joueur")
     return conform(_taken(rows, path))
 
