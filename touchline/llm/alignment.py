@@ -134,7 +134,7 @@ class Pieces:
 
 def sides(a_path: str, b_path: str) -> tuple[ByteLevel, Pieces]:
     """Both tokenizers, loaded once per Python worker."""
-    kept = worker_store()
+    kept = worker_store("alignment")
     if ("align", a_path, b_path) not in kept:
         kept["align", a_path, b_path] = ByteLevel(a_path), Pieces(b_path)
     return kept["align", a_path, b_path]

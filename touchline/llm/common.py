@@ -30,10 +30,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return written(df, f"llm-{name}")
 
 
-def worker_store() -> dict:
-    """A dict that lives as long as the Python worker (functions are unpickled anew for each task)."""
+def worker_store(owner: str) -> dict:
+    """A dict that lives as long as the Python worker (functions are unpickled anew for each task).
+
+    One operator's at a time: a worker that goes on with another's tasks lets the last one's go.
+    """
     holder = sys.modules.setdefault("_touchline_worker_store", types.ModuleType("_touchline_worker_store"))
-    return holder.__dict__.setdefault("kept", {})
+    if holder.__dict__.get("owner") != owner:
+        holder.__dict__.update(owner=owner, kept={})
+    return holder.__dict__["kept"]
 
 
 def shuffle_parts(spark: SparkSession) -> int:

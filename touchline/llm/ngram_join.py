@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import (
     ANSWER, ANSWER_ARROW, BLOCK, EXCHANGE, EXCHANGE_ARROW, KEYS, POLY, U64, Poly, components, lowered, mix, planes,
-    rows_batch, saved, send, shuffle_parts, slices, span_hashes, text_buffer, text_id, unplanes, words_of,
+    rows_batch, saved, send, shuffle_parts, slices, span_hashes, text_buffer, text_id, unplanes, words_of, worker_store,
 )
 
 LOCAL = 2
@@ -77,6 +77,8 @@ def _scan(buckets: int, words: int, most: int):
     def run(batches):
         from pyspark import TaskContext
 
+        worker_store("ngram")  # what another operator kept in this worker goes
+
         poly, block = Poly(), TaskContext.get().partitionId() << 24
         for batch in batches:
             data, offs = text_buffer(batch.column(2))

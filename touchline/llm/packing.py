@@ -121,7 +121,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: i
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        kept = worker_store()
+        kept = worker_store("packing")
         if tokenizer_path not in kept:
             kept[tokenizer_path] = ChunkEncoder(Tokenizer.from_file(tokenizer_path))
         encoder = kept[tokenizer_path]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import (
     ANSWER, ANSWER_ARROW, BLOCK, EXCHANGE, EXCHANGE_ARROW, KEYS, POLY, U64, Poly, block_row, bucket_of, mix, opened_rows, planes, read_block,
-    repeated_entries, rows_batch, saved, send, shuffle_parts, sliding_argmin, slices, span_hashes, text_buffer, text_id, unplanes, words_of,
+    repeated_entries, rows_batch, saved, send, shuffle_parts, sliding_argmin, slices, span_hashes, text_buffer, text_id, unplanes, words_of, worker_store,
 )
 from touchline.llm.suffix_dedup import SPANS, SPANS_ARROW, _union, _with_spans, merged_spans
 
@@ -63,6 +63,8 @@ def _scan(buckets: int, window: int, most: int):
     def run(batches):
         from pyspark import TaskContext
 
+        worker_store("substring")  # what another operator kept in this worker goes
+
         poly, block = Poly(), TaskContext.get().partitionId() << 24
         for batch in batches:
             data, offs = text_buffer(batch.column(2))

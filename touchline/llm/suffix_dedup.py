@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import (
     ANSWER, ANSWER_ARROW, BLOCK, EXCHANGE, EXCHANGE_ARROW, KEYS, U64, Poly, block_row, opened_rows, planes, read_block,
-    repeated_entries, rows_batch, saved, send, shuffle_parts, sliding_argmin, slices, text_buffer, text_id, unplanes,
+    repeated_entries, rows_batch, saved, send, shuffle_parts, sliding_argmin, slices, text_buffer, text_id, unplanes, worker_store,
 )
 
 KGRAM = 16
@@ -96,6 +96,8 @@ def _scan(buckets: int, span: int, most: int):
     def run(batches):
         from pyspark import TaskContext
 
+        worker_store("suffix")  # what another operator kept in this worker goes
+
         poly, block = Poly(), TaskContext.get().partitionId() << 24
         for batch in batches:
             data, offs = text_buffer(batch.column(2))

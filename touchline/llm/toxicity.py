@@ -158,7 +158,7 @@ class Vocabulary:
 
 def kept_vocabulary(key: str, hashes: np.ndarray) -> Vocabulary:
     """One vocabulary per Python worker."""
-    kept = worker_store().setdefault("toxic-terms", {})
+    kept = worker_store("toxicity").setdefault("toxic-terms", {})
     if kept.get("key") != key:
         kept.clear()
         kept |= {"key": key, "vocabulary": Vocabulary(hashes)}
@@ -514,20 +514,30 @@ def _ordered(rows: pa.Table, idf: np.ndarray) -> tuple:
     return first, term, count, [ids[i] for i in order], np.array([float(toxic[i]) for i in order])
 
 
+def made_index(model: dict) -> BlockMaxIndex:
+    return BlockMaxIndex(Examples(model["first"], model["term"], model["count"], model["idf"]))
+
+
+def taken_index(model: dict) -> BlockMaxIndex:
+    """The model's index, out of the worker's store if it is there."""
+    kept = worker_store("toxicity").pop("toxic-index", {})
+    return kept["index"] if kept.get("key") == model["key"] else made_index(model)
+
+
 def kept_index(model: dict) -> BlockMaxIndex:
     """The model's index, built once per Python worker."""
-    kept = worker_store().setdefault("toxic-index", {})
+    kept = worker_store("toxicity").setdefault("toxic-index", {})
     if kept.get("key") != model["key"]:
         kept.clear()
-        kept |= {"key": model["key"], "index": BlockMaxIndex(Examples(model["first"], model["term"], model["count"], model["idf"]))}
+        kept |= {"key": model["key"], "index": made_index(model)}
     return kept["index"]
 
 
 class Scorer:
     """Scores of a worker's documents."""
 
-    def __init__(self, model: dict, prior: float, curve: tuple) -> None:
-        self.m, self.prior, self.curve, self.index = model, prior, curve, kept_index(model)
+    def __init__(self, model: dict, prior: float, curve: tuple, index: BlockMaxIndex) -> None:
+        self.m, self.prior, self.curve, self.index = model, prior, curve, index
 
     def __call__(self, t: np.ndarray, c: np.ndarray) -> tuple[float, list, np.ndarray]:
         """(score, nearest examples, the terms that weigh most)."""
@@ -547,7 +557,7 @@ def scored(counted: DataFrame, model: dict) -> DataFrame:
 
     def run(batches):
         m = shared.value
-        scorer, ids = Scorer(m, prior, curve), np.array(m["ids"], np.int64)
+        scorer, ids = Scorer(m, prior, curve, kept_index(m)), np.array(m["ids"], np.int64)
         for batch in batches:
             score, near, shown, known = [], [], [], {}
             for same in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True):
@@ -581,20 +591,22 @@ def score_documents(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
 def keep_clean(docs: DataFrame, labels: DataFrame, below: float = 0.5, **params) -> DataFrame:
     """The documents whose score is below ``below``, with all their columns.
 
-    Terms are counted again where a document is judged, so nothing of the documents is written.
+    Terms are counted again where a document is judged, so nothing of the documents is written; a task makes its own
+    index and leaves nothing behind in its worker.
     """
     model = fit(docs, labels, keep=None, **params)
-    key, known, shared, prior, curve = model["key"], model["known"], model["shared"], model["prior"], model["map"]
-
-    @F.pandas_udf("boolean")
-    def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocabulary, poly, scorer = kept_vocabulary(key, known.value), Poly(), Scorer(shared.value, prior, curve)
-        for texts in parts:
-            text, out = pa.array(texts, pa.string()), []
+    known, shared, prior, curve = model["known"], model["shared"], model["prior"], model["map"]
+
+    @F.arrow_udf("boolean")
+    def clean(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        vocabulary, poly = Vocabulary(known.value), Poly()
+        scorer = Scorer(shared.value, prior, curve, taken_index(shared.value))
+        for text in parts:
+            out = []
             _, offs = text_buffer(text)
             for lo, hi in slices(offs, 1 << 20):
                 first, t, c = vocabulary.vectors(text.slice(lo, hi - lo), poly)
                 out += [scorer(t[x:y], c[x:y])[0] < below for x, y in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-            yield pd.Series(out, dtype=bool)
+            yield pa.array(out, pa.bool_())
 
     return docs.filter(clean(F.col("text").cast("string")))
