@@ -69,7 +69,7 @@ def main(argv: list[str]) -> int:
           "question planned from the raw tables, the default mode (an opened season persists the fact "
           "aggregate, the reconciled source and the consolidated view instead); a cached dimension counts as one scan (its one-time build is not repeated). Broadcasts are "
           "the dimensions (behind a row-count check), hot keys and the one-row scalar results. "
-          "Inputs that a query checkpoints first (share of total, files) count as one scan.\n")
+          "Inputs that a query writes first (matching candidates, files) count as one scan.\n")
     print("| key | " + " | ".join(names) + " |")
     print("| --- |" + " --- |" * len(names))
     for key, recipe in QUERIES.items():
