@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import sys
 import types
 
@@ -41,6 +44,14 @@ def worker_store(owner: str) -> dict:
     return holder.__dict__["kept"]
 
 
+def give_back() -> None:
+    """Hand memory that is free by now back to the system (after a model was fitted on the driver)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.llm.common import U64, Poly, mix, saved, slices, text_buffer, thinned, words_of, worker_store
+from touchline.llm.common import U64, Poly, give_back, mix, saved, slices, text_buffer, thinned, words_of, worker_store
 
 #: Stripped from both ends of a word (fixed value).
 PUNCTUATION = ".,;:!?\"'()[]{}<>*#$%&-_/\\…«»„“”¿¡"
@@ -596,6 +596,8 @@ def keep_clean(docs: DataFrame, labels: DataFrame, below: float = 0.5, **params)
     """
     model = fit(docs, labels, keep=None, **params)
     known, shared, prior, curve = model["known"], model["shared"], model["prior"], model["map"]
+    del model  # the driver keeps nothing of it: the tasks read the broadcasts
+    give_back()
 
     @F.arrow_udf("boolean")
     def clean(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
