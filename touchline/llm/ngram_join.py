@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import (
@@ -118,6 +118,7 @@ def _scan(buckets: int, words: int, most: int):
 
 def _frequencies(rows: pa.Table) -> pa.Table:
     """A bucket: document frequency of each token; a block gets its entries that occur in two or more."""
+    worker_store("ngram")
     cells = list(zip(rows["block"].to_pylist(), rows["kind"].to_pylist(), rows["payload"].to_pylist(), strict=True))
     out = [c for c in cells if c[1] != KEYS]
     mine = [(b, unplanes(x)) for b, k, x in cells if k == KEYS]
@@ -142,6 +143,7 @@ def _frequencies(rows: pa.Table) -> pa.Table:
 def _assemble(percent: int):
     def run(rows: pa.Table) -> pa.Table:
         """A block: each document's shared tokens, rarest first, and how many of them its prefix reaches."""
+        worker_store("ngram")
         kinds, blobs = rows["kind"].to_pylist(), rows["payload"].to_pylist()
         ids, null, texts, n, node = unplanes(next(x for k, x in zip(kinds, blobs, strict=True) if k == BLOCK))
         told = [unplanes(x) for k, x in zip(kinds, blobs, strict=True) if k == KEYS]
@@ -185,10 +187,32 @@ def shared_tokens(docs: DataFrame, words: int = 5, percent: int = 75, block_byte
     return told.groupBy("block").applyInArrow(_assemble(percent), DOCS)
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, percent: int, *more: str) -> DataFrame:
+def _near(pairs: DataFrame, classes: DataFrame, percent: int, name: str) -> DataFrame:
+    """The pairs (a, b) whose bitmaps leave the similarity possible."""
+    left, right = (classes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("alone").alias(f"alone{x}"), F.col("bits").alias(f"bits{x}")) for x in "ab")
+    return saved(pairs.join(left, "a").join(right, "b").filter(_possible("{}a", "{}b", percent)).select(*pairs.columns), name)
+
+
+def _possible(a: str, b: str, percent: int) -> Column:
+    """What certainly differs (shingles of one document only, bits in which the bitmaps differ) leaves the similarity possible."""
+    differ = F.col(a.format("alone")) + F.col(b.format("alone"))
+    for k in range(BITMAP):
+        differ = differ + F.bit_count(F.element_at(a.format("bits"), k + 1).bitwiseXOR(F.element_at(b.format("bits"), k + 1)))
+    # an overlap o of at least percent / (100 + percent) of both sizes leaves n + n - 2 o differing shingles at most
+    return (100 + percent) * differ <= (100 - percent) * (F.col(a.format("n")) + F.col(b.format("n")))
+
+
+def _only(classes: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """The token lists of ``nodes``: lists that nobody asks for stay out of the joins."""
+    nodes = saved(nodes.select("node").distinct(), f"{name}-nodes")
+    return saved(classes.select("node", "n", "tokens").join(nodes, "node", "left_semi"), f"{name}-some")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, percent: int, name: str, *more: str) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the similarity; exact."""
-    left = classes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    right = classes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
+    some = _only(classes, pairs.select(F.explode(F.array("a", "b")).alias("node")), name)
+    left = some.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
+    right = some.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("ta", "tb")).cast("long")
     return both.withColumn("o", shared).filter(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b", *more)
@@ -219,48 +243,53 @@ def _grouped(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return saved(rows.join(lists.select("key"), "key"), name), lists
 
 
-def _star_round(post: DataFrame, classes: DataFrame, labels: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Links (a, b: components) between classes and the centres of their tokens: one centre a token and size band, another each turn.
+def _star_round(own: DataFrame, classes: DataFrame, percent: int, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b: components) between classes and the centres of their tokens: one centre a token and size band, another each turn;
+    and the rows of ``own`` whose token several components hold (of others no later turn makes any).
 
     A class is compared with one class of each other component that it meets so, whatever the tokens they share.
     """
-    own = post.select("token", "node", "n", "band").join(labels, "node")
-    live = _mixed(own, "token", f"join-live{turn}")
+    post = _mixed(own, "token", f"join-live{turn}").drop("c")
+    # band b and b + 1 hold every size that can be linked with a size of band b
+    live = post.withColumn("band", F.floor(F.log("n") / F.lit(float(np.log(100 / percent)))).cast("int"))
     first = F.min(F.struct(F.xxhash64("node", "token", F.lit(turn)).alias("h"), F.col("node").alias("centre"), F.col("comp").alias("c_comp"), F.col("n").alias("c_n"))).alias("f")
     centre = live.groupBy("token", "band").agg(first).select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), "f.centre", "f.c_comp", "f.c_n")
     met = live.join(saved(centre, f"join-centres{turn}"), ["token", "band"]).filter((F.col("comp") != F.col("c_comp")) & (100 * F.least("n", "c_n") >= percent * F.greatest("n", "c_n")))
     one = met.groupBy("node", "comp", "c_comp").agg(F.min(F.struct(F.xxhash64("centre", "node", F.lit(turn)).alias("h"), "centre")).alias("f"))
     pairs = saved(one.select(F.col("node").alias("a"), F.col("f.centre").alias("b"), "comp", "c_comp"), f"join-met{turn}")
-    links = _verified(pairs, classes, percent, "comp", "c_comp").select(F.col("comp").alias("a"), F.col("c_comp").alias("b")).distinct()
-    return saved(links, f"join-star{turn}")
+    pairs = _near(pairs, classes, percent, f"join-near{turn}")
+    links = _verified(pairs, classes, percent, f"join-star{turn}", "comp", "c_comp").select(F.col("comp").alias("a"), F.col("c_comp").alias("b")).distinct()
+    return saved(links, f"join-star{turn}"), post.drop("comp")
 
 
 def link_components(rows: DataFrame, percent: int = 75, few: int = 64, turns: int = 4, tokens: int = 3) -> DataFrame:
     """(node, comp) of every class with a shared token in its prefix."""
     live = rows.filter("prefix > 0").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("tokens").alias("tokens"), F.first("bits").alias("bits"))
-    classes = saved(live, "join-classes")
-    post = classes.select("node", "n", "prefix", F.size("tokens").alias("m"), F.posexplode(F.slice("tokens", F.lit(1), F.col("prefix"))).alias("i", "token"))
-    # band b and b + 1 hold every size that can be linked with a size of band b
-    band = F.floor(F.log("n") / F.lit(float(np.log(100 / percent)))).cast("int")
-    post = saved(post.select("token", "node", "n", "i", "m", "prefix", (F.col("n") - F.col("m") + F.col("i")).alias("pos"), band.alias("band")), "join-post")
+    classes = saved(live.withColumn("m", F.size("tokens")).withColumn("alone", F.col("n") - F.col("m")), "join-classes")
+    post = classes.select("node", "n", F.posexplode(F.slice("tokens", F.lit(1), F.col("prefix"))).alias("i", "token"))
+    post = saved(post.select("token", "node", "n", "i"), "join-post")
     labels = saved(classes.select("node", F.col("node").alias("comp")), "join-labels")
-    total = classes.count()
+    total, own = classes.count(), post.withColumn("comp", F.col("node"))
     for turn in range(turns):
-        links = _star_round(post, classes, labels, percent, turn)
+        links, post = _star_round(own, classes, percent, turn)
         n = links.count()
         if n:
             labels = _relabelled(labels, links, f"join-cc{turn}")
+        own = saved(post.join(labels, "node"), f"join-own{turn}")
         if 100 * n <= total:  # what is left is not for stars to find
             break
 
     # Pairs: classes of different components that still share a token, or a combination of several.
-    level = post.select(F.col("token").alias("key"), "node", "n", "i", "pos", "m", "prefix").join(labels, "node")
-    ready, maps = None, classes.select("node", (F.col("n") - F.size("tokens")).alias("alone"), "bits")
+    level = own.join(classes.select("node", "m", "prefix"), "node")
+    level = level.select(F.col("token").alias("key"), "node", "n", "i", (F.col("n") - F.col("m") + F.col("i")).alias("pos"), "m", "prefix", "comp")
+    level = saved(level, "join-level")
+    ready, maps = None, classes.select("node", "alone", "bits")
     for k in range(1, tokens + 1):
         level, lists = _grouped(level, f"join-level{k}")
         direct, children = lists.withColumn("direct", F.lit(True)), None
         if k < tokens:
-            wide = level.join(lists.filter(F.col("c") > few).select("key"), "key", "left_semi").join(classes.select("node", "tokens"), "node")
+            wide = saved(level.join(lists.filter(F.col("c") > few).select("key"), "key", "left_semi"), f"join-wide{k}")
+            wide = wide.join(_only(classes, wide, f"join-wide{k}").select("node", "tokens"), "node")
             room = F.greatest(F.least(F.col("m"), F.col("prefix") + k) - F.col("i") - 1, F.lit(0))  # k + 1 shared tokens lie in the prefix extended by k
             ahead = F.posexplode(F.slice("tokens", F.col("i") + 2, room)).alias("at", "token")
             wide = wide.select("key", "node", "n", "i", "pos", "m", "prefix", "comp", ahead)
@@ -268,6 +297,7 @@ def link_components(rows: DataFrame, percent: int = 75, few: int = 64, turns: in
             children = saved(wide.select(F.col("key").alias("parent"), index, "node", "n", (F.col("i") + 1 + F.col("at")).alias("i"), "pos", "m", "prefix", "comp"), f"join-wider{k}")
             # a key is extended only where its extensions have fewer pairs to meet
             held = children.groupBy("parent", "key").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+            held = saved(held.select("parent", "key", "c"), f"join-deeper{k}")
             cost = held.groupBy("parent").agg(F.sum(F.col("c") * (F.col("c") - 1)).alias("cost"))
             direct = lists.join(cost.withColumnRenamed("parent", "key"), "key", "left")
             direct = saved(direct.withColumn("direct", (F.col("c") <= few) | (F.coalesce("cost", F.lit(0)) >= F.col("c") * (F.col("c") - 1))), f"join-direct{k}")
@@ -276,21 +306,16 @@ def link_components(rows: DataFrame, percent: int = 75, few: int = 64, turns: in
         mine = mine.select("key", "node", "n", "pos", "comp")
         ready = mine if ready is None else ready.union(mine)
         if children is not None:
-            level = children.join(direct.filter(~F.col("direct")).select(F.col("key").alias("parent")), "parent", "left_semi").drop("parent")
+            deeper = held.join(direct.filter(~F.col("direct")).select(F.col("key").alias("parent")), "parent", "left_semi").select("parent", "key")
+            level = children.join(saved(deeper, f"join-next{k}"), ["parent", "key"], "left_semi").drop("parent")
     keyed = saved(saved(ready, "join-keyed").join(maps, "node"), "join-mapped")
     a, b = keyed.alias("a"), keyed.alias("b")
     fits = (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp"))
     size = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
     ahead = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))
     reach = (100 + percent) * ahead >= percent * (F.col("a.n") + F.col("b.n"))
-    # what certainly differs: shingles of one document only, and the bits in which the bitmaps differ
-    differ = F.col("a.alone") + F.col("b.alone")
-    for k in range(BITMAP):
-        differ = differ + F.bit_count(F.element_at("a.bits", k + 1).bitwiseXOR(F.element_at("b.bits", k + 1)))
-    # an overlap o of at least percent / (100 + percent) of both sizes leaves n + n - 2 o differing shingles at most
-    near = (100 + percent) * differ <= (100 - percent) * (F.col("a.n") + F.col("b.n"))
-    pairs = a.join(b, fits & size & reach & near).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.comp").alias("x"), F.col("b.comp").alias("y")).distinct()
-    more = _verified(saved(pairs, "join-pairs"), classes, percent, "x", "y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    pairs = a.join(b, fits & size & reach & _possible("a.{}", "b.{}", percent)).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.comp").alias("x"), F.col("b.comp").alias("y")).distinct()
+    more = _verified(saved(pairs, "join-pairs"), classes, percent, "join-more", "x", "y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
     more = saved(more, "join-more")
     return _relabelled(labels, more, "join-cc") if more.limit(1).count() else labels
 
