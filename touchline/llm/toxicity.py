@@ -217,9 +217,14 @@ def unpacked(t: bytes, c: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(gap.view("<u4")[:, 0], dtype=np.int64), np.frombuffer(c, "<u1" if len(c) == n else "<u4")
 
 
+def tempered(counts: np.ndarray) -> np.ndarray:
+    """1 + log of the counts, in double precision whatever their type (bytes would give half precision)."""
+    return 1 + np.log(counts, dtype=np.float64)
+
+
 def weighted(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The unit vector of counted terms."""
-    w = (1 + np.log(counts)) * idf[terms]
+    w = tempered(counts) * idf[terms]
     n = np.sqrt((w * w).sum())
     return terms, w / n if n else w
 
@@ -250,13 +255,13 @@ class Examples:
         for lo in range(0, len(first) - 1, 1024):
             hi = min(lo + 1024, len(first) - 1)
             e = np.arange(first[lo], first[hi])
-            w = self.weight(e, np.zeros(len(e), np.int64))
+            w = tempered(self.count[e]) * self.idf[self.term[e]]
             norm = np.sqrt(np.bincount(np.repeat(np.arange(hi - lo), np.diff(first[lo : hi + 1])), weights=w * w, minlength=hi - lo))
             self.norm[lo:hi] = np.where(norm > 0, norm, 1)
 
     def weight(self, e: np.ndarray, row: np.ndarray) -> np.ndarray:
         """The weights of entries e, which are of vectors ``row``."""
-        return (1 + np.log(self.count.take(e))) * self.idf.take(self.term.take(e)) / self.norm.take(row)
+        return tempered(self.count.take(e)) * self.idf.take(self.term.take(e)) / self.norm.take(row)
 
 
 class Given(Examples):
@@ -505,7 +510,7 @@ def _ordered(rows: pa.Table, idf: np.ndarray) -> tuple:
     for i, (t, c) in enumerate(zip(rows["t"], rows["c"], strict=True)):
         terms, counts = unpacked(t.as_py(), c.as_py())
         vectors.append((terms.astype(np.int32), counts.astype(np.uint16 if counts.max() < 1 << 16 else np.int32)))
-        w = (1 + np.log(counts)) * idf[terms]
+        w = tempered(counts) * idf[terms]
         rank.append((toxic[i], int(terms[np.argmax(w)]), ids[i], hashlib.sha256(t.as_py() + counts.astype("<u4").tobytes()).digest(), i))
     order = [x[-1] for x in sorted(rank)]
     first = np.concatenate([[0], np.cumsum([len(vectors[i][0]) for i in order])]).astype(np.int64)
