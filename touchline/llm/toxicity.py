@@ -59,6 +59,8 @@ BLOCK = 64
 DENSE, OFTEN = 1024, 80
 #: Groups of dense terms whose norms bound what they can add.
 NORMS = 4
+#: Examples whose dense part is added first where many may reach the k-th best.
+FIRST = 64
 #: Above the rounding of a cosine added up in single precision.
 SLACK = 1e-5
 #: Terms given as evidence: those that weigh most in the document.
@@ -368,22 +370,30 @@ class BlockMaxIndex:
         first = peak.argmax(1) + np.arange(0, len(sums), BLOCK)
         tops = sums[first]
         # the dense parts lie in steps of 1 / 255 of a term's largest weight: this far off at most
-        q8 = (q * self.step).astype(np.float32)
+        cols = np.flatnonzero(q)
+        q8 = (q[cols] * self.step[cols]).astype(np.float32)
         off = float(q8.sum()) / 2 + SLACK
         # the k-th best of the examples that stand out in their blocks is a floor
         if len(first) > 4 * k:
             first = first[np.argpartition(tops, len(first) - 4 * k)[-4 * k :]]
-        near = sums[first] + self.by_row[first].astype(np.float32) @ q8
+        near = sums[first] + self._dense(first, cols, q8)
         floor = max(float(np.partition(near, len(near) - k)[len(near) - k]) - off, 1e-12) if len(near) >= k else 1e-12
         # blocks by their maxima, then examples by the norms of groups of terms
         more = self.most @ q.astype(np.float32) + np.float32(SLACK)
         live = np.flatnonzero(tops + more >= floor)
-        bound = self.norm[live] @ np.sqrt(np.add.reduceat(q * q, self.group)) if len(q) else np.zeros((len(live), BLOCK))
+        bound = (self.norm.take(live, 0).reshape(-1, len(self.group)) @ np.sqrt(np.add.reduceat(q * q, self.group))).reshape(-1, BLOCK) if len(q) else np.zeros((len(live), BLOCK))
         np.minimum(bound, more[live][:, None], out=bound)
         bound += peak[live]
+        bound = bound.ravel()
         at = np.flatnonzero(bound >= floor)
+        if len(at) > FIRST:  # the examples of the largest bounds give a better floor
+            bound = bound[at]
+            best = np.argpartition(bound, len(at) - FIRST)[-FIRST:]
+            ids = live[at[best] // BLOCK] * BLOCK + at[best] % BLOCK
+            near = sums[ids] + self._dense(ids, cols, q8)
+            at = at[bound >= max(floor, float(np.partition(near, FIRST - k)[FIRST - k]) - off)] if k <= FIRST else at
         ids = live[at // BLOCK] * BLOCK + at % BLOCK
-        near = sums[ids] + self.by_row[ids].astype(np.float32) @ q8
+        near = sums[ids] + self._dense(ids, cols, q8)
         least = np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else -1.0
         ids = ids[near >= least - 2 * off]
         if len(terms) > 32_000 and self.at.dtype == np.int16:  # a very long text
@@ -395,12 +405,16 @@ class BlockMaxIndex:
         rank = np.lexsort((ids, -cosine))[:k]
         return list(zip(cosine[rank].tolist(), ids[rank].tolist(), strict=True))
 
+    def _dense(self, ids: np.ndarray, cols: np.ndarray, q8: np.ndarray) -> np.ndarray:
+        """The dense part of the examples' cosines, from one byte a weight."""
+        return self.by_row.take(ids, 0).take(cols, 1).astype(np.float32) @ q8
+
     def _exact(self, ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """The examples' cosines in double precision, added up in the order of their terms (``at``: the query's)."""
         first = self.all.first
         lo, hi = first[ids], first[ids + 1]
         at = np.concatenate([np.zeros(0, np.int16), *(self.at.take(self.all.term[a:b]) for a, b in zip(lo.tolist(), hi.tolist(), strict=True))])
-        hit = np.flatnonzero(at)
+        hit = np.flatnonzero(at != 0)
         ends = np.cumsum(hi - lo)
         of = np.searchsorted(ends, hit, side="right")
         e = hit - (ends - (hi - lo))[of] + lo[of]
